@@ -48,3 +48,208 @@ SQL["a9_delay_rate_by_carrier"] = with_ctes("""
 SELECT carrier,
   ROUND(AVG(CASE WHEN arr_delay >= 15 THEN 1.0 ELSE 0.0 END)::DOUBLE * 100, 6) AS delay_rate_pct
 FROM flights GROUP BY carrier""", FLIGHTS_CTE)
+
+# ------------------------------------------------------------------ shared CTEs
+PRE_CTE = """kept AS (SELECT * FROM flights WHERE cancelled = 0),
+med AS (SELECT median(arr_delay) AS m_arr, median(origin_wind_speed) AS m_wind FROM kept),
+pre AS (SELECT l_orderkey, l_linenumber, fl_date, carrier, origin, dest, crs_dep_time,
+  COALESCE(arr_delay, m_arr) AS arr_delay, cancelled, CAST(distance AS DOUBLE) AS distance,
+  COALESCE(origin_wind_speed, m_wind) AS origin_wind_speed, origin_visibility,
+  CAST(origin_ceiling AS DOUBLE) AS origin_ceiling, origin_has_thunderstorm, origin_has_snow,
+  origin_has_fog, origin_temp, origin_precip, dest_wind_speed, dest_visibility,
+  CAST(dest_ceiling AS DOUBLE) AS dest_ceiling, dest_temp, dest_precip, dest_has_thunderstorm,
+  dest_has_snow, dest_has_fog, p,
+  CASE WHEN arr_delay >= 15 THEN 1 ELSE 0 END AS is_delayed
+  FROM kept, med)"""
+
+HUBS_SQL = ("('NATION_1','NATION_3','NATION_6','NATION_8','NATION_11','NATION_13','NATION_16',"
+            "'NATION_18','NATION_21','NATION_23')")
+
+
+def holiday_sql(d: str) -> str:
+    """US federal holiday rule (observed days included) as a DuckDB boolean expression."""
+    y, mo, dom, wd = f"year({d})", f"month({d})", f"day({d})", f"(isodow({d}) - 1)"
+
+    def fixed(m: int, dd: int) -> str:
+        return (f"(({mo}={m} AND {dom}={dd}) OR ({mo}={m} AND {dom}={dd - 1} AND {wd}=4)"
+                f" OR ({mo}={m} AND {dom}={dd + 1} AND {wd}=0))")
+
+    parts = [
+        f"(({mo}=1 AND {dom}=1) OR ({mo}=1 AND {dom}=2 AND {wd}=0) OR ({mo}=12 AND {dom}=31 AND {wd}=4))",
+        f"({y}>=1986 AND {mo}=1 AND {wd}=0 AND {dom} BETWEEN 15 AND 21)",
+        f"({mo}=2 AND {wd}=0 AND {dom} BETWEEN 15 AND 21)",
+        f"({mo}=5 AND {wd}=0 AND {dom}>=25)",
+        f"({y}>=2021 AND {fixed(6, 19)})",
+        fixed(7, 4),
+        f"({mo}=9 AND {wd}=0 AND {dom}<=7)",
+        f"({mo}=10 AND {wd}=0 AND {dom} BETWEEN 8 AND 14)",
+        fixed(11, 11),
+        f"({mo}=11 AND {wd}=3 AND {dom} BETWEEN 22 AND 28)",
+        fixed(12, 25),
+    ]
+    return "(" + " OR ".join(parts) + ")"
+
+
+HOUR_SQL = "CAST(LEAST(FLOOR(crs_dep_time / 100), 23) AS INT)"
+
+TEMPORAL_CTE = f"""tmp AS (SELECT *, {HOUR_SQL} AS hour_of_day,
+  CAST(isodow(fl_date) - 1 AS INT) AS day_of_week, CAST(month(fl_date) AS INT) AS month,
+  CASE WHEN isodow(fl_date) IN (6, 7) THEN 1 ELSE 0 END AS is_weekend,
+  CASE WHEN {holiday_sql('fl_date')} THEN 1 ELSE 0 END AS is_holiday
+  FROM pre),
+tmp2 AS (SELECT *, sin(2 * pi() * hour_of_day / 24) AS hour_sin,
+  cos(2 * pi() * hour_of_day / 24) AS hour_cos, sin(2 * pi() * month / 12) AS month_sin,
+  cos(2 * pi() * month / 12) AS month_cos FROM tmp)"""
+
+
+def rolling_cte(side: str, name: str, src: str = "pre") -> str:
+    return f"""daily_{side} AS (SELECT {side}, fl_date, AVG(is_delayed::DOUBLE) AS daily_rate
+  FROM {src} GROUP BY {side}, fl_date),
+roll_{side} AS (SELECT {side}, fl_date, daily_rate, AVG(daily_rate) OVER (PARTITION BY {side}
+  ORDER BY fl_date ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING) AS {name} FROM daily_{side})"""
+
+
+# ------------------------------------------------------------------ cleaning
+SQL["p1_cast_types"] = with_ctes("""
+SELECT l_orderkey, l_linenumber,
+  CASE WHEN l_orderkey % 101 = 0 THEN NULL ELSE fl_date END AS fl_date, carrier, origin, dest,
+  arr_delay, CASE WHEN l_orderkey % 103 = 0 THEN NULL ELSE CAST(distance AS DOUBLE) END AS distance,
+  crs_dep_time, origin_wind_speed, origin_visibility, CAST(origin_ceiling AS DOUBLE) AS origin_ceiling,
+  origin_temp, origin_precip, dest_wind_speed, dest_visibility,
+  CAST(dest_ceiling AS DOUBLE) AS dest_ceiling, dest_temp, dest_precip
+FROM flights""", FLIGHTS_CTE)
+
+SQL["p2_filter_cancelled"] = with_ctes(
+    "SELECT l_orderkey, l_linenumber, fl_date, cancelled FROM flights WHERE cancelled = 0",
+    FLIGHTS_CTE)
+
+SQL["p3_delay_label"] = with_ctes("""
+SELECT l_orderkey, l_linenumber, arr_delay, CASE WHEN arr_delay >= 15 THEN 1 ELSE 0 END AS is_delayed
+FROM flights WHERE cancelled = 0""", FLIGHTS_CTE)
+
+SQL["p4_fill_missing"] = with_ctes("""
+SELECT l_orderkey, l_linenumber, carrier, ROUND(COALESCE(arr_delay, m_arr), 6) AS arr_delay,
+  ROUND(COALESCE(origin_wind_speed, m_wind), 6) AS origin_wind_speed,
+  ROUND(origin_visibility, 6) AS origin_visibility
+FROM flights, (SELECT median(arr_delay) AS m_arr, median(origin_wind_speed) AS m_wind FROM flights) m""",
+                               FLIGHTS_CTE)
+
+SQL["l1_preprocess"] = with_ctes("""
+SELECT l_orderkey, l_linenumber, fl_date, carrier, origin, dest, crs_dep_time,
+  ROUND(arr_delay, 6) AS arr_delay, cancelled, ROUND(distance, 6) AS distance,
+  ROUND(origin_wind_speed, 6) AS origin_wind_speed, ROUND(origin_visibility, 6) AS origin_visibility,
+  ROUND(origin_ceiling, 6) AS origin_ceiling, origin_has_thunderstorm, origin_has_snow, origin_has_fog,
+  ROUND(origin_temp, 6) AS origin_temp, ROUND(origin_precip, 6) AS origin_precip,
+  ROUND(dest_wind_speed, 6) AS dest_wind_speed, ROUND(dest_visibility, 6) AS dest_visibility,
+  ROUND(dest_ceiling, 6) AS dest_ceiling, ROUND(dest_temp, 6) AS dest_temp,
+  ROUND(dest_precip, 6) AS dest_precip, dest_has_thunderstorm, dest_has_snow, dest_has_fog,
+  ROUND(p, 6) AS p, is_delayed
+FROM pre""", FLIGHTS_CTE, PRE_CTE)
+
+_A6_COLS = ("arr_delay", "distance", "crs_dep_time", "origin_wind_speed", "origin_visibility",
+            "origin_ceiling", "origin_temp", "origin_precip", "dest_wind_speed", "dest_visibility",
+            "dest_ceiling", "dest_temp", "dest_precip")
+SQL["a6_missing_profile"] = with_ctes("\nUNION ALL\n".join(
+    f"SELECT '{c}' AS \"column\", COUNT(*) - COUNT({c}) AS n_missing, "
+    f"ROUND(median({c}::DOUBLE), 6) AS median FROM flights" for c in _A6_COLS), FLIGHTS_CTE)
+
+SQL["a11_profile"] = with_ctes("""
+SELECT COUNT(*) AS n_rows, 28 AS n_cols, MIN(fl_date) AS min_date, MAX(fl_date) AS max_date FROM pre""",
+                               FLIGHTS_CTE, PRE_CTE)
+
+# ------------------------------------------------------------------ insights
+SQL["a8_delay_rate_by_hour"] = with_ctes("""
+SELECT CAST(FLOOR(crs_dep_time / 100) AS INT) AS hour,
+  ROUND(AVG(CASE WHEN arr_delay >= 15 THEN 1.0 ELSE 0.0 END)::DOUBLE * 100, 6) AS delay_rate_pct
+FROM flights GROUP BY 1""", FLIGHTS_CTE)
+
+SQL["a10_airport_months"] = with_ctes("""
+SELECT origin AS airport, CAST(year(fl_date) AS INT) AS year, CAST(month(fl_date) AS INT) AS month,
+  COUNT(*) AS n_flights FROM pre GROUP BY 1, 2, 3""", FLIGHTS_CTE, PRE_CTE)
+
+SQL["a10_distinct_airports"] = with_ctes(
+    "SELECT COUNT(DISTINCT origin) AS n_airports FROM flights", FLIGHTS_CTE)
+
+# ------------------------------------------------------------------ scalar groups
+SQL["l2_temporal_features"] = with_ctes(f"""
+SELECT l_orderkey, l_linenumber, fl_date, crs_dep_time, hour_of_day, day_of_week, month, is_weekend,
+  is_holiday, ROUND(hour_sin, 6) AS hour_sin, ROUND(hour_cos, 6) AS hour_cos,
+  ROUND(month_sin, 6) AS month_sin, ROUND(month_cos, 6) AS month_cos,
+  CASE WHEN hour_of_day >= 5 AND hour_of_day < 8 THEN 'early_morning'
+       WHEN hour_of_day >= 8 AND hour_of_day < 12 THEN 'morning'
+       WHEN hour_of_day >= 12 AND hour_of_day < 17 THEN 'afternoon'
+       WHEN hour_of_day >= 17 AND hour_of_day < 21 THEN 'evening' ELSE 'night' END AS time_block,
+  CASE WHEN {holiday_sql('fl_date')} OR {holiday_sql('(fl_date - 1)')}
+            OR {holiday_sql('(fl_date + 1)')} THEN 1 ELSE 0 END AS is_near_holiday
+FROM tmp2""", FLIGHTS_CTE, PRE_CTE, TEMPORAL_CTE)
+
+
+def _wx(side: str) -> str:
+    return f"""CASE WHEN {side}_ceiling < 1000 OR {side}_visibility < 3 THEN 1 ELSE 0 END AS ifr_conditions_{side},
+  CASE WHEN {side}_wind_speed < 10 THEN 'calm'
+       WHEN {side}_wind_speed >= 10 AND {side}_wind_speed <= 25 THEN 'moderate'
+       ELSE 'strong' END AS {side}_wind_category,
+  CASE WHEN COALESCE({side}_has_thunderstorm, 1) <> 0 OR COALESCE({side}_has_snow, 1) <> 0
+            OR COALESCE({side}_wind_speed > 35, false) THEN 1 ELSE 0 END AS severe_weather_{side}"""
+
+
+SQL["l3_weather_features"] = with_ctes(
+    f"SELECT l_orderkey, l_linenumber, {_wx('origin')}, {_wx('dest')} FROM flights", FLIGHTS_CTE)
+
+SQL["p5_ensure_weather_columns"] = with_ctes("""
+SELECT l_orderkey, l_linenumber, 8.0::DOUBLE AS dest_wind_speed, 10.0::DOUBLE AS dest_visibility,
+  25000 AS dest_ceiling, 60.0::DOUBLE AS dest_temp, 0.0::DOUBLE AS dest_precip,
+  0 AS dest_has_thunderstorm, 0 AS dest_has_snow, 0 AS dest_has_fog FROM flights""", FLIGHTS_CTE)
+
+SQL["c12_c13_route_columns"] = with_ctes("""
+SELECT l_orderkey, l_linenumber, origin || '-' || dest AS route, distance,
+  CASE WHEN distance < 500 THEN 'short' WHEN distance >= 500 AND distance <= 1500 THEN 'medium'
+       ELSE 'long' END AS distance_category FROM flights""", FLIGHTS_CTE)
+
+SQL["p6_camelcase_twins"] = with_ctes("""
+SELECT l_orderkey, l_linenumber, fl_date AS FlightDate, crs_dep_time AS CRSDepTime, origin AS Origin,
+  dest AS Dest, distance AS Distance, cancelled AS Cancelled FROM flights""", FLIGHTS_CTE)
+
+# ------------------------------------------------------------------ airport group
+SQL["a1_flights_per_hour"] = with_ctes(f"""
+SELECT origin, fl_date, {HOUR_SQL} AS hour_of_day, COUNT(*) AS n FROM pre GROUP BY 1, 2, 3""",
+                                       FLIGHTS_CTE, PRE_CTE)
+
+SQL["a2_daily_delay_rate"] = with_ctes("""
+SELECT dest, fl_date, ROUND(AVG(is_delayed::DOUBLE), 6) AS daily_rate FROM pre GROUP BY 1, 2""",
+                                       FLIGHTS_CTE, PRE_CTE)
+
+SQL["w1_rolling_rate_active"] = with_ctes("""
+SELECT origin, fl_date, ROUND(daily_rate, 6) AS daily_rate,
+  ROUND(origin_delay_rate_rolling, 6) AS origin_delay_rate_rolling FROM roll_origin""",
+                                          FLIGHTS_CTE, PRE_CTE,
+                                          rolling_cte("origin", "origin_delay_rate_rolling"))
+
+SQL["w1_rolling_rate_dense"] = with_ctes("""
+SELECT origin, fl_date, ROUND(daily_rate, 6) AS daily_rate,
+  ROUND(origin_delay_rate_rolling, 6) AS origin_delay_rate_rolling
+FROM (SELECT g.origin, g.fl_date, d.daily_rate,
+        AVG(d.daily_rate) OVER (PARTITION BY g.origin ORDER BY g.fl_date
+                                ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING) AS origin_delay_rate_rolling
+      FROM (SELECT a.origin, b.fl_date FROM (SELECT DISTINCT origin FROM pre) a
+            CROSS JOIN (SELECT DISTINCT fl_date FROM pre) b) g
+      LEFT JOIN daily d ON d.origin = g.origin AND d.fl_date = g.fl_date) x
+WHERE daily_rate IS NOT NULL""", FLIGHTS_CTE, PRE_CTE,
+    "daily AS (SELECT origin, fl_date, AVG(is_delayed::DOUBLE) AS daily_rate FROM pre GROUP BY 1, 2)")
+
+AIRPORT_CTE = f"""{rolling_cte('origin', 'r_o')},
+{rolling_cte('dest', 'r_d')},
+apt AS (SELECT t.*,
+  CAST(COUNT(*) OVER (PARTITION BY t.origin, t.fl_date, t.hour_of_day) AS INT) AS origin_flights_per_hour,
+  CAST(COUNT(*) OVER (PARTITION BY t.dest, t.fl_date, t.hour_of_day) AS INT) AS dest_flights_per_hour,
+  COALESCE(ro.r_o, 0.0) AS origin_delay_rate_rolling, COALESCE(rd.r_d, 0.0) AS dest_delay_rate_rolling,
+  CASE WHEN t.origin IN {HUBS_SQL} THEN 1 ELSE 0 END AS is_origin_hub,
+  CASE WHEN t.dest IN {HUBS_SQL} THEN 1 ELSE 0 END AS is_dest_hub
+  FROM tmp2 t LEFT JOIN roll_origin ro ON ro.origin = t.origin AND ro.fl_date = t.fl_date
+  LEFT JOIN roll_dest rd ON rd.dest = t.dest AND rd.fl_date = t.fl_date)"""
+
+SQL["l4_airport_features"] = with_ctes("""
+SELECT l_orderkey, l_linenumber, origin, dest, fl_date, hour_of_day, origin_flights_per_hour,
+  dest_flights_per_hour, ROUND(origin_delay_rate_rolling, 6) AS origin_delay_rate_rolling,
+  ROUND(dest_delay_rate_rolling, 6) AS dest_delay_rate_rolling, is_origin_hub, is_dest_hub
+FROM apt""", FLIGHTS_CTE, PRE_CTE, TEMPORAL_CTE, AIRPORT_CTE)

@@ -13,7 +13,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ontime_spark.operators import insights
+from ontime_spark import schemas as S
+from ontime_spark.functions import temporal as TF
+from ontime_spark.operators import clean, insights
+from ontime_spark.operators import features as FE
+from ontime_spark.operators import featurizer as FP
 from ontime_spark.sources import driver
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -45,3 +49,146 @@ def q_flights_view(spark, sf_dir):
 @register("a9_delay_rate_by_carrier")
 def q_a9(spark, sf_dir):
     return rounded(insights.delay_rate_by_carrier(driver.flights(spark, sf_dir)))
+
+
+def _keys(df: DataFrame, *cols: str) -> DataFrame:
+    return df.select("l_orderkey", "l_linenumber", *cols)
+
+
+def raw_text_flights(spark, sf_dir) -> DataFrame:
+    """The flights view as landed text (every column a string), with some unparsable dates
+    and distances, as input for the cast step."""
+    f = driver.flights(spark, sf_dir)
+    cols = {c: F.col(c).cast("string") for c in f.columns if c not in ("l_orderkey", "l_linenumber")}
+    cols["fl_date"] = F.when(F.col("l_orderkey") % 101 == 0, F.lit("not-a-date")) \
+        .otherwise(F.col("fl_date").cast("string"))
+    cols["distance"] = F.when(F.col("l_orderkey") % 103 == 0, F.lit("n/a")) \
+        .otherwise(F.col("distance").cast("string"))
+    return f.withColumns(cols)
+
+
+def preprocessed(spark, sf_dir) -> DataFrame:
+    return clean.preprocess(driver.flights(spark, sf_dir))
+
+
+# ------------------------------------------------------------------ cleaning
+@register("p1_cast_types")
+def q_p1(spark, sf_dir):
+    out = clean.cast_types(raw_text_flights(spark, sf_dir))
+    return _keys(out, "fl_date", "carrier", "origin", "dest", *S.NUMERIC_CANDIDATES)
+
+
+@register("p2_filter_cancelled")
+def q_p2(spark, sf_dir):
+    return _keys(clean.filter_cancelled(driver.flights(spark, sf_dir)), "fl_date", "cancelled")
+
+
+@register("p3_delay_label")
+def q_p3(spark, sf_dir):
+    f = clean.add_delay_label(clean.filter_cancelled(driver.flights(spark, sf_dir)))
+    return _keys(f, "arr_delay", S.TARGET_COL)
+
+
+@register("p4_fill_missing")
+def q_p4(spark, sf_dir):
+    out = clean.fill_missing(driver.flights(spark, sf_dir))
+    return rounded(_keys(out, "carrier", "arr_delay", "origin_wind_speed", "origin_visibility"))
+
+
+@register("l1_preprocess")
+def q_l1(spark, sf_dir):
+    return rounded(preprocessed(spark, sf_dir))
+
+
+@register("a6_missing_profile")
+def q_a6(spark, sf_dir):
+    f = clean.cast_types(driver.flights(spark, sf_dir))
+    return rounded(clean.missing_profile(f, list(S.NUMERIC_CANDIDATES)))
+
+
+@register("a11_profile")
+def q_a11(spark, sf_dir):
+    return clean.profile(preprocessed(spark, sf_dir))
+
+
+# ------------------------------------------------------------------ insights
+@register("a8_delay_rate_by_hour")
+def q_a8(spark, sf_dir):
+    return rounded(insights.delay_rate_by_hour(driver.flights(spark, sf_dir)))
+
+
+@register("a10_airport_months")
+def q_a10(spark, sf_dir):
+    return insights.airport_months(clean.preprocess(driver.flights(spark, sf_dir)))
+
+
+@register("a10_distinct_airports")
+def q_a10b(spark, sf_dir):
+    return insights.distinct_airports(driver.flights(spark, sf_dir))
+
+
+# ------------------------------------------------------------------ scalar groups
+@register("l2_temporal_features")
+def q_l2(spark, sf_dir):
+    f = FE.add_temporal_features(preprocessed(spark, sf_dir), with_time_block=True)
+    f = f.withColumn("is_near_holiday", TF.is_holiday("fl_date", pad_days=1))
+    return rounded(_keys(f, "fl_date", "crs_dep_time", *S.TEMPORAL_FEATURES, "time_block",
+                         "is_near_holiday"))
+
+
+@register("l3_weather_features")
+def q_l3(spark, sf_dir):
+    f = FE.add_weather_features(driver.flights(spark, sf_dir), extended=True)
+    return _keys(f, "ifr_conditions_origin", "ifr_conditions_dest", "origin_wind_category",
+                 "dest_wind_category", "severe_weather_origin", "severe_weather_dest")
+
+
+@register("p5_ensure_weather_columns")
+def q_p5(spark, sf_dir):
+    f = driver.flights(spark, sf_dir)
+    f = f.drop(*[c for c in f.columns if c.startswith("dest_")])
+    out = FE.ensure_weather_columns(f)
+    return rounded(_keys(out, *[c for c in out.columns if c.startswith("dest_")]))
+
+
+@register("c12_c13_route_columns")
+def q_c12(spark, sf_dir):
+    f = FE.add_route_columns(driver.flights(spark, sf_dir))
+    return _keys(f, "route", "distance", "distance_category")
+
+
+@register("p6_camelcase_twins")
+def q_p6(spark, sf_dir):
+    return _keys(FP.map_casing(driver.flights(spark, sf_dir)), "FlightDate", "CRSDepTime",
+                 "Origin", "Dest", "Distance", "Cancelled")
+
+
+# ------------------------------------------------------------------ airport group
+def _temporal(spark, sf_dir):
+    return FE.add_temporal_features(preprocessed(spark, sf_dir))
+
+
+@register("a1_flights_per_hour")
+def q_a1(spark, sf_dir):
+    return FE.flights_per_hour(_temporal(spark, sf_dir), "origin")
+
+
+@register("a2_daily_delay_rate")
+def q_a2(spark, sf_dir):
+    return rounded(FE.daily_delay_rate(preprocessed(spark, sf_dir), "dest"))
+
+
+@register("w1_rolling_rate_active")
+def q_w1a(spark, sf_dir):
+    return rounded(FE.rolling_delay_rate(preprocessed(spark, sf_dir), "origin", grid="active"))
+
+
+@register("w1_rolling_rate_dense")
+def q_w1d(spark, sf_dir):
+    return rounded(FE.rolling_delay_rate(preprocessed(spark, sf_dir), "origin", grid="dense"))
+
+
+@register("l4_airport_features")
+def q_l4(spark, sf_dir):
+    f = FE.add_airport_features(_temporal(spark, sf_dir), hubs=driver.DRIVER_HUBS)
+    return rounded(_keys(f, "origin", "dest", "fl_date", "hour_of_day", *S.AIRPORT_FEATURES))

@@ -22,9 +22,15 @@ CASING = {
 
 
 def map_casing(df: DataFrame) -> DataFrame:
-    """Add the CamelCase twin of each canonical column that has none."""
+    """Add the CamelCase twin of each canonical column that has none.
+
+    Spark resolves column names case-insensitively, so ``Origin``, ``Dest``, ``Distance`` and
+    ``Cancelled`` already address the canonical columns (adding them would replace the
+    originals); only twins whose names differ beyond case (``FlightDate``, ``CRSDepTime``)
+    are added."""
+    present = {c.lower() for c in df.columns}
     twins = {new: F.col(old) for old, new in CASING.items()
-             if old in df.columns and new not in df.columns}
+             if old in df.columns and new.lower() not in present}
     return df.withColumns(twins) if twins else df
 
 

@@ -253,3 +253,104 @@ SELECT l_orderkey, l_linenumber, origin, dest, fl_date, hour_of_day, origin_flig
   dest_flights_per_hour, ROUND(origin_delay_rate_rolling, 6) AS origin_delay_rate_rolling,
   ROUND(dest_delay_rate_rolling, 6) AS dest_delay_rate_rolling, is_origin_hub, is_dest_hub
 FROM apt""", FLIGHTS_CTE, PRE_CTE, TEMPORAL_CTE, AIRPORT_CTE)
+
+# ------------------------------------------------------------------ encoders and feature table
+TRAIN_WHERE = "month(fl_date) BETWEEN 1 AND 10"
+TEST_WHERE = "month(fl_date) IN (11, 12)"
+
+
+def encoder_ctes(src_where: str | None) -> str:
+    where = f"WHERE {src_where}" if src_where else ""
+    return f"""enc_src AS (SELECT * FROM pre {where}),
+g AS (SELECT AVG(is_delayed::DOUBLE) AS gm FROM enc_src),
+re AS (SELECT origin || '-' || dest AS route, COUNT(*) AS n, AVG(is_delayed::DOUBLE) AS mean,
+  (COUNT(*) * AVG(is_delayed::DOUBLE) + 100 * gm) / (COUNT(*) + 100) AS v
+  FROM enc_src, g GROUP BY 1, gm),
+ce AS (SELECT carrier, COUNT(*) AS n, AVG(is_delayed::DOUBLE) AS mean,
+  (COUNT(*) * AVG(is_delayed::DOUBLE) + 100 * gm) / (COUNT(*) + 100) AS v
+  FROM enc_src, g GROUP BY 1, gm)"""
+
+
+FEAT_CTE = """feat AS (SELECT *,
+  CASE WHEN origin_ceiling < 1000 OR origin_visibility < 3 THEN 1 ELSE 0 END AS ifr_conditions_origin,
+  CASE WHEN dest_ceiling < 1000 OR dest_visibility < 3 THEN 1 ELSE 0 END AS ifr_conditions_dest
+  FROM apt)"""
+
+_R = lambda c: f"ROUND({c}, 6) AS {c}"
+FEATURE_SELECT = ", ".join([
+    "hour_of_day", "day_of_week", "month", "is_weekend", "is_holiday",
+    _R("hour_sin"), _R("hour_cos"), _R("month_sin"), _R("month_cos"),
+    *[_R(f"{s}_{w}") for s in ("origin", "dest") for w in ("wind_speed", "visibility", "ceiling")]
+    [0:3],
+    _R("origin_temp"), _R("origin_precip"),
+    "origin_has_thunderstorm", "origin_has_snow", "origin_has_fog",
+    _R("dest_wind_speed"), _R("dest_visibility"), _R("dest_ceiling"), _R("dest_temp"),
+    _R("dest_precip"), "dest_has_thunderstorm", "dest_has_snow", "dest_has_fog",
+    "ifr_conditions_origin", "ifr_conditions_dest",
+    "origin_flights_per_hour", "dest_flights_per_hour",
+    _R("origin_delay_rate_rolling"), _R("dest_delay_rate_rolling"), "is_origin_hub", "is_dest_hub",
+    _R("distance"), _R("route_avg_delay"), _R("carrier_delay_rate"), "carrier", "origin", "dest",
+])
+
+
+def feature_table_sql(enc_where: str | None, out_where: str | None) -> str:
+    where = f"WHERE {out_where}" if out_where else ""
+    return with_ctes(f"""
+SELECT l_orderkey, l_linenumber, is_delayed, {FEATURE_SELECT}
+FROM (SELECT f.*, COALESCE(re.v, g.gm) AS route_avg_delay, COALESCE(ce.v, g.gm) AS carrier_delay_rate
+      FROM feat f CROSS JOIN g LEFT JOIN re ON re.route = f.origin || '-' || f.dest
+      LEFT JOIN ce ON ce.carrier = f.carrier) x {where}""",
+                     FLIGHTS_CTE, PRE_CTE, TEMPORAL_CTE, AIRPORT_CTE, FEAT_CTE,
+                     encoder_ctes(enc_where))
+
+
+SQL["a3_global_mean"] = with_ctes(
+    "SELECT ROUND(AVG(is_delayed::DOUBLE), 6) AS global_mean FROM pre", FLIGHTS_CTE, PRE_CTE)
+
+SQL["a4_route_encoding"] = with_ctes(
+    "SELECT route, n, ROUND(mean, 6) AS mean, ROUND(v, 6) AS value FROM re",
+    FLIGHTS_CTE, PRE_CTE, encoder_ctes(None))
+
+SQL["a4_carrier_encoding"] = with_ctes(
+    "SELECT carrier, n, ROUND(mean, 6) AS mean, ROUND(v, 6) AS value FROM ce",
+    FLIGHTS_CTE, PRE_CTE, encoder_ctes(None))
+
+_ROUTE_OUT = """SELECT t.l_orderkey, t.l_linenumber, t.origin || '-' || t.dest AS route,
+  CASE WHEN t.distance < 500 THEN 'short' WHEN t.distance >= 500 AND t.distance <= 1500 THEN 'medium'
+       ELSE 'long' END AS distance_category,
+  ROUND(COALESCE(re.v, g.gm), 6) AS route_avg_delay, ROUND(COALESCE(ce.v, g.gm), 6) AS carrier_delay_rate
+FROM pre t CROSS JOIN g LEFT JOIN re ON re.route = t.origin || '-' || t.dest
+LEFT JOIN ce ON ce.carrier = t.carrier"""
+
+SQL["l5_route_features"] = with_ctes(_ROUTE_OUT, FLIGHTS_CTE, PRE_CTE, encoder_ctes(None))
+
+SQL["a5_encoder_train_to_test"] = with_ctes(
+    _ROUTE_OUT + f" WHERE {TEST_WHERE.replace('fl_date', 't.fl_date')}",
+    FLIGHTS_CTE, PRE_CTE, encoder_ctes(TRAIN_WHERE))
+
+SQL["p12_temporal_split_test"] = with_ctes(
+    f"SELECT l_orderkey, l_linenumber, fl_date FROM pre WHERE {TEST_WHERE}", FLIGHTS_CTE, PRE_CTE)
+
+SQL["a7_class_weights"] = with_ctes(f"""
+SELECT is_delayed, n, ROUND((SUM(n) OVER ())::DOUBLE / (2.0 * n)::DOUBLE, 6) AS weight,
+  ROUND((SUM(CASE WHEN is_delayed = 0 THEN n END) OVER ())::DOUBLE
+        / (SUM(CASE WHEN is_delayed = 1 THEN n END) OVER ())::DOUBLE, 6) AS scale_pos_weight
+FROM (SELECT is_delayed, COUNT(*) AS n FROM pre WHERE {TRAIN_WHERE} GROUP BY 1) c""",
+                                    FLIGHTS_CTE, PRE_CTE)
+
+
+def _codes(c: str) -> str:
+    return (f"codes_{c} AS (SELECT {c} AS cat, CAST(ROW_NUMBER() OVER (ORDER BY {c}) - 1 AS INT) AS code"
+            f" FROM (SELECT DISTINCT {c} FROM pre WHERE {TRAIN_WHERE} AND {c} IS NOT NULL))")
+
+
+SQL["m5_ordinal_encoding"] = with_ctes(f"""
+SELECT t.l_orderkey, t.l_linenumber, COALESCE(a.code, -1) AS carrier, COALESCE(b.code, -1) AS origin,
+  COALESCE(c.code, -1) AS dest
+FROM pre t LEFT JOIN codes_carrier a ON a.cat = t.carrier LEFT JOIN codes_origin b ON b.cat = t.origin
+LEFT JOIN codes_dest c ON c.cat = t.dest WHERE {TEST_WHERE.replace('fl_date', 't.fl_date')}""",
+                                       FLIGHTS_CTE, PRE_CTE, _codes("carrier"), _codes("origin"),
+                                       _codes("dest"))
+
+SQL["l6_build_features"] = feature_table_sql(None, None)
+SQL["l7_featurizer_train_to_test"] = feature_table_sql(TRAIN_WHERE, TEST_WHERE)

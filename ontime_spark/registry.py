@@ -14,7 +14,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ontime_spark import schemas as S
+from ontime_spark.functions import route as R
 from ontime_spark.functions import temporal as TF
+from ontime_spark.operators import encoders as EN
 from ontime_spark.operators import clean, insights
 from ontime_spark.operators import features as FE
 from ontime_spark.operators import featurizer as FP
@@ -51,6 +53,9 @@ def q_a9(spark, sf_dir):
     return rounded(insights.delay_rate_by_carrier(driver.flights(spark, sf_dir)))
 
 
+KEYS = ("l_orderkey", "l_linenumber")
+
+
 def _keys(df: DataFrame, *cols: str) -> DataFrame:
     return df.select("l_orderkey", "l_linenumber", *cols)
 
@@ -159,8 +164,8 @@ def q_c12(spark, sf_dir):
 
 @register("p6_camelcase_twins")
 def q_p6(spark, sf_dir):
-    return _keys(FP.map_casing(driver.flights(spark, sf_dir)), "FlightDate", "CRSDepTime",
-                 "Origin", "Dest", "Distance", "Cancelled")
+    out = FP.map_casing(driver.flights(spark, sf_dir))
+    return out.select(*KEYS, *[F.col(c).alias(c) for c in FP.CASING.values()])
 
 
 # ------------------------------------------------------------------ airport group
@@ -192,3 +197,77 @@ def q_w1d(spark, sf_dir):
 def q_l4(spark, sf_dir):
     f = FE.add_airport_features(_temporal(spark, sf_dir), hubs=driver.DRIVER_HUBS)
     return rounded(_keys(f, "origin", "dest", "fl_date", "hour_of_day", *S.AIRPORT_FEATURES))
+
+
+# ------------------------------------------------------------------ encoders and feature table
+
+
+def _split(spark, sf_dir):
+    pre = preprocessed(spark, sf_dir)
+    train, test = FP.temporal_split(pre)
+    return pre, train, test
+
+
+@register("a3_global_mean")
+def q_a3(spark, sf_dir):
+    return rounded(EN.global_mean(preprocessed(spark, sf_dir)))
+
+
+@register("a4_route_encoding")
+def q_a4r(spark, sf_dir):
+    pre = preprocessed(spark, sf_dir)
+    g = EN.global_mean(pre).first()["global_mean"]
+    return rounded(EN.smoothed_encoding(pre, R.route_key(), "route", g, S.SMOOTHING))
+
+
+@register("a4_carrier_encoding")
+def q_a4c(spark, sf_dir):
+    pre = preprocessed(spark, sf_dir)
+    g = EN.global_mean(pre).first()["global_mean"]
+    return rounded(EN.smoothed_encoding(pre, F.col("carrier"), "carrier", g, S.SMOOTHING))
+
+
+@register("l5_route_features")
+def q_l5(spark, sf_dir):
+    out = FE.add_route_features(preprocessed(spark, sf_dir))
+    return rounded(_keys(out, "route", "distance_category", "route_avg_delay", "carrier_delay_rate"))
+
+
+@register("a5_encoder_train_to_test")
+def q_a5(spark, sf_dir):
+    _, train, test = _split(spark, sf_dir)
+    model = EN.TargetEncoder().fit(train)
+    return rounded(_keys(model.transform(test), "route", "distance_category", "route_avg_delay",
+                         "carrier_delay_rate"))
+
+
+@register("p12_temporal_split_test")
+def q_p12(spark, sf_dir):
+    _, _, test = _split(spark, sf_dir)
+    return _keys(test, "fl_date")
+
+
+@register("a7_class_weights")
+def q_a7(spark, sf_dir):
+    _, train, _ = _split(spark, sf_dir)
+    return rounded(EN.class_weights(train))
+
+
+@register("m5_ordinal_encoding")
+def q_m5(spark, sf_dir):
+    _, train, test = _split(spark, sf_dir)
+    model = EN.OrdinalEncoder().fit(train)
+    return _keys(model.transform(test), *S.CATEGORICAL_FEATURES)
+
+
+@register("l6_build_features")
+def q_l6(spark, sf_dir):
+    out = FE.build_features(preprocessed(spark, sf_dir), hubs=driver.DRIVER_HUBS)
+    return rounded(FP.align_features(out, keep=KEYS))
+
+
+@register("l7_featurizer_train_to_test")
+def q_l7(spark, sf_dir):
+    pre, train, test = _split(spark, sf_dir)
+    model = FP.FlightFeaturizer(hubs=driver.DRIVER_HUBS).fit(train)
+    return rounded(model.transform(test, history=pre, keep=KEYS))

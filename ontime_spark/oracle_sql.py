@@ -354,3 +354,127 @@ LEFT JOIN codes_dest c ON c.cat = t.dest WHERE {TEST_WHERE.replace('fl_date', 't
 
 SQL["l6_build_features"] = feature_table_sql(None, None)
 SQL["l7_featurizer_train_to_test"] = feature_table_sql(TRAIN_WHERE, TEST_WHERE)
+
+# ------------------------------------------------------------------ weather, stations, as-of
+ISD_CTE = """isd AS (SELECT event_id, '0000'||LPAD(CAST(700000 + user_id AS VARCHAR),6,'0')
+  ||LPAD(CAST(user_id*13 % 100000 AS VARCHAR),5,'0')
+  ||'20240115'||LPAD(CAST(event_id % 24 * 100 + event_id % 60 AS VARCHAR),4,'0')||RPAD('',33,' ')||'18019'
+  ||LPAD(CASE WHEN event_id % 50 = 0 THEN '9999' ELSE CAST(event_id % 400 AS VARCHAR) END,4,'0')||'1'
+  ||LPAD(CASE WHEN event_id % 7 = 0 THEN '99999' ELSE CAST(event_id*31 % 9000 AS VARCHAR) END,5,'0')||'19N'
+  ||LPAD(CASE WHEN event_id % 9 = 0 THEN '999999' ELSE CAST(event_id*53 % 16000 AS VARCHAR) END,6,'0')||'1N9'
+  ||CASE WHEN event_id % 40 = 0 THEN '+9999' WHEN event_id % 3 = 0 THEN '-'||LPAD(CAST(event_id % 200 AS VARCHAR),4,'0')
+         ELSE '+'||LPAD(CAST(event_id % 350 AS VARCHAR),4,'0') END||'1'||'+0012'||'1'||'101321' AS line
+  FROM events)"""
+
+_ISD_LAYOUTS = {
+    "public": {"wind": (65, 4), "ceil": (70, 5), "vis": (78, 6), "temp": (87, 5), "dew": (93, 5)},
+    "legacy": {"wind": (65, 4), "ceil": (78, 5), "vis": (84, 6), "temp": (87, 5), "dew": (93, 5)},
+}
+_ISD_SENT = {"wind": "('9999')", "ceil": "('99999')", "vis": "('999999')",
+             "temp": "('+9999','-9999','9999')", "dew": "('+9999','-9999','9999')"}
+
+
+def isd_parse_sql(layout: str) -> str:
+    lay = _ISD_LAYOUTS[layout]
+    raws = ",\n  ".join(
+        f"CASE WHEN TRIM(SUBSTRING(line, {s + 1}, {n})) IN ('', {_ISD_SENT[k][1:-1]}) THEN NULL "
+        f"ELSE TRIM(SUBSTRING(line, {s + 1}, {n})) END AS r_{k}" for k, (s, n) in lay.items())
+    ok = " AND ".join(f"NOT (r_{k} IS NOT NULL AND TRY_CAST(r_{k} AS DOUBLE) IS NULL)" for k in lay)
+    return f"""raw AS (SELECT event_id, line, {raws},
+  TRY_STRPTIME(SUBSTRING(line, 16, 8) || SUBSTRING(line, 24, 4), '%Y%m%d%H%M') AS ts FROM isd),
+obs AS (SELECT event_id, SUBSTRING(line, 5, 6) AS usaf, SUBSTRING(line, 11, 5) AS wban,
+  ts AS "timestamp", TRY_CAST(r_temp AS DOUBLE) / 10 AS temp_c,
+  TRY_CAST(r_dew AS DOUBLE) / 10 AS dew_point_c, TRY_CAST(r_wind AS DOUBLE) / 10 AS wind_speed_ms,
+  NULL::DOUBLE AS wind_gust_ms, TRY_CAST(r_vis AS DOUBLE) AS visibility_m,
+  TRY_CAST(r_ceil AS DOUBLE) AS ceiling_m, NULL::DOUBLE AS precip_mm, NULL::VARCHAR AS present_weather
+  FROM raw WHERE length(line) >= 105 AND {ok} AND ts IS NOT NULL)"""
+
+
+SQL["s6_isd_parse"] = with_ctes("SELECT * FROM obs", ISD_CTE, isd_parse_sql("public"))
+SQL["s6_isd_parse_legacy_layout"] = with_ctes("SELECT * FROM obs", ISD_CTE, isd_parse_sql("legacy"))
+
+SQL["c11_weather_units"] = with_ctes("""
+SELECT event_id AS obs_id, ROUND(wind_speed_ms * (3600.0::DOUBLE / 1852.0::DOUBLE), 6) AS wind_speed,
+  ROUND(COALESCE(visibility_m / 1609.344::DOUBLE, 10.0::DOUBLE), 6) AS visibility,
+  ROUND(COALESCE(ceiling_m / 0.3048::DOUBLE, 25000.0::DOUBLE), 6) AS ceiling,
+  ROUND(temp_c * 9.0::DOUBLE / 5.0::DOUBLE + 32.0::DOUBLE, 6) AS temp, 0.0::DOUBLE AS precip,
+  0 AS has_thunderstorm, 0 AS has_snow, 0 AS has_fog FROM obs""", ISD_CTE, isd_parse_sql("public"))
+
+STATIONS_CTE = """airports AS (SELECT n_name AS iata, 'K'||CAST(n_nationkey AS VARCHAR) AS icao,
+  n_nationkey AS k, CAST(25 + n_nationkey AS DOUBLE) AS lat, CAST(-120 + 2*n_nationkey AS DOUBLE) AS lon
+  FROM nation),
+stations AS (SELECT LPAD(CAST(700000 + s_suppkey AS VARCHAR),6,'0') AS usaf,
+  LPAD(CAST(s_suppkey*13 % 100000 AS VARCHAR),5,'0') AS wban,
+  CASE WHEN s_suppkey % 11 = 0 THEN 'CA' ELSE 'US' END AS ctry,
+  CASE WHEN s_suppkey % 2 = 0 AND s_nationkey % 5 <> 0 THEN 'K'||CAST(s_nationkey AS VARCHAR) END AS icao,
+  CASE WHEN s_suppkey % 17 = 0 THEN NULL ELSE 25 + CAST(s_suppkey*37 % 2500 AS DOUBLE)/100 END AS lat,
+  -120 + CAST(s_suppkey*53 % 5000 AS DOUBLE)/100 AS lon FROM supplier),
+us AS (SELECT * FROM stations WHERE ctry = 'US' AND lat IS NOT NULL AND lon IS NOT NULL),
+exact AS (SELECT iata, usaf || '-' || wban AS station_id FROM (
+  SELECT a.iata, s.usaf, s.wban, ROW_NUMBER() OVER (PARTITION BY a.iata ORDER BY s.usaf, s.wban) AS rn
+  FROM airports a JOIN us s ON s.icao = UPPER(a.icao)) WHERE rn = 1),
+nearest AS (SELECT iata, station_id FROM (
+  SELECT a.iata, s.usaf || '-' || s.wban AS station_id,
+    ROW_NUMBER() OVER (PARTITION BY a.iata ORDER BY (s.lat - a.lat) * (s.lat - a.lat)
+                       + (s.lon - a.lon) * (s.lon - a.lon), s.usaf, s.wban) AS rn
+  FROM airports a CROSS JOIN us s WHERE a.iata NOT IN (SELECT iata FROM exact)) WHERE rn = 1),
+smap AS (SELECT iata, station_id, 'icao' AS method FROM exact
+         UNION ALL SELECT iata, station_id, 'nearest' AS method FROM nearest)"""
+
+SQL["j4_station_exact_icao"] = with_ctes("SELECT * FROM exact", STATIONS_CTE)
+SQL["j5_station_map"] = with_ctes("SELECT * FROM smap", STATIONS_CTE)
+SQL["j7_needed_station_months"] = with_ctes("""
+SELECT c.airport, c.year, c.month, m.station_id FROM
+  (SELECT DISTINCT origin AS airport, CAST(year(fl_date) AS INT) AS year,
+          CAST(month(fl_date) AS INT) AS month FROM pre) c
+JOIN smap m ON m.iata = c.airport""", FLIGHTS_CTE, PRE_CTE, STATIONS_CTE)
+
+
+def asof_sql(direction: str) -> str:
+    cond = {"nearest": "", "backward": " AND o.t <= d.t", "forward": " AND o.t >= d.t"}[direction]
+    return f"""
+WITH dep AS (SELECT event_id AS dep_id, user_id % 25 AS airport, epoch_us(ts) AS t
+             FROM events WHERE event_type = 'purchase'),
+obs AS (SELECT event_id AS obs_id, user_id % 25 AS airport, epoch_us(ts) AS t, value
+        FROM events WHERE event_type = 'view'),
+m AS (SELECT d.dep_id, o.obs_id, o.value, o.t - d.t AS dt,
+        ROW_NUMBER() OVER (PARTITION BY d.dep_id ORDER BY ABS(o.t - d.t), o.t, o.obs_id) AS rn
+      FROM dep d JOIN obs o ON o.airport = d.airport AND ABS(o.t - d.t) <= 3600000000{cond})
+SELECT d.dep_id, m.obs_id, ROUND(m.value, 6) AS obs_value,
+  ROUND(m.dt::DOUBLE / 1000000.0::DOUBLE, 6) AS dt_seconds
+FROM dep d LEFT JOIN m ON m.dep_id = d.dep_id AND m.rn = 1"""
+
+
+SQL["j6_asof_nearest"] = asof_sql("nearest")
+SQL["j6_asof_backward"] = asof_sql("backward")
+
+# ------------------------------------------------------------------ ADS-B
+ADSB_CTE = """adsb AS (SELECT LPAD(LOWER(HEX(user_id)), 6, '0') AS icao24,
+  'C' || CAST(user_id % 10 AS VARCHAR) || LPAD(CAST(event_id % 10000 AS VARCHAR), 4, '0') AS callsign,
+  'K' || CAST(user_id % 25 AS VARCHAR) AS estDepartureAirport,
+  CASE WHEN event_id % 13 = 0 THEN NULL ELSE 'K' || CAST(event_id % 25 AS VARCHAR) END AS estArrivalAirport,
+  make_timestamp(CAST(FLOOR(epoch_us(ts) / 1000000) AS BIGINT) * 1000000) AS firstSeen,
+  make_timestamp((CAST(FLOOR(epoch_us(ts) / 1000000) AS BIGINT) + 600 + event_id % 7200) * 1000000) AS lastSeen,
+  CAST(event_id * 7 % 5000 AS INT) AS estDepartureAirportHorizDistance,
+  CAST(event_id * 3 % 900 AS INT) AS estDepartureAirportVertDistance,
+  CAST(event_id * 11 % 5000 AS INT) AS estArrivalAirportHorizDistance,
+  CAST(event_id * 5 % 900 AS INT) AS estArrivalAirportVertDistance,
+  CAST(event_id % 4 AS INT) AS departureAirportCandidatesCount,
+  CAST(event_id % 3 AS INT) AS arrivalAirportCandidatesCount
+  FROM events)"""
+
+SQL["s7_adsb_records"] = with_ctes("SELECT * FROM adsb", ADSB_CTE)
+SQL["a12_adsb_route_hour"] = with_ctes("""
+SELECT estDepartureAirport AS dep, estArrivalAirport AS arr, date_trunc('hour', firstSeen) AS hour,
+  COUNT(*) AS n_flights FROM adsb GROUP BY 1, 2, 3""", ADSB_CTE)
+SQL["a12_adsb_movements"] = with_ctes("""
+SELECT airport, SUM(d)::BIGINT AS departures, SUM(a)::BIGINT AS arrivals FROM (
+  SELECT estDepartureAirport AS airport, 1 AS d, 0 AS a FROM adsb
+  UNION ALL SELECT estArrivalAirport AS airport, 0 AS d, 1 AS a FROM adsb) x
+WHERE airport IS NOT NULL GROUP BY airport""", ADSB_CTE)
+SQL["j8_bbox_congestion"] = with_ctes("""
+SELECT a.icao, COUNT(s.state_id) AS n_aircraft FROM airports a
+LEFT JOIN (SELECT event_id AS state_id, 25 + CAST(event_id*37 % 2500 AS DOUBLE)/100 AS lat,
+                  -120 + CAST(event_id*53 % 5000 AS DOUBLE)/100 AS lon FROM events) s
+  ON s.lat BETWEEN a.lat - 0.5 AND a.lat + 0.5 AND s.lon BETWEEN a.lon - 0.5 AND a.lon + 0.5
+GROUP BY a.icao""", STATIONS_CTE)

@@ -16,11 +16,17 @@ from pyspark.sql import types as T
 from ontime_spark import schemas as S
 from ontime_spark.functions import route as R
 from ontime_spark.functions import temporal as TF
+from ontime_spark.operators import adsb as ADSB
+from ontime_spark.operators import asof as ASOF
 from ontime_spark.operators import encoders as EN
+from ontime_spark.operators import enrich as ENR
+from ontime_spark.operators import stations as ST
 from ontime_spark.operators import clean, insights
 from ontime_spark.operators import features as FE
 from ontime_spark.operators import featurizer as FP
+from ontime_spark.sources import adsb as ADSB_SRC
 from ontime_spark.sources import driver
+from ontime_spark.sources import isd as ISD
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -271,3 +277,99 @@ def q_l7(spark, sf_dir):
     pre, train, test = _split(spark, sf_dir)
     model = FP.FlightFeaturizer(hubs=driver.DRIVER_HUBS).fit(train)
     return rounded(model.transform(test, history=pre, keep=KEYS))
+
+
+# ------------------------------------------------------------------ weather, stations, as-of
+def _ntz(df: DataFrame, *cols: str) -> DataFrame:
+    """Timestamps as wall-clock UTC without zone (comparison hygiene)."""
+    return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c in cols})
+
+
+def _isd_obs(spark, sf_dir, layout="public"):
+    return ISD.parse_isd_lines(driver.isd_lines(spark, sf_dir), layout=layout, keep=["event_id"])
+
+
+@register("s6_isd_parse")
+def q_s6(spark, sf_dir):
+    return _ntz(_isd_obs(spark, sf_dir), "timestamp")
+
+
+@register("s6_isd_parse_legacy_layout")
+def q_s6l(spark, sf_dir):
+    return _ntz(_isd_obs(spark, sf_dir, "legacy"), "timestamp")
+
+
+@register("c11_weather_units")
+def q_c11(spark, sf_dir):
+    obs = _isd_obs(spark, sf_dir).withColumnRenamed("event_id", "obs_id")
+    return rounded(ENR.observation_features(obs).drop("timestamp"))
+
+
+@register("j4_station_exact_icao")
+def q_j4(spark, sf_dir):
+    return ST.exact_icao_match(driver.airports(spark, sf_dir), driver.stations(spark, sf_dir))
+
+
+@register("j5_station_map")
+def q_j5(spark, sf_dir):
+    return ST.map_airports_to_stations(driver.airports(spark, sf_dir),
+                                       driver.stations(spark, sf_dir))
+
+
+@register("j7_needed_station_months")
+def q_j7(spark, sf_dir):
+    smap = ST.map_airports_to_stations(driver.airports(spark, sf_dir),
+                                       driver.stations(spark, sf_dir))
+    return ENR.needed_station_months(preprocessed(spark, sf_dir), smap)
+
+
+def _event_side(spark, sf_dir, event_type: str, id_name: str) -> DataFrame:
+    e = driver.table(spark, sf_dir, "events")
+    return e.where(F.col("event_type") == event_type).select(
+        F.col("event_id").alias(id_name), (F.col("user_id") % driver.N_AIRPORTS).alias("airport"),
+        F.col("ts").alias(f"{id_name}_ts"), *(["value"] if id_name == "obs_id" else []))
+
+
+def _asof(spark, sf_dir, direction):
+    dep = _event_side(spark, sf_dir, "purchase", "dep_id")
+    obs = _event_side(spark, sf_dir, "view", "obs_id")
+    out = ASOF.asof_join(dep, obs, "airport", "dep_id_ts", "obs_id_ts", "dep_id", "obs_id",
+                         3600, direction, right_cols=["obs_id", "value"])
+    return rounded(out.select("dep_id", "obs_id", F.col("value").alias("obs_value"),
+                              "dt_seconds"))
+
+
+@register("j6_asof_nearest")
+def q_j6n(spark, sf_dir):
+    return _asof(spark, sf_dir, "nearest")
+
+
+@register("j6_asof_backward")
+def q_j6b(spark, sf_dir):
+    return _asof(spark, sf_dir, "backward")
+
+
+# ------------------------------------------------------------------ ADS-B
+def _adsb(spark, sf_dir):
+    return ADSB_SRC.parse_json_records(driver.adsb_json(spark, sf_dir))
+
+
+@register("s7_adsb_records")
+def q_s7(spark, sf_dir):
+    return _ntz(_adsb(spark, sf_dir), "firstSeen", "lastSeen")
+
+
+@register("a12_adsb_route_hour")
+def q_a12(spark, sf_dir):
+    return _ntz(ADSB.flights_per_route_hour(_adsb(spark, sf_dir)), "hour")
+
+
+@register("a12_adsb_movements")
+def q_a12m(spark, sf_dir):
+    return ADSB.movements_per_airport(_adsb(spark, sf_dir))
+
+
+@register("j8_bbox_congestion")
+def q_j8(spark, sf_dir):
+    return ADSB.aircraft_near_airports(driver.adsb_states(spark, sf_dir),
+                                       driver.airports(spark, sf_dir), 0.5, key="icao")

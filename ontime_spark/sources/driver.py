@@ -121,29 +121,26 @@ def stations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def isd_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Fixed-width ISD lines (public layout, 105 characters) built from events."""
+    """Fixed-width ISD lines (public layout, 105 characters) built from events.
+
+    One ``format_string`` keeps the generated code small, so the parser's projections can be
+    compiled together with it in one stage."""
     e = table(spark, sf_dir, "events").select("event_id", "user_id")
     eid, uid = F.col("event_id"), F.col("user_id")
 
     def lp(c: Column, n: int) -> Column:
         return F.lpad(c.cast("string"), n, "0")
 
+    wind = F.when(_mod(eid, 50) == 0, F.lit("9999")).otherwise(lp(_mod(eid, 400), 4))
+    ceiling = F.when(_mod(eid, 7) == 0, F.lit("99999")).otherwise(lp(_mod(eid * 31, 9000), 5))
+    vis = F.when(_mod(eid, 9) == 0, F.lit("999999")).otherwise(lp(_mod(eid * 53, 16000), 6))
     temp = (F.when(_mod(eid, 40) == 0, F.lit("+9999"))
              .when(_mod(eid, 3) == 0, F.concat(F.lit("-"), lp(_mod(eid, 200), 4)))
              .otherwise(F.concat(F.lit("+"), lp(_mod(eid, 350), 4))))
-    line = F.concat(
-        F.lit("0000"), lp(700000 + uid, 6), lp(_mod(uid * 13, 100000), 5), F.lit("20240115"),
-        lp(_mod(eid, 24) * 100 + _mod(eid, 60), 4), F.lit(" " * 33), F.lit("18019"),
-        F.lpad(F.when(_mod(eid, 50) == 0, F.lit("9999")).otherwise(_mod(eid, 400).cast("string")),
-               4, "0"),
-        F.lit("1"),
-        F.lpad(F.when(_mod(eid, 7) == 0, F.lit("99999"))
-                .otherwise(_mod(eid * 31, 9000).cast("string")), 5, "0"),
-        F.lit("19N"),
-        F.lpad(F.when(_mod(eid, 9) == 0, F.lit("999999"))
-                .otherwise(_mod(eid * 53, 16000).cast("string")), 6, "0"),
-        F.lit("1N9"), temp, F.lit("1"), F.lit("+0012"), F.lit("1"), F.lit("101321"),
-    )
+    line = F.format_string(
+        "0000%s%s20240115%s" + " " * 33 + "18019%s1%s19N%s1N9%s1+00121101321",
+        lp(700000 + uid, 6), lp(_mod(uid * 13, 100000), 5),
+        lp(_mod(eid, 24) * 100 + _mod(eid, 60), 4), wind, ceiling, vis, temp)
     return e.select(eid, line.alias("line"))
 
 

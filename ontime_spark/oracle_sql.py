@@ -6,6 +6,8 @@ shared CTEs below.
 
 from __future__ import annotations
 
+import re
+
 FLIGHTS_CTE = """flights AS (
 SELECT l.l_orderkey, l.l_linenumber, CAST(l.l_shipdate AS DATE) AS fl_date,
   'C'||CAST(l.l_suppkey % 10 AS VARCHAR) AS carrier, so.n_name AS origin, de.n_name AS dest,
@@ -293,15 +295,18 @@ FEATURE_SELECT = ", ".join([
 ])
 
 
-def feature_table_sql(enc_where: str | None, out_where: str | None) -> str:
+def feature_table_ctes(enc_where: str | None, out_where: str | None) -> list[str]:
+    """CTEs ending with ``ft``: keys, label and the 39 features (doubles rounded)."""
     where = f"WHERE {out_where}" if out_where else ""
-    return with_ctes(f"""
-SELECT l_orderkey, l_linenumber, is_delayed, {FEATURE_SELECT}
+    return [FLIGHTS_CTE, PRE_CTE, TEMPORAL_CTE, AIRPORT_CTE, FEAT_CTE, encoder_ctes(enc_where),
+            f"""ft AS (SELECT l_orderkey, l_linenumber, is_delayed, {FEATURE_SELECT}
 FROM (SELECT f.*, COALESCE(re.v, g.gm) AS route_avg_delay, COALESCE(ce.v, g.gm) AS carrier_delay_rate
       FROM feat f CROSS JOIN g LEFT JOIN re ON re.route = f.origin || '-' || f.dest
-      LEFT JOIN ce ON ce.carrier = f.carrier) x {where}""",
-                     FLIGHTS_CTE, PRE_CTE, TEMPORAL_CTE, AIRPORT_CTE, FEAT_CTE,
-                     encoder_ctes(enc_where))
+      LEFT JOIN ce ON ce.carrier = f.carrier) x {where})"""]
+
+
+def feature_table_sql(enc_where: str | None, out_where: str | None) -> str:
+    return with_ctes("SELECT * FROM ft", *feature_table_ctes(enc_where, out_where))
 
 
 SQL["a3_global_mean"] = with_ctes(
@@ -478,3 +483,121 @@ LEFT JOIN (SELECT event_id AS state_id, 25 + CAST(event_id*37 % 2500 AS DOUBLE)/
                   -120 + CAST(event_id*53 % 5000 AS DOUBLE)/100 AS lon FROM events) s
   ON s.lat BETWEEN a.lat - 0.5 AND a.lat + 0.5 AND s.lon BETWEEN a.lon - 0.5 AND a.lon + 0.5
 GROUP BY a.icao""", STATIONS_CTE)
+
+# ------------------------------------------------------------------ evaluation on a score table
+SCORED_CTE = "scored AS (SELECT is_delayed AS label, p AS score FROM pre)"
+HIST_CTE = """hist AS (SELECT score, SUM(label)::DOUBLE AS tp, SUM(1 - label)::DOUBLE AS fp
+  FROM scored GROUP BY score),
+cum AS (SELECT score, tp, fp,
+  SUM(tp) OVER (ORDER BY score DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum_tp,
+  SUM(fp) OVER (ORDER BY score DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum_fp
+  FROM hist),
+tot AS (SELECT SUM(tp) AS p, SUM(fp) AS n FROM hist)"""
+_EV = [FLIGHTS_CTE, PRE_CTE, SCORED_CTE, HIST_CTE]
+
+SQL["m6_classification_metrics"] = with_ctes("""
+SELECT ROUND((tp_ + (n - fp_)) / (p + n), 6) AS accuracy,
+  ROUND(CASE WHEN tp_ + fp_ > 0 THEN tp_ / (tp_ + fp_) ELSE 0 END, 6) AS precision,
+  ROUND(CASE WHEN p > 0 THEN tp_ / p ELSE 0 END, 6) AS recall,
+  ROUND(CASE WHEN 2 * tp_ + fp_ + (p - tp_) > 0 THEN 2 * tp_ / (2 * tp_ + fp_ + (p - tp_)) ELSE 0 END, 6) AS f1,
+  ROUND(auc / (p * n), 6) AS roc_auc, ROUND(ap / p, 6) AS pr_auc
+FROM (SELECT SUM(CASE WHEN score > 0.5 THEN tp ELSE 0 END) AS tp_,
+             SUM(CASE WHEN score > 0.5 THEN fp ELSE 0 END) AS fp_,
+             SUM(fp * (cum_tp - tp / 2)) AS auc, SUM(tp * cum_tp / (cum_tp + cum_fp)) AS ap
+      FROM cum) a, tot""", *_EV)
+
+SQL["m8_confusion_matrix"] = with_ctes("""
+SELECT label, prediction, n, ROUND(n::DOUBLE / SUM(n) OVER (PARTITION BY label), 6) AS rate
+FROM (SELECT CAST(label AS INT) AS label, CAST(score > 0.5 AS INT) AS prediction, COUNT(*) AS n
+      FROM scored GROUP BY 1, 2) c""", *_EV)
+
+SWEEP_CTE = """sweep AS (SELECT t.threshold,
+  SUM(CASE WHEN s.score >= t.threshold AND s.label = 1 THEN 1 ELSE 0 END)::DOUBLE AS tp,
+  SUM(CASE WHEN s.score >= t.threshold AND s.label = 0 THEN 1 ELSE 0 END)::DOUBLE AS fp,
+  SUM(s.label)::DOUBLE AS p
+  FROM (SELECT i::DOUBLE / 100.0::DOUBLE AS threshold FROM range(10, 91) r(i)) t
+  CROSS JOIN scored s GROUP BY t.threshold),
+sweep_m AS (SELECT threshold,
+  CASE WHEN tp + fp > 0 THEN tp / (tp + fp) ELSE 0 END AS precision,
+  CASE WHEN p > 0 THEN tp / p ELSE 0 END AS recall,
+  CASE WHEN 2 * tp + fp + (p - tp) > 0 THEN 2 * tp / (2 * tp + fp + (p - tp)) ELSE 0 END AS f1
+  FROM sweep)"""
+
+SQL["m9_threshold_sweep"] = with_ctes("""
+SELECT ROUND(threshold, 6) AS threshold, ROUND(precision, 6) AS precision, ROUND(recall, 6) AS recall,
+  ROUND(f1, 6) AS f1 FROM sweep_m""", FLIGHTS_CTE, PRE_CTE, SCORED_CTE, SWEEP_CTE)
+
+SQL["t4_best_thresholds"] = with_ctes("""
+SELECT metric, ROUND(threshold, 6) AS threshold, ROUND(value, 6) AS value FROM (
+  SELECT metric, threshold, value,
+    ROW_NUMBER() OVER (PARTITION BY metric ORDER BY value DESC, threshold ASC) AS rn
+  FROM (SELECT 'f1' AS metric, threshold, f1 AS value FROM sweep_m
+        UNION ALL SELECT 'precision', threshold, precision FROM sweep_m
+        UNION ALL SELECT 'recall', threshold, recall FROM sweep_m) u) x WHERE rn = 1""",
+                                      FLIGHTS_CTE, PRE_CTE, SCORED_CTE, SWEEP_CTE)
+
+SQL["w2_roc_points"] = with_ctes("""
+SELECT ROUND(score, 6) AS score, ROUND(cum_tp, 6) AS cum_tp, ROUND(cum_fp, 6) AS cum_fp,
+  ROUND(cum_tp / p, 6) AS tpr, ROUND(cum_fp / n, 6) AS fpr FROM cum, tot""", *_EV)
+
+SQL["w3_pr_points"] = with_ctes("""
+SELECT ROUND(score, 6) AS score, ROUND(cum_tp / (cum_tp + cum_fp), 6) AS precision,
+  ROUND(cum_tp / p, 6) AS recall, ROUND(p / (p + n), 6) AS base_rate FROM cum, tot""", *_EV)
+
+# ------------------------------------------------------------------ explanation
+_NUMERIC = [f.strip() for f in """hour_of_day day_of_week month is_weekend is_holiday hour_sin hour_cos
+month_sin month_cos origin_wind_speed origin_visibility origin_ceiling origin_temp origin_precip
+origin_has_thunderstorm origin_has_snow origin_has_fog dest_wind_speed dest_visibility dest_ceiling
+dest_temp dest_precip dest_has_thunderstorm dest_has_snow dest_has_fog ifr_conditions_origin
+ifr_conditions_dest origin_flights_per_hour dest_flights_per_hour origin_delay_rate_rolling
+dest_delay_rate_rolling is_origin_hub is_dest_hub distance route_avg_delay carrier_delay_rate""".split()]
+_COEF = [(0.1 + 0.13 * (j % 5)) * (1 if j % 2 == 0 else -1) for j in range(len(_NUMERIC))]
+
+
+def _contrib(j: int) -> str:
+    return f"({_COEF[j]!r}::DOUBLE * COALESCE(CAST({_NUMERIC[j]} AS DOUBLE), 0.0))"
+
+
+# The features of the Spark side are not rounded before attribution: use unrounded ones here.
+def _unrounded_feature_ctes() -> list[str]:
+    ctes = feature_table_ctes(TRAIN_WHERE, TEST_WHERE)
+    ctes[-1] = ctes[-1].replace(FEATURE_SELECT, FEATURE_SELECT_RAW)
+    return ctes
+
+
+FEATURE_SELECT_RAW = re.sub(r"ROUND\((\w+), 6\) AS \w+", r"\1", FEATURE_SELECT)
+
+ATTR_CTE = f"""attr AS (SELECT *, ROW_NUMBER() OVER () AS rid,
+  -0.5 + (0.0 + {' + '.join(_contrib(j) for j in range(len(_NUMERIC)))}) AS raw_margin FROM ft),
+contribs AS ({' UNION ALL '.join(
+    f"SELECT rid, '{f}' AS feature, {j} AS idx, {_contrib(j)} AS value FROM attr"
+    for j, f in enumerate(_NUMERIC))})"""
+
+SQL["m11_linear_attribution"] = with_ctes("""
+SELECT l_orderkey, l_linenumber, -0.5::DOUBLE AS base_value, ROUND(raw_margin, 6) AS raw_margin,
+  ROUND(1 / (1 + exp(-raw_margin)), 6) AS probability FROM attr""",
+                                          *_unrounded_feature_ctes(), ATTR_CTE)
+
+_READABLE = " ".join(f"WHEN '{f}' THEN '{f.replace('_', ' ').title()}'" for f in _NUMERIC)
+
+SQL["m13_c18_explanations"] = with_ctes(f"""
+SELECT a.l_orderkey, a.l_linenumber, t.top_features,
+  CASE WHEN t.total > 0 THEN 'This flight is likely delayed because:'
+       ELSE 'This flight is likely on time because:' END || chr(10) || t.bullets AS explanation,
+  CASE WHEN p < 0.3 THEN 'ON TIME' WHEN p < 0.6 THEN 'MODERATE DELAY RISK' ELSE 'HIGH DELAY RISK' END
+    AS risk_band,
+  CAST(p >= 0.5 AS INT) AS predicted_delayed
+FROM (SELECT *, 1 / (1 + exp(-raw_margin)) AS p FROM attr) a
+JOIN (SELECT rid, string_agg(feature, ',' ORDER BY rn) AS top_features, SUM(value) AS total,
+        string_agg('  • ' || (CASE feature {_READABLE} END)
+                   || CASE WHEN value > 0 THEN ' increases delay risk (contribution: +'
+                           ELSE ' decreases delay risk (contribution: ' END
+                   || printf('%.3f', value) || ')', chr(10) ORDER BY rn) AS bullets
+      FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY rid ORDER BY ABS(value) DESC, idx DESC) AS rn
+            FROM contribs) r WHERE rn <= 5 GROUP BY rid) t ON t.rid = a.rid""",
+                                        *_unrounded_feature_ctes(), ATTR_CTE)
+
+SQL["m14_global_attribution"] = with_ctes("""
+SELECT feature, ROUND(AVG(ABS(value)), 6) AS mean_abs_contribution,
+  ROUND(AVG(value), 6) AS mean_contribution FROM contribs GROUP BY feature""",
+                                          *_unrounded_feature_ctes(), ATTR_CTE)

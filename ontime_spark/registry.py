@@ -20,6 +20,8 @@ from ontime_spark.operators import adsb as ADSB
 from ontime_spark.operators import asof as ASOF
 from ontime_spark.operators import encoders as EN
 from ontime_spark.operators import enrich as ENR
+from ontime_spark.operators import evaluate as EV
+from ontime_spark.operators import explain as XP
 from ontime_spark.operators import stations as ST
 from ontime_spark.operators import clean, insights
 from ontime_spark.operators import features as FE
@@ -373,3 +375,78 @@ def q_a12m(spark, sf_dir):
 def q_j8(spark, sf_dir):
     return ADSB.aircraft_near_airports(driver.adsb_states(spark, sf_dir),
                                        driver.airports(spark, sf_dir), 0.5, key="icao")
+
+
+# ------------------------------------------------------------------ evaluation on a score table
+def _scored(spark, sf_dir) -> DataFrame:
+    """Labelled flights with the view's ready-made score ``p``."""
+    return preprocessed(spark, sf_dir).select(F.col(S.TARGET_COL).alias("label"),
+                                              F.col("p").alias("score"))
+
+
+@register("m6_classification_metrics")
+def q_m6(spark, sf_dir):
+    return rounded(EV.classification_metrics(_scored(spark, sf_dir)))
+
+
+@register("m8_confusion_matrix")
+def q_m8(spark, sf_dir):
+    return rounded(EV.confusion_matrix(_scored(spark, sf_dir)))
+
+
+@register("m9_threshold_sweep")
+def q_m9(spark, sf_dir):
+    return rounded(EV.threshold_sweep(_scored(spark, sf_dir)))
+
+
+@register("t4_best_thresholds")
+def q_t4(spark, sf_dir):
+    return rounded(EV.best_thresholds(EV.threshold_sweep(_scored(spark, sf_dir))))
+
+
+@register("w2_roc_points")
+def q_w2(spark, sf_dir):
+    return rounded(EV.roc_points(_scored(spark, sf_dir)))
+
+
+@register("w3_pr_points")
+def q_w3(spark, sf_dir):
+    return rounded(EV.pr_points(_scored(spark, sf_dir)))
+
+
+# ------------------------------------------------------------------ explanation
+# Coefficients of the linear scorer used by the attribution queries: a fixed rule over the
+# feature index (a fitted model's coefficients are used the same way in plans.score).
+def rule_coefficients(n: int) -> list[float]:
+    return [(0.1 + 0.13 * (j % 5)) * (1 if j % 2 == 0 else -1) for j in range(n)]
+
+
+RULE_INTERCEPT = -0.5
+
+
+def _attributed(spark, sf_dir) -> DataFrame:
+    pre, train, test = _split(spark, sf_dir)
+    feats = FP.FlightFeaturizer(hubs=driver.DRIVER_HUBS).fit(train).transform(
+        test, history=pre, keep=KEYS)
+    m = FP.numeric_matrix(feats, keep=KEYS)
+    cols = list(S.NUMERIC_FEATURES)
+    out = XP.linear_contributions(m, cols, rule_coefficients(len(cols)), RULE_INTERCEPT)
+    return out.withColumn("probability", 1 / (1 + F.exp(-F.col("raw_margin"))))
+
+
+@register("m11_linear_attribution")
+def q_m11(spark, sf_dir):
+    return rounded(_attributed(spark, sf_dir).select(*KEYS, "base_value", "raw_margin",
+                                                     "probability"))
+
+
+@register("m13_c18_explanations")
+def q_m13(spark, sf_dir):
+    out = XP.explain(_attributed(spark, sf_dir), n=5, prob_col="probability")
+    return out.select(*KEYS, F.array_join(F.transform("top_contribs", lambda x: x["feature"]), ",")
+                      .alias("top_features"), "explanation", "risk_band", "predicted_delayed")
+
+
+@register("m14_global_attribution")
+def q_m14(spark, sf_dir):
+    return rounded(XP.global_importance(_attributed(spark, sf_dir)))

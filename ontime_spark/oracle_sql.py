@@ -601,3 +601,9 @@ SQL["m14_global_attribution"] = with_ctes("""
 SELECT feature, ROUND(AVG(ABS(value)), 6) AS mean_abs_contribution,
   ROUND(AVG(value), 6) AS mean_contribution FROM contribs GROUP BY feature""",
                                           *_unrounded_feature_ctes(), ATTR_CTE)
+
+# ------------------------------------------------------------------ BTS mapping
+SQL["s4_bts_to_canonical"] = with_ctes("""
+SELECT l_orderkey, l_linenumber, carrier, fl_date, origin, dest, crs_dep_time,
+  ROUND(arr_delay, 6) AS arr_delay, cancelled, ROUND(CAST(distance AS DOUBLE), 6) AS distance
+FROM flights""", FLIGHTS_CTE)

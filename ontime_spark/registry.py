@@ -27,6 +27,7 @@ from ontime_spark.operators import clean, insights
 from ontime_spark.operators import features as FE
 from ontime_spark.operators import featurizer as FP
 from ontime_spark.sources import adsb as ADSB_SRC
+from ontime_spark.sources import bts as BTS
 from ontime_spark.sources import driver
 from ontime_spark.sources import isd as ISD
 
@@ -450,3 +451,24 @@ def q_m13(spark, sf_dir):
 @register("m14_global_attribution")
 def q_m14(spark, sf_dir):
     return rounded(XP.global_importance(_attributed(spark, sf_dir)))
+
+
+# ------------------------------------------------------------------ BTS mapping
+def bts_frame(spark, sf_dir) -> DataFrame:
+    """The flights view in BTS shape: BTS names and types, dates as text."""
+    f = driver.flights(spark, sf_dir)
+    return f.select(
+        *KEYS, F.col("fl_date").cast("string").alias("FlightDate"),
+        F.col("carrier").alias("Reporting_Airline"), F.col("origin").alias("Origin"),
+        F.col("dest").alias("Dest"), F.col("crs_dep_time").cast("short").alias("CRSDepTime"),
+        F.col("arr_delay").cast("float").alias("ArrDelay"),
+        F.col("cancelled").cast("float").alias("Cancelled"),
+        F.col("distance").cast("float").alias("Distance"),
+        F.year("fl_date").cast("short").alias("Year"),
+        F.month("fl_date").cast("byte").alias("Month"))
+
+
+@register("s4_bts_to_canonical")
+def q_s4(spark, sf_dir):
+    out = BTS.bts_to_canonical(bts_frame(spark, sf_dir), keep_other=True)
+    return rounded(out.drop("Year", "Month"))

@@ -135,9 +135,18 @@ def profile(df: DataFrame, date_col: str = "fl_date") -> DataFrame:
 
 
 def preprocess(df: DataFrame, threshold: float = S.DELAY_THRESHOLD_MINUTES,
-               exact_median: bool = True, observation: Observation | None = None) -> DataFrame:
-    """L1: cast -> drop cancelled -> label -> fill missing (label before fill, as published)."""
+               exact_median: bool = True, observation: Observation | None = None,
+               materialize: bool = False) -> DataFrame:
+    """L1: cast -> drop cancelled -> label -> fill missing (label before fill, as published).
+
+    Filling needs statistics of the labelled table (null counts, medians) before the fill
+    itself, i.e. several passes. ``materialize`` writes the labelled table once to the shared
+    checkpoint folder so those passes (and every later one) read it instead of recomputing
+    the input's joins."""
     df = cast_types(df)
     df = filter_cancelled(df, observation)
     df = add_delay_label(df, threshold)
+    if materialize:
+        from ontime_spark.session import materialize as _materialize
+        df = _materialize(df, "labelled")
     return fill_missing(df, exact=exact_median)

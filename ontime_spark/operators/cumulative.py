@@ -17,15 +17,29 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 DEFAULT_BUCKETS = 64
+# A histogram with at most this many rows is small enough for one window task.
+SINGLE_TASK_ROWS = 1_000_000
 
 
 def running_totals(hist: DataFrame, keys: Sequence[str], order_col: str,
                    value_cols: Sequence[str], descending: bool = False,
-                   buckets: int = DEFAULT_BUCKETS, prefix: str = "cum_") -> DataFrame:
+                   buckets: int = DEFAULT_BUCKETS, prefix: str = "cum_",
+                   single_task_rows: int | None = None) -> DataFrame:
     """Add ``cum_<v>``: the inclusive running sum of each value column within ``keys``,
-    ordered by ``order_col`` (distinct per key group) ascending or descending."""
+    ordered by ``order_col`` (distinct per key group) ascending or descending.
+
+    The histogram's size is checked first: up to ``single_task_rows`` rows a plain running
+    window is used (bounded work per task); beyond it, the bucketed plan."""
     keys = list(keys)
     out_cols = list(hist.columns)
+    ox = F.col(order_col).desc() if descending else F.col(order_col).asc()
+    if single_task_rows is None:
+        single_task_rows = SINGLE_TASK_ROWS
+    if single_task_rows and hist.limit(single_task_rows + 1).count() <= single_task_rows:
+        w = (Window.partitionBy(*keys).orderBy(ox)
+             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+        return hist.select(*out_cols, *[F.sum(v).over(w).alias(f"{prefix}{v}")
+                                        for v in value_cols])
     if not keys:  # one group: a constant key keeps every join an equi-join
         hist = hist.withColumn("_grp", F.lit(0))
         keys = ["_grp"]
@@ -46,7 +60,6 @@ def running_totals(hist: DataFrame, keys: Sequence[str], order_col: str,
         F.coalesce(F.sum(f"_tot_{v}").over(w_off), F.lit(0)).alias(f"_off_{v}")
         for v in value_cols])
 
-    ox = x.desc() if descending else x.asc()
     w_loc = (Window.partitionBy(*keys, "_bucket").orderBy(ox)
              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     local = with_b.select("*", *[F.sum(v).over(w_loc).alias(f"_loc_{v}") for v in value_cols])

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from ontime_spark import schemas as S
 from ontime_spark.functions import route as R
-from ontime_spark.session import cut_lineage
+from ontime_spark.session import materialize
 
 MAX_BROADCAST_ROWS = 1_000_000
 
@@ -128,7 +128,7 @@ class TargetEncoder:
         carriers = smoothed_encoding(df, F.col(ccol).cast("string"), "carrier_key", g,
                                      self.smoothing, self.target)
         if self.checkpoint:
-            routes, carriers = cut_lineage(routes), cut_lineage(carriers)
+            routes, carriers = materialize(routes, "routes"), materialize(carriers, "carriers")
         return TargetEncoderModel(g, routes, carriers, routes.count(), carriers.count(),
                                   self.smoothing, self.max_broadcast_rows)
 
@@ -168,7 +168,7 @@ class OrdinalEncoder:
             t = cats.withColumn("code", (F.row_number().over(Window.orderBy("category")) - 1)
                                 .cast("int"))
             if self.checkpoint:
-                t = cut_lineage(t)
+                t = materialize(t, f"codes-{c}")
             tables[c], sizes[c] = t, t.count()
         return OrdinalEncoderModel(tables, sizes)
 

@@ -385,9 +385,10 @@ def isd_parse_sql(layout: str) -> str:
         f"CASE WHEN TRIM(SUBSTRING(line, {s + 1}, {n})) IN ('', {_ISD_SENT[k][1:-1]}) THEN NULL "
         f"ELSE TRIM(SUBSTRING(line, {s + 1}, {n})) END AS r_{k}" for k, (s, n) in lay.items())
     ok = " AND ".join(f"NOT (r_{k} IS NOT NULL AND TRY_CAST(r_{k} AS DOUBLE) IS NULL)" for k in lay)
-    return f"""raw AS (SELECT event_id, line, {raws},
+    return f"""raw AS (SELECT line, {raws},
   TRY_STRPTIME(SUBSTRING(line, 16, 8) || SUBSTRING(line, 24, 4), '%Y%m%d%H%M') AS ts FROM isd),
-obs AS (SELECT event_id, SUBSTRING(line, 5, 6) AS usaf, SUBSTRING(line, 11, 5) AS wban,
+obs AS (SELECT SUBSTRING(line, 5, 6) || '-' || SUBSTRING(line, 11, 5) AS station_id,
+  SUBSTRING(line, 5, 6) AS usaf, SUBSTRING(line, 11, 5) AS wban,
   ts AS "timestamp", TRY_CAST(r_temp AS DOUBLE) / 10 AS temp_c,
   TRY_CAST(r_dew AS DOUBLE) / 10 AS dew_point_c, TRY_CAST(r_wind AS DOUBLE) / 10 AS wind_speed_ms,
   NULL::DOUBLE AS wind_gust_ms, TRY_CAST(r_vis AS DOUBLE) AS visibility_m,
@@ -399,7 +400,7 @@ SQL["s6_isd_parse"] = with_ctes("SELECT * FROM obs", ISD_CTE, isd_parse_sql("pub
 SQL["s6_isd_parse_legacy_layout"] = with_ctes("SELECT * FROM obs", ISD_CTE, isd_parse_sql("legacy"))
 
 SQL["c11_weather_units"] = with_ctes("""
-SELECT event_id AS obs_id, ROUND(wind_speed_ms * (3600.0::DOUBLE / 1852.0::DOUBLE), 6) AS wind_speed,
+SELECT station_id, ROUND(wind_speed_ms * (3600.0::DOUBLE / 1852.0::DOUBLE), 6) AS wind_speed,
   ROUND(COALESCE(visibility_m / 1609.344::DOUBLE, 10.0::DOUBLE), 6) AS visibility,
   ROUND(COALESCE(ceiling_m / 0.3048::DOUBLE, 25000.0::DOUBLE), 6) AS ceiling,
   ROUND(temp_c * 9.0::DOUBLE / 5.0::DOUBLE + 32.0::DOUBLE, 6) AS temp, 0.0::DOUBLE AS precip,

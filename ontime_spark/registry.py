@@ -82,7 +82,8 @@ def raw_text_flights(spark, sf_dir) -> DataFrame:
 
 
 def preprocessed(spark, sf_dir) -> DataFrame:
-    return clean.preprocess(driver.flights(spark, sf_dir))
+    """L1 over the flights view, the labelled table materialised once (it feeds several passes)."""
+    return clean.preprocess(driver.flights(spark, sf_dir), materialize=True)
 
 
 # ------------------------------------------------------------------ cleaning
@@ -133,7 +134,7 @@ def q_a8(spark, sf_dir):
 
 @register("a10_airport_months")
 def q_a10(spark, sf_dir):
-    return insights.airport_months(clean.preprocess(driver.flights(spark, sf_dir)))
+    return insights.airport_months(preprocessed(spark, sf_dir))
 
 
 @register("a10_distinct_airports")
@@ -289,22 +290,23 @@ def _ntz(df: DataFrame, *cols: str) -> DataFrame:
 
 
 def _isd_obs(spark, sf_dir, layout="public"):
-    return ISD.parse_isd_lines(driver.isd_lines(spark, sf_dir), layout=layout, keep=["event_id"])
+    """The events' ISD lines landed as gzip text files, then read and parsed."""
+    return ISD.read_isd(spark, driver.isd_files(spark, sf_dir), layout=layout)
 
 
 @register("s6_isd_parse")
 def q_s6(spark, sf_dir):
-    return _ntz(_isd_obs(spark, sf_dir), "timestamp")
+    return _ntz(_isd_obs(spark, sf_dir), "timestamp").drop("file_year")
 
 
 @register("s6_isd_parse_legacy_layout")
 def q_s6l(spark, sf_dir):
-    return _ntz(_isd_obs(spark, sf_dir, "legacy"), "timestamp")
+    return _ntz(_isd_obs(spark, sf_dir, "legacy"), "timestamp").drop("file_year")
 
 
 @register("c11_weather_units")
 def q_c11(spark, sf_dir):
-    obs = _isd_obs(spark, sf_dir).withColumnRenamed("event_id", "obs_id")
+    obs = _isd_obs(spark, sf_dir)
     return rounded(ENR.observation_features(obs).drop("timestamp"))
 
 

@@ -21,8 +21,23 @@ DRIVER_HUBS = (
 N_AIRPORTS = 25
 
 
+def balanced(df: DataFrame) -> DataFrame:
+    """Spread a scan that yields fewer input splits than the cluster has cores.
+
+    The driver's files are single Parquet row groups (one task per table). A round-robin
+    repartition then parallelises all row-local work before the first shuffle. A scan of a
+    large table already has at least that many splits and is returned unchanged (no shuffle)."""
+    par = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(par) if df.rdd.getNumPartitions() < par else df
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    df = spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    return df if name in SMALL_DIMENSIONS else balanced(df)
+
+
+# Fixed-size dimensions (25 and 5 rows): never worth a repartition.
+SMALL_DIMENSIONS = ("nation", "region")
 
 
 def _mod(c: Column, m: int) -> Column:
@@ -144,6 +159,17 @@ def isd_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return e.select(eid, line.alias("line"))
 
 
+def isd_files(spark: SparkSession, sf_dir: str) -> str:
+    """Land the generated ISD lines as gzip text files (the shape of downloaded station-year
+    files) in the shared checkpoint folder; returns the folder for ``sources.isd.read_isd``."""
+    from ontime_spark.session import scratch_path
+    import uuid
+    path = scratch_path(spark, f"isd-{uuid.uuid4().hex}")
+    (isd_lines(spark, sf_dir).select(F.col("line").alias("value"))
+        .write.option("compression", "gzip").text(path))
+    return path
+
+
 def event_epoch(c: str = "ts") -> Column:
     """events.ts is TIMESTAMP_NTZ: read it as UTC wall-clock, then epoch seconds."""
     return F.unix_seconds(F.col(c).cast("timestamp"))

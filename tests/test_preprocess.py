@@ -77,8 +77,11 @@ def test_unknown_fill_for_strings(spark):
     assert sorted(r[0] for r in clean.fill_missing(df).collect()) == ["AA", "UNKNOWN"]
 
 
-@pytest.mark.parametrize("skewed", [False, True])
-def test_exact_median_matches_numpy(spark, skewed):
+@pytest.mark.parametrize("skewed,bucketed", [(False, False), (True, False), (True, True)])
+def test_exact_median_matches_numpy(spark, skewed, bucketed, monkeypatch):
+    from ontime_spark.operators import cumulative
+    if bucketed:  # force the bucketed plan
+        monkeypatch.setattr(cumulative, "SINGLE_TASK_ROWS", 0)
     rng = np.random.default_rng(7)
     vals = rng.normal(size=2001).round(3)
     if skewed:  # a third of the rows on one value

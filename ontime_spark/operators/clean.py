@@ -87,9 +87,14 @@ class MissingValueFiller:
         self.medians: dict[str, float] = {}
         self.string_cols: list[str] = []
 
-    def fit(self, df: DataFrame) -> "MissingValueFiller":
+    def fit(self, df: DataFrame, null_counts: dict[str, int] | None = None) -> "MissingValueFiller":
+        """``null_counts`` (per numeric column) skips the counting pass when the caller already
+        has them, e.g. observed while the table was written."""
         num = numeric_columns(df)
-        counts = missing_counts(df, num).first().asDict() if num else {}
+        if null_counts is not None:
+            counts = null_counts
+        else:
+            counts = missing_counts(df, num).first().asDict() if num else {}
         with_nulls = [c for c in num if counts.get(c, 0) > 0]
         self.medians = column_medians(df, with_nulls, self.exact)
         self.string_cols = string_columns(df)
@@ -146,7 +151,13 @@ def preprocess(df: DataFrame, threshold: float = S.DELAY_THRESHOLD_MINUTES,
     df = cast_types(df)
     df = filter_cancelled(df, observation)
     df = add_delay_label(df, threshold)
+    counts = None
     if materialize:
         from ontime_spark.session import materialize as _materialize
-        df = _materialize(df, "labelled")
-    return fill_missing(df, exact=exact_median)
+        num = numeric_columns(df)
+        nulls = Observation("null_counts")
+        df = df.observe(nulls, F.count(F.lit(1)).alias("_rows"),
+                        *[F.count_if(F.col(c).isNull()).alias(c) for c in num])
+        df = _materialize(df, "labelled")  # the write collects the null counts on the way
+        counts = {c: v for c, v in nulls.get.items() if c != "_rows"}
+    return MissingValueFiller(exact=exact_median).fit(df, counts).transform(df)

@@ -120,13 +120,28 @@ class TargetEncoder:
         self.checkpoint = checkpoint
 
     def fit(self, df: DataFrame) -> TargetEncoderModel:
+        """One pass over the rows: label count and sum per (route, carrier), a table bounded by
+        routes x carriers. Route stats, carrier stats and the global mean are re-aggregated
+        from it."""
         o, d = _airport_cols(df)
         ccol = resolve_carrier_col(df)
-        g = global_mean(df, self.target).first()["global_mean"]
-        g = float(g) if g is not None else 0.0
-        routes = smoothed_encoding(df, R.route_key(o, d), "route", g, self.smoothing, self.target)
-        carriers = smoothed_encoding(df, F.col(ccol).cast("string"), "carrier_key", g,
-                                     self.smoothing, self.target)
+        y = F.col(self.target).cast("double")
+        cells = (df.groupBy(R.route_key(o, d).alias("route"),
+                            F.col(ccol).cast("string").alias("carrier_key"))
+                   .agg(F.count(F.lit(1)).alias("n"), F.sum(y).alias("s"), F.count(y).alias("ny")))
+        if self.checkpoint:
+            cells = materialize(cells, "encoder-cells")
+        tot = cells.agg(F.sum("s").alias("s"), F.sum("ny").alias("ny")).first()
+        g = float(tot["s"] / tot["ny"]) if tot["ny"] else 0.0
+        m = F.lit(self.smoothing)
+
+        def encode(key: str) -> DataFrame:
+            st = (cells.where(F.col(key).isNotNull()).groupBy(key)
+                       .agg(F.sum("n").alias("n"), (F.sum("s") / F.sum("ny")).alias("mean")))
+            return st.withColumn("value", (F.col("n") * F.col("mean") + m * F.lit(g))
+                                 / (F.col("n") + m))
+
+        routes, carriers = encode("route"), encode("carrier_key")
         if self.checkpoint:
             routes, carriers = materialize(routes, "routes"), materialize(carriers, "carriers")
         return TargetEncoderModel(g, routes, carriers, routes.count(), carriers.count(),

@@ -608,3 +608,19 @@ SQL["s4_bts_to_canonical"] = with_ctes("""
 SELECT l_orderkey, l_linenumber, carrier, fl_date, origin, dest, crs_dep_time,
   ROUND(arr_delay, 6) AS arr_delay, cancelled, ROUND(CAST(distance AS DOUBLE), 6) AS distance
 FROM flights""", FLIGHTS_CTE)
+
+# ------------------------------------------------------------------ scoring input
+_SIDE_DEFAULTS = ("8.0::DOUBLE AS {s}_wind_speed, 10.0::DOUBLE AS {s}_visibility, "
+                  "25000 AS {s}_ceiling, 60.0::DOUBLE AS {s}_temp, 0.0::DOUBLE AS {s}_precip, "
+                  "0 AS {s}_has_thunderstorm, 0 AS {s}_has_snow, 0 AS {s}_has_fog")
+SCORING_CTE = (f"scoring AS (SELECT l_orderkey, l_linenumber, fl_date, carrier, origin, dest, "
+               f"crs_dep_time, distance, {_SIDE_DEFAULTS.format(s='origin')}, "
+               f"{_SIDE_DEFAULTS.format(s='dest')} FROM pre WHERE {TEST_WHERE})")
+
+SQL["p15_scoring_features"] = with_ctes(f"""
+SELECT l_orderkey, l_linenumber, {FEATURE_SELECT.replace('ROUND(origin_ceiling, 6) AS origin_ceiling', 'origin_ceiling').replace('ROUND(dest_ceiling, 6) AS dest_ceiling', 'dest_ceiling')}
+FROM (SELECT f.*, COALESCE(re.v, g.gm) AS route_avg_delay, COALESCE(ce.v, g.gm) AS carrier_delay_rate
+      FROM feat f CROSS JOIN g LEFT JOIN re ON re.route = f.origin || '-' || f.dest
+      LEFT JOIN ce ON ce.carrier = f.carrier) x""",
+    FLIGHTS_CTE, PRE_CTE, SCORING_CTE, TEMPORAL_CTE.replace("FROM pre)", "FROM scoring)"),
+    AIRPORT_CTE, FEAT_CTE, encoder_ctes(TRAIN_WHERE))

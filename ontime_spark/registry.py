@@ -474,3 +474,15 @@ def bts_frame(spark, sf_dir) -> DataFrame:
 def q_s4(spark, sf_dir):
     out = BTS.bts_to_canonical(bts_frame(spark, sf_dir), keep_other=True)
     return rounded(out.drop("Year", "Month"))
+
+
+# ------------------------------------------------------------------ scoring input
+@register("p15_scoring_features")
+def q_p15(spark, sf_dir):
+    """Upcoming flights with only the schedule columns: defaults fill the rest, features use
+    the train-fitted encoder and the rolling rates of the full history."""
+    pre, train, test = _split(spark, sf_dir)
+    model = FP.FlightFeaturizer(hubs=driver.DRIVER_HUBS).fit(train)
+    upcoming = test.select(*KEYS, "fl_date", "carrier", "origin", "dest", "crs_dep_time",
+                           "distance")
+    return rounded(model.transform(FP.scoring_input(upcoming), history=pre, keep=KEYS))

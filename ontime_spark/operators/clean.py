@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -40,17 +40,26 @@ def cast_types(df: DataFrame) -> DataFrame:
     return df.withColumns(changes) if changes else df
 
 
-def filter_cancelled(df: DataFrame, observation: Observation | None = None) -> DataFrame:
-    """Keep rows whose ``cancelled`` is 0; a missing value counts as cancelled.
+def _kept() -> F.Column:
+    return F.coalesce(F.col("cancelled").cast("double") == 0, F.lit(False))
 
-    When an ``Observation`` is given, it receives ``n_before`` and ``n_kept`` as a side effect
-    of the first action (no extra pass over the data)."""
+
+def filter_cancelled(df: DataFrame) -> DataFrame:
+    """Keep rows whose ``cancelled`` is 0; a missing value counts as cancelled."""
     if "cancelled" not in df.columns:
         return df
-    if observation is not None:
-        df = df.observe(observation, F.count(F.lit(1)).alias("n_before"),
-                        F.sum(F.when(F.col("cancelled") == 0, 1).otherwise(0)).alias("n_kept"))
-    return df.where(F.coalesce(F.col("cancelled").cast("double") == 0, F.lit(False)))
+    return df.where(_kept())
+
+
+def cancelled_counts(df: DataFrame) -> DataFrame:
+    """P2's log line as data: one row (n_before, n_removed, pct_removed), one pass.
+
+    (``DataFrame.observe`` would avoid the pass, but in Spark 4.1 a session that has used an
+    ``Observation`` can no longer serialize Spark ML model transforms.)"""
+    n = F.count(F.lit(1))
+    removed = F.count_if(~_kept())
+    return df.agg(n.alias("n_before"), removed.alias("n_removed"),
+                  (100 * removed / F.greatest(n, F.lit(1))).alias("pct_removed"))
 
 
 def add_delay_label(df: DataFrame, threshold: float = S.DELAY_THRESHOLD_MINUTES) -> DataFrame:
@@ -140,8 +149,7 @@ def profile(df: DataFrame, date_col: str = "fl_date") -> DataFrame:
 
 
 def preprocess(df: DataFrame, threshold: float = S.DELAY_THRESHOLD_MINUTES,
-               exact_median: bool = True, observation: Observation | None = None,
-               materialize: bool = False) -> DataFrame:
+               exact_median: bool = True, materialize: bool = False) -> DataFrame:
     """L1: cast -> drop cancelled -> label -> fill missing (label before fill, as published).
 
     Filling needs statistics of the labelled table (null counts, medians) before the fill
@@ -149,15 +157,9 @@ def preprocess(df: DataFrame, threshold: float = S.DELAY_THRESHOLD_MINUTES,
     checkpoint folder so those passes (and every later one) read it instead of recomputing
     the input's joins."""
     df = cast_types(df)
-    df = filter_cancelled(df, observation)
+    df = filter_cancelled(df)
     df = add_delay_label(df, threshold)
-    counts = None
     if materialize:
         from ontime_spark.session import materialize as _materialize
-        num = numeric_columns(df)
-        nulls = Observation("null_counts")
-        df = df.observe(nulls, F.count(F.lit(1)).alias("_rows"),
-                        *[F.count_if(F.col(c).isNull()).alias(c) for c in num])
-        df = _materialize(df, "labelled")  # the write collects the null counts on the way
-        counts = {c: v for c, v in nulls.get.items() if c != "_rows"}
-    return MissingValueFiller(exact=exact_median).fit(df, counts).transform(df)
+        df = _materialize(df, "labelled")
+    return MissingValueFiller(exact=exact_median).fit(df).transform(df)

@@ -1,11 +1,10 @@
 """Airport -> weather station mapping (J4 exact ICAO, J5 nearest fallback).
 
-J5 is an exact nearest-neighbour search on a 1-degree grid, not an airports x stations
-product: each unresolved airport probes the stations of the cells within ``r`` cells of its
-own (an equi-join on the cell key); a best candidate at distance <= r cells is provably the
-nearest, because every station outside the probed block is farther than r cells. Airports
-whose best candidate is farther (or who found none) retry with r doubled. The loop runs a
-handful of distributed joins over the (small) set of unresolved airports.
+J5 is an exact nearest-neighbour search on a grid, not an airports x stations product:
+each round equi-joins the unresolved airports' 3 x 3 block of cells with the stations of
+those cells, keeps the airports whose best candidate is provably the nearest, and retries the
+rest with cells twice as large. The loop runs a handful of distributed joins over the (small)
+set of unresolved airports.
 """
 
 from __future__ import annotations
@@ -13,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ontime_spark.session import materialize
+
 CELL_DEG = 1.0
 
 
@@ -36,29 +37,31 @@ def exact_icao_match(airports: DataFrame, stations: DataFrame) -> DataFrame:
                 .select("iata", _station_id().alias("station_id")))
 
 
-def _cell(c: F.Column) -> F.Column:
-    return F.floor(c / CELL_DEG).cast("long")
-
-
-def nearest_station(airports: DataFrame, stations: DataFrame, start_radius: int = 2,
-                    max_radius: int = 512) -> DataFrame:
+def nearest_station(airports: DataFrame, stations: DataFrame, cell_deg: float = CELL_DEG,
+                    max_cell_deg: float = 512.0) -> DataFrame:
     """Nearest US station by squared degree distance; ties -> smaller (USAF, WBAN).
-    Rows: iata, station_id, d2. Airports without coordinates are skipped."""
+    Rows: iata, station_id, d2. Airports without coordinates are skipped.
+
+    Each round probes the 3 x 3 block of cells of side ``s`` around every unresolved airport
+    (an equi-join on the cell key, 9 probe rows per airport). A best candidate with
+    d2 <= s^2 is provably the nearest: a station outside the block is more than ``s`` away in
+    latitude or longitude. The rest retry with ``s`` doubled; once a block spans the globe
+    every remaining best candidate is final."""
     # Station coordinates are renamed: Spark resolves LAT and lat to the same name.
-    st = us_stations(stations).select(
-        "USAF", "WBAN", F.col("LAT").alias("_slat"), F.col("LON").alias("_slon"),
-        _cell(F.col("LAT")).alias("_cy"), _cell(F.col("LON")).alias("_cx"))
+    st = us_stations(stations).select("USAF", "WBAN", F.col("LAT").alias("_slat"),
+                                      F.col("LON").alias("_slon"))
     todo = airports.where(F.col("lat").isNotNull() & F.col("lon").isNotNull()) \
         .select("iata", "lat", "lon")
+    offs = F.array(F.lit(-1), F.lit(0), F.lit(1))
     found: DataFrame | None = None
-    r = start_radius
-    while r <= max_radius:
-        offs = F.sequence(F.lit(-r), F.lit(r))
+    size = cell_deg
+    while True:
+        cell = lambda c: F.floor(c / F.lit(size)).cast("long")
         probe = (todo.withColumn("_dy", F.explode(offs)).withColumn("_dx", F.explode(offs))
-                     .select("iata", "lat", "lon",
-                             (_cell(F.col("lat")) + F.col("_dy")).alias("_cy"),
-                             (_cell(F.col("lon")) + F.col("_dx")).alias("_cx")))
-        cand = probe.join(st, ["_cy", "_cx"]).select(
+                     .select("iata", "lat", "lon", (cell(F.col("lat")) + F.col("_dy")).alias("_cy"),
+                             (cell(F.col("lon")) + F.col("_dx")).alias("_cx")))
+        st_cells = st.select("*", cell(F.col("_slat")).alias("_cy"), cell(F.col("_slon")).alias("_cx"))
+        cand = probe.join(st_cells, ["_cy", "_cx"]).select(
             "iata", "USAF", "WBAN",
             ((F.col("_slat") - F.col("lat")) * (F.col("_slat") - F.col("lat"))
              + (F.col("_slon") - F.col("lon")) * (F.col("_slon") - F.col("lon"))).alias("d2"))
@@ -66,15 +69,18 @@ def nearest_station(airports: DataFrame, stations: DataFrame, start_radius: int
             F.min_by(F.struct("d2", "USAF", "WBAN"), F.struct("d2", "USAF", "WBAN")).alias("b"))
         best = best.select("iata", F.col("b.d2").alias("d2"),
                            F.concat_ws("-", "b.USAF", "b.WBAN").alias("station_id"))
-        # A station outside the probed block is more than r cells away in lat or lon.
-        sure = best.where(F.col("d2") <= F.lit((r * CELL_DEG) ** 2)).cache()
+        last = size >= max_cell_deg
+        # Both tables are cut from their lineage: otherwise each round's plan would contain the
+        # previous round's twice and grow exponentially.
+        sure = materialize(best if last else best.where(F.col("d2") <= F.lit(size * size)),
+                           "nearest-found")
         found = sure if found is None else found.unionByName(sure)
-        todo = todo.join(sure.select("iata"), "iata", "left_anti").cache()
+        if last:
+            break
+        todo = materialize(todo.join(sure.select("iata"), "iata", "left_anti"), "nearest-todo")
         if todo.isEmpty():
             break
-        r *= 2
-    if found is None:
-        return airports.sparkSession.createDataFrame([], "iata string, station_id string, d2 double")
+        size *= 2
     return found
 
 

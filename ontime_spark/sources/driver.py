@@ -27,8 +27,12 @@ def balanced(df: DataFrame) -> DataFrame:
     The driver's files are single Parquet row groups (one task per table). A round-robin
     repartition then parallelises all row-local work before the first shuffle. A scan of a
     large table already has at least that many splits and is returned unchanged (no shuffle)."""
-    par = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(par) if df.rdd.getNumPartitions() < par else df
+    try:
+        par = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no RDD view (e.g. a Spark Connect session): leave as is
+        return df
+    return df.repartition(par) if splits < par else df
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

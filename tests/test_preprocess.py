@@ -44,11 +44,10 @@ def test_filter_cancelled_null_counts_as_cancelled(spark):
     assert clean.filter_cancelled(df).count() == 1
 
 
-def test_filter_cancelled_observation(raw):
-    from pyspark.sql import Observation
-    obs = Observation("cancelled")
-    clean.filter_cancelled(raw, obs).count()
-    assert obs.get == {"n_before": 3, "n_kept": 2}
+def test_cancelled_counts(raw):
+    r = clean.cancelled_counts(raw).first()
+    assert (r["n_before"], r["n_removed"]) == (3, 1)
+    assert r["pct_removed"] == pytest.approx(100 / 3)
 
 
 def test_create_delay_target(raw):

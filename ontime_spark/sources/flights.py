@@ -25,10 +25,16 @@ def write_flights(df: DataFrame, path: str, date_col: str = "fl_date",
                   partitions: int | None = None) -> None:
     """Range-partition on the date (each task writes a contiguous date range, so each
     year/month folder gets few files), sort within partitions, write Parquet partitioned by
-    year and month (later month filters prune folders)."""
+    year and month (later month filters prune folders).
+
+    A row hash is the range key's second component: a range partitioner cannot split equal
+    keys, so a date holding a large share of the rows is spread over several tasks instead
+    of one."""
     d = F.col(date_col)
-    out = df.withColumns({"year": F.year(d), "month": F.month(d)})
-    out = (out.repartitionByRange(partitions, date_col) if partitions
-           else out.repartitionByRange(date_col))
-    (out.sortWithinPartitions(date_col)
+    out = df.withColumns({"year": F.year(d), "month": F.month(d),
+                          "_spread": F.xxhash64(*[F.col(c) for c in df.columns])})
+    keys = [date_col, "_spread"]
+    out = (out.repartitionByRange(partitions, *keys) if partitions
+           else out.repartitionByRange(*keys))
+    (out.sortWithinPartitions(date_col).drop("_spread")
         .write.mode("overwrite").partitionBy("year", "month").parquet(path))

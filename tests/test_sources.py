@@ -23,6 +23,16 @@ def test_load_flights_by_suffix(spark, tmp_dir):
         flights.load_flights(spark, os.path.join(tmp_dir, "f.json"))
 
 
+def test_write_flights_splits_a_hot_date(spark, tmp_dir):
+    hot = [(dt.date(2023, 5, 5), i) for i in range(4000)] + [(dt.date(2023, 5, 6), 1)]
+    df = spark.createDataFrame(hot, "fl_date date, v int")
+    out = os.path.join(tmp_dir, "hot")
+    flights.write_flights(df, out, partitions=4)
+    files = [f for f in os.listdir(os.path.join(out, "year=2023", "month=5")) if f.endswith(".parquet")]
+    assert len(files) >= 3
+    assert spark.read.parquet(out).count() == 4001
+
+
 def test_write_flights_partitioned(spark, tmp_dir):
     rows = [(dt.date(2023, m, 1 + i), i) for m in (1, 2, 11) for i in range(3)]
     df = spark.createDataFrame(rows, "fl_date date, v int")

@@ -1,11 +1,11 @@
 """Feature groups: temporal (L2), weather (P5, L3), airport (A1/J1, A2, W1, J2, P13, L4),
 route (L5) and ``build_features`` (L6).
 
-Plan shape of the airport group: per side (origin, dest) one small table keyed by
-``(airport, fl_date)`` carries both the per-hour flight counts (a map of at most 24 entries)
-and the leakage-safe rolling delay rate. The flights are joined to it once per side, so the
-whole group costs two shuffles of the flight rows (AQE turns them into broadcasts when the
-daily tables prove small, and splits skewed airport-days).
+Plan shape of the airport group: one aggregation over the flights exploded to their two ends
+(origin, dest) yields a small table keyed by (side, airport, date) carrying the per-hour flight
+counts (a map of at most 24 entries) and the leakage-safe rolling delay rate. Each side joins
+it once, so the group costs one shuffle of partial aggregates and two joins of the flight rows
+(AQE turns them into broadcasts when the table proves small and splits skewed airport-days).
 """
 
 from __future__ import annotations
@@ -131,6 +131,61 @@ def hub_flags(df: DataFrame, hubs: Iterable[str] = S.HUB_AIRPORTS) -> DataFrame:
     })
 
 
+def _both_sides(df: DataFrame, date_col: str, extra: list) -> DataFrame:
+    """Each flight as two rows (side='origin'/'dest', airport), with the given columns."""
+    ends = F.array(*[F.struct(F.lit(side).alias("side"), F.col(side).alias("airport"))
+                     for side in SIDES])
+    return df.select(F.col(date_col).alias("_date"), *extra, F.inline(ends))
+
+
+def airport_day_table(df: DataFrame, history: DataFrame | None = None, grid: str = "active",
+                      window: int = S.ROLLING_WINDOW, date_col: str = "fl_date",
+                      target: str = S.TARGET_COL) -> DataFrame:
+    """Per (side, airport, date): ``_hour_counts`` (hour -> scheduled flights, from ``df``) and
+    ``_roll`` (W1 rolling delay rate, from ``history``, default ``df``).
+
+    Both sides come out of one aggregation over the flights exploded to (origin, dest): one
+    shuffle of partial aggregates instead of one per side and per feature."""
+    hour_ok = "hour_of_day" in df.columns
+    hist = df if history is None else history
+    has_target = target in hist.columns
+    same = history is None
+    y = [F.col(target).cast("double").alias("_y")] if (same and has_target) else []
+    ex = _both_sides(df, date_col, ([F.col("hour_of_day")] if hour_ok else [F.lit(None).cast("int").alias("hour_of_day")]) + y)
+    ex = ex.where(F.col("airport").isNotNull() & F.col("_date").isNotNull())
+    per_hour = ex.groupBy("side", "airport", "_date", "hour_of_day").agg(
+        F.count(F.lit(1)).alias("n"),
+        *([F.sum("_y").alias("s"), F.count("_y").alias("ny")] if y else []))
+    daily = per_hour.groupBy("side", "airport", "_date").agg(
+        F.map_from_entries(F.collect_list(F.when(F.col("hour_of_day").isNotNull(),
+                                                  F.struct("hour_of_day", "n")))).alias("_hour_counts"),
+        *([(F.sum("s") / F.sum("ny")).alias("daily_rate")] if y else []))
+    if has_target and not same:
+        hx = _both_sides(hist, date_col, [F.col(target).cast("double").alias("_y")])
+        rates = (hx.where(F.col("airport").isNotNull() & F.col("_date").isNotNull())
+                   .groupBy("side", "airport", "_date").agg(F.avg("_y").alias("daily_rate")))
+    else:
+        rates = daily if has_target else None
+    if rates is None:
+        return daily.withColumn("_roll", F.lit(None).cast("double"))
+    if grid == "active":
+        w = Window.partitionBy("side", "airport").orderBy("_date").rowsBetween(-window, -1)
+        rolled = rates.withColumn("_roll", F.avg("daily_rate").over(w))
+    elif grid == "dense":
+        # Distinct dates are bounded by the calendar: one task ranks them, broadcast after.
+        src = hist if not same else df
+        dates = src.where(F.col(date_col).isNotNull()).select(F.col(date_col).alias("_date")).distinct()
+        idx = dates.withColumn("_date_idx", F.dense_rank().over(Window.orderBy("_date")))
+        w = Window.partitionBy("side", "airport").orderBy("_date_idx").rangeBetween(-window, -1)
+        rolled = rates.join(F.broadcast(idx), "_date").withColumn("_roll", F.avg("daily_rate").over(w))
+    else:
+        raise ValueError(f"grid must be 'active' or 'dense', not {grid!r}")
+    if same:
+        return rolled.select("side", "airport", "_date", "_hour_counts", "_roll")
+    return daily.join(rolled.select("side", "airport", "_date", "_roll"),
+                      ["side", "airport", "_date"], "left")
+
+
 def add_airport_features(df: DataFrame, history: DataFrame | None = None,
                          hubs: Iterable[str] = S.HUB_AIRPORTS, grid: str = "active",
                          window: int = S.ROLLING_WINDOW, date_col: str = "fl_date",
@@ -138,30 +193,23 @@ def add_airport_features(df: DataFrame, history: DataFrame | None = None,
     """L4: congestion counts (J1), rolling delay rates re-attached (J2), hub flags.
 
     ``history`` supplies the labelled flights for the rolling rates (default: ``df``); it only
-    looks back, so passing all history when transforming a later period does not leak.
-    """
+    looks back, so passing all history when transforming a later period does not leak. One
+    (side, airport, date) table carries both features; each side joins it once (the table's
+    exchange is shared by the two joins)."""
     hist = df if history is None else history
     has_target = target in hist.columns
     hour_ok = "hour_of_day" in df.columns
+    table = airport_day_table(df, history, grid, window, date_col, target)
     for side in SIDES:
-        name_cnt, name_roll = f"{side}_flights_per_hour", f"{side}_delay_rate_rolling"
-        if hour_ok:
-            counts = hourly_count_maps(df, side, date_col)
-            df = (df.join(counts, [side, date_col], "left")
-                    .withColumn(name_cnt, F.coalesce(
-                        F.try_element_at("_hour_counts", F.col("hour_of_day")), F.lit(0))
-                        .cast("int"))
-                    .drop("_hour_counts"))
-        else:
-            df = df.withColumn(name_cnt, F.lit(0))
-        if has_target:
-            roll = rolling_delay_rate(hist, side, grid, window, date_col, target, "_roll") \
-                .select(side, date_col, "_roll")
-            df = (df.join(roll, [side, date_col], "left")
-                    .withColumn(name_roll, F.coalesce(F.col("_roll"), F.lit(0.0)))
-                    .drop("_roll"))
-        else:
-            df = df.withColumn(name_roll, F.lit(0.0))
+        part = (table.where(F.col("side") == side)
+                     .select(F.col("airport").alias(side), F.col("_date").alias(date_col),
+                             "_hour_counts", "_roll"))
+        df = df.join(part, [side, date_col], "left")
+        cnt = (F.coalesce(F.try_element_at("_hour_counts", F.col("hour_of_day")), F.lit(0))
+               if hour_ok else F.lit(0))
+        roll = F.coalesce(F.col("_roll"), F.lit(0.0)) if has_target else F.lit(0.0)
+        df = df.withColumns({f"{side}_flights_per_hour": cnt.cast("int"),
+                             f"{side}_delay_rate_rolling": roll}).drop("_hour_counts", "_roll")
     return hub_flags(df, hubs)
 
 

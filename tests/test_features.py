@@ -156,3 +156,21 @@ def test_scoring_input_defaults(spark):
     out = FP.scoring_input(spark.createDataFrame([("DL",)], "carrier string")).first()
     assert out["carrier"] == "DL" and out["origin"] == "ATL" and out["dest_ceiling"] == 25000
     assert out["fl_date"] is not None
+
+
+@pytest.mark.parametrize("grid", ["active", "dense"])
+def test_airport_features_rolling_matches_pandas(spark, grid):
+    import random
+    rnd = random.Random(9)
+    base = dt.date(2023, 3, 1)
+    rows = [(rnd.choice("ABC"), rnd.choice("XYZ"), base + dt.timedelta(days=rnd.randrange(30)),
+             rnd.choice([700, 800, 1300]), rnd.randrange(2)) for _ in range(300)]
+    df = FE.add_temporal_features(_flights(spark, rows))
+    out = FE.add_airport_features(df, grid=grid).collect()
+    pdf = pd.DataFrame(rows, columns=["origin", "dest", "fl_date", "crs_dep_time", "is_delayed"])
+    for side in ("origin", "dest"):
+        exp = _pandas_rolling(pdf, side, grid)
+        for r in out:
+            e = exp[(r[side], r["fl_date"])]
+            e = 0.0 if e is None or (isinstance(e, float) and math.isnan(e)) else e
+            assert r[f"{side}_delay_rate_rolling"] == pytest.approx(e, abs=1e-12)

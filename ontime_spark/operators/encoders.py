@@ -197,9 +197,3 @@ def class_weights(df: DataFrame, label: str = S.TARGET_COL) -> DataFrame:
     n_pos = F.sum(F.when(F.col(label) == 1, F.col("n"))).over(everything)
     return counts.select(label, "n", (n_all / (2.0 * F.col("n"))).alias("weight"),
                          (n_neg / n_pos).alias("scale_pos_weight"))
-
-
-def weight_column(df: DataFrame, label: str = S.TARGET_COL, name: str = "weight") -> DataFrame:
-    """Balanced sample weights as a column (joins the two-row weight table)."""
-    w = class_weights(df, label).select(label, F.col("weight").alias(name))
-    return df.join(F.broadcast(w), label, "left")

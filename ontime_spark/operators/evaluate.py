@@ -40,17 +40,6 @@ def cumulative_curve(scored: DataFrame, label: str = "label", score: str = "scor
                           descending=True)
 
 
-def ranking_metrics(scored: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
-    """One row: roc_auc and pr_auc (average precision)."""
-    c = cumulative_curve(scored, label, score)
-    agg = c.agg(
-        F.sum(F.col("fp") * (F.col("cum_tp") - F.col("tp") / 2)).alias("_auc"),
-        F.sum(F.col("tp") * F.col("cum_tp") / (F.col("cum_tp") + F.col("cum_fp"))).alias("_ap"),
-        F.sum("tp").alias("_p"), F.sum("fp").alias("_n"))
-    return agg.select(_safe_div(F.col("_auc"), F.col("_p") * F.col("_n")).alias("roc_auc"),
-                      _safe_div(F.col("_ap"), F.col("_p")).alias("pr_auc"))
-
-
 def classification_metrics(scored: DataFrame, label: str = "label", score: str = "score",
                            threshold: float = 0.5, model: str | None = None) -> DataFrame:
     """M6: accuracy, precision, recall, f1 (0 when undefined), roc_auc, pr_auc in one row.

@@ -79,14 +79,6 @@ def flights_per_hour(df: DataFrame, side: str, date_col: str = "fl_date",
               .groupBy(side, date_col, hour_col).agg(F.count(F.lit(1)).alias("n")))
 
 
-def hourly_count_maps(df: DataFrame, side: str, date_col: str = "fl_date",
-                      hour_col: str = "hour_of_day") -> DataFrame:
-    """Per (airport, date): map hour -> flights (<= 24 entries per row)."""
-    per_hour = flights_per_hour(df, side, date_col, hour_col)
-    return per_hour.groupBy(side, date_col).agg(
-        F.map_from_entries(F.collect_list(F.struct(hour_col, "n"))).alias("_hour_counts"))
-
-
 def daily_delay_rate(history: DataFrame, side: str, date_col: str = "fl_date",
                      target: str = S.TARGET_COL) -> DataFrame:
     """A2: mean label per (airport, date)."""

@@ -3,66 +3,67 @@ built on them.
 
 A window ``orderBy(x)`` with no partition (or one partition per column) moves every row of a
 group into one task. Here the input is first collapsed to distinct ordering values (a
-map-side-combined ``groupBy``), then split into value-range buckets whose boundaries come
-from a mergeable quantile sketch. Each bucket computes local running sums in its own task;
-the bucket totals (``groups x buckets`` rows) give the offsets, which are broadcast back.
-No task ever holds more than one bucket, however skewed the original data is.
+map-side-combined ``groupBy``) and counted. A histogram of at most one million rows runs one
+window; a larger one is range-partitioned into buckets of about that size (bucket count grows
+with the data), each bucket sums locally in its own task, and the bucket totals (groups x
+buckets rows) give the offsets, which are broadcast back. No task holds more than one bucket,
+however skewed the original data is.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-DEFAULT_BUCKETS = 64
-# A histogram with at most this many rows is small enough for one window task.
+from ontime_spark.session import materialize
+
+# Rows per task for running sums: a histogram up to this size runs one window; a larger one
+# is cut into ceil(rows / SINGLE_TASK_ROWS) range buckets.
 SINGLE_TASK_ROWS = 1_000_000
 
 
 def running_totals(hist: DataFrame, keys: Sequence[str], order_col: str,
                    value_cols: Sequence[str], descending: bool = False,
-                   buckets: int = DEFAULT_BUCKETS, prefix: str = "cum_",
+                   buckets: int | None = None, prefix: str = "cum_",
                    single_task_rows: int | None = None) -> DataFrame:
     """Add ``cum_<v>``: the inclusive running sum of each value column within ``keys``,
     ordered by ``order_col`` (distinct per key group) ascending or descending.
 
-    The histogram's size is checked first: up to ``single_task_rows`` rows a plain running
-    window is used (bounded work per task); beyond it, the bucketed plan."""
+    The histogram is counted first. Up to ``single_task_rows`` rows a plain running window is
+    used. Beyond it, Spark's range partitioner (sampled bounds, binary search per row) cuts
+    the histogram into ``ceil(rows / single_task_rows)`` buckets ordered by (keys, order); the
+    bucket id is written with the rows once (so it cannot change if a task is recomputed);
+    each bucket computes local sums in its own task and adds the totals of the earlier
+    buckets of its key group (a table of groups x buckets rows, broadcast). ``buckets``
+    overrides the bucket count (tests)."""
     keys = list(keys)
     out_cols = list(hist.columns)
     ox = F.col(order_col).desc() if descending else F.col(order_col).asc()
-    if single_task_rows is None:
-        single_task_rows = SINGLE_TASK_ROWS
-    if single_task_rows and hist.limit(single_task_rows + 1).count() <= single_task_rows:
+    limit = SINGLE_TASK_ROWS if single_task_rows is None else single_task_rows
+    n = hist.count()
+    if buckets is None and n <= limit:
         w = (Window.partitionBy(*keys).orderBy(ox)
              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
         return hist.select(*out_cols, *[F.sum(v).over(w).alias(f"{prefix}{v}")
                                         for v in value_cols])
-    if not keys:  # one group: a constant key keeps every join an equi-join
-        hist = hist.withColumn("_grp", F.lit(0))
-        keys = ["_grp"]
-    probs = [i / buckets for i in range(1, buckets)]
-    bounds = hist.groupBy(*keys).agg(
-        F.percentile_approx(order_col, probs, 10000).alias("_bounds"))
-    # groups x (buckets-1) values: bounded by the number of key groups, broadcast.
-    with_b = hist.join(F.broadcast(bounds), keys, "inner")
-    x = F.col(order_col)
-    with_b = with_b.withColumn(
-        "_bucket", F.size(F.filter("_bounds", lambda b: b < x))).drop("_bounds")
-
-    totals = with_b.groupBy(*keys, "_bucket").agg(
+    n_buckets = buckets or max(2, math.ceil(n / max(limit, 1)))
+    ranged = hist.repartitionByRange(n_buckets, *[F.col(k) for k in keys], ox)
+    tagged = materialize(ranged.withColumn("_bucket", F.spark_partition_id()), "running-buckets")
+
+    totals = tagged.groupBy(*keys, "_bucket").agg(
         *[F.sum(v).alias(f"_tot_{v}") for v in value_cols])
-    ob = F.col("_bucket").desc() if descending else F.col("_bucket").asc()
-    w_off = Window.partitionBy(*keys).orderBy(ob).rowsBetween(Window.unboundedPreceding, -1)
+    w_off = (Window.partitionBy(*keys).orderBy("_bucket")
+             .rowsBetween(Window.unboundedPreceding, -1))
     offsets = totals.select(*keys, "_bucket", *[
         F.coalesce(F.sum(f"_tot_{v}").over(w_off), F.lit(0)).alias(f"_off_{v}")
         for v in value_cols])
 
     w_loc = (Window.partitionBy(*keys, "_bucket").orderBy(ox)
              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    local = with_b.select("*", *[F.sum(v).over(w_loc).alias(f"_loc_{v}") for v in value_cols])
+    local = tagged.select("*", *[F.sum(v).over(w_loc).alias(f"_loc_{v}") for v in value_cols])
     out = local.join(F.broadcast(offsets), [*keys, "_bucket"], "inner")
     return out.select(
         *out_cols,
@@ -76,7 +77,7 @@ def long_values(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return (df.select(F.inline(pairs)).where(F.col("value").isNotNull()))
 
 
-def exact_medians(df: DataFrame, columns: Sequence[str], buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+def exact_medians(df: DataFrame, columns: Sequence[str], buckets: int | None = None) -> DataFrame:
     """Exact median per column (mean of the two middle values for an even count, nulls
     ignored): rows (name, median, n). Columns with no values are absent."""
     hist = long_values(df, columns).groupBy("name", "value").agg(F.count(F.lit(1)).alias("n"))

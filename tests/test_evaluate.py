@@ -89,3 +89,13 @@ def test_roc_points_end_at_one(spark):
     df = spark.createDataFrame(_table(), "label int, score double")
     pts = EV.roc_points(df).orderBy("score").collect()
     assert pts[0]["tpr"] == pytest.approx(1.0) and pts[0]["fpr"] == pytest.approx(1.0)
+
+
+def test_ranking_metrics_bucketed_path(spark, monkeypatch):
+    from ontime_spark.operators import cumulative
+    monkeypatch.setattr(cumulative, "SINGLE_TASK_ROWS", 40)  # force range buckets
+    rows = _table(ties=False)
+    df = spark.createDataFrame(rows, "label int, score double")
+    m = EV.classification_metrics(df).first()
+    assert m["roc_auc"] == pytest.approx(_auc(rows), abs=1e-12)
+    assert m["pr_auc"] == pytest.approx(_ap(rows), abs=1e-12)

@@ -282,8 +282,7 @@ _R = lambda c: f"ROUND({c}, 6) AS {c}"
 FEATURE_SELECT = ", ".join([
     "hour_of_day", "day_of_week", "month", "is_weekend", "is_holiday",
     _R("hour_sin"), _R("hour_cos"), _R("month_sin"), _R("month_cos"),
-    *[_R(f"{s}_{w}") for s in ("origin", "dest") for w in ("wind_speed", "visibility", "ceiling")]
-    [0:3],
+    _R("origin_wind_speed"), _R("origin_visibility"), _R("origin_ceiling"),
     _R("origin_temp"), _R("origin_precip"),
     "origin_has_thunderstorm", "origin_has_snow", "origin_has_fog",
     _R("dest_wind_speed"), _R("dest_visibility"), _R("dest_ceiling"), _R("dest_temp"),

@@ -35,9 +35,10 @@ def balanced(df: DataFrame) -> DataFrame:
     return df.repartition(par) if splits < par else df
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def table(spark: SparkSession, sf_dir: str, name: str, balance: bool = True) -> DataFrame:
+    """A driver table; ``balance=False`` for join build sides, which gain nothing from it."""
     df = spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
-    return df if name in SMALL_DIMENSIONS else balanced(df)
+    return df if (not balance or name in SMALL_DIMENSIONS) else balanced(df)
 
 
 # Fixed-size dimensions (25 and 5 rows): never worth a repartition.
@@ -58,9 +59,11 @@ def flights(spark: SparkSession, sf_dir: str) -> DataFrame:
     l = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_discount",
         "l_tax", "l_returnflag", "l_shipdate")
-    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-    s = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
+    # Only the probe side (lineitem) is spread over the cores; at scale every input has many
+    # splits and none is repartitioned.
+    o = table(spark, sf_dir, "orders", balance=False).select("o_orderkey", "o_custkey")
+    c = table(spark, sf_dir, "customer", balance=False).select("c_custkey", "c_nationkey")
+    s = table(spark, sf_dir, "supplier", balance=False).select("s_suppkey", "s_nationkey")
     nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     so = F.broadcast(nation.toDF("so_nationkey", "origin"))
     de = F.broadcast(nation.toDF("de_nationkey", "dest"))

@@ -30,6 +30,7 @@ from ontime_spark.sources import adsb as ADSB_SRC
 from ontime_spark.sources import bts as BTS
 from ontime_spark.sources import driver
 from ontime_spark.sources import isd as ISD
+from ontime_spark.session import materialize
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -486,3 +487,16 @@ def q_p15(spark, sf_dir):
     upcoming = test.select(*KEYS, "fl_date", "carrier", "origin", "dest", "crs_dep_time",
                            "distance")
     return rounded(model.transform(FP.scoring_input(upcoming), history=pre, keep=KEYS))
+
+
+# ------------------------------------------------------------------ models (rows-only: iterative)
+@register("m1_lr_train_evaluate")
+def q_m1(spark, sf_dir):
+    """M1 + M6 + M10 on the driver flights: leakage-safe features, logistic regression with
+    the published settings fitted on the training months, metrics on the test months. No SQL
+    oracle exists for an iterative fit (the driver records a rows-only check)."""
+    from ontime_spark.plans.train import evaluate_model, prepare_matrices
+    from ontime_spark.operators import models as M
+    train, test, _ = prepare_matrices(driver.flights(spark, sf_dir), hubs=driver.DRIVER_HUBS)
+    train, test = materialize(train, "train-matrix"), materialize(test, "test-matrix")
+    return rounded(evaluate_model(M.train_model(train, "lr"), test, name="lr"))

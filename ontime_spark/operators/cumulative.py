@@ -43,6 +43,9 @@ def running_totals(hist: DataFrame, keys: Sequence[str], order_col: str,
     out_cols = list(hist.columns)
     ox = F.col(order_col).desc() if descending else F.col(order_col).asc()
     limit = SINGLE_TASK_ROWS if single_task_rows is None else single_task_rows
+    # The histogram is read twice (size check, then sums): write it once so its source (a
+    # scan and aggregation, or a model scoring a test set) is evaluated once.
+    hist = materialize(hist, "histogram")
     n = hist.count()
     if buckets is None and n <= limit:
         w = (Window.partitionBy(*keys).orderBy(ox)
@@ -77,12 +80,22 @@ def long_values(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return (df.select(F.inline(pairs)).where(F.col("value").isNotNull()))
 
 
-def exact_medians(df: DataFrame, columns: Sequence[str], buckets: int | None = None) -> DataFrame:
-    """Exact median per column (mean of the two middle values for an even count, nulls
-    ignored): rows (name, median, n). Columns with no values are absent."""
-    hist = long_values(df, columns).groupBy("name", "value").agg(F.count(F.lit(1)).alias("n"))
+def value_histogram(df: DataFrame, columns: Sequence[str], keep_nulls: bool = False) -> DataFrame:
+    """(name, value, n) per column and distinct value, map-side combined. With
+    ``keep_nulls`` each column also gets one row with a null value holding its null count."""
+    pairs = F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).cast("double").alias("value"))
+                      for c in columns])
+    long = df.select(F.inline(pairs))
+    if not keep_nulls:
+        long = long.where(F.col("value").isNotNull())
+    return long.groupBy("name", "value").agg(F.count(F.lit(1)).alias("n"))
+
+
+def medians_from_histogram(hist: DataFrame, buckets: int | None = None) -> DataFrame:
+    """Exact medians from a (name, value, n) histogram of non-null values."""
     cum = running_totals(hist, ["name"], "value", ["n"], buckets=buckets)
-    n_tot = hist.groupBy("name").agg(F.sum("n").alias("n_total"))
+    # Totals from the running sums (which read the written histogram), not from ``hist``.
+    n_tot = cum.groupBy("name").agg(F.max("cum_n").alias("n_total"))
     ranked = cum.join(F.broadcast(n_tot), "name")
     lo_rank = F.floor((F.col("n_total") + 1) / 2)
     hi_rank = F.floor(F.col("n_total") / 2) + 1
@@ -95,6 +108,12 @@ def exact_medians(df: DataFrame, columns: Sequence[str], buckets: int | None = N
     return picked.select("name", ((F.col("lo") + F.col("hi")) / 2).alias("median"), "n")
 
 
+def exact_medians(df: DataFrame, columns: Sequence[str], buckets: int | None = None) -> DataFrame:
+    """Exact median per column (mean of the two middle values for an even count, nulls
+    ignored): rows (name, median, n). Columns with no values are absent."""
+    return medians_from_histogram(value_histogram(df, columns), buckets)
+
+
 def approx_medians(df: DataFrame, columns: Sequence[str], accuracy: int = 10000) -> DataFrame:
     """Sketch-based median per column (rank error about n/accuracy)."""
     return (long_values(df, columns).groupBy("name")

@@ -168,20 +168,27 @@ class OrdinalEncoderModel:
 
 
 class OrdinalEncoder:
-    """M5 fit: sorted distinct categories per column (cardinality-bounded tables)."""
+    """M5 fit: sorted distinct categories per column, code = rank - 1.
 
-    def __init__(self, columns: Sequence[str] = S.CATEGORICAL_FEATURES, checkpoint: bool = True):
+    The rank is a running count over the distinct categories (``cumulative.running_totals``):
+    a column with many categories (routes) is range-bucketed rather than ranked in one task.
+    ``single_task_rows`` overrides the bucketing threshold (tests)."""
+
+    def __init__(self, columns: Sequence[str] = S.CATEGORICAL_FEATURES, checkpoint: bool = True,
+                 single_task_rows: int | None = None):
         self.columns = list(columns)
         self.checkpoint = checkpoint
+        self.single_task_rows = single_task_rows
 
     def fit(self, df: DataFrame) -> OrdinalEncoderModel:
+        from ontime_spark.operators.cumulative import running_totals
         tables, sizes = {}, {}
         for c in self.columns:
             cats = df.select(F.col(c).cast("string").alias("category")).where(
-                F.col("category").isNotNull()).distinct()
-            # One task ranks the distinct categories: bounded by the column's cardinality.
-            t = cats.withColumn("code", (F.row_number().over(Window.orderBy("category")) - 1)
-                                .cast("int"))
+                F.col("category").isNotNull()).distinct().withColumn("_one", F.lit(1))
+            ranked = running_totals(cats, [], "category", ["_one"], prefix="_rank",
+                                    single_task_rows=self.single_task_rows)
+            t = ranked.select("category", (F.col("_rank_one") - 1).cast("int").alias("code"))
             if self.checkpoint:
                 t = materialize(t, f"codes-{c}")
             tables[c], sizes[c] = t, t.count()

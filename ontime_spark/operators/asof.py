@@ -1,63 +1,129 @@
-"""As-of / nearest-in-time join.
-
-Both sides get ``bucket = floor(t / tolerance)``. A left row can only match right rows in its
-own bucket or a neighbouring one, so the left side is exploded to (at most) three buckets and
-equi-joined on ``(by, bucket)``: one shuffle on a well-spread key, no unbounded window, no
-range join. The best candidate per left row is chosen with ``min_by`` on
-``(|dt|, right time, right id)`` (ties -> earlier observation), and left rows without a match
-keep null right columns. AQE splits a skewed ``(by, bucket)`` partition.
+"""As-of / nearest-in-time join (J6) as an ordered scan, without candidate pairs.
+
+Left and right rows are unioned and sorted by ``(by, time)``; every left row takes the last
+right row before it in that order (backward) or, in the reversed order, the first one after
+it (forward); 'nearest' picks the closer of the two. Each row is shuffled a bounded number of
+times (once per scan), so a key with many rows in one hour costs linear, not quadratic, work.
+
+The scan is distributed like the running totals of ``cumulative.py``: Spark's range
+partitioner (sampled bounds) cuts the sorted union into buckets of bounded size, so a hot key
+is split by time over several tasks; the bucket id is written with the rows once; each bucket
+carries its last right row forward locally, and the last right row of every earlier bucket of
+the same key (a table with one row per (key, bucket)) fills left rows that saw none in their
+own bucket. Ties at equal distance go to the earlier observation, then the smaller right id.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ontime_spark.session import materialize
+
+# Rows per range bucket of the scan (the bucket count grows with the data).
+ROWS_PER_BUCKET = 1_000_000
+
 
 def epoch_micros(c: str | F.Column) -> F.Column:
     col = F.col(c) if isinstance(c, str) else c
     return F.unix_micros(col.cast("timestamp"))
 
 
+def _carry_last_right(u: DataFrame, by: Sequence[str], order: Sequence[F.Column],
+                      n_buckets: int) -> DataFrame:
+    """For every left row of ``u`` (``_side`` = 1): ``_cand``, the last right row
+    (``_side`` = 0) before it within ``by`` in the given order; (_lid, _lt, _cand)."""
+    ranged = u.repartitionByRange(n_buckets, *[F.col(b).asc() for b in by], *order)
+    tagged = materialize(ranged.withColumn("_bucket", F.spark_partition_id()), "asof-buckets")
+    right_row = F.when(F.col("_side") == 0, F.struct("_rt", "_rid", "_rv"))
+    w_loc = (Window.partitionBy(*by, "_bucket").orderBy(*order)
+             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    local = tagged.select(*by, "_bucket", "_side", "_lid", "_lt",
+                          F.last(right_row, ignorenulls=True).over(w_loc).alias("_loc"),
+                          F.row_number().over(Window.partitionBy(*by, "_bucket").orderBy(*order))
+                          .alias("_rn"))
+    # The last right row of each (key, bucket), then of all earlier buckets of the key.
+    tails = local.groupBy(*by, "_bucket").agg(F.max_by("_loc", "_rn").alias("_tail"))
+    w_prev = (Window.partitionBy(*by).orderBy("_bucket")
+              .rowsBetween(Window.unboundedPreceding, -1))
+    carry = tails.select(*by, "_bucket", F.last("_tail", ignorenulls=True).over(w_prev)
+                         .alias("_carry"))
+    lefts = local.where(F.col("_side") == 1)
+    return (lefts.join(carry, [*by, "_bucket"], "left")
+                 .select("_lid", "_lt", F.coalesce("_loc", "_carry").alias("_cand")))
+
+
 def asof_join(left: DataFrame, right: DataFrame, by: str | Sequence[str], left_time: str,
               right_time: str, left_id: str, right_id: str, tolerance_seconds: int,
               direction: str = "nearest", right_cols: Sequence[str] | None = None,
-              prefix: str = "") -> DataFrame:
+              prefix: str = "", rows_per_bucket: int | None = None) -> DataFrame:
     """Attach to each left row the right row of the same ``by`` key closest in time.
 
     direction: 'nearest' (|dt| <= tol), 'backward' (right time <= left time, within tol) or
     'forward' (right time >= left time, within tol). Adds ``{prefix}<col>`` for each right
-    column plus ``{prefix}dt_seconds`` (right minus left).
-    """
+    column plus ``{prefix}dt_seconds`` (right minus left). ``left_id`` must be unique.
+    ``rows_per_bucket`` overrides the scan's bucket size (tests)."""
+    if direction not in ("nearest", "backward", "forward"):
+        raise ValueError(f"direction must be nearest, backward or forward, not {direction!r}")
     by = [by] if isinstance(by, str) else list(by)
     tol = int(tolerance_seconds) * 1_000_000
     right_cols = list(right_cols) if right_cols is not None else [
         c for c in right.columns if c not in by]
-    offsets = {"nearest": [-1, 0, 1], "backward": [-1, 0], "forward": [0, 1]}[direction]
-
-    lt = epoch_micros(left_time)
-    l2 = (left.select(*by, left_id, lt.alias("_lt"))
-              .withColumn("_bucket", F.explode(F.array(*[
-                  F.floor(F.col("_lt") / tol).cast("long") + F.lit(o) for o in offsets]))))
-    rt = epoch_micros(right_time)
-    r2 = right.select(*by, F.col(right_id).alias("_rid"), rt.alias("_rt"),
-                      F.struct(*right_cols).alias("_rv"))
-    r2 = r2.withColumn("_bucket", F.floor(F.col("_rt") / tol).cast("long"))
-
-    dt = F.col("_rt") - F.col("_lt")
-    cond = F.abs(dt) <= tol
-    if direction == "backward":
-        cond = cond & (dt <= 0)
-    elif direction == "forward":
-        cond = cond & (dt >= 0)
-    cand = l2.join(r2, [*by, "_bucket"]).where(cond).select(
-        left_id, "_rv", dt.alias("_dt"), "_rt", "_rid")
-    best = cand.groupBy(left_id).agg(F.min_by(
-        F.struct("_rv", "_dt"), F.struct(F.abs("_dt"), "_rt", "_rid")).alias("_best"))
+
+    lt, rt = epoch_micros(left_time), epoch_micros(right_time)
+    rv_type = right.select(F.struct(*right_cols)).schema[0].dataType
+    rid_type = right.schema[right_id].dataType
+    lid_type = left.schema[left_id].dataType
+    keys_ok = F.lit(True)
+    for b in by:
+        keys_ok = keys_ok & F.col(b).isNotNull()
+    lefts = left.select(*by, F.col(left_id).alias("_lid"), lt.alias("_lt")).where(
+        keys_ok & F.col("_lt").isNotNull()).select(
+        *by, F.lit(1).alias("_side"), "_lid", "_lt", F.col("_lt").alias("_t"),
+        F.lit(None).cast(rid_type).alias("_rid"), F.lit(None).cast("long").alias("_rt"),
+        F.lit(None).cast(rv_type).alias("_rv"))
+    rights = right.select(*by, F.col(right_id).alias("_rid"), rt.alias("_rt"),
+                          F.struct(*right_cols).alias("_rv")).where(
+        keys_ok & F.col("_rt").isNotNull()).select(
+        *by, F.lit(0).alias("_side"), F.lit(None).cast(lid_type).alias("_lid"),
+        F.lit(None).cast("long").alias("_lt"), F.col("_rt").alias("_t"), "_rid", "_rt", "_rv")
+    u = materialize(lefts.unionByName(rights), "asof-union")
+    per = ROWS_PER_BUCKET if rows_per_bucket is None else rows_per_bucket
+    n_buckets = max(2, math.ceil(u.count() / max(per, 1)))
+
+    cands = {}
+    if direction in ("nearest", "backward"):
+        # Ascending time; at equal time rights before lefts, the smallest right id last.
+        order = [F.col("_t").asc(), F.col("_side").asc(), F.col("_rid").desc_nulls_last()]
+        cands["bk"] = _carry_last_right(u, by, order, n_buckets)
+    if direction in ("nearest", "forward"):
+        # Descending time: the last right seen is the first one at or after the left row.
+        order = [F.col("_t").desc(), F.col("_side").asc(), F.col("_rid").desc_nulls_last()]
+        cands["fw"] = _carry_last_right(u, by, order, n_buckets)
+
+    def within(c: str, backward: bool) -> F.Column:
+        d = F.col("_lt") - F.col(f"{c}._rt") if backward else F.col(f"{c}._rt") - F.col("_lt")
+        return F.when(F.col(c).isNotNull() & (d <= tol), F.col(c))
+
+    if direction == "nearest":
+        both = cands["bk"].withColumnRenamed("_cand", "bk").join(
+            cands["fw"].select("_lid", F.col("_cand").alias("fw")), "_lid")
+        bk, fw = within("bk", True), within("fw", False)
+        # Equal distance: the earlier observation (the backward one) wins.
+        pick_fw = bk.isNull() | (fw.isNotNull() & (
+            (F.col("fw._rt") - F.col("_lt")) < (F.col("_lt") - F.col("bk._rt"))))
+        best = both.select("_lid", "_lt", F.when(pick_fw, fw).otherwise(bk).alias("_best"))
+    else:
+        c = "bk" if direction == "backward" else "fw"
+        best = cands[c].select("_lid", "_lt", within("_cand", c == "bk").alias("_best"))
+    best = best.where(F.col("_best").isNotNull()).select(
+        F.col("_lid").alias(left_id), F.col("_best._rv").alias("_rv"),
+        (F.col("_best._rt") - F.col("_lt")).alias("_dt"))
     out = left.join(best, left_id, "left")
     return out.select(
         *left.columns,
-        *[F.col(f"_best._rv.{c}").alias(f"{prefix}{c}") for c in right_cols],
-        (F.col("_best._dt") / 1_000_000).alias(f"{prefix}dt_seconds"))
+        *[F.col(f"_rv.{c}").alias(f"{prefix}{c}") for c in right_cols],
+        (F.col("_dt") / 1_000_000).alias(f"{prefix}dt_seconds"))

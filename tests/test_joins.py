@@ -27,8 +27,10 @@ def _brute_asof(left, right, tol, direction):
     return out
 
 
-@pytest.mark.parametrize("direction", ["nearest", "backward", "forward"])
-def test_asof_matches_brute_force(spark, direction):
+@pytest.mark.parametrize("direction,per_bucket", [
+    ("nearest", None), ("backward", None), ("forward", None),
+    ("nearest", 40), ("backward", 40), ("forward", 40)])
+def test_asof_matches_brute_force(spark, direction, per_bucket):
     rnd = random.Random(5)
     base = 1_700_000_000
     left = [(i, rnd.choice("AB"), base + rnd.randrange(20000)) for i in range(300)]
@@ -36,7 +38,8 @@ def test_asof_matches_brute_force(spark, direction):
     ldf = spark.createDataFrame([(i, k, (dt.datetime(1970, 1, 1) + dt.timedelta(seconds=t))) for i, k, t in left], "lid long, k string, t timestamp")
     rdf = spark.createDataFrame([(i, k, (dt.datetime(1970, 1, 1) + dt.timedelta(seconds=t)), v) for i, k, t, v in right],
                                 "rid long, k string, t2 timestamp, v double")
-    out = asof.asof_join(ldf, rdf, "k", "t", "t2", "lid", "rid", 600, direction, right_cols=["rid", "v"])
+    out = asof.asof_join(ldf, rdf, "k", "t", "t2", "lid", "rid", 600, direction, right_cols=["rid", "v"],
+                         rows_per_bucket=per_bucket)
     got = {r["lid"]: r["rid"] for r in out.collect()}
     assert got == _brute_asof(left, right, 600, direction)
 
@@ -83,3 +86,20 @@ def test_running_totals_match_cumsum(spark, descending, limit):
     pdf["c"] = pdf.groupby("g")["n"].cumsum()
     for g, x, c in zip(pdf["g"], pdf["x"], pdf["c"]):
         assert got[(g, x)] == c
+
+
+def test_asof_hot_key_is_linear(spark):
+    """One key with all rows in one hour: the scan keeps one row per input row (no candidate
+    pairs) and the hot key is spread over several range buckets."""
+    import datetime as _dt
+    t0 = _dt.datetime(2024, 1, 1)
+    left = spark.createDataFrame([(i, "HOT", t0 + _dt.timedelta(seconds=i)) for i in range(400)],
+                                 "lid long, k string, t timestamp")
+    right = spark.createDataFrame([(i, "HOT", t0 + _dt.timedelta(seconds=i + 0.5), float(i))
+                                   for i in range(400)], "rid long, k string, t2 timestamp, v double")
+    out = asof.asof_join(left, right, "k", "t", "t2", "lid", "rid", 3600, "backward",
+                         right_cols=["rid"], rows_per_bucket=100)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" not in plan
+    got = {r["lid"]: r["rid"] for r in out.collect()}
+    assert got == {i: (i - 1 if i > 0 else None) for i in range(400)}

@@ -1,16 +1,17 @@
 """As-of / nearest-in-time join (J6) as an ordered scan, without candidate pairs.
 
-Left and right rows are unioned and sorted by ``(by, time)``; every left row takes the last
-right row before it in that order (backward) or, in the reversed order, the first one after
-it (forward); 'nearest' picks the closer of the two. Each row is shuffled a bounded number of
-times (once per scan), so a key with many rows in one hour costs linear, not quadratic, work.
+Right rows are first reduced to one per ``(by, time)`` (the smallest id, map-side combined).
+Left and right rows are then unioned and sorted by ``(by, time)``; in one pass every left row
+takes the last right row at or before it (backward) and the first one at or after it
+(forward); 'nearest' picks the closer of the two. Every row is shuffled a fixed number of
+times, so a key with many rows in one hour costs linear, not quadratic, work.
 
 The scan is distributed like the running totals of ``cumulative.py``: Spark's range
 partitioner (sampled bounds) cuts the sorted union into buckets of bounded size, so a hot key
 is split by time over several tasks; the bucket id is written with the rows once; each bucket
-carries its last right row forward locally, and the last right row of every earlier bucket of
-the same key (a table with one row per (key, bucket)) fills left rows that saw none in their
-own bucket. Ties at equal distance go to the earlier observation, then the smaller right id.
+carries its last right row forward and its next right row backward locally, and the
+neighbouring buckets of the same key (a table with one row per (key, bucket)) fill left rows
+that saw none in their own bucket. Ties at equal distance go to the earlier observation, then the smaller right id.
 """
 
 from __future__ import annotations
@@ -32,28 +33,38 @@ def epoch_micros(c: str | F.Column) -> F.Column:
     return F.unix_micros(col.cast("timestamp"))
 
 
-def _carry_last_right(u: DataFrame, by: Sequence[str], order: Sequence[F.Column],
-                      n_buckets: int) -> DataFrame:
-    """For every left row of ``u`` (``_side`` = 1): ``_cand``, the last right row
-    (``_side`` = 0) before it within ``by`` in the given order; (_lid, _lt, _cand)."""
+def _scan(u: DataFrame, by: Sequence[str], n_buckets: int) -> DataFrame:
+    """One ordered pass over the union ``u`` (rights unique per (by, time)). For every left row
+    (``_side`` = 1): ``bk``, the last right row at or before it, and ``fw``, the first right
+    row at or after it, within ``by``; columns (_lid, _lt, bk, fw)."""
+    order = [F.col("_t").asc(), F.col("_side").asc()]  # at equal time the right row first
     ranged = u.repartitionByRange(n_buckets, *[F.col(b).asc() for b in by], *order)
     tagged = materialize(ranged.withColumn("_bucket", F.spark_partition_id()), "asof-buckets")
     right_row = F.when(F.col("_side") == 0, F.struct("_rt", "_rid", "_rv"))
-    w_loc = (Window.partitionBy(*by, "_bucket").orderBy(*order)
-             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    local = tagged.select(*by, "_bucket", "_side", "_lid", "_lt",
-                          F.last(right_row, ignorenulls=True).over(w_loc).alias("_loc"),
-                          F.row_number().over(Window.partitionBy(*by, "_bucket").orderBy(*order))
-                          .alias("_rn"))
-    # The last right row of each (key, bucket), then of all earlier buckets of the key.
-    tails = local.groupBy(*by, "_bucket").agg(F.max_by("_loc", "_rn").alias("_tail"))
-    w_prev = (Window.partitionBy(*by).orderBy("_bucket")
-              .rowsBetween(Window.unboundedPreceding, -1))
-    carry = tails.select(*by, "_bucket", F.last("_tail", ignorenulls=True).over(w_prev)
-                         .alias("_carry"))
-    lefts = local.where(F.col("_side") == 1)
-    return (lefts.join(carry, [*by, "_bucket"], "left")
-                 .select("_lid", "_lt", F.coalesce("_loc", "_carry").alias("_cand")))
+    w = Window.partitionBy(*by, "_bucket").orderBy(*order)
+    local = tagged.select(
+        *by, "_bucket", "_side", "_lid", "_lt",
+        F.last(right_row, ignorenulls=True)
+         .over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("_bk"),
+        F.first(right_row, ignorenulls=True)
+         .over(w.rowsBetween(Window.currentRow, Window.unboundedFollowing)).alias("_fw"),
+        F.row_number().over(w).alias("_rn"))
+    # Last / first right row of each (key, bucket), carried into the later / earlier buckets.
+    ends = local.groupBy(*by, "_bucket").agg(F.max_by("_bk", "_rn").alias("_tail"),
+                                             F.min_by("_fw", "_rn").alias("_head"))
+    wb = Window.partitionBy(*by).orderBy("_bucket")
+    carry = ends.select(
+        *by, "_bucket",
+        F.last("_tail", ignorenulls=True).over(wb.rowsBetween(Window.unboundedPreceding, -1))
+         .alias("_cbk"),
+        F.first("_head", ignorenulls=True).over(wb.rowsBetween(1, Window.unboundedFollowing))
+         .alias("_cfw"))
+    lefts = local.where(F.col("_side") == 1).join(carry, [*by, "_bucket"], "left")
+    bk = F.coalesce("_bk", "_cbk")
+    # A right row at exactly the left time sorts before it: it is the backward candidate.
+    fw = F.when(bk.isNotNull() & (bk["_rt"] == F.col("_lt")), bk).otherwise(
+        F.coalesce("_fw", "_cfw"))
+    return lefts.select("_lid", "_lt", bk.alias("bk"), fw.alias("fw"))
 
 
 def asof_join(left: DataFrame, right: DataFrame, by: str | Sequence[str], left_time: str,
@@ -85,40 +96,33 @@ def asof_join(left: DataFrame, right: DataFrame, by: str | Sequence[str], left_t
         *by, F.lit(1).alias("_side"), "_lid", "_lt", F.col("_lt").alias("_t"),
         F.lit(None).cast(rid_type).alias("_rid"), F.lit(None).cast("long").alias("_rt"),
         F.lit(None).cast(rv_type).alias("_rv"))
-    rights = right.select(*by, F.col(right_id).alias("_rid"), rt.alias("_rt"),
-                          F.struct(*right_cols).alias("_rv")).where(
-        keys_ok & F.col("_rt").isNotNull()).select(
-        *by, F.lit(0).alias("_side"), F.lit(None).cast(lid_type).alias("_lid"),
-        F.lit(None).cast("long").alias("_lt"), F.col("_rt").alias("_t"), "_rid", "_rt", "_rv")
+    # One right row per (key, time): the smallest id (the tie rule), map-side combined.
+    rights = (right.select(*by, F.col(right_id).alias("_rid"), rt.alias("_rt"),
+                           F.struct(*right_cols).alias("_rv"))
+                   .where(keys_ok & F.col("_rt").isNotNull())
+                   .groupBy(*by, "_rt").agg(F.min_by(F.struct("_rid", "_rv"), "_rid").alias("_r"))
+                   .select(*by, F.lit(0).alias("_side"), F.lit(None).cast(lid_type).alias("_lid"),
+                           F.lit(None).cast("long").alias("_lt"), F.col("_rt").alias("_t"),
+                           F.col("_r._rid").alias("_rid"), "_rt", F.col("_r._rv").alias("_rv")))
     u = materialize(lefts.unionByName(rights), "asof-union")
     per = ROWS_PER_BUCKET if rows_per_bucket is None else rows_per_bucket
     n_buckets = max(2, math.ceil(u.count() / max(per, 1)))
 
-    cands = {}
-    if direction in ("nearest", "backward"):
-        # Ascending time; at equal time rights before lefts, the smallest right id last.
-        order = [F.col("_t").asc(), F.col("_side").asc(), F.col("_rid").desc_nulls_last()]
-        cands["bk"] = _carry_last_right(u, by, order, n_buckets)
-    if direction in ("nearest", "forward"):
-        # Descending time: the last right seen is the first one at or after the left row.
-        order = [F.col("_t").desc(), F.col("_side").asc(), F.col("_rid").desc_nulls_last()]
-        cands["fw"] = _carry_last_right(u, by, order, n_buckets)
+    both = _scan(u, by, n_buckets)
 
     def within(c: str, backward: bool) -> F.Column:
         d = F.col("_lt") - F.col(f"{c}._rt") if backward else F.col(f"{c}._rt") - F.col("_lt")
         return F.when(F.col(c).isNotNull() & (d <= tol), F.col(c))
 
+    bk, fw = within("bk", True), within("fw", False)
     if direction == "nearest":
-        both = cands["bk"].withColumnRenamed("_cand", "bk").join(
-            cands["fw"].select("_lid", F.col("_cand").alias("fw")), "_lid")
-        bk, fw = within("bk", True), within("fw", False)
         # Equal distance: the earlier observation (the backward one) wins.
         pick_fw = bk.isNull() | (fw.isNotNull() & (
             (F.col("fw._rt") - F.col("_lt")) < (F.col("_lt") - F.col("bk._rt"))))
-        best = both.select("_lid", "_lt", F.when(pick_fw, fw).otherwise(bk).alias("_best"))
+        chosen = F.when(pick_fw, fw).otherwise(bk)
     else:
-        c = "bk" if direction == "backward" else "fw"
-        best = cands[c].select("_lid", "_lt", within("_cand", c == "bk").alias("_best"))
+        chosen = bk if direction == "backward" else fw
+    best = both.select("_lid", "_lt", chosen.alias("_best"))
     best = best.where(F.col("_best").isNotNull()).select(
         F.col("_lid").alias(left_id), F.col("_best._rv").alias("_rv"),
         (F.col("_best._rt") - F.col("_lt")).alias("_dt"))

@@ -103,3 +103,20 @@ def test_asof_hot_key_is_linear(spark):
     assert "Generate" not in plan
     got = {r["lid"]: r["rid"] for r in out.collect()}
     assert got == {i: (i - 1 if i > 0 else None) for i in range(400)}
+
+
+@pytest.mark.parametrize("direction", ["nearest", "backward", "forward"])
+def test_asof_equal_time_ties_match_brute_force(spark, direction):
+    """Observations sharing a time (smallest id wins), departures exactly at an observation
+    time, and equal distance on both sides (the earlier one wins), over several buckets."""
+    base = 1_700_000_000
+    left = [(i, "A", base + 60 * (i % 20) + (30 if i % 3 == 0 else 0)) for i in range(60)]
+    right = [(100 + i, "A", base + 60 * (i % 15), float(i)) for i in range(45)]
+    ldf = spark.createDataFrame([(i, k, dt.datetime(1970, 1, 1) + dt.timedelta(seconds=t))
+                                 for i, k, t in left], "lid long, k string, t timestamp")
+    rdf = spark.createDataFrame([(i, k, dt.datetime(1970, 1, 1) + dt.timedelta(seconds=t), v)
+                                 for i, k, t, v in right], "rid long, k string, t2 timestamp, v double")
+    out = asof.asof_join(ldf, rdf, "k", "t", "t2", "lid", "rid", 45, direction,
+                         right_cols=["rid", "v"], rows_per_bucket=12)
+    got = {r["lid"]: r["rid"] for r in out.collect()}
+    assert got == _brute_asof(left, [(i, k, t, v) for i, k, t, v in right], 45, direction)

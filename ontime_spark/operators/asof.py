@@ -41,24 +41,28 @@ def _scan(u: DataFrame, by: Sequence[str], n_buckets: int) -> DataFrame:
     ranged = u.repartitionByRange(n_buckets, *[F.col(b).asc() for b in by], *order)
     tagged = materialize(ranged.withColumn("_bucket", F.spark_partition_id()), "asof-buckets")
     right_row = F.when(F.col("_side") == 0, F.struct("_rt", "_rid", "_rv"))
+    # Both candidates are running frames (unbounded preceding .. current row), evaluated in
+    # one streaming pass each; a frame reaching to unbounded following would be re-aggregated
+    # for every row (quadratic in the bucket). Forward runs over the descending order, where
+    # at equal time the left row comes first (a right row at the same time is backward's).
     w = Window.partitionBy(*by, "_bucket").orderBy(*order)
+    w_desc = Window.partitionBy(*by, "_bucket").orderBy(F.col("_t").desc(), F.col("_side").desc())
+    running = (Window.unboundedPreceding, Window.currentRow)
     local = tagged.select(
         *by, "_bucket", "_side", "_lid", "_lt",
-        F.last(right_row, ignorenulls=True)
-         .over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("_bk"),
-        F.first(right_row, ignorenulls=True)
-         .over(w.rowsBetween(Window.currentRow, Window.unboundedFollowing)).alias("_fw"),
+        F.last(right_row, ignorenulls=True).over(w.rowsBetween(*running)).alias("_bk"),
+        F.last(right_row, ignorenulls=True).over(w_desc.rowsBetween(*running)).alias("_fw"),
         F.row_number().over(w).alias("_rn"))
     # Last / first right row of each (key, bucket), carried into the later / earlier buckets.
     ends = local.groupBy(*by, "_bucket").agg(F.max_by("_bk", "_rn").alias("_tail"),
                                              F.min_by("_fw", "_rn").alias("_head"))
-    wb = Window.partitionBy(*by).orderBy("_bucket")
+    before = Window.partitionBy(*by).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    after = (Window.partitionBy(*by).orderBy(F.col("_bucket").desc())
+             .rowsBetween(Window.unboundedPreceding, -1))
     carry = ends.select(
         *by, "_bucket",
-        F.last("_tail", ignorenulls=True).over(wb.rowsBetween(Window.unboundedPreceding, -1))
-         .alias("_cbk"),
-        F.first("_head", ignorenulls=True).over(wb.rowsBetween(1, Window.unboundedFollowing))
-         .alias("_cfw"))
+        F.last("_tail", ignorenulls=True).over(before).alias("_cbk"),
+        F.last("_head", ignorenulls=True).over(after).alias("_cfw"))
     lefts = local.where(F.col("_side") == 1).join(carry, [*by, "_bucket"], "left")
     bk = F.coalesce("_bk", "_cbk")
     # A right row at exactly the left time sorts before it: it is the backward candidate.

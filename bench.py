@@ -10,6 +10,7 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -42,7 +43,8 @@ def main() -> None:
 
     spark = get_spark("ontime_spark_bench", master=f"local[{cpus}]",
                       shuffle_partitions=max(8, 2 * cpus),
-                      conf={"spark.driver.memory": "16g"})
+                      conf={"spark.driver.memory": "16g",
+                            "spark.checkpoint.dir": tempfile.mkdtemp(prefix="bench-ckpt-")})
     # Warm-up: JVM start, file listing and code paths shared by all queries.
     QUERIES["a10_distinct_airports"](spark, sf_dir).write.format("noop").mode("overwrite").save()
 

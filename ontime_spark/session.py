@@ -1,14 +1,12 @@
 """Spark session construction and lineage cutting.
 
 Everything in the library takes a ``SparkSession`` (or DataFrames) from the caller; this module
-only offers a session with sensible defaults for local runs and tests, and the checkpoint
-helper that honours the cluster's ``spark.checkpoint.dir``.
+only offers a session with sensible defaults for local runs and tests, and the intermediate tables
+that live in the cluster's shared checkpoint folder.
 """
 
 from __future__ import annotations
 
-import os
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -46,31 +44,28 @@ def get_spark(app: str = "ontime_spark", master: str | None = None,
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder named by ``spark.checkpoint.dir``.
-
-    When the setting is absent (unit tests on a laptop) a scratch folder is created and
-    recorded in the session; on a cluster the configured shared folder is always used.
-    """
+    """The shared folder for intermediate tables: the one the caller set with
+    ``setCheckpointDir`` if any, else the one named by ``spark.checkpoint.dir``.
+
+    Executors must be able to read what the driver and other executors wrote, so no folder is
+    ever made up here and the caller's choice is never replaced; with neither set a
+    ``ValueError`` says what to configure."""
+    chosen = spark.sparkContext._jsc.sc().getCheckpointDir()
+    if chosen.isDefined():
+        return chosen.get()
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
-        path = tempfile.mkdtemp(prefix="ontime-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", path)
-    try:
-        spark.sparkContext.setCheckpointDir(path)
-    except Exception:  # noqa: BLE001 - sessions without a SparkContext still get the folder
-        pass
+        raise ValueError("no shared folder for intermediate tables: set spark.checkpoint.dir (or "
+                         "call sparkContext.setCheckpointDir) to a path every executor can read")
     return path
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint (written to the shared checkpoint folder, survives executor loss)."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+_written: list[str] = []
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A sub-folder of the shared checkpoint folder for intermediate tables."""
-    return os.path.join(checkpoint_dir(spark), name)
+    return f"{checkpoint_dir(spark).rstrip('/')}/{name}"
 
 
 def materialize(df: DataFrame, name: str = "table") -> DataFrame:
@@ -78,8 +73,27 @@ def materialize(df: DataFrame, name: str = "table") -> DataFrame:
 
     Cuts the lineage like ``checkpoint()`` but stays columnar: later passes prune columns and
     push filters into the files, and a lost executor re-reads files instead of recomputing
-    the upstream joins."""
+    the upstream joins. ``release`` removes what a finished job wrote."""
     spark = df.sparkSession
     path = scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
+    schema = df.schema
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    _written.append(path)
+    return spark.read.schema(schema).parquet(path)
+
+
+def mark() -> int:
+    """A position in the list of written intermediates, to be passed to ``release``."""
+    return len(_written)
+
+
+def release(spark: SparkSession, since: int = 0) -> int:
+    """Remove the intermediate tables written after ``since`` (a ``mark()``), when every result
+    that reads them has been written or collected. Returns how many were removed."""
+    paths, _written[since:] = _written[since:], []
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for p in paths:
+        path = jvm.org.apache.hadoop.fs.Path(p)
+        path.getFileSystem(conf).delete(path, True)
+    return len(paths)

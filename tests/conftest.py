@@ -12,9 +12,10 @@ SF_SMALL = "/root/testdata/sf0.001"
 @pytest.fixture(scope="session")
 def spark():
     from ontime_spark.session import get_spark
-    s = get_spark("ontime_spark_tests", master="local[4]", shuffle_partitions=4)
-    if not s.conf.get("spark.checkpoint.dir", None):
-        s.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="ckpt-", dir="/tmp"))
+    # The library never makes up a folder for intermediates: the session names one.
+    s = get_spark("ontime_spark_tests", master="local[4]", shuffle_partitions=4,
+                  conf={"spark.checkpoint.dir": tempfile.mkdtemp(prefix="ckpt-", dir="/tmp"),
+                        "spark.driver.memory": "4g"})
     yield s
 
 

@@ -159,7 +159,7 @@ def with_result(docs: DataFrame, text_col: str, fields: str, fn,
     while name.lower() in {c.lower() for c in docs.columns}:
         name += "_"
     at = docs.columns.index(text_col)
-    schema = StructType(list(docs.schema.fields)).add(name, f"struct<{fields}>")
+    schema = StructType(list(docs.schema.fields)).add(name, StructType.fromDDL(fields))
     names = [f.name for f in schema[name].dataType.fields]
 
     def run(batches):

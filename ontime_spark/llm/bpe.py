@@ -359,23 +359,27 @@ def decode(encoded: DataFrame, ids_col: str = "ids", tokenizers: str = TOKENIZER
 
 
 def round_trip(docs: DataFrame, text_col: str = "text", tokenizers: str = TOKENIZERS,
-               name: str = VOCABULARY) -> tuple[DataFrame, str]:
+               name: str = VOCABULARY, keep_ids: bool = False) -> tuple[DataFrame, str]:
     """``docs`` plus a struct (its name is returned too): n_tokens, ids_sha256 (of the decimal
-    ids joined by one space) and decoded_sha256 (of the bytes that the ids decode to). Encodes
-    and decodes in one pass, so that ids are not written between."""
+    ids joined by one space), decoded_sha256 (of the bytes that the ids decode to) and, if asked
+    for, ids. Encodes and decodes in one pass, so that ids need not be written between."""
     path, pattern = vocabulary(tokenizers, name)
 
     def run(texts):
         e = encoder(path, pattern)
-        n, ids_sha, decoded_sha = [], [], []
+        n, ids_sha, decoded_sha, arrays = [], [], [], []
         for _, done in e.chunks(texts):
             for ids in done:
                 n.append(ids.count(" ") + 1 if ids else 0)
                 ids_sha.append(hashlib.sha256(ids.encode()).hexdigest())
                 decoded_sha.append(hashlib.sha256(e.decode_bytes(ids)).hexdigest())
-        return [pa.array(n, pa.int64()), pa.array(ids_sha), pa.array(decoded_sha)]
+                if keep_ids:
+                    arrays.append(np.fromstring(ids, np.int32, sep=" "))
+        out = [pa.array(n, pa.int64()), pa.array(ids_sha, pa.string()), pa.array(decoded_sha, pa.string())]
+        return out + ([pa.array(arrays, pa.list_(pa.int32()))] if keep_ids else [])
 
-    return common.with_result(docs, text_col, "n_tokens: bigint, ids_sha256: string, decoded_sha256: string", run)
+    fields = "n_tokens: bigint, ids_sha256: string, decoded_sha256: string" + ", ids: array<int>" * keep_ids
+    return common.with_result(docs, text_col, fields, run)
 
 
 def digest_columns(docs: DataFrame, **options) -> DataFrame:

@@ -151,13 +151,19 @@ def shingles(hashes: np.ndarray, doc: np.ndarray, n_docs: int, k: int):
     return h, np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=n_docs))]).astype(np.int64)
 
 
+def fresh(columns: list[str], name: str) -> str:
+    """``name``, lengthened until no column has it."""
+    while name.lower() in {c.lower() for c in columns}:
+        name += "_"
+    return name
+
+
 def with_result(docs: DataFrame, text_col: str, fields: str, fn,
                 name: str = "_result") -> tuple[DataFrame, str]:
     """(``docs`` plus a struct column of ``fields``, its name), computed by ``fn(texts)`` from
     the text column of each Arrow batch; ``fn`` returns one array per field. All other columns
     pass through as they are. The result column gets a name that no column has."""
-    while name.lower() in {c.lower() for c in docs.columns}:
-        name += "_"
+    name = fresh(docs.columns, name)
     at = docs.columns.index(text_col)
     schema = StructType(list(docs.schema.fields)).add(name, StructType.fromDDL(fields))
     names = [f.name for f in schema[name].dataType.fields]

@@ -265,6 +265,19 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                     F.col("id").eqNullSafe(F.col("component_id")).alias("kept")))
 
 
+def representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """The documents that are kept, one row of each, columns unchanged. Rows that agree in id and
+    text are one document; documents without words are all kept."""
+    text = F.col(text_col).cast("string")
+    flagged = near_duplicates(docs.select(F.struct(F.col(id_col).alias("id"), F.xxhash64(text).alias("text")).alias("key"),
+                                          text.alias("text")), "key", "text", **options)
+    kept = flagged.where("kept").select(F.col("key")["id"].alias("_id"), F.col("key")["text"].alias("_version")).distinct()
+    name = common.fresh(docs.columns, "_text_hash")
+    kept = kept.withColumnsRenamed({"_id": common.fresh(docs.columns, "_kept_id"), "_version": common.fresh(docs.columns, "_kept_hash")})
+    rows = docs.withColumn(name, F.xxhash64(text)).dropDuplicates([id_col, name])
+    return rows.join(kept, rows[id_col].eqNullSafe(kept[kept.columns[0]]) & (rows[name] == kept[kept.columns[1]]), "left_semi").drop(name)
+
+
 def op4_minhash_near_dedup(spark, sf_dir: str) -> DataFrame:
     """Every document with its shingle count, component and whether it is the one kept."""
     return near_duplicates(common.read(spark, sf_dir, "documents"))

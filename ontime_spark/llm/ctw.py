@@ -144,7 +144,8 @@ def log_gamma(x: Column) -> Column:
     for i in range(1, 7):
         product = product * (x + i)
     series = (y - 0.5) * F.log(y) - y + 0.5 * math.log(2 * math.pi) + 1 / (12 * y) - 1 / (360 * y * y * y)
-    return series + 1 / (1260 * y * y * y * y * y) - F.log(product)
+    square = y * y
+    return series + 1 / (1260 * square * square * y) - 1 / (1680 * square * square * square * y) - F.log(product)
 
 
 def _log_kt(n0: Column, n1: Column) -> Column:

@@ -4,7 +4,8 @@ A page is cut into blocks at block-level tags. The first pass decides each block
 stands (a menu, header, footer, sidebar, notice, advert, form or comment section is never main
 text; with an ``article`` or ``main`` on the page nothing outside it is), from its link density,
 its length and the share of stop words. Short blocks and blocks of middling stop-word density
-stay ambiguous; the second pass gives them the label of the nearest decided neighbour.
+stay ambiguous; the second pass gives them the label of the nearest decided neighbour (a
+heading: of what follows; one in the same element counts as nearer than one outside).
 """
 
 from __future__ import annotations
@@ -42,6 +43,7 @@ cuando muy sin sobre también me hasta hay donde quien desde todo nos durante so
 _BLOCK = frozenset("""address article aside blockquote body center dd details dialog dir div dl dt fieldset
 figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre section
 summary table tbody td tfoot th thead tr ul""".split())
+_LEAF = frozenset("p h1 h2 h3 h4 h5 h6 li dt dd pre".split())
 _HEADING = frozenset("h1 h2 h3 h4 h5 h6".split())
 _RAW = ("script", "style", "title", "textarea", "noscript", "template", "svg", "iframe", "select", "object", "button")
 _VOID = frozenset("br hr img input meta link wbr area base col embed source track param".split())
@@ -72,6 +74,7 @@ class Block:
     chrome: bool
     landmark: bool
     heading: bool
+    parent: int = 0
 
     def stop_share(self) -> float:
         words = self.text.lower().split()
@@ -106,7 +109,8 @@ def _is_landmark(tag: str, attrs: str) -> bool:
 def blocks(page: str) -> list[Block]:
     """The blocks of a page in order; empty ones are left out."""
     out: list[Block] = []
-    stack: list[tuple[str, bool, bool]] = []  # tag, chrome, landmark
+    stack: list[tuple[str, bool, bool, int]] = []  # tag, chrome, landmark, number
+    opened = 0
     parts: list[str] = []
     linked = 0
     in_link = 0
@@ -117,7 +121,9 @@ def blocks(page: str) -> list[Block]:
         if parts:
             text = " ".join("".join(parts).split())
             if text:
-                out.append(Block(text, linked, any(s[1] for s in stack), any(s[2] for s in stack), heading))
+                own = stack[:-1] if stack and stack[-1][0] in _LEAF else stack
+                out.append(Block(text, linked, any(s[1] for s in stack), any(s[2] for s in stack), heading,
+                                 own[-1][3] if own else 0))
             parts.clear()
         linked = 0
 
@@ -151,7 +157,8 @@ def blocks(page: str) -> list[Block]:
             elif tag not in _VOID and m["attrs"] and not m["attrs"].endswith("/") and _is_chrome(
                     tag, m["attrs"], any(s[2] for s in stack)):
                 flush()
-                stack.append((tag, True, False))
+                opened += 1
+                stack.append((tag, True, False, opened))
         elif m["close"]:
             flush()
             heading = False
@@ -171,7 +178,8 @@ def blocks(page: str) -> list[Block]:
             elif tag == "li":
                 if stack and stack[-1][0] == "li":
                     stack.pop()
-            stack.append((tag, _is_chrome(tag, m["attrs"], any(s[2] for s in stack)), _is_landmark(tag, m["attrs"])))
+            opened += 1
+            stack.append((tag, _is_chrome(tag, m["attrs"], any(s[2] for s in stack)), _is_landmark(tag, m["attrs"]), opened))
     add(page[at:])
     flush()
     return out
@@ -211,6 +219,8 @@ def classify(found: list[Block]) -> list[bool]:
             good.append(sides[-1] or landmarks and any(sides))
         elif len(sides) == 1:
             good.append(sides[0])
+        elif (found[before].parent == found[i].parent) != (found[after].parent == found[i].parent):
+            good.append(sides[0] if found[before].parent == found[i].parent else sides[1])
         elif i - before != after - i:
             good.append(sides[0] if i - before < after - i else sides[1])
         else:

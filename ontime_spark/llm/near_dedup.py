@@ -269,7 +269,7 @@ def representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """The documents that are kept, one row of each, columns unchanged. Rows that agree in id and
     text are one document; documents without words are all kept."""
     text = F.col(text_col).cast("string")
-    flagged = near_duplicates(docs.select(F.struct(F.col(id_col).alias("id"), F.xxhash64(text).alias("text")).alias("key"),
+    flagged = near_duplicates(docs.select(F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), F.xxhash64(text).alias("text")).alias("key"),
                                           text.alias("text")), "key", "text", **options)
     kept = flagged.where("kept").select(F.col("key")["id"].alias("_id"), F.col("key")["text"].alias("_version")).distinct()
     name = common.fresh(docs.columns, "_text_hash")

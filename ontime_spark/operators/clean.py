@@ -3,9 +3,10 @@ missing-value profile (A6), table profile (A11) and the chained preprocess step
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -24,24 +25,38 @@ def string_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
 
 
+def parsed_number(c: str, target: T.DataType) -> F.Column:
+    """Text as a number of ``target``: read as a double first, so that "1200.0" is a valid
+    integer; NaN and unparsable text are null."""
+    d = F.col(c).try_cast("double")
+    d = F.when(~F.isnan(d), d)
+    return d if isinstance(target, T.DoubleType) else d.try_cast(target)
+
+
 def cast_types(df: DataFrame) -> DataFrame:
-    """carrier/origin/dest to string, fl_date to date, numeric candidates to their canonical
-    type. Unparsable values become null (``try_cast``: ANSI mode would otherwise fail)."""
-    target = {f.name: f.dataType for f in S.FLIGHTS_SCHEMA.fields}
+    """Every canonical column to its type: carrier/origin/dest to string, fl_date to date,
+    numbers and flags to their canonical type. Unparsable values become null (``try_cast``:
+    ANSI mode would otherwise fail). Columns of other names keep their type."""
+    present = {f.name: f.dataType for f in df.schema.fields}
     changes = {}
     for c in S.STRING_COLUMNS:
-        if c in df.columns:
+        if c in present:
             changes[c] = F.col(c).cast("string")
-    if "fl_date" in df.columns:
-        changes["fl_date"] = F.col("fl_date").try_cast("date")
-    for c in S.NUMERIC_CANDIDATES:
-        if c in df.columns:
-            changes[c] = F.col(c).try_cast(target[c])
+    for f in S.FLIGHTS_SCHEMA.fields:
+        if f.name not in present or f.name in changes:
+            continue
+        if isinstance(f.dataType, T.DateType):
+            changes[f.name] = F.col(f.name).try_cast("date")
+        elif isinstance(f.dataType, _NUMERIC):
+            text = isinstance(present[f.name], T.StringType)
+            if text or f.name in S.NUMERIC_CANDIDATES:
+                changes[f.name] = parsed_number(f.name, f.dataType) if text else F.col(f.name).try_cast(f.dataType)
     return df.withColumns(changes) if changes else df
 
 
 def _kept() -> F.Column:
-    return F.coalesce(F.col("cancelled").cast("double") == 0, F.lit(False))
+    # Text that is no number counts as a missing value.
+    return F.coalesce(F.col("cancelled").try_cast("double") == 0, F.lit(False))
 
 
 def filter_cancelled(df: DataFrame) -> DataFrame:
@@ -65,7 +80,7 @@ def cancelled_counts(df: DataFrame) -> DataFrame:
 def add_delay_label(df: DataFrame, threshold: float = S.DELAY_THRESHOLD_MINUTES) -> DataFrame:
     """``is_delayed`` = arr_delay >= threshold; a missing delay is labelled 0."""
     if "arr_delay" not in df.columns:
-        raise KeyError("Column 'arr_delay' is required to create the delay target.")
+        raise KeyError("no arr_delay column to label delays from")
     return df.withColumn(
         S.TARGET_COL, F.coalesce(F.col("arr_delay") >= threshold, F.lit(False)).cast("int"))
 
@@ -121,6 +136,20 @@ class MissingValueFiller:
                 fills[c] = F.coalesce(F.col(c), F.lit(self.unknown))
         return df.withColumns(fills) if fills else df
 
+    def save(self, spark: SparkSession, path: str) -> None:
+        """The learned medians and text columns as one JSON line under ``path``."""
+        state = {"exact": self.exact, "unknown": self.unknown, "medians": self.medians,
+                 "string_cols": self.string_cols}
+        (spark.createDataFrame([(json.dumps(state),)], "state string").coalesce(1)
+              .write.mode("overwrite").text(path))
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> "MissingValueFiller":
+        state = json.loads(spark.read.text(path).first()[0])
+        out = cls(state["exact"], state["unknown"])
+        out.medians, out.string_cols = state["medians"], state["string_cols"]
+        return out
+
 
 def fill_missing(df: DataFrame, exact: bool = True) -> DataFrame:
     """Numeric nulls -> column median, string nulls -> 'UNKNOWN'."""

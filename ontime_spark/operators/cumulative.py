@@ -3,11 +3,10 @@ built on them.
 
 A window ``orderBy(x)`` with no partition (or one partition per column) moves every row of a
 group into one task. Here the input is first collapsed to distinct ordering values (a
-map-side-combined ``groupBy``) and counted. A histogram of at most one million rows runs one
-window; a larger one is range-partitioned into buckets of about that size (bucket count grows
-with the data), each bucket sums locally in its own task, and the bucket totals (groups x
-buckets rows) give the offsets, which are broadcast back. No task holds more than one bucket,
-however skewed the original data is.
+map-side-combined ``groupBy``) and counted. The histogram is range-partitioned into buckets of
+about ``ROWS_PER_BUCKET`` rows (two at least, their number grows with the data), each bucket sums
+locally in its own task, and the bucket totals (groups x buckets rows) give the offsets, which
+are broadcast back. No task holds more than one bucket, however skewed the original data is.
 """
 
 from __future__ import annotations
@@ -20,39 +19,31 @@ from pyspark.sql import functions as F
 
 from ontime_spark.session import materialize
 
-# Rows per task for running sums: a histogram up to this size runs one window; a larger one
-# is cut into ceil(rows / SINGLE_TASK_ROWS) range buckets.
-SINGLE_TASK_ROWS = 1_000_000
+# Histogram rows that one task sums: ceil(rows / ROWS_PER_BUCKET) range buckets, two at least.
+ROWS_PER_BUCKET = 1_000_000
 
 
 def running_totals(hist: DataFrame, keys: Sequence[str], order_col: str,
                    value_cols: Sequence[str], descending: bool = False,
                    buckets: int | None = None, prefix: str = "cum_",
-                   single_task_rows: int | None = None) -> DataFrame:
+                   rows_per_bucket: int | None = None) -> DataFrame:
     """Add ``cum_<v>``: the inclusive running sum of each value column within ``keys``,
     ordered by ``order_col`` (distinct per key group) ascending or descending.
 
-    The histogram is counted first. Up to ``single_task_rows`` rows a plain running window is
-    used. Beyond it, Spark's range partitioner (sampled bounds, binary search per row) cuts
-    the histogram into ``ceil(rows / single_task_rows)`` buckets ordered by (keys, order); the
-    bucket id is written with the rows once (so it cannot change if a task is recomputed);
-    each bucket computes local sums in its own task and adds the totals of the earlier
-    buckets of its key group (a table of groups x buckets rows, broadcast). ``buckets``
+    The histogram is counted, then Spark's range partitioner (sampled bounds, binary search per
+    row) cuts it into ``ceil(rows / rows_per_bucket)`` buckets, two at least, ordered by
+    (keys, order); the bucket id is written with the rows once (so it cannot change if a task is
+    recomputed); each bucket computes local sums in its own task and adds the totals of the
+    earlier buckets of its key group (a table of groups x buckets rows, broadcast). ``buckets``
     overrides the bucket count (tests)."""
     keys = list(keys)
     out_cols = list(hist.columns)
     ox = F.col(order_col).desc() if descending else F.col(order_col).asc()
-    limit = SINGLE_TASK_ROWS if single_task_rows is None else single_task_rows
-    # The histogram is read twice (size check, then sums): write it once so its source (a
-    # scan and aggregation, or a model scoring a test set) is evaluated once.
+    limit = ROWS_PER_BUCKET if rows_per_bucket is None else rows_per_bucket
+    # The histogram is read twice (count, then sums): write it once so its source (a scan and
+    # aggregation, or a model scoring a test set) is evaluated once.
     hist = materialize(hist, "histogram")
-    n = hist.count()
-    if buckets is None and n <= limit:
-        w = (Window.partitionBy(*keys).orderBy(ox)
-             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-        return hist.select(*out_cols, *[F.sum(v).over(w).alias(f"{prefix}{v}")
-                                        for v in value_cols])
-    n_buckets = buckets or max(2, math.ceil(n / max(limit, 1)))
+    n_buckets = buckets or max(2, math.ceil(hist.count() / max(limit, 1)))
     ranged = hist.repartitionByRange(n_buckets, *[F.col(k) for k in keys], ox)
     tagged = materialize(ranged.withColumn("_bucket", F.spark_partition_id()), "running-buckets")
 

@@ -27,7 +27,7 @@ def resolve_carrier_col(df: DataFrame) -> str:
     for c in S.CARRIER_CANDIDATES:
         if c in df.columns:
             return c
-    raise KeyError("Cannot find a carrier column; expected one of: "
+    raise KeyError("the table has none of the carrier columns "
                    + ", ".join(S.CARRIER_CANDIDATES))
 
 
@@ -166,19 +166,30 @@ class OrdinalEncoderModel:
             out = out.select(*self.tables.keys(), *[c for c in passthrough if c not in self.tables])
         return out
 
+    def save(self, path: str) -> None:
+        """The code tables under ``path``, one folder per column."""
+        for c, t in self.tables.items():
+            t.write.mode("overwrite").parquet(os.path.join(path, f"column={c}"))
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str, columns: Sequence[str] = S.CATEGORICAL_FEATURES
+             ) -> "OrdinalEncoderModel":
+        tables = {c: spark.read.parquet(os.path.join(path, f"column={c}")) for c in columns}
+        return cls(tables, {c: t.count() for c, t in tables.items()})
+
 
 class OrdinalEncoder:
     """M5 fit: sorted distinct categories per column, code = rank - 1.
 
     The rank is a running count over the distinct categories (``cumulative.running_totals``):
     a column with many categories (routes) is range-bucketed rather than ranked in one task.
-    ``single_task_rows`` overrides the bucketing threshold (tests)."""
+    ``rows_per_bucket`` overrides the bucketing threshold (tests)."""
 
     def __init__(self, columns: Sequence[str] = S.CATEGORICAL_FEATURES, checkpoint: bool = True,
-                 single_task_rows: int | None = None):
+                 rows_per_bucket: int | None = None):
         self.columns = list(columns)
         self.checkpoint = checkpoint
-        self.single_task_rows = single_task_rows
+        self.rows_per_bucket = rows_per_bucket
 
     def fit(self, df: DataFrame) -> OrdinalEncoderModel:
         from ontime_spark.operators.cumulative import running_totals
@@ -187,7 +198,7 @@ class OrdinalEncoder:
             cats = df.select(F.col(c).cast("string").alias("category")).where(
                 F.col("category").isNotNull()).distinct().withColumn("_one", F.lit(1))
             ranked = running_totals(cats, [], "category", ["_one"], prefix="_rank",
-                                    single_task_rows=self.single_task_rows)
+                                    rows_per_bucket=self.rows_per_bucket)
             t = ranked.select("category", (F.col("_rank_one") - 1).cast("int").alias("code"))
             if self.checkpoint:
                 t = materialize(t, f"codes-{c}")

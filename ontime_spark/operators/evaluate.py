@@ -142,7 +142,7 @@ def best_thresholds(sweep: DataFrame, metrics: tuple[str, ...] = SWEEP_METRICS)
     wins ties. Rows: metric, threshold, value."""
     for m in metrics:
         if m not in SWEEP_METRICS:
-            raise ValueError(f"Unsupported metric '{m}'. Choose from {list(SWEEP_METRICS)}")
+            raise ValueError(f"the sweep has no metric {m!r}, only {', '.join(SWEEP_METRICS)}")
     long = sweep.select("threshold", F.inline(F.array(*[
         F.struct(F.lit(m).alias("metric"), F.col(m).alias("value")) for m in metrics])))
     best = long.groupBy("metric").agg(F.max_by(F.struct("threshold", "value"),

@@ -3,9 +3,10 @@ route (L5) and ``build_features`` (L6).
 
 Plan shape of the airport group: one aggregation over the flights exploded to their two ends
 (origin, dest) yields a small table keyed by (side, airport, date) carrying the per-hour flight
-counts (a map of at most 24 entries) and the leakage-safe rolling delay rate. Each side joins
-it once, so the group costs one shuffle of partial aggregates and two joins of the flight rows
-(AQE turns them into broadcasts when the table proves small and splits skewed airport-days).
+counts (a map of at most 24 entries) and the leakage-safe rolling delay rate. It is written once
+and each side joins it, so the group costs one shuffle of partial aggregates and two joins of
+the flight rows (AQE turns them into broadcasts when the table proves small and splits skewed
+airport-days).
 """
 
 from __future__ import annotations
@@ -19,6 +20,7 @@ from ontime_spark import schemas as S
 from ontime_spark.functions import route as R
 from ontime_spark.functions import temporal as TF
 from ontime_spark.functions import weather as WF
+from ontime_spark.session import materialize
 
 SIDES = ("origin", "dest")
 
@@ -130,19 +132,66 @@ def _both_sides(df: DataFrame, date_col: str, extra: list) -> DataFrame:
     return df.select(F.col(date_col).alias("_date"), *extra, F.inline(ends))
 
 
+def airport_daily_rates(history: DataFrame, date_col: str = "fl_date",
+                        target: str = S.TARGET_COL) -> DataFrame:
+    """The airport-day table that scoring needs: (side, airport, date, daily_rate), the mean
+    label of each airport's days as origin and as destination. One row per airport and day."""
+    ends = _both_sides(history, date_col, [F.col(target).cast("double").alias("_y")])
+    return (ends.where(F.col("airport").isNotNull() & F.col("_date").isNotNull())
+                .groupBy("side", "airport", F.col("_date").cast("date").alias("date"))
+                .agg(F.avg("_y").alias("daily_rate")))
+
+
+def rates_before(keys: DataFrame, rates: DataFrame, grid: str = "active",
+                 window: int = S.ROLLING_WINDOW) -> DataFrame:
+    """``keys`` (side, airport, _date, ...) plus ``_roll``: the mean daily rate of the last
+    ``window`` grid days of ``rates`` strictly before each key's date, null when there is none.
+    A key's date need not occur in ``rates``: a future date looks back at the newest days.
+
+    Rates and keys are ordered together per airport; no row is compared with another one."""
+    own = [c for c in keys.columns if c not in ("side", "airport", "_date")]
+    day = F.unix_date(F.col("_date").cast("date"))
+    asked = keys.select("side", "airport", "_date", F.struct(F.lit(1).alias("_one"), *own).alias("_key"))
+    known = rates.select("side", "airport", F.col("date").alias("_date"), "daily_rate")
+    if grid == "active":
+        back = Window.partitionBy("side", "airport").orderBy("_date").rowsBetween(1 - window, 0)
+        known = known.select("side", "airport", "_date", F.avg("daily_rate").over(back).alias("_value"))
+        frame = (Window.partitionBy("side", "airport").orderBy("_day")
+                 .rangeBetween(Window.unboundedPreceding, -1))
+        roll = F.last("_value", ignorenulls=True).over(frame)
+        both = known.unionByName(asked, allowMissingColumns=True).withColumn("_day", day)
+    elif grid == "dense":
+        # Dates are bounded by the calendar: one task numbers them, the index is broadcast. A
+        # date without history stands right after the last history date before it.
+        dates = (known.select("_date", F.lit(1).alias("h")).union(asked.select("_date", F.lit(0)))
+                 .groupBy("_date").agg(F.max("h").alias("h")))
+        before = Window.orderBy("_date").rowsBetween(Window.unboundedPreceding, -1)
+        idx = dates.select("_date", (F.coalesce(F.sum("h").over(before), F.lit(0)) + 1).alias("_day"))
+        frame = Window.partitionBy("side", "airport").orderBy("_day").rangeBetween(-window, -1)
+        roll = F.avg("_value").over(frame)
+        both = (known.withColumnRenamed("daily_rate", "_value")
+                .unionByName(asked, allowMissingColumns=True).join(F.broadcast(idx), "_date"))
+    else:
+        raise ValueError(f"grid must be 'active' or 'dense', not {grid!r}")
+    return (both.withColumn("_roll", roll).where(F.col("_key").isNotNull())
+                .select("side", "airport", "_date", *[F.col("_key")[c].alias(c) for c in own], "_roll"))
+
+
 def airport_day_table(df: DataFrame, history: DataFrame | None = None, grid: str = "active",
                       window: int = S.ROLLING_WINDOW, date_col: str = "fl_date",
-                      target: str = S.TARGET_COL) -> DataFrame:
-    """Per (side, airport, date): ``_hour_counts`` (hour -> scheduled flights, from ``df``) and
-    ``_roll`` (W1 rolling delay rate, from ``history``, default ``df``).
-
-    Both sides come out of one aggregation over the flights exploded to (origin, dest): one
-    shuffle of partial aggregates instead of one per side and per feature."""
+                      target: str = S.TARGET_COL, rates: DataFrame | None = None) -> DataFrame:
+    """Per (side, airport, date) of ``df``: ``_hour_counts`` (hour -> scheduled flights) and
+    ``_roll`` (W1 rolling delay rate).
+
+    The rates come from ``rates`` (an ``airport_daily_rates`` table, e.g. a saved one), else
+    from ``history``, else from ``df`` itself when it is labelled; without any of them ``_roll``
+    is null. Both sides come out of one aggregation over the flights exploded to
+    (origin, dest): one shuffle of partial aggregates instead of one per side and feature."""
     hour_ok = "hour_of_day" in df.columns
-    hist = df if history is None else history
-    has_target = target in hist.columns
-    same = history is None
-    y = [F.col(target).cast("double").alias("_y")] if (same and has_target) else []
+    same = rates is None and history is None and target in df.columns
+    if rates is None and history is not None and target in history.columns:
+        rates = airport_daily_rates(history, date_col, target)
+    y = [F.col(target).cast("double").alias("_y")] if same else []
     ex = _both_sides(df, date_col, ([F.col("hour_of_day")] if hour_ok else [F.lit(None).cast("int").alias("hour_of_day")]) + y)
     ex = ex.where(F.col("airport").isNotNull() & F.col("_date").isNotNull())
     per_hour = ex.groupBy("side", "airport", "_date", "hour_of_day").agg(
@@ -152,46 +201,29 @@ def airport_day_table(df: DataFrame, history: DataFrame | None = None, grid: str
         F.map_from_entries(F.collect_list(F.when(F.col("hour_of_day").isNotNull(),
                                                   F.struct("hour_of_day", "n")))).alias("_hour_counts"),
         *([(F.sum("s") / F.sum("ny")).alias("daily_rate")] if y else []))
-    if has_target and not same:
-        hx = _both_sides(hist, date_col, [F.col(target).cast("double").alias("_y")])
-        rates = (hx.where(F.col("airport").isNotNull() & F.col("_date").isNotNull())
-                   .groupBy("side", "airport", "_date").agg(F.avg("_y").alias("daily_rate")))
-    else:
-        rates = daily if has_target else None
+    if same:
+        own = materialize(daily, "airport-days")
+        return rates_before(own.drop("daily_rate"),
+                            own.select("side", "airport", F.col("_date").cast("date").alias("date"), "daily_rate"),
+                            grid, window)
     if rates is None:
         return daily.withColumn("_roll", F.lit(None).cast("double"))
-    if grid == "active":
-        w = Window.partitionBy("side", "airport").orderBy("_date").rowsBetween(-window, -1)
-        rolled = rates.withColumn("_roll", F.avg("daily_rate").over(w))
-    elif grid == "dense":
-        # Distinct dates are bounded by the calendar: one task ranks them, broadcast after.
-        src = hist if not same else df
-        dates = src.where(F.col(date_col).isNotNull()).select(F.col(date_col).alias("_date")).distinct()
-        idx = dates.withColumn("_date_idx", F.dense_rank().over(Window.orderBy("_date")))
-        w = Window.partitionBy("side", "airport").orderBy("_date_idx").rangeBetween(-window, -1)
-        rolled = rates.join(F.broadcast(idx), "_date").withColumn("_roll", F.avg("daily_rate").over(w))
-    else:
-        raise ValueError(f"grid must be 'active' or 'dense', not {grid!r}")
-    if same:
-        return rolled.select("side", "airport", "_date", "_hour_counts", "_roll")
-    return daily.join(rolled.select("side", "airport", "_date", "_roll"),
-                      ["side", "airport", "_date"], "left")
+    return rates_before(daily, rates, grid, window)
 
 
 def add_airport_features(df: DataFrame, history: DataFrame | None = None,
                          hubs: Iterable[str] = S.HUB_AIRPORTS, grid: str = "active",
                          window: int = S.ROLLING_WINDOW, date_col: str = "fl_date",
-                         target: str = S.TARGET_COL) -> DataFrame:
+                         target: str = S.TARGET_COL, rates: DataFrame | None = None) -> DataFrame:
     """L4: congestion counts (J1), rolling delay rates re-attached (J2), hub flags.
 
-    ``history`` supplies the labelled flights for the rolling rates (default: ``df``); it only
-    looks back, so passing all history when transforming a later period does not leak. One
-    (side, airport, date) table carries both features; each side joins it once (the table's
-    exchange is shared by the two joins)."""
-    hist = df if history is None else history
-    has_target = target in hist.columns
+    ``history`` (labelled flights) or ``rates`` (their saved airport-day table) supply the
+    rolling rates; they only look back, so passing all history when transforming a later
+    period does not leak. The (side, airport, date) table that carries both features is
+    written once and joined by each side."""
+    table = materialize(airport_day_table(df, history, grid, window, date_col, target, rates),
+                        "airport-features")
     hour_ok = "hour_of_day" in df.columns
-    table = airport_day_table(df, history, grid, window, date_col, target)
     for side in SIDES:
         part = (table.where(F.col("side") == side)
                      .select(F.col("airport").alias(side), F.col("_date").alias(date_col),
@@ -199,9 +231,9 @@ def add_airport_features(df: DataFrame, history: DataFrame | None = None,
         df = df.join(part, [side, date_col], "left")
         cnt = (F.coalesce(F.try_element_at("_hour_counts", F.col("hour_of_day")), F.lit(0))
                if hour_ok else F.lit(0))
-        roll = F.coalesce(F.col("_roll"), F.lit(0.0)) if has_target else F.lit(0.0)
         df = df.withColumns({f"{side}_flights_per_hour": cnt.cast("int"),
-                             f"{side}_delay_rate_rolling": roll}).drop("_hour_counts", "_roll")
+                             f"{side}_delay_rate_rolling": F.coalesce(F.col("_roll"), F.lit(0.0))}
+                            ).drop("_hour_counts", "_roll")
     return hub_flags(df, hubs)
 
 
@@ -228,8 +260,12 @@ def add_route_columns(df: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- all
 def build_features(df: DataFrame, hubs: Iterable[str] = S.HUB_AIRPORTS, grid: str = "active",
                    history: DataFrame | None = None) -> DataFrame:
-    """Temporal -> weather -> airport -> route (in-sample encodings)."""
+    """Temporal -> weather -> airport -> route (in-sample encodings, fitted on the input
+    rows before the airport joins, which the encoder does not need)."""
+    from ontime_spark.operators.encoders import TargetEncoder
+
+    encoder = TargetEncoder().fit(df) if S.TARGET_COL in df.columns else None
     df = add_temporal_features(df)
     df = add_weather_features(df)
     df = add_airport_features(df, history=history, hubs=hubs, grid=grid)
-    return add_route_features(df)
+    return encoder.transform(df) if encoder else add_route_features(df)

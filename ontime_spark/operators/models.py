@@ -60,7 +60,7 @@ def build_estimator(model_type: str, n_weight: float | None = None, seed: int =
                              subsamplingRate=GBT_SUBSAMPLE,
                              featureSubsetStrategy=str(GBT_COLSAMPLE),
                              minInstancesPerNode=GBT_MIN_CHILD, seed=seed)
-    raise ValueError(f"Unsupported model_type '{model_type}'. Choose from 'lr', 'rf', 'xgboost'.")
+    raise ValueError(f"no model type {model_type!r}; there are {', '.join(MODEL_TYPES)}")
 
 
 def train_model(train: DataFrame, model_type: str = "xgboost",

@@ -239,9 +239,7 @@ FROM (SELECT g.origin, g.fl_date, d.daily_rate,
 WHERE daily_rate IS NOT NULL""", FLIGHTS_CTE, PRE_CTE,
     "daily AS (SELECT origin, fl_date, AVG(is_delayed::DOUBLE) AS daily_rate FROM pre GROUP BY 1, 2)")
 
-AIRPORT_CTE = f"""{rolling_cte('origin', 'r_o')},
-{rolling_cte('dest', 'r_d')},
-apt AS (SELECT t.*,
+APT_CTE = f"""apt AS (SELECT t.*,
   CAST(COUNT(*) OVER (PARTITION BY t.origin, t.fl_date, t.hour_of_day) AS INT) AS origin_flights_per_hour,
   CAST(COUNT(*) OVER (PARTITION BY t.dest, t.fl_date, t.hour_of_day) AS INT) AS dest_flights_per_hour,
   COALESCE(ro.r_o, 0.0) AS origin_delay_rate_rolling, COALESCE(rd.r_d, 0.0) AS dest_delay_rate_rolling,
@@ -249,6 +247,9 @@ apt AS (SELECT t.*,
   CASE WHEN t.dest IN {HUBS_SQL} THEN 1 ELSE 0 END AS is_dest_hub
   FROM tmp2 t LEFT JOIN roll_origin ro ON ro.origin = t.origin AND ro.fl_date = t.fl_date
   LEFT JOIN roll_dest rd ON rd.dest = t.dest AND rd.fl_date = t.fl_date)"""
+AIRPORT_CTE = f"""{rolling_cte('origin', 'r_o')},
+{rolling_cte('dest', 'r_d')},
+{APT_CTE}"""
 
 SQL["l4_airport_features"] = with_ctes("""
 SELECT l_orderkey, l_linenumber, origin, dest, fl_date, hour_of_day, origin_flights_per_hour,
@@ -256,10 +257,28 @@ SELECT l_orderkey, l_linenumber, origin, dest, fl_date, hour_of_day, origin_flig
   ROUND(dest_delay_rate_rolling, 6) AS dest_delay_rate_rolling, is_origin_hub, is_dest_hub
 FROM apt""", FLIGHTS_CTE, PRE_CTE, TEMPORAL_CTE, AIRPORT_CTE)
 
-# ------------------------------------------------------------------ encoders and feature table
 TRAIN_WHERE = "month(fl_date) BETWEEN 1 AND 10"
 TEST_WHERE = "month(fl_date) IN (11, 12)"
 
+# Rates of flights after the training months: the last seven history days before each date.
+def future_cte(side: str, name: str, grid: str = "active", roll: str | None = None) -> str:
+    roll = roll or f"roll_{side}"
+    days = {"active": f"""SELECT k.{side}, k.fl_date, d.daily_rate, row_number() OVER (
+      PARTITION BY k.{side}, k.fl_date ORDER BY d.fl_date DESC) AS rn
+    FROM asked_{roll} k JOIN hist_{roll} d ON d.{side} = k.{side} AND d.fl_date < k.fl_date""",
+            "dense": f"""SELECT q.{side}, q.fl_date, d.daily_rate, q.rn FROM (
+      SELECT k.{side}, k.fl_date, g.fl_date AS g, row_number() OVER (
+        PARTITION BY k.{side}, k.fl_date ORDER BY g.fl_date DESC) AS rn
+      FROM asked_{roll} k JOIN (SELECT DISTINCT fl_date FROM hist_{roll}) g ON g.fl_date < k.fl_date) q
+    JOIN hist_{roll} d ON d.{side} = q.{side} AND d.fl_date = q.g"""}[grid]
+    return f"""asked_{roll} AS (SELECT DISTINCT {side}, fl_date FROM pre WHERE {TEST_WHERE}),
+hist_{roll} AS (SELECT {side}, fl_date, AVG(is_delayed::DOUBLE) AS daily_rate FROM pre
+  WHERE {TRAIN_WHERE} GROUP BY 1, 2),
+{roll} AS (SELECT {side}, fl_date, AVG(daily_rate) AS {name} FROM ({days}) x WHERE rn <= 7 GROUP BY 1, 2)"""
+
+
+# ------------------------------------------------------------------ encoders and feature table
+
 
 def encoder_ctes(src_where: str | None) -> str:
     where = f"WHERE {src_where}" if src_where else ""
@@ -452,6 +471,7 @@ FROM dep d LEFT JOIN m ON m.dep_id = d.dep_id AND m.rn = 1"""
 
 SQL["j6_asof_nearest"] = asof_sql("nearest")
 SQL["j6_asof_backward"] = asof_sql("backward")
+SQL["j6_asof_forward"] = asof_sql("forward")
 
 # ------------------------------------------------------------------ ADS-B
 ADSB_CTE = """adsb AS (SELECT LPAD(LOWER(HEX(user_id)), 6, '0') AS icao24,
@@ -622,4 +642,33 @@ FROM (SELECT f.*, COALESCE(re.v, g.gm) AS route_avg_delay, COALESCE(ce.v, g.gm)
       FROM feat f CROSS JOIN g LEFT JOIN re ON re.route = f.origin || '-' || f.dest
       LEFT JOIN ce ON ce.carrier = f.carrier) x""",
     FLIGHTS_CTE, PRE_CTE, SCORING_CTE, TEMPORAL_CTE.replace("FROM pre)", "FROM scoring)"),
-    AIRPORT_CTE, FEAT_CTE, encoder_ctes(TRAIN_WHERE))
+    future_cte("origin", "r_o"), future_cte("dest", "r_d"), APT_CTE, FEAT_CTE, encoder_ctes(TRAIN_WHERE))
+
+SQL["l9_future_rates"] = with_ctes("""
+SELECT t.l_orderkey, t.l_linenumber, t.fl_date, """ + ", ".join(
+    f"ROUND(COALESCE({s}_{g}.r, 0.0), 6) AS {s}_rate_{g}" for g in ("active", "dense") for s in ("origin", "dest")) + """
+FROM pre t """ + " ".join(
+    f"LEFT JOIN {s}_{g} ON {s}_{g}.{s} = t.{s} AND {s}_{g}.fl_date = t.fl_date"
+    for g in ("active", "dense") for s in ("origin", "dest")) + f" WHERE {TEST_WHERE.replace('fl_date', 't.fl_date')}",
+    FLIGHTS_CTE, PRE_CTE, *[future_cte(s, "r", g, f"{s}_{g}") for g in ("active", "dense") for s in ("origin", "dest")])
+
+SQL["s9_featurizer_round_trip"] = SQL["l7_featurizer_train_to_test"]
+
+# ------------------------------------------------------------------ files
+SQL["s1_csv_preprocess"] = with_ctes("""
+SELECT l_orderkey, l_linenumber, fl_date, carrier, origin, dest, crs_dep_time,
+  ROUND(arr_delay, 6) AS arr_delay, cancelled, ROUND(distance, 6) AS distance,
+  ROUND(origin_wind_speed, 6) AS origin_wind_speed,
+  ROUND(COALESCE(CASE WHEN l_orderkey % 97 <> 0 THEN origin_has_snow::DOUBLE END,
+    (SELECT median(origin_has_snow) FROM pre WHERE l_orderkey % 97 <> 0)), 6) AS origin_has_snow,
+  is_delayed FROM pre""", FLIGHTS_CTE, PRE_CTE)
+
+SQL["s2_s3_bts_by_name"] = with_ctes("""
+SELECT l_orderkey, l_linenumber, carrier, fl_date, origin, dest, crs_dep_time,
+  ROUND(arr_delay, 6) AS arr_delay, cancelled,
+  CASE WHEN l_orderkey % 2 = 0 THEN ROUND(CAST(distance AS DOUBLE), 6) END AS distance
+FROM flights""", FLIGHTS_CTE)
+
+SQL["s8_write_and_split"] = with_ctes(f"""
+SELECT l_orderkey, l_linenumber, fl_date, carrier, ROUND(arr_delay, 6) AS arr_delay,
+  year(fl_date) AS year, month(fl_date) AS month FROM flights WHERE {TEST_WHERE}""", FLIGHTS_CTE)

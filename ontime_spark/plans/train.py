@@ -39,7 +39,7 @@ def prepare_matrices(flights: DataFrame, leakage_safe: bool = True,
     leakage_safe=True fits the route/carrier encoder on the training months only (the
     documented intent); False reproduces the in-sample encoding of the original training
     script (``build_features`` on all rows before the split)."""
-    pre = clean.preprocess(flights)
+    pre = clean.preprocess(flights, materialize=True)
     if leakage_safe:
         train_raw, test_raw = FP.temporal_split(pre)
         fz = FP.FlightFeaturizer(hubs=hubs).fit(train_raw)
@@ -74,7 +74,7 @@ def train_job(flights: DataFrame, models_dir: str | None = None, leakage_safe: b
     """Returns (results per model, comparison table ordered by pr_auc)."""
     for t in model_types:
         if t not in M.MODEL_TYPES:
-            raise ValueError(f"Unsupported model_type '{t}'. Choose from 'lr', 'rf', 'xgboost'.")
+            raise ValueError(f"no model type {t!r}; there are {', '.join(M.MODEL_TYPES)}")
     train, test, fz = prepare_matrices(flights, leakage_safe, hubs)
     results = train_all_models(train, test, models_dir, model_types, **model_kwargs)
     if fz is not None and models_dir:

@@ -7,6 +7,7 @@ so that the DuckDB oracle of ``oracle_sql.py`` can be compared value by value.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,8 +30,9 @@ from ontime_spark.operators import featurizer as FP
 from ontime_spark.sources import adsb as ADSB_SRC
 from ontime_spark.sources import bts as BTS
 from ontime_spark.sources import driver
+from ontime_spark.sources import flights as FL
 from ontime_spark.sources import isd as ISD
-from ontime_spark.session import materialize
+from ontime_spark.session import materialize, scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -350,6 +352,11 @@ def q_j6n(spark, sf_dir):
     return _asof(spark, sf_dir, "nearest")
 
 
+@register("j6_asof_forward")
+def q_j6f(spark, sf_dir):
+    return _asof(spark, sf_dir, "forward")
+
+
 @register("j6_asof_backward")
 def q_j6b(spark, sf_dir):
     return _asof(spark, sf_dir, "backward")
@@ -481,12 +488,78 @@ def q_s4(spark, sf_dir):
 @register("p15_scoring_features")
 def q_p15(spark, sf_dir):
     """Upcoming flights with only the schedule columns: defaults fill the rest, features use
-    the train-fitted encoder and the rolling rates of the full history."""
-    pre, train, test = _split(spark, sf_dir)
+    the train-fitted encoder and the rolling rates of the training months (which end before)."""
+    _, train, test = _split(spark, sf_dir)
     model = FP.FlightFeaturizer(hubs=driver.DRIVER_HUBS).fit(train)
     upcoming = test.select(*KEYS, "fl_date", "carrier", "origin", "dest", "crs_dep_time",
                            "distance")
-    return rounded(model.transform(FP.scoring_input(upcoming), history=pre, keep=KEYS))
+    return rounded(model.transform(FP.scoring_input(upcoming), history=train, keep=KEYS))
+
+
+@register("l9_future_rates")
+def q_l9(spark, sf_dir):
+    """Rolling rates of flights after the history's end, both grids, from the airport-day table
+    that is saved with the featurizer."""
+    _, train, test = _split(spark, sf_dir)
+    path = scratch_path(spark, f"featurizer-{uuid.uuid4().hex}")
+    FP.FlightFeaturizer(hubs=driver.DRIVER_HUBS).fit(train).save(path)
+    rates = FP.FlightFeaturizerModel.load(spark, path).rates
+    out = test.select(*KEYS, "fl_date", "origin", "dest")
+    for grid in ("active", "dense"):
+        table = materialize(FE.airport_day_table(out, grid=grid, rates=rates), "airport-features")
+        for side in FE.SIDES:
+            part = table.where(F.col("side") == side).select(
+                F.col("airport").alias(side), F.col("_date").alias("fl_date"),
+                F.coalesce("_roll", F.lit(0.0)).alias(f"{side}_rate_{grid}"))
+            out = out.join(part, [side, "fl_date"], "left")
+    return rounded(out.drop("origin", "dest"))
+
+
+@register("s9_featurizer_round_trip")
+def q_s9(spark, sf_dir):
+    """The featurizer saved and loaded again gives the feature table of the fitted one."""
+    pre, train, test = _split(spark, sf_dir)
+    path = scratch_path(spark, f"featurizer-{uuid.uuid4().hex}")
+    FP.FlightFeaturizer(hubs=driver.DRIVER_HUBS).fit(train).save(path)
+    return rounded(FP.FlightFeaturizerModel.load(spark, path).transform(test, history=pre, keep=KEYS))
+
+
+# ------------------------------------------------------------------ files
+@register("s1_csv_preprocess")
+def q_s1(spark, sf_dir):
+    """Flights landed as CSV (times written as 1200.0, some flags and delays blank), loaded by
+    suffix and preprocessed."""
+    f = driver.flights(spark, sf_dir)
+    path = scratch_path(spark, f"flights-{uuid.uuid4().hex}.csv")
+    (f.withColumns({"crs_dep_time": F.concat(F.col("crs_dep_time").cast("string"), F.lit(".0")),
+                    "origin_has_snow": F.when(F.col("l_orderkey") % 97 != 0, F.col("origin_has_snow"))})
+      .write.option("header", True).csv(path))
+    out = clean.preprocess(FL.load_flights(spark, path), materialize=True)
+    return rounded(out.select(*[F.col(k).cast("long").alias(k) for k in KEYS], "fl_date", "carrier", "origin",
+                              "dest", "crs_dep_time", "arr_delay", F.col("cancelled").cast("int").alias("cancelled"),
+                              "distance", "origin_wind_speed", "origin_has_snow", S.TARGET_COL))
+
+
+@register("s2_s3_bts_by_name")
+def q_s3(spark, sf_dir):
+    """BTS files whose headers differ in order, one set without Distance, united by name."""
+    f = bts_frame(spark, sf_dir)
+    folder = scratch_path(spark, f"bts-{uuid.uuid4().hex}")
+    odd = F.col("l_orderkey") % 2 == 1
+    for part, rows in (("a", f.where(~odd)), ("b", f.where(odd).select(*reversed([c for c in f.columns if c != "Distance"])))):
+        rows.write.option("header", True).csv(f"{folder}/{part}.csv")
+    out = BTS.bts_to_canonical(BTS.load_all_bts(spark, f"{folder}/*.csv"), keep_other=True)
+    return rounded(out.select(*[F.col(k).cast("long").alias(k) for k in KEYS], "carrier", "fl_date", "origin", "dest",
+                              "crs_dep_time", "arr_delay", "cancelled", "distance"))
+
+
+@register("s8_write_and_split")
+def q_s8(spark, sf_dir):
+    """Flights written by date, read back, the test months taken from the month folders."""
+    path = scratch_path(spark, f"flights-{uuid.uuid4().hex}.parquet")
+    FL.write_flights(driver.flights(spark, sf_dir), path)
+    _, test = FP.temporal_split(FL.load_flights(spark, path))
+    return rounded(_keys(test, "fl_date", "carrier", "arr_delay", "year", "month"))
 
 
 # ------------------------------------------------------------------ models (rows-only: iterative)

@@ -39,20 +39,45 @@ def load_bts_csv(spark: SparkSession, path: str) -> DataFrame:
     try:
         raw = spark.read.option("header", True).csv(path)
     except AnalysisException as e:
-        raise FileNotFoundError(f"BTS CSV not found: {path}") from e
+        raise FileNotFoundError(f"no BTS file at {path}") from e
     return clean_bts(raw)
 
 
+def _files_by_header(spark: SparkSession, pattern: str) -> dict[str, list[str]]:
+    """Paths that match a glob pattern, by their first line. One line of each file is read."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(pattern)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    out: dict[str, list[str]] = {}
+    for status in fs.globStatus(path) or ():
+        stream = fs.open(status.getPath())
+        try:
+            reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
+            header = reader.readLine() or ""
+        finally:
+            stream.close()
+        out.setdefault(header, []).append(status.getPath().toString())
+    return out
+
+
 def load_all_bts(spark: SparkSession, directory: str, year: int | None = None) -> DataFrame:
-    """Every ``*.csv`` (or ``*{year}*.csv``) of a directory in one distributed read;
-    ``source_file`` keeps the file name."""
+    """Every ``*.csv`` (or ``*{year}*.csv``) of a directory; ``source_file`` keeps the
+    file name.
+
+    Monthly files may differ in the order and number of their columns: files of one header are
+    one distributed read, and the reads are united by column name (absent columns are null).
+    Empty files have no rows and no columns."""
     pattern = f"{directory.rstrip('/')}/*{year}*.csv" if year else f"{directory.rstrip('/')}/*.csv"
-    try:
-        raw = spark.read.option("header", True).csv(pattern)
-    except AnalysisException as e:
-        raise FileNotFoundError(f"No CSV files matching '{pattern}'") from e
-    raw = raw.withColumn("source_file", F.col("_metadata.file_name"))
-    return clean_bts(raw)
+    out: DataFrame | None = None
+    for header, paths in sorted(_files_by_header(spark, pattern).items()):
+        if not header:
+            continue
+        raw = spark.read.option("header", True).csv(paths).withColumn("source_file", F.col("_metadata.file_name"))
+        part = clean_bts(raw)
+        out = part if out is None else out.unionByName(part, allowMissingColumns=True)
+    if out is None:
+        raise FileNotFoundError(f"no BTS files match {pattern}")
+    return out
 
 
 # BTS name -> canonical name (the carrier is resolved separately).
@@ -72,7 +97,9 @@ def bts_to_canonical(df: DataFrame, keep_other: bool = False) -> DataFrame:
              "arr_delay": "double", "cancelled": "int", "distance": "double"}
     for src, dst in BTS_TO_CANONICAL.items():
         if src in df.columns:
-            sel.append(F.col(src).try_cast(types[dst]).alias(dst))
+            text = types[dst] == "int" and isinstance(df.schema[src].dataType, T.StringType)
+            v = F.col(src).try_cast("double") if text else F.col(src)
+            sel.append(v.try_cast(types[dst]).alias(dst))
     if keep_other:
         used = set(BTS_TO_CANONICAL) | {carrier}
         sel += [F.col(c) for c in df.columns if c not in used]

@@ -22,17 +22,13 @@ N_AIRPORTS = 25
 
 
 def balanced(df: DataFrame) -> DataFrame:
-    """Spread a scan that yields fewer input splits than the cluster has cores.
-
-    The driver's files are single Parquet row groups (one task per table). A round-robin
-    repartition then parallelises all row-local work before the first shuffle. A scan of a
-    large table already has at least that many splits and is returned unchanged (no shuffle)."""
-    try:
-        par = df.sparkSession.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - no RDD view (e.g. a Spark Connect session): leave as is
-        return df
-    return df.repartition(par) if splits < par else df
+    """The rows dealt evenly over the session's parallelism.
+
+    The driver's files are single Parquet row groups, one task per table however many cores
+    there are; a round-robin exchange parallelises the row-local work before the first keyed
+    shuffle. The same plan at every size: it is for these generated tables, real flight files
+    (``sources.flights``) are read as they are split."""
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, balance: bool = True) -> DataFrame:

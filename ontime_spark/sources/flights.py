@@ -9,16 +9,16 @@ from pyspark.sql import functions as F
 
 
 def load_flights(spark: SparkSession, path: str, fmt: str | None = None) -> DataFrame:
-    """``.csv`` (header, values as text; the cast step types them) or ``.parquet``/``.pq``;
-    any other suffix is an error unless ``fmt`` names the format (e.g. for a directory)."""
+    """``.csv`` (header; the canonical columns typed, blanks null) or ``.parquet``/``.pq``; any
+    other suffix is an error unless ``fmt`` names the format (e.g. for a directory)."""
     kind = fmt or {".csv": "csv", ".parquet": "parquet", ".pq": "parquet"}.get(
         os.path.splitext(path.rstrip("/"))[1].lower())
     if kind == "csv":
-        return spark.read.option("header", True).csv(path)
+        from ontime_spark.operators.clean import cast_types
+        return cast_types(spark.read.option("header", True).csv(path))
     if kind == "parquet":
         return spark.read.parquet(path)
-    raise ValueError(f"Unsupported file format '{os.path.splitext(path)[1]}'. "
-                     "Expected '.csv' or '.parquet'.")
+    raise ValueError(f"cannot tell how to read {path}: the suffix is neither csv nor parquet")
 
 
 def write_flights(df: DataFrame, path: str, date_col: str = "fl_date",

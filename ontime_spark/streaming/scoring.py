@@ -4,7 +4,9 @@ The source only appends finite flight files (no event-time state, watermarks or
 rules exist in the published behaviour), so the stream is a file source + ``foreachBatch``
 running the batch scoring plan on each new set of files. Each micro-batch overwrites its own
 ``batch_id=<n>`` folder, so a retried batch replaces its output instead of duplicating it;
-progress lives in the checkpoint location on shared storage.
+progress lives in the checkpoint location on shared storage. With ``history=None`` the rolling
+rates come from the airport-day table saved with the featurizer, so no batch aggregates past
+flights again.
 """
 
 from __future__ import annotations
@@ -22,7 +24,7 @@ from ontime_spark.session import scratch_path
 
 
 def start_scoring_stream(spark: SparkSession, source_path: str, schema: T.StructType,
-                         featurizer: FP.FlightFeaturizerModel, history: DataFrame,
+                         featurizer: FP.FlightFeaturizerModel, history: DataFrame | None,
                          model: PipelineModel, sink_path: str, model_type: str = "lr",
                          top_n: int = 8, checkpoint_location: str | None = None,
                          available_now: bool = False, keep: tuple[str, ...] = (),

@@ -93,7 +93,7 @@ def test_roc_points_end_at_one(spark):
 
 def test_ranking_metrics_bucketed_path(spark, monkeypatch):
     from ontime_spark.operators import cumulative
-    monkeypatch.setattr(cumulative, "SINGLE_TASK_ROWS", 40)  # force range buckets
+    monkeypatch.setattr(cumulative, "ROWS_PER_BUCKET", 40)  # force range buckets
     rows = _table(ties=False)
     df = spark.createDataFrame(rows, "label int, score double")
     m = EV.classification_metrics(df).first()

@@ -151,7 +151,7 @@ def test_ordinal_encoder_bucketed_codes_are_sorted_ranks(spark):
     cats = [f"R{i:03d}" for i in range(57)]
     train = spark.createDataFrame([(c, c, c) for c in reversed(cats)] + [(None, "x", "y")],
                                   "carrier string, origin string, dest string")
-    model = EN.OrdinalEncoder(["carrier"], single_task_rows=10).fit(train)
+    model = EN.OrdinalEncoder(["carrier"], rows_per_bucket=10).fit(train)
     got = {r["category"]: r["code"] for r in model.tables["carrier"].collect()}
     assert got == {c: i for i, c in enumerate(sorted(cats))}
 

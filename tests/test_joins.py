@@ -81,7 +81,7 @@ def test_running_totals_match_cumsum(spark, descending, limit):
     rows = [(g, float(x), rnd.randrange(5)) for g in "ab" for x in rnd.sample(range(5000), 700)]
     df = spark.createDataFrame(rows, "g string, x double, n long")
     got = {(r["g"], r["x"]): r["cum_n"] for r in cumulative.running_totals(
-        df, ["g"], "x", ["n"], descending, single_task_rows=limit).collect()}
+        df, ["g"], "x", ["n"], descending, rows_per_bucket=limit).collect()}
     pdf = pd.DataFrame(rows, columns=["g", "x", "n"]).sort_values(["g", "x"], ascending=[True, not descending])
     pdf["c"] = pdf.groupby("g")["n"].cumsum()
     for g, x, c in zip(pdf["g"], pdf["x"], pdf["c"]):

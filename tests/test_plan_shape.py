@@ -6,6 +6,8 @@ import pytest
 
 from conftest import SF_SMALL
 
+from ontime_spark import registry
+
 FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin")
 
 
@@ -13,7 +15,7 @@ def _plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(importlib.import_module("__spark_entry__").queries()))
+@pytest.mark.parametrize("name", sorted(registry.QUERIES))
 def test_no_cartesian_or_nested_loop(spark, name):
     E = importlib.import_module("__spark_entry__")
     plan = _plan(E.queries()[name](spark, SF_SMALL))

@@ -41,8 +41,7 @@ def test_train_job_rejects_unknown_type(spark):
 @pytest.mark.parametrize("model_type", ["lr", "rf"])
 def test_score_job_explains(spark, trained, model_type):
     flights, models_dir, results, _ = trained
-    fz = FP.FlightFeaturizerModel.load(spark, os.path.join(models_dir, "featurizer"),
-                                       hubs=driver.DRIVER_HUBS)
+    fz = FP.FlightFeaturizerModel.load(spark, os.path.join(models_dir, "featurizer"))
     history = clean.preprocess(flights)
     upcoming = flights.select("l_orderkey", "fl_date", "carrier", "origin", "dest",
                               "crs_dep_time", "distance").limit(20)
@@ -62,8 +61,7 @@ def test_score_job_explains(spark, trained, model_type):
 def test_scoring_stream(spark, trained, tmp_dir):
     from ontime_spark.streaming.scoring import start_scoring_stream
     flights, models_dir, results, _ = trained
-    fz = FP.FlightFeaturizerModel.load(spark, os.path.join(models_dir, "featurizer"),
-                                       hubs=driver.DRIVER_HUBS)
+    fz = FP.FlightFeaturizerModel.load(spark, os.path.join(models_dir, "featurizer"))
     src = os.path.join(tmp_dir, "incoming")
     upcoming = flights.select("l_orderkey", "fl_date", "carrier", "origin", "dest", "crs_dep_time")
     upcoming.limit(30).write.parquet(src)

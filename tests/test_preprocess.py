@@ -80,7 +80,7 @@ def test_unknown_fill_for_strings(spark):
 def test_exact_median_matches_numpy(spark, skewed, bucketed, monkeypatch):
     from ontime_spark.operators import cumulative
     if bucketed:  # force the bucketed plan
-        monkeypatch.setattr(cumulative, "SINGLE_TASK_ROWS", 150)
+        monkeypatch.setattr(cumulative, "ROWS_PER_BUCKET", 150)
     rng = np.random.default_rng(7)
     vals = rng.normal(size=2001).round(3)
     if skewed:  # a third of the rows on one value

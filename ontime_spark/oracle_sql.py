@@ -672,3 +672,7 @@ FROM flights""", FLIGHTS_CTE)
 SQL["s8_write_and_split"] = with_ctes(f"""
 SELECT l_orderkey, l_linenumber, fl_date, carrier, ROUND(arr_delay, 6) AS arr_delay,
   year(fl_date) AS year, month(fl_date) AS month FROM flights WHERE {TEST_WHERE}""", FLIGHTS_CTE)
+
+# ------------------------------------------------------------------ tree attribution
+SQL["m12_tree_attribution"] = with_ctes(f"""
+SELECT l_orderkey, l_linenumber, true AS adds_up FROM pre WHERE {TEST_WHERE}""", FLIGHTS_CTE, PRE_CTE)

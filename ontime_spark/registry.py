@@ -573,3 +573,17 @@ def q_m1(spark, sf_dir):
     train, test, _ = prepare_matrices(driver.flights(spark, sf_dir), hubs=driver.DRIVER_HUBS)
     train, test = materialize(train, "train-matrix"), materialize(test, "test-matrix")
     return rounded(evaluate_model(M.train_model(train, "lr"), test, name="lr"))
+
+
+@register("m12_tree_attribution")
+def q_m12(spark, sf_dir):
+    """M12 on the driver flights: a forest fitted on the training months, every test flight
+    explained; the contributions must add up to the forest's probability."""
+    from ontime_spark.operators import models as M
+    from ontime_spark.operators.treeshap import tree_contributions
+    from ontime_spark.plans.train import prepare_matrices
+    train, test, _ = prepare_matrices(driver.flights(spark, sf_dir), hubs=driver.DRIVER_HUBS, keep=KEYS)
+    train, test = materialize(train, "train-matrix"), materialize(test, "test-matrix")
+    model = M.train_model(train.drop(*KEYS), "rf", rf_trees=4)
+    out = tree_contributions(model, M.predict(model, test), "rf")
+    return _keys(out, (F.abs(F.col("raw_margin") - F.col("probability_delayed")) < 1e-9).alias("adds_up"))

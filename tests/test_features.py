@@ -183,3 +183,57 @@ def test_airport_features_rolling_matches_pandas(spark, grid):
             e = exp[(r[side], r["fl_date"])]
             e = 0.0 if e is None or (isinstance(e, float) and math.isnan(e)) else e
             assert r[f"{side}_delay_rate_rolling"] == pytest.approx(e, abs=1e-12)
+
+
+@pytest.mark.parametrize("grid", ["active", "dense"])
+def test_future_flights_look_back_at_the_last_history_days(spark, grid):
+    """Ten history days at A (rate 1 on the last three), a gap, then flights after the end."""
+    day = dt.date(2023, 1, 1)
+    hist = [(day + dt.timedelta(i), "A", "B", 1 if i >= 7 else 0) for i in range(10)]
+    hist += [(day + dt.timedelta(12), "C", "B", 1)]
+    history = spark.createDataFrame(hist, "fl_date date, origin string, dest string, is_delayed int")
+    asked = [(day + dt.timedelta(d), o, "Z", 8) for d, o in ((30, "A"), (12, "A"), (9, "A"), (0, "A"), (30, "Q"), (400, "C"))]
+    df = spark.createDataFrame(asked, "fl_date date, origin string, dest string, hour_of_day int")
+    want = {(30, "A"): 3 / 7 if grid == "active" else 3 / 6, (12, "A"): 3 / 7, (9, "A"): 2 / 7, (0, "A"): 0.0,
+            (30, "Q"): 0.0, (400, "C"): 1.0}
+    for kw in ({"history": history}, {"rates": FE.airport_daily_rates(history)}):
+        out = FE.add_airport_features(df, grid=grid, **kw).collect()
+        got = {((r.fl_date - day).days, r.origin): r.origin_delay_rate_rolling for r in out}
+        assert got == pytest.approx(want) and all(r.dest_delay_rate_rolling == 0.0 for r in out)
+
+
+def test_featurizer_keeps_its_settings(spark, tmp_dir):
+    rows = [(dt.date(2023, 1, 1 + i), "AA", "ATL", "JFK", 800, 500.0, i % 2) for i in range(9)]
+    train = spark.createDataFrame(rows, "fl_date date, carrier string, origin string, dest string, "
+                                        "crs_dep_time int, distance double, is_delayed int")
+    model = FP.FlightFeaturizer(hubs=["JFK"], grid="dense", pad_days=1).fit(train)
+    model.save(tmp_dir)
+    back = FP.FlightFeaturizerModel.load(spark, tmp_dir)
+    assert (back.hubs, back.grid, back.pad_days) == (["JFK"], "dense", 1)
+    later = spark.createDataFrame([(dt.date(2023, 3, 1), "AA", "ATL", "JFK", 900, 500.0)], train.drop("is_delayed").schema)
+    a, b = (m.transform(later).first().asDict() for m in (model, back))
+    assert a == b and a["origin_delay_rate_rolling"] == pytest.approx(3 / 7)
+    assert a["is_dest_hub"] == 1 and a["is_origin_hub"] == 0
+
+
+def test_saved_medians_and_codes(spark, tmp_dir):
+    train = spark.createDataFrame([("AA", 1.0), ("DL", None), (None, 3.0)], "carrier string, distance double")
+    filler = clean.MissingValueFiller().fit(train)
+    filler.save(spark, f"{tmp_dir}/filler")
+    again = clean.MissingValueFiller.load(spark, f"{tmp_dir}/filler")
+    assert again.transform(train).collect() == filler.transform(train).collect()
+    codes = EN.OrdinalEncoder(["carrier"]).fit(train)
+    codes.save(f"{tmp_dir}/codes")
+    back = EN.OrdinalEncoderModel.load(spark, f"{tmp_dir}/codes", ["carrier"])
+    assert sorted(back.transform(train).collect()) == sorted(codes.transform(train).collect())
+
+
+def test_airport_group_reads_the_flights_twice(spark, tmp_dir):
+    """One pass aggregates both ends, one is joined to: the airport-day table is a file."""
+    rows = [(dt.date(2023, 1, 1 + i % 9), "ATL", "JFK", 8, i % 2) for i in range(30)]
+    df = spark.createDataFrame(rows, "fl_date date, origin string, dest string, hour_of_day int, is_delayed int")
+    df.write.parquet(f"{tmp_dir}/f")
+    out = FE.add_airport_features(spark.read.parquet(f"{tmp_dir}/f"))
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    flights = [x for x in plan.split("\n") if "FileScan" in x and "is_delayed" in x]
+    assert len(flights) == 1 and plan.count("FileScan") == 3 and "Generate" not in plan

@@ -4,10 +4,12 @@ import datetime as dt
 import gzip
 import json
 import os
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
+from ontime_spark.operators import clean, featurizer
 from ontime_spark.sources import adsb, bts, flights, isd, stations
 
 
@@ -41,8 +43,36 @@ def test_write_flights_partitioned(spark, tmp_dir):
     assert sorted(os.listdir(out))[:1] == ["_SUCCESS"] or "year=2023" in os.listdir(out)
     back = spark.read.parquet(out).where("month = 11")
     assert back.count() == 3
-    plan = back._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters" in plan and "month" in plan
+    _, test = featurizer.temporal_split(spark.read.parquet(out))
+    assert test.count() == 3
+    plan = test._jdf.queryExecution().executedPlan().toString()
+    filters = re.search(r"PartitionFilters: \[([^\]]*)\]", plan)[1]
+    assert re.search(r"month#\d+ IN \(11,12\)", filters), filters
+
+
+def test_files_of_different_headers_are_united_by_name(spark, tmp_dir):
+    with open(os.path.join(tmp_dir, "a.csv"), "w") as fh:
+        fh.write("FlightDate,Origin,Dest,Distance,\n2023-01-01,ATL,JFK,700,\n")
+    with open(os.path.join(tmp_dir, "b.csv"), "w") as fh:
+        fh.write("Dest,Origin,FlightDate\nLAX,ORD,2023-02-01\n")
+    open(os.path.join(tmp_dir, "c.csv"), "w").close()
+    rows = {r.source_file: r for r in bts.load_all_bts(spark, tmp_dir).collect()}
+    assert set(rows) == {"a.csv", "b.csv"}
+    assert (rows["a.csv"].Origin, rows["a.csv"].Dest, rows["a.csv"].Distance) == ("ATL", "JFK", 700.0)
+    assert (rows["b.csv"].Origin, rows["b.csv"].Dest, rows["b.csv"].Distance) == ("ORD", "LAX", None)
+
+
+def test_csv_flights_are_typed(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "f.csv")
+    with open(path, "w") as fh:
+        fh.write("fl_date,carrier,crs_dep_time,arr_delay,cancelled,origin_has_snow\n"
+                 "2023-01-01,AA,1200.0,5,0,\n2023-01-02,,930,,n/a,1\n2023-01-03,DL,x,NaN,0.0,0\n")
+    df = flights.load_flights(spark, path)
+    assert dict(df.dtypes)["crs_dep_time"] == "int" and dict(df.dtypes)["origin_has_snow"] in ("int", "tinyint")
+    rows = df.orderBy("fl_date").collect()
+    assert [r.crs_dep_time for r in rows] == [1200, 930, None] and [r.arr_delay for r in rows] == [5.0, None, None]
+    out = clean.preprocess(df).orderBy("fl_date").collect()
+    assert len(out) == 2 and [r.origin_has_snow for r in out] == [0.0, 0.0] and out[0].carrier == "AA"
 
 
 BTS_HEADER = ",".join(["Year", "Month", "FlightDate", "Reporting_Airline", "Origin", "Dest",

@@ -90,15 +90,6 @@ def isd_raw(line: str | Column, field: str, layout: str = "public") -> Column:
     return F.when((raw == "") | raw.isin(*ISD_SENTINELS[field]), F.lit(None)).otherwise(raw)
 
 
-def isd_number(line: str | Column, field: str, layout: str = "public") -> Column:
-    return isd_raw(line, field, layout).try_cast("double")
-
-
-def isd_unparsable(line: str | Column, field: str, layout: str = "public") -> Column:
-    """True when the field holds text that is neither missing nor a number."""
-    return isd_raw(line, field, layout).isNotNull() & isd_number(line, field, layout).isNull()
-
-
 def isd_timestamp(line: str | Column, layout: str = "public") -> Column:
     stamp = F.concat(isd_slice(line, "date", layout), isd_slice(line, "time", layout))
     return F.try_to_timestamp(stamp, F.lit("yyyyMMddHHmm"))

@@ -38,7 +38,8 @@ def _scan(u: DataFrame, by: Sequence[str], n_buckets: int) -> DataFrame:
     (``_side`` = 1): ``bk``, the last right row at or before it, and ``fw``, the first right
     row at or after it, within ``by``; columns (_lid, _lt, bk, fw)."""
     order = [F.col("_t").asc(), F.col("_side").asc()]  # at equal time the right row first
-    ranged = u.repartitionByRange(n_buckets, *[F.col(b).asc() for b in by], *order)
+    # The left id ends the range key: rows of one key and time are split over buckets, too.
+    ranged = u.repartitionByRange(n_buckets, *[F.col(b).asc() for b in by], *order, F.col("_lid").asc())
     tagged = materialize(ranged.withColumn("_bucket", F.spark_partition_id()), "asof-buckets")
     right_row = F.when(F.col("_side") == 0, F.struct("_rt", "_rid", "_rv"))
     # Both candidates are running frames (unbounded preceding .. current row), evaluated in

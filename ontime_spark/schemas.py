@@ -146,13 +146,6 @@ ADSB_AIRPORT_COORDS = {
     "KJAX": (30.4941, -81.6879), "KABQ": (35.0402, -106.6090),
 }
 
-# BTS On-Time Performance: the 24 selected fields and their types.
-BTS_FIELDS = (
-    "Year", "Quarter", "Month", "DayofMonth", "DayOfWeek", "FlightDate", "Reporting_Airline",
-    "Origin", "Dest", "CRSDepTime", "DepTime", "DepDelay", "DepDelayMinutes", "ArrDelay",
-    "ArrDelayMinutes", "Cancelled", "Diverted", "CRSElapsedTime", "Distance", "CarrierDelay",
-    "WeatherDelay", "NASDelay", "SecurityDelay", "LateAircraftDelay",
-)
 BTS_TYPES = {
     "Year": T.ShortType(), "Quarter": T.ByteType(), "Month": T.ByteType(),
     "DayofMonth": T.ByteType(), "DayOfWeek": T.ByteType(), "FlightDate": T.StringType(),
@@ -178,11 +171,6 @@ STATION_SCHEMA = T.StructType([
     T.StructField("END", T.IntegerType()),
 ])
 
-WEATHER_OBS_COLUMNS = (
-    "airport", "timestamp", "temp_c", "dew_point_c", "wind_speed_ms", "wind_gust_ms",
-    "visibility_m", "ceiling_m", "precip_mm", "present_weather",
-)
-
 ADSB_FLIGHT_SCHEMA = T.StructType([
     T.StructField("icao24", T.StringType()), T.StructField("callsign", T.StringType()),
     T.StructField("estDepartureAirport", T.StringType()),

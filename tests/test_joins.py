@@ -7,6 +7,8 @@ import random
 import pandas as pd
 import pytest
 
+from pyspark.sql import functions as F
+
 from ontime_spark.operators import adsb, asof, cumulative, stations
 
 
@@ -120,3 +122,26 @@ def test_asof_equal_time_ties_match_brute_force(spark, direction):
                          right_cols=["rid", "v"], rows_per_bucket=12)
     got = {r["lid"]: r["rid"] for r in out.collect()}
     assert got == _brute_asof(left, [(i, k, t, v) for i, k, t, v in right], 45, direction)
+
+
+def test_rows_of_one_key_and_time_are_split_over_buckets(spark, monkeypatch):
+    seen = []
+    keep = asof.materialize
+    monkeypatch.setattr(asof, "materialize", lambda df, name: seen.append((name, keep(df, name))) or seen[-1][1])
+    left = spark.range(4000).select(F.lit("A").alias("g"), F.lit("2023-01-01 10:00:00").cast("timestamp").alias("t"),
+                                    F.col("id").alias("lid"))
+    right = spark.createDataFrame([("A", "2023-01-01 09:50:00", 1), ("A", "2023-01-01 10:00:00", 2),
+                                   ("A", "2023-01-01 10:05:00", 3)], "g string, u string, rid int").withColumn(
+        "u", F.col("u").cast("timestamp"))
+    out = asof.asof_join(left, right, "g", "t", "u", "lid", "rid", 3600, right_cols=["rid"], rows_per_bucket=100)
+    assert {r.rid for r in out.select("rid").distinct().collect()} == {2} and out.count() == 4000
+    buckets = next(df for name, df in seen if name == "asof-buckets")
+    assert max(r["count"] for r in buckets.groupBy("_bucket").count().collect()) < 1000
+
+
+def test_assembled_matrix(spark):
+    from ontime_spark.operators import featurizer as FP
+    df = spark.createDataFrame([(1.0, None, 1), (2.0, 3.0, 0)], "hour_of_day double, month double, is_delayed int")
+    rows = FP.assemble(df, ["hour_of_day", "month", "absent"]).select("features", "label").collect()
+    assert [r.label for r in rows] == [1.0, 0.0] and len(rows[0].features) == 2
+    assert [r.label for r in FP.assemble(df.drop("is_delayed"), ["hour_of_day"]).collect()] == [0.0, 0.0]

@@ -164,12 +164,15 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
         rows: int = TRAIN_ROWS) -> Network | None:
     """Train on a bounded sample of the rows that are not held out and have a language and
     text; None if there is none."""
-    labelled = docs.where(~held_out(id_col) & F.col(lang_col).isNotNull() & (F.length(text_col) > 0))
     order = F.xxhash64(F.col(id_col).cast("string"), F.lit("train"))
-    sample = (labelled.select(order.alias("o"), F.col(text_col).cast("string").alias("t"),
-                              F.col(lang_col).cast("string").alias("l"))
-              .orderBy("o", "l", "t").limit(rows).collect())
-    return train([r["t"] for r in sample], [r["l"] for r in sample]) if sample else None
+    labelled = (docs.where(~held_out(id_col) & F.col(lang_col).isNotNull() & (F.octet_length(F.col(text_col).cast("string")) > 0))
+                .select(order.alias("o"), F.col(text_col).cast("string").alias("t"), F.col(lang_col).cast("string").alias("l")))
+    # The sample's largest hash first, from hashes alone; then only its rows come to the driver.
+    last = labelled.select("o").orderBy("o").limit(rows).agg(F.max("o")).first()[0]
+    if last is None:
+        return None
+    sample = sorted(labelled.where(F.col("o") <= last).collect(), key=lambda r: (r["o"], r["l"], r["t"]))[:rows]
+    return train([r["t"] for r in sample], [r["l"] for r in sample])
 
 
 def identify(docs: DataFrame, network: Network | None, text_col: str = "text") -> tuple[DataFrame, str]:

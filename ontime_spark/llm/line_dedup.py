@@ -42,11 +42,13 @@ def _lines(docs: DataFrame, id_col: str, text_col: str, with_text: bool) -> Data
     """doc, version (hash of the text), nth, n (tokens), leaf, line (hash) of each line that is
     long enough; and the masked line."""
     text = F.col(text_col).cast("string")
-    rows = (docs.select(F.col(id_col).alias("doc"), F.xxhash64(text).alias("version"),
-                        F.posexplode(F.split(text, "\n")).alias("nth", "raw"))
-            .withColumn("masked", _masked(F.col("raw")))
-            .withColumn("n", F.length("masked") - F.length(F.translate("masked", " ", "")) + 1)
-            .where((F.col("n") >= MIN_TOKENS) & (F.length("masked") > 0)))
+    rows = docs.select(F.col(id_col).alias("doc"), F.xxhash64(text).alias("version"),
+                       F.posexplode(F.split(text, "\n")).alias("nth", "raw"))
+    # The one-element explode is a barrier: the masked line is computed once, not again in each
+    # expression and filter that uses it.
+    rows = (rows.select("doc", "version", "nth", F.explode(F.array(_masked(F.col("raw")))).alias("masked"))
+            .withColumn("n", F.octet_length("masked") - F.octet_length(F.replace("masked", F.lit(" "), F.lit(""))) + 1)
+            .where((F.col("n") >= MIN_TOKENS) & (F.octet_length("masked") > 0)))
     leaf = F.xxhash64("n", F.substring_index("masked", " ", LEADING)).alias("leaf")
     line = F.xxhash64("masked").alias("line")
     return rows.select("doc", "version", "nth", "n", leaf, line, *(["masked"] if with_text else []))
@@ -113,24 +115,23 @@ def drop_recurring(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     Null and empty texts have no lines to drop and stay as they are. Rows of one id count as one
     document; rows without an id count as one document, too. A line repeated inside one document
     only is kept. New columns replace columns of the same name."""
-    marks = _dropped(docs, id_col, text_col, min_docs).select(
-        F.col("doc").alias("_doc"), F.col("version").alias("_version"), "dropped", "lost")
-    marks = marks.select("_doc", "_version", F.struct("dropped", "lost").alias("_mark"))
+    marks = _dropped(docs, id_col, text_col, min_docs)
+    # Names that no column of the rows has, for what is joined to them.
+    own = {c: common.fresh(docs.columns, f"_{c}") for c in ("hash", "doc", "version", "dropped", "lost")}
+    marks = marks.select(*[F.col(c).alias(own[c]) for c in ("doc", "version", "dropped", "lost")])
     text = F.col(text_col).cast("string")
-    base = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"),
-                       F.col(id_col).alias("_id"), text.alias("_text"), F.xxhash64(text).alias("_hash"))
-    joined = base.join(marks, F.col("_id").eqNullSafe(F.col("_doc")) & (F.col("_hash") == F.col("_version")), "left")
-    split = F.split("_text", "\n")
-    gone = F.col("_mark")["dropped"]
-    rest = F.when(gone.isNull(), F.col("_text")).otherwise(F.array_join(
+    joined = docs.withColumn(own["hash"], F.xxhash64(text)).join(
+        marks, F.col(id_col).eqNullSafe(F.col(own["doc"])) & (F.col(own["hash"]) == F.col(own["version"])), "left")
+    split = F.split(text, "\n")
+    gone, lost = F.col(own["dropped"]), F.col(own["lost"])
+    rest = F.when(gone.isNull(), text).otherwise(F.array_join(
         F.filter(split, lambda x, i: ~F.array_contains(gone, i)), "\n"))
-    n_words = F.size(F.filter(F.split(F.col("_text"), r"[\x20\x09-\x0D]+"), lambda x: x != ""))
-    lost = F.col("_mark")["lost"]
-    out = [rest.alias(c) if c == text_col else F.col("_row")[c].alias(c) for c in docs.columns
+    n_words = F.size(F.filter(F.split(text, r"[\x20\x09-\x0D]+"), lambda x: x != ""))
+    out = [rest.alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns
            if c not in ("n_lines", "n_dropped", "mostly_recurring")]
     return joined.select(
-        *out, F.when(F.length("_text") > 0, F.size(split)).otherwise(0).cast("long").alias("n_lines"),
-        F.coalesce(F.size(gone), F.lit(0)).cast("long").alias("n_dropped"),
+        *out, F.when(F.octet_length(text) > 0, F.size(split)).otherwise(0).cast("long").alias("n_lines"),
+        F.when(gone.isNull(), 0).otherwise(F.size(gone)).cast("long").alias("n_dropped"),
         F.when(lost.isNull(), F.lit(False)).otherwise(lost * 2 > n_words).alias("mostly_recurring"))
 
 

@@ -54,6 +54,8 @@ cookie cookies consent gdpr notice notices notification popup modal overlay news
 sidebar side rail menu menus nav navbar navigation breadcrumb breadcrumbs masthead topbar footer comment comments
 disqus reply replies respond share sharing social related recommended recommendations widget widgets toolbar pagination
 pager login search form forms copyright legal disclaimer outbrain taboola""".split())
+#: First words of names that tell what an element has beside it, not what it is.
+_NOT_ITSELF = frozenset("with has no without not".split())
 _HEADER_NAMES = frozenset("header headers".split())
 
 _PIECE = re.compile(
@@ -95,7 +97,11 @@ def _is_chrome(tag: str, attrs: str, inside_landmark: bool) -> bool:
         if name == "role" and value.lower() in _CHROME_ROLES:
             return True
         if name in ("class", "id") and tag not in ("html", "body", "main"):
-            names = {x.lower() for x in _NAME.findall(_CAMEL.sub(" ", value))}
+            names = set()
+            for token in value.split():
+                words = [x.lower() for x in _NAME.findall(_CAMEL.sub(" ", token))]
+                if words and words[0] not in _NOT_ITSELF:
+                    names.update(words)
             if names & _CHROME_NAMES or names & _HEADER_NAMES and not inside_landmark:
                 return True
     return False

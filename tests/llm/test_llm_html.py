@@ -36,6 +36,7 @@ def test_chrome_is_left_out_wherever_it_stands(chrome, wrap):
     ("<article><p>one<p>two <b>three", "one two three"), ("<article><p>cut &am", "cut &am"), ("<article><p>cut <a hre", "cut"),
     ("<article><p title='a>b'>x</p></article>", "x"), ("<article><p title='a>x</p></article>", "x"),
     ("<article><header><h1>T</h1></header><p>x</p><footer>f</footer></article>", "T x"),
+    (f"<div class='page with-sidebar no-ads'><h1>T</h1><p>{LONG}</p></div>", f"T {LONG}"),
     ("<body><p>no landmark, no stop word match</p></body>", ""), ("just text", "")])
 def test_edges(page, text):
     assert H.main_text(page) == text

@@ -158,25 +158,15 @@ def fill_missing(df: DataFrame, exact: bool = True) -> DataFrame:
 
 def missing_profile(df: DataFrame, columns: Sequence[str] | None = None,
                     exact: bool = True) -> DataFrame:
-    """One row per numeric column: (column, n_missing, median).
-
-    One pass over ``df``: a histogram of (column, value) that keeps a null-value row per
-    column gives both the null counts and the exact medians."""
-    from ontime_spark.operators.cumulative import medians_from_histogram, value_histogram
-    from ontime_spark.session import materialize
+    """One row per numeric column: (column, n_missing, median). Null counts are one
+    aggregation; see ``exact_medians`` for the medians."""
     cols = list(columns) if columns is not None else numeric_columns(df)
     names = df.sparkSession.createDataFrame([(c,) for c in cols], "column string")
-    if exact:
-        hist = materialize(value_histogram(df, cols, keep_nulls=True), "histogram")
-        nulls = hist.where(F.col("value").isNull()).select(
-            F.col("name").alias("column"), F.col("n").alias("n_missing"))
-        med = medians_from_histogram(hist.where(F.col("value").isNotNull()))
-    else:
-        counts = missing_counts(df, cols)
-        nulls = counts.select(F.inline(F.array(*[
-            F.struct(F.lit(c).alias("column"), F.col(c).cast("long").alias("n_missing"))
-            for c in cols])))
-        med = approx_medians(df, cols)
+    counts = missing_counts(df, cols)
+    nulls = counts.select(F.inline(F.array(*[
+        F.struct(F.lit(c).alias("column"), F.col(c).cast("long").alias("n_missing"))
+        for c in cols])))
+    med = exact_medians(df, cols) if exact else approx_medians(df, cols)
     med = med.select(F.col("name").alias("column"), "median")
     return (names.join(nulls, "column", "left").fillna(0, ["n_missing"])
                  .join(med, "column", "left"))

@@ -71,40 +71,55 @@ def long_values(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return (df.select(F.inline(pairs)).where(F.col("value").isNotNull()))
 
 
-def value_histogram(df: DataFrame, columns: Sequence[str], keep_nulls: bool = False) -> DataFrame:
-    """(name, value, n) per column and distinct value, map-side combined. With
-    ``keep_nulls`` each column also gets one row with a null value holding its null count."""
-    pairs = F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).cast("double").alias("value"))
-                      for c in columns])
-    long = df.select(F.inline(pairs))
-    if not keep_nulls:
-        long = long.where(F.col("value").isNotNull())
-    return long.groupBy("name", "value").agg(F.count(F.lit(1)).alias("n"))
+#: Half the share of ranks that the bracket around a median takes in, and the accuracy of the
+#: sketch that finds it (its rank error is a tenth of that share).
+BRACKET, SKETCH_ACCURACY = 0.001, 10_000
 
 
-def medians_from_histogram(hist: DataFrame, buckets: int | None = None) -> DataFrame:
-    """Exact medians from a (name, value, n) histogram of non-null values."""
+def exact_medians(df: DataFrame, columns: Sequence[str], buckets: int | None = None) -> DataFrame:
+    """Exact median per column (mean of the two middle values for an even count, nulls
+    ignored): rows (name, median, n). Columns with no values are absent.
+
+    One pass counts the values and brackets each median with a quantile sketch; a second counts
+    the values below the bracket; a third makes a histogram of the values inside it (a few per
+    mille of the rows, more only where values repeat, and those are combined before the
+    shuffle). The running count inside the bracket, started at the count below, gives the ranks.
+    A sketch that missed (its error is not bounded for every input) is noticed by the ranks and
+    its column is counted in full."""
+    spark = df.sparkSession
+    value = {c: F.col(c).cast("double") for c in columns}
+    ends = [0.5 - BRACKET, 0.5 + BRACKET]
+    stats = df.agg(*[F.struct(F.count(v).alias("n"), F.percentile_approx(v, ends, SKETCH_ACCURACY).alias("q")).alias(f"_{i}")
+                     for i, v in enumerate(value.values())]).first()
+    found = {c: stats[i] for i, c in enumerate(columns) if stats[i]["n"]}
+    empty = spark.createDataFrame([], "name string, median double, n long")
+    if not found:
+        return empty
+    under = df.agg(*[F.count_if(value[c] < s["q"][0]).alias(f"_{i}") for i, (c, s) in enumerate(found.items())],
+                   *[F.count_if(value[c] <= s["q"][1]).alias(f"t{i}") for i, (c, s) in enumerate(found.items())]).first()
+    whole, bounds = {}, []
+    for i, (c, s) in enumerate(found.items()):
+        below, upto, n = under[f"_{i}"], under[f"t{i}"], s["n"]
+        lo, hi = s["q"]
+        if not (below < (n + 1) // 2 and upto >= n // 2 + 1):
+            below, lo, hi = 0, None, None
+        whole[c] = (lo, hi)
+        bounds.append((c, below, n))
+    inside = F.array_compact(F.array(*[
+        F.when(value[c].isNotNull() if lo is None else value[c].between(lo, hi),
+               F.struct(F.lit(c).alias("name"), value[c].alias("value"))) for c, (lo, hi) in whole.items()]))
+    hist = df.select(F.inline(inside)).groupBy("name", "value").agg(F.count(F.lit(1)).alias("n"))
     cum = running_totals(hist, ["name"], "value", ["n"], buckets=buckets)
-    # Totals from the running sums (which read the written histogram), not from ``hist``.
-    n_tot = cum.groupBy("name").agg(F.max("cum_n").alias("n_total"))
-    ranked = cum.join(F.broadcast(n_tot), "name")
-    lo_rank = F.floor((F.col("n_total") + 1) / 2)
-    hi_rank = F.floor(F.col("n_total") / 2) + 1
-    start = F.col("cum_n") - F.col("n")
-    covers = lambda r: (start < r) & (r <= F.col("cum_n"))
+    offsets = spark.createDataFrame(bounds, "name string, below long, n_total long")
+    ranked = cum.join(F.broadcast(offsets), "name").withColumn("end", F.col("below") + F.col("cum_n"))
+    covers = lambda r: (F.col("end") - F.col("n") < r) & (r <= F.col("end"))
+    lo_rank, hi_rank = F.floor((F.col("n_total") + 1) / 2), F.floor(F.col("n_total") / 2) + 1
     picked = ranked.where(covers(lo_rank) | covers(hi_rank)).groupBy("name").agg(
         F.max(F.when(covers(lo_rank), F.col("value"))).alias("lo"),
-        F.max(F.when(covers(hi_rank), F.col("value"))).alias("hi"),
-        F.first("n_total").alias("n"))
+        F.max(F.when(covers(hi_rank), F.col("value"))).alias("hi"), F.first("n_total").alias("n"))
     return picked.select("name", ((F.col("lo") + F.col("hi")) / 2).alias("median"), "n")
 
 
-def exact_medians(df: DataFrame, columns: Sequence[str], buckets: int | None = None) -> DataFrame:
-    """Exact median per column (mean of the two middle values for an even count, nulls
-    ignored): rows (name, median, n). Columns with no values are absent."""
-    return medians_from_histogram(value_histogram(df, columns), buckets)
-
-
 def approx_medians(df: DataFrame, columns: Sequence[str], accuracy: int = 10000) -> DataFrame:
     """Sketch-based median per column (rank error about n/accuracy)."""
     return (long_values(df, columns).groupBy("name")

@@ -120,8 +120,9 @@ def q_l1(spark, sf_dir):
 
 @register("a6_missing_profile")
 def q_a6(spark, sf_dir):
-    f = clean.cast_types(driver.flights(spark, sf_dir))
-    return rounded(clean.missing_profile(f, list(S.NUMERIC_CANDIDATES)))
+    cols = list(S.NUMERIC_CANDIDATES)
+    f = materialize(clean.cast_types(driver.flights(spark, sf_dir)).select(*cols), "numbers")
+    return rounded(clean.missing_profile(f, cols))
 
 
 @register("a11_profile")

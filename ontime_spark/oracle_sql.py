@@ -389,6 +389,16 @@ ISD_CTE = """isd AS (SELECT event_id, '0000'||LPAD(CAST(700000 + user_id AS VARC
          ELSE '+'||LPAD(CAST(event_id % 350 AS VARCHAR),4,'0') END||'1'||'+0012'||'1'||'101321' AS line
   FROM events)"""
 
+ISD_LEGACY_CTE = """isd AS (SELECT event_id, '0000'||LPAD(CAST(700000 + user_id AS VARCHAR),6,'0')
+  ||LPAD(CAST(user_id*13 % 100000 AS VARCHAR),5,'0')
+  ||'20240115'||LPAD(CAST(event_id % 24 * 100 + event_id % 60 AS VARCHAR),4,'0')||RPAD('',33,' ')||'18019'
+  ||LPAD(CASE WHEN event_id % 50 = 0 THEN '9999' ELSE CAST(event_id % 400 AS VARCHAR) END,4,'0')||'10000019N'
+  ||LPAD(CASE WHEN event_id % 7 = 0 THEN '99999' ELSE CAST(event_id*31 % 9000 AS VARCHAR) END,5,'0')||'1'
+  ||CASE WHEN event_id % 40 = 0 OR event_id % 3 = 0 THEN '   ' ELSE LPAD(CAST(event_id*53 % 1000 AS VARCHAR),3,'0') END
+  ||CASE WHEN event_id % 40 = 0 THEN '+9999' WHEN event_id % 3 = 0 THEN '-'||LPAD(CAST(event_id % 200 AS VARCHAR),4,'0')
+         ELSE LPAD(CAST(event_id % 350 AS VARCHAR),5,'0') END||'1'||'+0012'||'1'||'101321' AS line
+  FROM events)"""
+
 _ISD_LAYOUTS = {
     "public": {"wind": (65, 4), "ceil": (70, 5), "vis": (78, 6), "temp": (87, 5), "dew": (93, 5)},
     "legacy": {"wind": (65, 4), "ceil": (78, 5), "vis": (84, 6), "temp": (87, 5), "dew": (93, 5)},
@@ -415,7 +425,7 @@ obs AS (SELECT SUBSTRING(line, 5, 6) || '-' || SUBSTRING(line, 11, 5) AS station
 
 
 SQL["s6_isd_parse"] = with_ctes("SELECT * FROM obs", ISD_CTE, isd_parse_sql("public"))
-SQL["s6_isd_parse_legacy_layout"] = with_ctes("SELECT * FROM obs", ISD_CTE, isd_parse_sql("legacy"))
+SQL["s6_isd_parse_legacy_layout"] = with_ctes("SELECT * FROM obs", ISD_LEGACY_CTE, isd_parse_sql("legacy"))
 
 SQL["c11_weather_units"] = with_ctes("""
 SELECT station_id, ROUND(wind_speed_ms * (3600.0::DOUBLE / 1852.0::DOUBLE), 6) AS wind_speed,

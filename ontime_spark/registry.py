@@ -295,7 +295,7 @@ def _ntz(df: DataFrame, *cols: str) -> DataFrame:
 
 def _isd_obs(spark, sf_dir, layout="public"):
     """The events' ISD lines landed as gzip text files, then read and parsed."""
-    return ISD.read_isd(spark, driver.isd_files(spark, sf_dir), layout=layout)
+    return ISD.read_isd(spark, driver.isd_files(spark, sf_dir, layout), layout=layout)
 
 
 @register("s6_isd_parse")

@@ -138,8 +138,10 @@ def stations(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def isd_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Fixed-width ISD lines (public layout, 105 characters) built from events.
+def isd_lines(spark: SparkSession, sf_dir: str, layout: str = "public") -> DataFrame:
+    """Fixed-width ISD lines (105 characters) built from events, in the public layout or in the
+    legacy one, whose visibility ends in the first three characters of the temperature: a signed
+    temperature leaves the three characters before it blank.
 
     One ``format_string`` keeps the generated code small, so the parser's projections can be
     compiled together with it in one stage."""
@@ -155,20 +157,26 @@ def isd_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     temp = (F.when(_mod(eid, 40) == 0, F.lit("+9999"))
              .when(_mod(eid, 3) == 0, F.concat(F.lit("-"), lp(_mod(eid, 200), 4)))
              .otherwise(F.concat(F.lit("+"), lp(_mod(eid, 350), 4))))
-    line = F.format_string(
-        "0000%s%s20240115%s" + " " * 33 + "18019%s1%s19N%s1N9%s1+00121101321",
-        lp(700000 + uid, 6), lp(_mod(uid * 13, 100000), 5),
-        lp(_mod(eid, 24) * 100 + _mod(eid, 60), 4), wind, ceiling, vis, temp)
+    head = (lp(700000 + uid, 6), lp(_mod(uid * 13, 100000), 5),
+            lp(_mod(eid, 24) * 100 + _mod(eid, 60), 4), wind)
+    if layout == "legacy":
+        signed = (_mod(eid, 40) == 0) | (_mod(eid, 3) == 0)
+        vis = F.when(signed, F.lit("   ")).otherwise(lp(_mod(eid * 53, 1000), 3))
+        temp = F.when(signed, temp).otherwise(lp(_mod(eid, 350), 5))
+        form = "18019%s10000019N%s1%s%s1+00121101321"
+    else:
+        form = "18019%s1%s19N%s1N9%s1+00121101321"
+    line = F.format_string("0000%s%s20240115%s" + " " * 33 + form, *head, ceiling, vis, temp)
     return e.select(eid, line.alias("line"))
 
 
-def isd_files(spark: SparkSession, sf_dir: str) -> str:
+def isd_files(spark: SparkSession, sf_dir: str, layout: str = "public") -> str:
     """Land the generated ISD lines as gzip text files (the shape of downloaded station-year
     files) in the shared checkpoint folder; returns the folder for ``sources.isd.read_isd``."""
     from ontime_spark.session import scratch_path
     import uuid
     path = scratch_path(spark, f"isd-{uuid.uuid4().hex}")
-    (isd_lines(spark, sf_dir).select(F.col("line").alias("value"))
+    (isd_lines(spark, sf_dir, layout).select(F.col("line").alias("value"))
         .write.option("compression", "gzip").text(path))
     return path
 

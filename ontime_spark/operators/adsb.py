@@ -30,7 +30,7 @@ def aircraft_near_airports(states: DataFrame, airports: DataFrame, bbox_deg: flo
     s = states.select(*(["time"] if by_time else []), F.col("lat").alias("_slat"),
                       F.col("lon").alias("_slon"),
                       _cell(F.col("lat"), size).alias("_cy"), _cell(F.col("lon"), size).alias("_cx"))
-    hit = (s.join(F.broadcast(a), ["_cy", "_cx"])
+    hit = (s.join(a, ["_cy", "_cx"])
             .where(F.col("_slat").between(F.col("lat") - bbox_deg, F.col("lat") + bbox_deg)
                    & F.col("_slon").between(F.col("lon") - bbox_deg, F.col("lon") + bbox_deg)))
     group = [key, "time"] if by_time else [key]

@@ -3,6 +3,8 @@ nearest-observation attachment at origin and destination (J6 applied to flights)
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -31,23 +33,37 @@ def observation_features(obs: DataFrame) -> DataFrame:
 
 
 def needed_station_months(flights: DataFrame, station_map: DataFrame,
-                          airport_col: str = "origin", date_col: str = "fl_date") -> DataFrame:
-    """Distinct (airport, year, month) of the flights, with the mapped station; airports
-    without a station are skipped (inner join with the small mapping table)."""
+                          airport_cols: Sequence[str] = ("origin", "dest"),
+                          date_col: str = "fl_date") -> DataFrame:
+    """Distinct (airport, year, month) of the flights' ends, with the mapped station;
+    airports without a station are skipped. Both ends by default, as ``attach_weather`` fills
+    both."""
     d = F.col(date_col).try_cast("date")
-    combos = (flights.where(F.col(airport_col).isNotNull() & d.isNotNull())
-                     .select(F.col(airport_col).alias("airport"), F.year(d).alias("year"),
-                             F.month(d).alias("month")).distinct())
+    ends = flights.where(d.isNotNull()).select(
+        F.explode(F.array(*[F.col(c) for c in airport_cols])).alias("airport"),
+        F.year(d).alias("year"), F.month(d).alias("month"))
     sm = station_map.select(F.col("iata").alias("airport"), "station_id")
-    return combos.join(F.broadcast(sm), "airport")
+    return ends.where(F.col("airport").isNotNull()).distinct().join(sm, "airport")
 
 
 def weather_for_flights(obs: DataFrame, needed: DataFrame) -> DataFrame:
-    """Only the observations of the needed (station, year, month), tagged with the airport,
-    ordered by (airport, timestamp) within partitions."""
+    """Only the observations of the needed (station, year, month), tagged with the
+    airport and ordered by (airport, timestamp) over all partitions."""
     o = obs.withColumns({"year": F.year("timestamp"), "month": F.month("timestamp")})
     out = o.join(needed, ["station_id", "year", "month"], "inner").drop("year", "month")
-    return out.sortWithinPartitions("airport", "timestamp")
+    return out.repartitionByRange("airport", "timestamp").sortWithinPartitions("airport", "timestamp")
+
+
+def enrich_flights(flights: DataFrame, observations: DataFrame, station_map: DataFrame,
+                   flight_id: str, tz_col: str | None = None, tolerance_seconds: int = 3600) -> DataFrame:
+    """Ingested flights and parsed observations to flights with weather at both ends: the needed
+    station-months (J7), feature units (C11) and the nearest observation (J6). ``observations``
+    has station_id, timestamp and the metric columns; flights without an observation in reach
+    keep null weather, which the cleaning step fills."""
+    obs = weather_for_flights(observations, needed_station_months(flights, station_map))
+    obs = obs.withColumn("obs_id", F.xxhash64("airport", "timestamp", *sorted(
+        c for c in obs.columns if c.endswith(("_c", "_m", "_ms", "_mm")))))
+    return attach_weather(flights, observation_features(obs), flight_id, tolerance_seconds, tz_col=tz_col)
 
 
 def scheduled_departure(date_col: str = "fl_date", time_col: str = "crs_dep_time",

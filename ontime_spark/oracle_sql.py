@@ -459,7 +459,7 @@ SQL["j4_station_exact_icao"] = with_ctes("SELECT * FROM exact", STATIONS_CTE)
 SQL["j5_station_map"] = with_ctes("SELECT * FROM smap", STATIONS_CTE)
 SQL["j7_needed_station_months"] = with_ctes("""
 SELECT c.airport, c.year, c.month, m.station_id FROM
-  (SELECT DISTINCT origin AS airport, CAST(year(fl_date) AS INT) AS year,
+  (SELECT DISTINCT unnest([origin, dest]) AS airport, CAST(year(fl_date) AS INT) AS year,
           CAST(month(fl_date) AS INT) AS month FROM pre) c
 JOIN smap m ON m.iata = c.airport""", FLIGHTS_CTE, PRE_CTE, STATIONS_CTE)
 

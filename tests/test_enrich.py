@@ -34,7 +34,7 @@ def test_weather_for_needed_station_months(spark):
                                     "origin string, fl_date date")
     smap = spark.createDataFrame([("ATL", "722190-13874"), ("BOS", "725090-14739")],
                                  "iata string, station_id string")
-    needed = enrich.needed_station_months(flights, smap)
+    needed = enrich.needed_station_months(flights, smap, ["origin"])
     assert sorted((r["airport"], r["month"]) for r in needed.collect()) == [("ATL", 1), ("BOS", 2)]
     obs = spark.createDataFrame([("722190-13874", dt.datetime(2023, 1, 2, 0, 0)),
                                  ("722190-13874", dt.datetime(2023, 3, 2, 0, 0)),
@@ -44,6 +44,29 @@ def test_weather_for_needed_station_months(spark):
     assert got == [("ATL", 1), ("BOS", 2)]
 
 
+def test_enrichment_covers_airports_seen_only_as_destination(spark):
+    flights = spark.createDataFrame([(1, "ATL", "BOS", dt.date(2023, 1, 5), 1200)],
+                                    "flight_id long, origin string, dest string, fl_date date, crs_dep_time int")
+    smap = spark.createDataFrame([("ATL", "s1"), ("BOS", "s2"), ("SEA", "s3")], "iata string, station_id string")
+    at = dt.datetime(2023, 1, 5, 12, 10)
+    obs = spark.createDataFrame([(s, t, w, 0.0, 16093.44, 304.8, None) for s, t, w in (
+        ("s1", at, 1.0), ("s2", at, 2.0), ("s3", at, 3.0), ("s2", dt.datetime(2023, 2, 5, 12, 0), 9.0))],
+        "station_id string, timestamp timestamp, wind_speed_ms double, temp_c double, visibility_m double, "
+        "ceiling_m double, precip_mm double")
+    r = enrich.enrich_flights(flights, obs, smap, "flight_id").first()
+    assert r["origin_wind_speed"] == pytest.approx(1.9438444924406)
+    assert r["dest_wind_speed"] == pytest.approx(3.8876889848812) and r["dest_temp"] == pytest.approx(32.0)
+
+
+def test_observations_are_ordered_over_all_partitions(spark):
+    needed = spark.createDataFrame([(f"A{i}", 2023, 1, f"s{i}") for i in range(8)],
+                                   "airport string, year int, month int, station_id string")
+    obs = spark.createDataFrame([(f"s{i % 8}", dt.datetime(2023, 1, 1 + i % 28, i % 24, 0)) for i in range(400)],
+                                "station_id string, timestamp timestamp")
+    rows = [(r.airport, r.timestamp) for r in enrich.weather_for_flights(obs, needed).collect()]
+    assert rows == sorted(rows) and len(rows) == 400
+
+
 def test_observation_units(spark):
     obs = spark.createDataFrame([(10.0, 1609.344, 304.8, 100.0, None), (None, None, None, -40.0, 25.4)],
                                 "wind_speed_ms double, visibility_m double, ceiling_m double, temp_c double, precip_mm double")

@@ -7,10 +7,12 @@ in a few longs, give a collision-corrected similarity by bit counts that drops c
 below the threshold. What remains is confirmed on the full sets, and confirmed links are joined
 to components.
 
-Large groups of near copies are not expanded into pairs: while the buckets hold many pairs of
-different components, each document is tested against one hub of its buckets and the links found
-are contracted; only pairs that still belong to different components are then enumerated. No
-bucket is capped.
+Large groups of near copies are not expanded into pairs: first each document is tested against
+the most similar of a few hubs of its buckets and the links found are contracted; only pairs that
+still belong to different components are then listed. While that would be very many, hub rounds
+are repeated with other hubs. No bucket is capped. Copies that were edited too much for a link
+are kept out of the list by an exact bound: a shingle that only one candidate has is in no
+intersection.
 """
 
 from __future__ import annotations
@@ -28,15 +30,19 @@ from ontime_spark.session import materialize
 SHINGLE_WORDS = 5
 #: Two documents are linked when 100 * intersection >= PERCENT * union.
 PERCENT = 75
-#: A pair at the threshold shares no band with probability (1 - 0.75^4)^32 = 5e-6.
-BANDS, ROWS = 32, 4
-#: Low bits kept of each minimum; two longs hold 64 minima.
+#: A pair at the threshold shares no band with probability (1 - 0.75^6)^64 = 4e-6. Six rows keep
+#: passages that many documents share (similarity 0.2 and less) from filling the buckets.
+BANDS, ROWS = 64, 6
+#: Low bits kept of each minimum; a long holds 32 minima.
 BITS = 2
-#: Candidates with an estimate this far below the threshold are dropped: six standard
-#: deviations of the estimate of a pair at the threshold (128 minima of 2 bits).
-MARGIN = 0.28
-#: Rounds of one test per document before all remaining cross-component pairs are listed.
-HUB_ROUNDS = 6
+#: Candidates with an estimate this far below the threshold are dropped: five and a half
+#: standard deviations of the estimate of a pair at the threshold (384 minima of 2 bits).
+MARGIN = 0.15
+#: Hubs of a bucket in a hub round.
+HUBS = 4
+#: Another hub round follows while the buckets hold more pairs of different components than this
+#: for each of their members, but never more rounds than ``HUB_ROUNDS``; then all are listed.
+PAIRS_EACH, HUB_ROUNDS = 1000, 6
 
 _rng = np.random.default_rng(20240918)
 _MULT = _rng.integers(1, 2**63, 1024, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -155,16 +161,15 @@ def components(edges: DataFrame) -> DataFrame:
             out = out.union(near.select("u", F.col("m").alias("v")))
         return out.where("u <> v").distinct()
 
-    e = materialize(edges.where("u <> v").select(F.greatest("u", "v").alias("u"),
-                                                 F.least("u", "v").alias("v")).distinct(), "edges")
-    before = None
+    e = edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
     while True:
-        e = materialize(star(materialize(star(e, False), "large-star"), True), "small-star")
-        now = tuple(e.agg(F.count("u"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
-        if now == before:
-            break
-        before = now
-    return e.select(F.col("u").alias("node"), F.col("v").alias("label"))
+        e = materialize(star(star(e, False), True), "stars")
+        # Done when every node has one smaller neighbour, which has none itself.
+        ends = F.array(F.struct(F.col("u").alias("x"), F.lit(1).alias("up")), F.struct(F.col("v").alias("x"), F.lit(0).alias("up")))
+        loose = (e.select(F.inline(ends)).groupBy("x").agg(F.sum("up").alias("n"), F.min("up").alias("low"))
+                 .where("n > 1 or n = 1 and low = 0"))
+        if loose.isEmpty():
+            return e.select(F.col("u").alias("node"), F.col("v").alias("label"))
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -203,56 +208,61 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                        .groupBy("node").agg(F.first("n").alias("n"), F.first("shingles").alias("shingles")),
                        "sets")
 
-    labels = candidates.select("node", F.col("node").alias("label"))
-    tested = None
+    # Shingles that no other candidate has can be in no intersection: they bound it.
+    lone = (sets.select("node", F.explode("shingles").alias("shingle")).groupBy("shingle")
+            .agg(F.count(F.lit(1)).alias("c"), F.min("node").alias("node")).where("c = 1")
+            .groupBy("node").agg(F.count(F.lit(1)).alias("lone")))
+    known = materialize(candidates.select("node", "n", "sig").join(lone, "node", "left")
+                        .withColumn("shared", F.col("n") - F.coalesce("lone", F.lit(0))).drop("lone"), "known")
+    labels: DataFrame | None = None
     links: DataFrame | None = None
-    floor = percent / 100 - MARGIN
-    for turn in range(HUB_ROUNDS + 1):
-        named = buckets.join(labels, "node")
-        per_label = named.groupBy("key", "label").agg(F.count("node").alias("c"))
-        mixed = (per_label.groupBy("key").agg(
-            F.sum("c").alias("members"), F.sum(F.col("c") * F.col("c")).alias("squares"),
-            F.count("label").alias("parts"), F.max(F.struct("c", "label"))["label"].alias("main"))
-            .where("parts > 1").select("key", "members", "main",
-                                       ((F.col("members") * F.col("members") - F.col("squares")) / 2).alias("cross")))
+    similar = estimate(F.col("sig"), F.col("sig_1"), bands * rows)
+    most = F.least("shared", "shared_1")
+    alike = (most * 100 >= (F.col("n") + F.col("n_1") - most) * percent) & (similar >= percent / 100 - MARGIN)
+    other = [F.col(c).alias(f"{c}_1") for c in ("node", "n", "shared", "sig")]
+
+    def linked(pairs: DataFrame, tested: DataFrame | None) -> tuple[DataFrame, DataFrame]:
+        """(tested pairs, links found): the new ones of ``pairs``, confirmed on the full sets."""
+        new = materialize(pairs.select(F.greatest("node", "node_1").alias("a"), F.least("node", "node_1").alias("b")).distinct(), "pairs")
+        new = new if tested is None else materialize(new.join(tested, ["a", "b"], "left_anti"), "new-pairs")
+        found = materialize(_verified(new, sets, percent), "links").select(F.col("a").alias("u"), F.col("b").alias("v"))
+        return (new if tested is None else tested.union(new)), (found if links is None else links.union(found))
+
+    def labelled() -> DataFrame:
+        return materialize(known.select("node").join(components(links), "node", "left")
+                           .select("node", F.coalesce("label", "node").alias("label")), "labels")
+
+    tested, members = None, buckets
+    for turn in range(HUB_ROUNDS):
+        # The first hub is the member with the fewest shingles of its own: the text that others
+        # are edited from, if there is one.
+        named = members.select("key", "node").join(known, "node")
+        order = [F.struct((1 - F.col("shared") / F.col("n")).alias("own"), F.xxhash64("node", F.lit(turn)).alias("h"))] if not turn else []
+        order += [F.xxhash64("node", F.lit(HUBS * turn + i)) for i in range(HUBS - len(order))]
+        hub = F.struct(*[F.col(c) for c in ("node", "n", "shared", "sig")])
+        hubs = named.groupBy("key").agg(F.array_distinct(F.array(*[F.min_by(hub, o) for o in order])).alias("hubs"))
+        hubs = hubs.select("key", F.explode("hubs").alias("hub")).select("key", *[F.col("hub")[c].alias(f"{c}_1") for c in ("node", "n", "shared", "sig")])
+        pairs = named.join(hubs, "key").where((F.col("node") != F.col("node_1")) & alike)
+        tested, links = linked(pairs.groupBy("node").agg(F.max_by("node_1", similar).alias("node_1")), tested)
+        labels = labelled()
+        named = materialize(buckets.join(labels, "node"), "named")
+        parts = named.groupBy("key", "label").agg(F.count("node").alias("c"))
+        mixed = (parts.groupBy("key").agg(F.sum("c").alias("members"), F.sum(F.col("c") * F.col("c")).alias("squares"),
+                                          F.count("label").alias("parts"), F.max(F.struct("c", "label"))["label"].alias("main"))
+                 .where("parts > 1"))
         mixed = materialize(mixed, "mixed")
-        total = mixed.agg(F.sum("cross").alias("cross"), F.sum("members").alias("members")).first()
-        if not total["cross"]:
-            break
-        last = turn == HUB_ROUNDS or total["cross"] <= 4 * total["members"]
-        active = materialize(named.join(mixed.select("key", "main"), "key")
-                             .join(candidates.select("node", "n", "sig"), "node"), "active")
-        me = [F.col(c).alias(f"{c}_1") for c in ("node", "label", "n", "sig")]
-        if last:
-            # Members outside a bucket's largest component against all other members.
-            left = active.where("label <> main").select("key", *me, F.col("main").alias("main_1"))
-            right = active
-            other = (F.col("label") != F.col("label_1")) & (
-                (F.col("label") == F.col("main_1")) | (F.col("node") < F.col("node_1")))
-        else:
-            hub = active.groupBy("key").agg(F.min_by(F.struct("node", "label", "n", "sig"),
-                                                     F.xxhash64("node", F.lit(turn))).alias("hub"))
-            left = hub.select("key", *[F.col("hub")[c].alias(f"{c}_1") for c in ("node", "label", "n", "sig")])
-            right = active
-            other = F.col("label") != F.col("label_1")
-        alike = ((F.least("n", "n_1") * 100 >= F.greatest("n", "n_1") * percent)
-                 & (estimate(F.col("sig"), F.col("sig_1"), bands * rows) >= floor))
-        pairs = (right.join(left, "key").where(other & alike)
-                 .select("node", "node_1", estimate(F.col("sig"), F.col("sig_1"), bands * rows).alias("e")))
-        if not last:
-            pairs = pairs.groupBy("node").agg(F.max_by("node_1", "e").alias("node_1"))
-        pairs = pairs.select(F.greatest("node", "node_1").alias("a"), F.least("node", "node_1").alias("b")).distinct()
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = materialize(pairs, "pairs")
-        tested = pairs if tested is None else tested.union(pairs)
-        found = materialize(_verified(pairs, sets, percent), "links").select(F.col("a").alias("u"), F.col("b").alias("v"))
-        links = found if links is None else links.union(found)
-        labels = materialize(
-            candidates.select("node").join(components(links), "node", "left")
-            .select("node", F.coalesce("label", "node").alias("label")), "labels")
-        if last:
+        total = mixed.agg(F.sum((F.col("members") * F.col("members") - F.col("squares")) / 2).alias("cross"),
+                          F.sum("members").alias("members")).first()
+        members = named.join(mixed.select("key", "main"), "key")
+        if not total["cross"] or total["cross"] <= PAIRS_EACH * total["members"]:
             break
+    if total["cross"]:
+        # Members outside a bucket's largest component against all members of other components.
+        active = materialize(members.join(known, "node"), "active")
+        left = active.where("label <> main").select("key", F.col("label").alias("label_1"), F.col("main").alias("main_1"), *other)
+        apart = (F.col("label") != F.col("label_1")) & ((F.col("label") == F.col("main_1")) | (F.col("node") < F.col("node_1")))
+        tested, links = linked(active.join(left, "key").where(apart & alike).select("node", "node_1"), tested)
+        labels = labelled()
 
     named = classes.select("node", "check", "first_id").join(labels, "node", "left").withColumn(
         "label", F.coalesce("label", "node"))
@@ -281,3 +291,19 @@ def representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def op4_minhash_near_dedup(spark, sf_dir: str) -> DataFrame:
     """Every document with its shingle count, component and whether it is the one kept."""
     return near_duplicates(common.read(spark, sf_dir, "documents"))
+
+
+SQL = {"op4_minhash_near_dedup": r"""
+WITH RECURSIVE w AS (SELECT row_number() OVER () AS r, doc_id,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                       '[^\x20\x09-\x0D]+') AS words FROM documents),
+s AS (SELECT r, doc_id, CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 5 THEN [array_to_string(words, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(words) - 3), lambda i: array_to_string(words[i:i + 4], ' '))) END AS sh FROM w),
+x AS (SELECT r, len(sh) AS n, unnest(sh) AS g FROM s),
+p AS (SELECT a.r AS a, b.r AS b, a.n AS na, b.n AS nb, count(*) AS i FROM x a JOIN x b ON a.g = b.g AND a.r < b.r GROUP BY ALL),
+l AS (SELECT a, b FROM p WHERE 100 * i >= 75 * (na + nb - i)),
+e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+reach(r, t) AS (SELECT r, r FROM s UNION SELECT reach.r, e.b FROM reach JOIN e ON e.a = reach.t),
+c AS (SELECT reach.r, min(s.doc_id) AS component_id FROM reach JOIN s ON s.r = reach.t GROUP BY reach.r)
+SELECT doc_id, CAST(len(sh) AS BIGINT) AS n_shingles, component_id, doc_id = component_id AS kept
+FROM s JOIN c USING (r)"""}

@@ -19,4 +19,4 @@ QUERIES = {
     "op10_decontamination": decontaminate.op10_decontamination,
 }
 
-SQL: dict[str, str] = {**warc.SQL, **license_rules.SQL, **decontaminate.SQL}
+SQL: dict[str, str] = {**near_dedup.SQL, **warc.SQL, **license_rules.SQL, **decontaminate.SQL}

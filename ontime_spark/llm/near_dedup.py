@@ -11,8 +11,8 @@ Large groups of near copies are not expanded into pairs: first each document is
 the most similar of a few hubs of its buckets and the links found are contracted; only pairs that
 still belong to different components are then listed. While that would be very many, hub rounds
 are repeated with other hubs. No bucket is capped. Copies that were edited too much for a link
-are kept out of the list by an exact bound: a shingle that only one candidate has is in no
-intersection.
+are kept out of the list by exact bounds: a shingle that only one candidate has is in no
+intersection, and what two texts share with one hub limits what they share.
 """
 
 from __future__ import annotations
@@ -172,14 +172,14 @@ def components(edges: DataFrame) -> DataFrame:
             return e.select(F.col("u").alias("node"), F.col("v").alias("label"))
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) that are linked, checked on the full sets."""
+def _compared(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) with the size ``i`` of their intersection on the full sets, and whether
+    they are ``linked``."""
     left = sets.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("shingles").alias("sa"))
     right = sets.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("shingles").alias("sb"))
-    common_n = F.size(F.array_intersect("sa", "sb"))
-    return (pairs.join(left, "a").join(right, "b").withColumn("i", common_n)
-            .where(F.col("i") * 100 >= (F.col("na") + F.col("nb") - F.col("i")) * percent)
-            .select("a", "b"))
+    i = F.col("i")
+    return (pairs.join(left, "a").join(right, "b").withColumn("i", F.size(F.array_intersect("sa", "sb")))
+            .select("a", "b", "i", (i * 100 >= (F.col("na") + F.col("nb") - i) * percent).alias("linked")))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -215,20 +215,20 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     known = materialize(candidates.select("node", "n", "sig").join(lone, "node", "left")
                         .withColumn("shared", F.col("n") - F.coalesce("lone", F.lit(0))).drop("lone"), "known")
     labels: DataFrame | None = None
-    links: DataFrame | None = None
     similar = estimate(F.col("sig"), F.col("sig_1"), bands * rows)
     most = F.least("shared", "shared_1")
     alike = (most * 100 >= (F.col("n") + F.col("n_1") - most) * percent) & (similar >= percent / 100 - MARGIN)
     other = [F.col(c).alias(f"{c}_1") for c in ("node", "n", "shared", "sig")]
 
-    def linked(pairs: DataFrame, tested: DataFrame | None) -> tuple[DataFrame, DataFrame]:
-        """(tested pairs, links found): the new ones of ``pairs``, confirmed on the full sets."""
+    def compared(pairs: DataFrame, before: DataFrame | None) -> DataFrame:
+        """All comparisons so far, with the new ones of ``pairs`` made on the full sets."""
         new = materialize(pairs.select(F.greatest("node", "node_1").alias("a"), F.least("node", "node_1").alias("b")).distinct(), "pairs")
-        new = new if tested is None else materialize(new.join(tested, ["a", "b"], "left_anti"), "new-pairs")
-        found = materialize(_verified(new, sets, percent), "links").select(F.col("a").alias("u"), F.col("b").alias("v"))
-        return (new if tested is None else tested.union(new)), (found if links is None else links.union(found))
+        new = new if before is None else materialize(new.join(before, ["a", "b"], "left_anti"), "new-pairs")
+        new = materialize(_compared(new, sets, percent), "compared")
+        return new if before is None else before.union(new)
 
     def labelled() -> DataFrame:
+        links = tested.where("linked").select(F.col("a").alias("u"), F.col("b").alias("v"))
         return materialize(known.select("node").join(components(links), "node", "left")
                            .select("node", F.coalesce("label", "node").alias("label")), "labels")
 
@@ -243,7 +243,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         hubs = named.groupBy("key").agg(F.array_distinct(F.array(*[F.min_by(hub, o) for o in order])).alias("hubs"))
         hubs = hubs.select("key", F.explode("hubs").alias("hub")).select("key", *[F.col("hub")[c].alias(f"{c}_1") for c in ("node", "n", "shared", "sig")])
         pairs = named.join(hubs, "key").where((F.col("node") != F.col("node_1")) & alike)
-        tested, links = linked(pairs.groupBy("node").agg(F.max_by("node_1", similar).alias("node_1")), tested)
+        best = materialize(pairs.groupBy("node").agg(F.max_by("node_1", similar).alias("node_1")), "best-hubs")
+        tested = compared(best, tested)
         labels = labelled()
         named = materialize(buckets.join(labels, "node"), "named")
         parts = named.groupBy("key", "label").agg(F.count("node").alias("c"))
@@ -258,10 +259,19 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             break
     if total["cross"]:
         # Members outside a bucket's largest component against all members of other components.
+        # What two members share with a hub that both were compared with bounds what they share:
+        # shingles of the hub that both have, and others, of which lone ones don't count.
+        hubs = best.withColumns({"a": F.greatest("node", "node_1"), "b": F.least("node", "node_1")}).join(
+            tested, ["a", "b"]).select("node", F.col("node_1").alias("hub"), F.col("i").alias("with_hub"))
+        known = materialize(known.join(hubs, "node", "left"), "known-hubs")
         active = materialize(members.join(known, "node"), "active")
+        other = [F.col(c).alias(f"{c}_1") for c in ("node", "n", "shared", "sig", "hub", "with_hub")]
+        beside = F.least(F.col("shared") - F.col("with_hub"), F.col("shared_1") - F.col("with_hub_1"))
+        most = F.when(F.col("hub") == F.col("hub_1"), F.least(most, F.least("with_hub", "with_hub_1") + beside)).otherwise(most)
+        alike = (most * 100 >= (F.col("n") + F.col("n_1") - most) * percent) & (similar >= percent / 100 - MARGIN)
         left = active.where("label <> main").select("key", F.col("label").alias("label_1"), F.col("main").alias("main_1"), *other)
         apart = (F.col("label") != F.col("label_1")) & ((F.col("label") == F.col("main_1")) | (F.col("node") < F.col("node_1")))
-        tested, links = linked(active.join(left, "key").where(apart & alike).select("node", "node_1"), tested)
+        tested = compared(active.join(left, "key").where(apart & alike).select("node", "node_1"), tested)
         labels = labelled()
 
     named = classes.select("node", "check", "first_id").join(labels, "node", "left").withColumn(

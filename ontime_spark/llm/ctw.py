@@ -10,8 +10,11 @@ probabilities.
 
 Nothing is broadcast. Documents are packed into blocks of bounded size as they are read; a block
 states which byte strings of ``DEPTH`` + 1 bytes and which words it has, with their training
-counts. Summed over blocks these are the counts of the tree, which is computed level by level
-with joins and sums; each block then gets back the values of its own strings and words.
+counts, as sorted arrays cut into slots. All arrays of a slot meet in one group; slots divide
+strings by the last ``SPLIT`` context bytes, so a group holds whole subtrees, weights them and
+hands up one row per node at depth ``SPLIT``. The few levels above are joins and sums of those
+rows. Going down again, each group turns its strings into probabilities, and each block gets
+back the values of its own strings and words.
 """
 
 from __future__ import annotations
@@ -28,57 +31,66 @@ from ontime_spark.llm import common
 from ontime_spark.session import materialize
 
 DEPTH = 5
+#: Context bytes that decide a byte string's slot; deeper levels are computed inside a slot.
+SPLIT = 3
 #: Bytes of text in a block (a single longer document is one block).
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 32 << 20
+#: Slots for each shuffle partition: the more, the smaller a group.
+SLOTS_EACH = 4
 #: Base model: additive smoothing of a word unigram.
 ALPHA = 0.1
 END = 0x0A
 _END_WORD = np.int64(-0x61C8864680B583EB)
-_DOC, _GRAM, _WORD = 0, 1, 2
+_DOCS, _GRAM, _WORD = 0, 1, 2
 
 
-def _stream(data: np.ndarray, offsets: np.ndarray):
-    """(strings of DEPTH + 1 bytes as integers, bytes per document, word hashes with the end
-    word, tokens per document) of the documents of a chunk."""
+def _stream(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(bytes, modelled bytes per document) of a chunk: for each document ``DEPTH`` end bytes as
+    context, its words with a space each, and the end byte."""
     low = common.LOWER[data]
     starts, ends, doc = common.words(low, offsets)
     n = len(offsets) - 1
     lengths = ends - starts
-    n_words = np.bincount(doc, minlength=n)
-    bytes_in = np.bincount(doc, weights=lengths + 1, minlength=n).astype(np.int64) + 1
-    # Layout: DEPTH end bytes as context, the words with a space each, the end byte.
-    begin = np.concatenate([[0], np.cumsum(bytes_in + DEPTH)])
+    size = np.bincount(doc, weights=lengths + 1, minlength=n).astype(np.int64) + 1
+    begin = np.concatenate([[0], np.cumsum(size + DEPTH)])
     out = np.full(int(begin[-1]), END, np.uint8)
-    at_word = np.cumsum(lengths + 1) - (lengths + 1)
-    first_of_doc = np.concatenate([[0], np.cumsum(bytes_in - 1)])
-    place = at_word - first_of_doc[doc] + begin[doc] + DEPTH
     if len(starts):
-        base = np.concatenate([[0], np.cumsum(lengths)[:-1]])
-        step = np.arange(int(lengths.sum())) - np.repeat(base, lengths)
+        at_word = np.cumsum(lengths + 1) - (lengths + 1)
+        place = at_word - np.concatenate([[0], np.cumsum(size - 1)])[doc] + begin[doc] + DEPTH
+        step = np.arange(int(lengths.sum())) - np.repeat(np.cumsum(lengths) - lengths, lengths)
         out[np.repeat(place, lengths) + step] = low[np.repeat(starts, lengths) + step]
         out[place + lengths] = 0x20
-    wide = out.astype(np.uint64)
-    grams = np.zeros(max(0, len(out) - DEPTH), np.uint64)
+    return out, size
+
+
+def _events(stream: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(strings of DEPTH + 1 bytes as integers, word hashes with the end word, tokens per
+    document) of documents laid out by ``_stream``."""
+    n = len(size)
+    begin = np.concatenate([[0], np.cumsum(size + DEPTH)])
+    wide = stream.astype(np.uint64)
+    grams = np.zeros(max(0, len(stream) - DEPTH), np.uint64)
     for i in range(DEPTH + 1):
         grams = grams << np.uint64(8) | wide[i:i + len(grams)]
-    own = np.repeat(np.arange(n), bytes_in + DEPTH)
-    first = np.arange(len(out)) - begin[own] >= DEPTH
-    grams = grams[first[DEPTH:]] if len(out) else grams
-    hashes = common.word_hashes(low, starts, ends).view(np.int64)
-    tokens = n_words + 1
+    own = np.repeat(np.arange(n), size + DEPTH)
+    grams = grams[(np.arange(len(stream)) - begin[own] >= DEPTH)[DEPTH:]]
+    starts, ends, doc = common.words(stream, begin)
+    tokens = np.bincount(doc, minlength=n) + 1
     words = np.full(int(tokens.sum()), _END_WORD, np.int64)
-    words[np.arange(len(hashes)) + doc] = hashes
-    return grams.view(np.int64), bytes_in, words, tokens
+    words[np.arange(len(starts)) + doc] = common.word_hashes(stream, starts, ends).view(np.int64)
+    return grams.view(np.int64), words, tokens
 
 
 def _counted(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct keys with the sums of their counts."""
+    """Distinct keys, ascending, with the sums of their counts."""
     keys = np.concatenate([k for k, _ in parts])
     counts = np.concatenate([c for _, c in parts])
     order = np.argsort(keys, kind="stable")
     keys, counts = keys[order], counts[order]
-    new = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, int)
-    return keys[new], (np.add.reduceat(counts, new) if len(new) else counts)
+    if not len(keys):
+        return keys, counts
+    new = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+    return keys[new], np.add.reduceat(counts, new)
 
 
 def _tally(keys: np.ndarray, training: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -88,53 +100,170 @@ def _tally(keys: np.ndarray, training: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return _counted([(seen, n), (other, np.zeros(len(other), np.int64))])
 
 
-def pack(docs: DataFrame, id_col: str, text_col: str, held_out: Column) -> DataFrame:
-    """Blocks: rows of documents (kind 0: id, held_out, text), of byte strings (kind 1) and of
-    words (kind 2: key, training count)."""
+def _slots(keys: np.ndarray, kind: int, slots: int) -> np.ndarray:
+    """The slot of each key: of a string its nearest context bytes decide, of a word its hash."""
+    part = (keys >> 8) & ((1 << 8 * SPLIT) - 1) if kind == _GRAM else keys
+    return (common.mix64(part.astype(np.uint64)) % np.uint64(slots)).astype(np.int64)
+
+
+def pack(docs: DataFrame, id_col: str, text_col: str, held_out: Column, slots: int) -> DataFrame:
+    """Blocks: one row of documents each (kind 0: ids, held_out, size, and the modelled bytes,
+    compressed), and a row for each slot with byte strings (kind 1) or words (kind 2): keys and
+    training counts as arrays of integers."""
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches):
         part = TaskContext.get().partitionId()
-        seq, size = 0, 0
-        grams: list = []
-        words: list = []
-        held: list = []  # rows of the block that is being filled
-
-        def rows(count, **columns):
-            at = (part << 24) + seq
-            types = {"block": pa.int64(), "kind": pa.int32(), "id": id_type, "held_out": pa.bool_(),
-                     "text": text_type, "key": pa.int64(), "n": pa.int64()}
-            columns["block"] = pa.array(np.full(count, at, np.int64))
-            return pa.RecordBatch.from_arrays(
-                [columns[c] if c in columns else pa.nulls(count, t) for c, t in types.items()], list(types))
+        schema = None
+        state = {"seq": 0, "bytes": 0, "ids": [], "held": [], "sizes": [], "stream": [], _GRAM: [], _WORD: []}
 
         def finish():
-            for ids, flags, texts in held:
-                yield rows(len(ids), kind=pa.array(np.full(len(ids), _DOC, np.int32)), id=ids, held_out=flags, text=texts)
-            for what, parts in ((_GRAM, grams), (_WORD, words)):
-                keys, counts = _counted(parts)
-                yield rows(len(keys), kind=pa.array(np.full(len(keys), what, np.int32)), key=pa.array(keys), n=pa.array(counts))
+            block = (part << 24) + state["seq"]
+            sizes = np.concatenate(state["sizes"])
+            held = np.concatenate(state["held"])
+            ids = pa.concat_arrays(state["ids"])
+            whole = lambda values: pa.ListArray.from_arrays(pa.array([0, len(sizes)], pa.int32()), values)
+            blob = pa.compress(np.concatenate(state["stream"]).tobytes(), codec="zstd", asbytes=True)
+            columns = {"block": pa.array([block]), "kind": pa.array([_DOCS], pa.int32()), "ids": whole(ids),
+                       "held_out": whole(pa.array(held)), "sizes": whole(pa.array(sizes)), "blob": pa.array([blob])}
+            yield pa.RecordBatch.from_arrays([columns[f.name] if f.name in columns else pa.nulls(1, f.type) for f in schema], schema=schema)
+            for what in (_GRAM, _WORD):
+                keys, counts = _counted(state[what])
+                slot = _slots(keys, what, slots)
+                order = np.argsort(slot, kind="stable")
+                keys, counts, slot = keys[order], counts[order], slot[order]
+                cuts = np.flatnonzero(np.concatenate([[True], slot[1:] != slot[:-1]]))
+                ends = [*cuts[1:].tolist(), len(keys)]
+                columns = {
+                    "block": pa.array(np.full(len(cuts), block, np.int64)), "kind": pa.array(np.full(len(cuts), what, np.int32)),
+                    "slot": pa.array(slot[cuts].astype(np.int32)),
+                    "keys": pa.array([keys[a:b].tobytes() for a, b in zip(cuts.tolist(), ends)], pa.binary()),
+                    "counts": pa.array([counts[a:b].astype(np.int64).tobytes() for a, b in zip(cuts.tolist(), ends)], pa.binary())}
+                yield pa.RecordBatch.from_arrays(
+                    [columns[f.name] if f.name in columns else pa.nulls(len(cuts), f.type) for f in schema], schema=schema)
+            state.update({"seq": state["seq"] + 1, "bytes": 0, "ids": [], "held": [], "sizes": [], "stream": [], _GRAM: [], _WORD: []})
 
         for batch in batches:
-            id_type, text_type = batch.column(0).type, batch.column(2).type
+            schema = pa.schema([("block", pa.int64()), ("kind", pa.int32()), ("slot", pa.int32()),
+                                ("ids", pa.list_(batch.column(0).type)), ("held_out", pa.list_(pa.bool_())),
+                                ("sizes", pa.list_(pa.int64())), ("blob", pa.binary()), ("keys", pa.binary()), ("counts", pa.binary())])
             data, offsets = common.utf8(batch.column(2))
             flags = np.asarray(batch.column(1))
             for i, j in common.chunks(offsets):
-                if size and size + offsets[j] - offsets[i] > BLOCK_BYTES:
+                if state["bytes"] and state["bytes"] + offsets[j] - offsets[i] > BLOCK_BYTES:
                     yield from finish()
-                    grams, words, held, size, seq = [], [], [], 0, seq + 1
-                g, per_doc, w, tokens = _stream(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i])
-                grams.append(_tally(g, ~np.repeat(flags[i:j], per_doc)))
-                words.append(_tally(w, ~np.repeat(flags[i:j], tokens)))
-                if len(grams) > 4:
-                    grams, words = [_counted(grams)], [_counted(words)]
-                held.append((batch.column(0).slice(i, j - i), batch.column(1).slice(i, j - i), batch.column(2).slice(i, j - i)))
-                size += int(offsets[j] - offsets[i])
-        if held:
+                stream, size = _stream(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i])
+                grams, words, tokens = _events(stream, size)
+                state["ids"].append(batch.column(0).slice(i, j - i))
+                state["held"].append(flags[i:j])
+                state["sizes"].append(size)
+                state["stream"].append(stream)
+                state["bytes"] += int(offsets[j] - offsets[i])
+                for what, keys, each in ((_GRAM, grams, size), (_WORD, words, tokens)):
+                    state[what].append(_tally(keys, ~np.repeat(flags[i:j], each)))
+                    if len(state[what]) > 4:
+                        state[what] = [_counted(state[what])]
+        if state["ids"]:
             yield from finish()
 
     rows = docs.select(F.col(id_col).alias("id"), held_out.alias("held_out"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(run, f"block long, kind int, id {kind}, held_out boolean, text string, `key` long, n long")
+    return rows.mapInArrow(run, f"block long, kind int, slot int, ids array<{kind}>, held_out array<boolean>, "
+                                "sizes array<long>, blob binary, keys binary, counts binary")
+
+
+def _arrays(column, dtype=np.int64) -> list[np.ndarray]:
+    return [np.frombuffer(x, dtype) for x in column.to_pylist()]
+
+
+def _binary(parts: list[np.ndarray]) -> pa.Array:
+    return pa.array([p.tobytes() for p in parts], pa.binary())
+
+
+def _word_totals(rows: pa.Table) -> pa.Table:
+    """The corpus count of every word of a slot, for each block that has it; the first row also
+    has the slot's training tokens and distinct training words."""
+    keys = _arrays(rows.column("keys"))
+    distinct, total = _counted(list(zip(keys, _arrays(rows.column("counts")))))
+    values = [total[np.searchsorted(distinct, k)].astype(np.float64) for k in keys]
+    first = [0] * (len(keys) - 1)
+    return pa.table({"block": rows.column("block"), "kind": rows.column("kind"), "keys": rows.column("keys"),
+                     "values": _binary(values), "tokens": pa.array([int(total.sum()), *first]),
+                     "words": pa.array([int((total > 0).sum()), *first])})
+
+
+def _np_log_gamma(x: np.ndarray) -> np.ndarray:
+    y = x + 7
+    product = x.copy()
+    for i in range(1, 7):
+        product *= x + i
+    sq = y * y
+    series = (y - 0.5) * np.log(y) - y + 0.5 * math.log(2 * math.pi) + 1 / (12 * y) - 1 / (360 * sq * y)
+    return series + 1 / (1260 * sq * sq * y) - 1 / (1680 * sq * sq * sq * y) - np.log(product)
+
+
+class _Subtrees:
+    """The levels DEPTH to SPLIT of the nodes that some byte strings pass. A node's code is its
+    context followed by its place among the decisions of a byte."""
+
+    def __init__(self, keys: np.ndarray, n: np.ndarray):
+        context, symbol = keys >> 8, keys & 255
+        k = np.arange(8)[:, None]
+        code = (context << 8 | 1 << k | symbol >> (8 - k)).ravel()
+        self.bit = (symbol >> (7 - k) & 1).ravel().astype(bool)
+        n = np.tile(n, 8).astype(np.float64)
+        self.codes, self.place = np.unique(code, return_inverse=True)
+        n1 = np.bincount(self.place, weights=n * self.bit, minlength=len(self.codes))
+        n0 = np.bincount(self.place, weights=n * ~self.bit, minlength=len(self.codes))
+        weighted = self._kt(n0, n1)
+        #: From DEPTH up: (KT probability of a 1, share of the KT estimate, place of the parent).
+        self.levels = [((n1 + 0.5) / (n0 + n1 + 1), np.ones(len(n0)), None)]
+        codes = self.codes
+        for depth in range(DEPTH - 1, SPLIT - 1, -1):
+            up, parent = np.unique((codes >> 8 & ((1 << 8 * depth) - 1)) << 8 | codes & 255, return_inverse=True)
+            self.levels[-1] = (*self.levels[-1][:2], parent)
+            n0, n1, below = (np.bincount(parent, weights=x, minlength=len(up)) for x in (n0, n1, weighted))
+            own = self._kt(n0, n1)
+            weighted = np.logaddexp(own, below) - math.log(2)
+            with np.errstate(over="ignore"):
+                share = 1 / (1 + np.exp(below - own))
+            self.levels.append(((n1 + 0.5) / (n0 + n1 + 1), share, None))
+            codes = up
+        self.top, self.n0, self.n1, self.weighted = codes, n0, n1, weighted
+
+    @staticmethod
+    def _kt(n0: np.ndarray, n1: np.ndarray) -> np.ndarray:
+        return _np_log_gamma(n0 + 0.5) + _np_log_gamma(n1 + 0.5) - _np_log_gamma(n0 + n1 + 1) - math.log(math.pi)
+
+    def log10(self, done: np.ndarray, rest: np.ndarray) -> np.ndarray:
+        """log10 probability of each string's last byte, given for each node at depth SPLIT the
+        probability mixed above it and the weight that is left."""
+        for i, (kt, share, _) in enumerate(reversed(self.levels)):
+            if i:
+                parent = self.levels[len(self.levels) - 1 - i][2]
+                done, rest = done[parent], rest[parent]
+            done, rest = done + rest * share * kt, rest * (1 - share)
+        p = done[self.place]
+        return np.log10(np.where(self.bit, p, 1 - p)).reshape(8, -1).sum(axis=0)
+
+
+def _subtree_tops(rows: pa.Table) -> pa.Table:
+    """The nodes at depth SPLIT of a slot: counts and weighted log probability."""
+    t = _Subtrees(*_counted(list(zip(_arrays(rows.column("keys")), _arrays(rows.column("counts"))))))
+    return pa.table({"slot": pa.array(np.full(len(t.top), rows.column("slot")[0].as_py(), np.int32)), "code": t.top,
+                     "ctx": t.top >> 8, "node": (t.top & 255).astype(np.int32), "n0": t.n0, "n1": t.n1, "weighted": t.weighted})
+
+
+def _string_values(rows: pa.Table, above: pa.Table) -> pa.Table:
+    """log10 probabilities of a slot's byte strings, for each block that has them."""
+    keys = _arrays(rows.column("keys"))
+    distinct, n = _counted(list(zip(keys, _arrays(rows.column("counts")))))
+    t = _Subtrees(distinct, n)
+    code = np.asarray(above.column("code").combine_chunks())
+    order = np.argsort(code)[np.searchsorted(np.sort(code), t.top)]
+    done, rest = (np.asarray(above.column(c).combine_chunks())[order] for c in ("done", "rest"))
+    values = t.log10(done, rest)
+    return pa.table({"block": rows.column("block"), "kind": rows.column("kind"), "keys": rows.column("keys"),
+                     "values": _binary([values[np.searchsorted(distinct, k)] for k in keys])})
 
 
 def log_gamma(x: Column) -> Column:
@@ -152,21 +281,14 @@ def _log_kt(n0: Column, n1: Column) -> Column:
     return log_gamma(n0 + 0.5) + log_gamma(n1 + 0.5) - log_gamma(n0 + n1 + 1.0) - math.log(math.pi)
 
 
-def tree(grams: DataFrame, depth: int = DEPTH) -> DataFrame:
-    """key -> log10 probability of its last byte after the ``depth`` bytes before it, from
-    training counts (key, n; zero for strings of other texts only)."""
-    bits = grams.select("key", "n", F.shiftright("key", 8).alias("ctx"), F.col("key").bitwiseAND(255).cast("int").alias("sym"),
-                        F.explode(F.sequence(F.lit(0), F.lit(7))).alias("k"))
-    bits = bits.select("key", "n", "ctx", F.expr("shiftleft(1, k) | shiftright(sym, 8 - k)").alias("node"),
-                       F.expr("shiftright(sym, 7 - k) & 1").alias("bit"))
-    zero = F.lit(0).cast("long")
-    level = bits.groupBy("ctx", "node").agg(F.sum(F.when(F.col("bit") == 0, F.col("n")).otherwise(zero)).alias("n0"),
-                                            F.sum(F.when(F.col("bit") == 1, F.col("n")).otherwise(zero)).alias("n1"))
+def _above(tops: DataFrame) -> DataFrame:
+    """For each node at depth SPLIT (slot, code): the probability of a 1 mixed at depths below
+    SPLIT, ``done``, and the weight that is left, ``rest``. ``tops`` has slot, code, ctx, node,
+    n0, n1, weighted."""
     kt = (F.col("n1") + 0.5) / (F.col("n0") + F.col("n1") + 1.0)
     own = _log_kt(F.col("n0"), F.col("n1"))
-    levels = [materialize(level.select("ctx", "node", "n0", "n1", own.alias("weighted"), F.lit(1.0).alias("share"),
-                                       kt.alias("kt")), "ctw-level")]
-    for d in range(depth - 1, -1, -1):
+    levels = [tops.select("ctx", "node", "n0", "n1", "weighted")]
+    for d in range(SPLIT - 1, -1, -1):
         up = (levels[-1].groupBy(F.col("ctx").bitwiseAND((1 << 8 * d) - 1).alias("ctx"), "node")
               .agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"), F.sum("weighted").alias("below"))
               .withColumn("own", own))
@@ -174,15 +296,15 @@ def tree(grams: DataFrame, depth: int = DEPTH) -> DataFrame:
         mixed = F.greatest("own", "below") + F.log1p(F.exp(-F.abs(gap))) - math.log(2)
         levels.append(materialize(up.select("ctx", "node", "n0", "n1", mixed.alias("weighted"),
                                             (1 / (1 + F.exp(gap))).alias("share"), kt.alias("kt")), "ctw-level"))
-    # Down again: ``done`` is the probability of a 1 mixed so far, ``rest`` the weight not used.
-    path = levels[depth].select("ctx", "node", (F.col("share") * F.col("kt")).alias("done"), (1 - F.col("share")).alias("rest"))
-    for d in range(1, depth + 1):
-        here = levels[depth - d].select("ctx", "node", "share", "kt", F.col("ctx").bitwiseAND((1 << 8 * (d - 1)) - 1).alias("up"))
-        path = here.join(path.select(F.col("ctx").alias("up"), "node", "done", "rest"), ["up", "node"]).select(
+    path = levels[SPLIT].select("ctx", "node", (F.col("share") * F.col("kt")).alias("done"), (1 - F.col("share")).alias("rest"))
+    for d in range(1, SPLIT + 1):
+        here = tops if d == SPLIT else levels[SPLIT - d]
+        here = here.withColumn("up", F.col("ctx").bitwiseAND((1 << 8 * (d - 1)) - 1))
+        joined = here.join(path.select(F.col("ctx").alias("up"), "node", "done", "rest"), ["up", "node"])
+        path = joined.select("slot", "code", "done", "rest") if d == SPLIT else joined.select(
             "ctx", "node", (F.col("done") + F.col("rest") * F.col("share") * F.col("kt")).alias("done"),
             (F.col("rest") * (1 - F.col("share"))).alias("rest"))
-    taken = F.when(F.col("bit") == 1, F.col("done")).otherwise(1 - F.col("done"))
-    return bits.join(path, ["ctx", "node"]).groupBy("key").agg(F.sum(F.log10(taken)).alias("value"))
+    return path.withColumnRenamed("slot", "slot_above")
 
 
 def held_out(id_col: str = "doc_id") -> Column:
@@ -197,46 +319,52 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     Null and empty texts are one token, the end. Rows with the same id or text are scored and
     learned from separately. Without training rows every byte costs eight bits."""
+    spark = docs.sparkSession
     kind = docs.schema[id_col].dataType.simpleString()
-    packed = materialize(pack(docs, id_col, text_col, held_out(id_col) if held is None else held), "ctw-blocks")
-    by_key = packed.where(F.col("kind") != _DOC).groupBy("kind", "key").agg(F.sum("n").alias("n"))
-    counts = materialize(by_key, "ctw-counts")
-    words = counts.where(F.col("kind") == _WORD)
-    total = words.agg(F.sum("n").alias("n"), F.count(F.when(F.col("n") > 0, 1)).alias("v")).first()
-    n_train, vocabulary = int(total["n"] or 0), int(total["v"])
-    values = (tree(counts.where(F.col("kind") == _GRAM).select("key", "n"))
-              .select(F.lit(_GRAM).alias("kind"), "key", "value")
-              .union(words.select("kind", "key", F.col("n").cast("double").alias("value"))))
-    wanted = packed.where(F.col("kind") != _DOC).select(F.col("block").alias("slice"), "kind", "key")
-    own = wanted.join(values, ["kind", "key"]).select("slice", "kind", "key", "value")
-    texts = packed.where(F.col("kind") == _DOC).select("block", "id", "held_out", "text")
+    slots = SLOTS_EACH * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    packed = materialize(pack(docs, id_col, text_col, held_out(id_col) if held is None else held, slots), "ctw-blocks")
+    arrays = packed.select("block", "kind", "slot", "keys", "counts")
+    words = materialize(arrays.where(F.col("kind") == _WORD).groupBy("slot").applyInArrow(
+        _word_totals, "block long, kind int, keys binary, values binary, tokens long, words long"), "ctw-words")
+    total = words.agg(F.sum("tokens").alias("n"), F.sum("words").alias("v")).first()
+    n_train, vocabulary = int(total["n"] or 0), int(total["v"] or 0)
+    grams = arrays.where(F.col("kind") == _GRAM)
+    tops = materialize(grams.groupBy("slot").applyInArrow(
+        _subtree_tops, "slot int, code long, ctx long, node int, n0 double, n1 double, weighted double"), "ctw-tops")
+    strings = grams.groupBy("slot").cogroup(_above(tops).groupBy("slot_above")).applyInArrow(
+        _string_values, "block long, kind int, keys binary, values binary")
+    values = strings.union(words.select("block", "kind", "keys", "values")).select(
+        F.col("block").alias("of"), "kind", "keys", "values")
+    blocks = packed.where(F.col("kind") == _DOCS).select("block", "ids", "held_out", "sizes", "blob")
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        right = right.combine_chunks()
-        what = np.asarray(right.column("kind"))
-        keys, vals = np.asarray(right.column("key")), np.asarray(right.column("value"))
+        what = np.asarray(right.column("kind").combine_chunks())
         tables = []
         for k in (_GRAM, _WORD):
-            at = np.flatnonzero(what == k)
-            at = at[np.argsort(keys[at], kind="stable")]
-            tables.append((keys[at], vals[at]))
-        data, offsets = common.utf8(left.column("text"))
+            rows = right.filter(pa.array(what == k))
+            keys = np.concatenate(_arrays(rows.column("keys")))
+            vals = np.concatenate(_arrays(rows.column("values"), np.float64))
+            order = np.argsort(keys, kind="stable")
+            tables.append((keys[order], vals[order]))
+        size = np.asarray(left.column("sizes").combine_chunks().flatten())
+        begin = np.concatenate([[0], np.cumsum(size + DEPTH)])
+        stream = np.frombuffer(pa.decompress(left.column("blob")[0].as_buffer(), int(begin[-1]), codec="zstd"), np.uint8)
         out = []
-        for i, j in common.chunks(offsets):
-            g, per_doc, w, tokens = _stream(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i])
+        for i, j in common.chunks(begin):
+            g, w, tokens = _events(stream[begin[i]:begin[j]], size[i:j])
             p = tables[0][1][np.searchsorted(tables[0][0], g)]
             c = tables[1][1][np.searchsorted(tables[1][0], w)]
             base = np.log10((c + ALPHA) / (n_train + ALPHA * (vocabulary + 1)))
-            first_g, first_w = np.cumsum(per_doc) - per_doc, np.cumsum(tokens) - tokens
-            out.append((tokens, np.add.reduceat(c > 0, first_w, dtype=np.int64), np.add.reduceat(base, first_w),
-                        np.add.reduceat(p, first_g), per_doc))
-        tokens, known, base, model, size = (np.concatenate(x) for x in zip(*out))
+            first_g, first_w = np.cumsum(size[i:j]) - size[i:j], np.cumsum(tokens) - tokens
+            out.append((tokens, np.add.reduceat((c > 0).astype(np.int64), first_w), np.add.reduceat(base, first_w),
+                        np.add.reduceat(p, first_g)))
+        tokens, known, base, model = (np.concatenate(x) for x in zip(*out))
         return pa.table({
-            "id": left.column("id"), "held_out": left.column("held_out"), "n_tokens": tokens, "n_known": known,
-            "train_tokens": np.full(len(tokens), n_train, np.int64), "base_score": base, "score": model,
-            "bits_per_byte": -model * math.log2(10) / size})
+            "id": left.column("ids").combine_chunks().flatten(), "held_out": left.column("held_out").combine_chunks().flatten(),
+            "n_tokens": tokens, "n_known": known, "train_tokens": np.full(len(tokens), n_train, np.int64),
+            "base_score": base, "score": model, "bits_per_byte": -model * math.log2(10) / size})
 
-    return (texts.groupBy("block").cogroup(own.groupBy("slice")).applyInArrow(
+    return (blocks.groupBy("block").cogroup(values.groupBy("of")).applyInArrow(
         run, f"id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, "
              "base_score double, score double, bits_per_byte double").withColumnRenamed("id", id_col))
 

@@ -35,6 +35,8 @@ DEPTH = 5
 SPLIT = 3
 #: Bytes of text in a block (a single longer document is one block).
 BLOCK_BYTES = 32 << 20
+#: Bytes of text that one array step handles.
+CHUNK_BYTES = 1 << 20
 #: Slots for each shuffle partition: the more, the smaller a group.
 SLOTS_EACH = 4
 #: Base model: additive smoothing of a word unigram.
@@ -149,7 +151,7 @@ def pack(docs: DataFrame, id_col: str, text_col: str, held_out: Column, slots: i
                                 ("sizes", pa.list_(pa.int64())), ("blob", pa.binary()), ("keys", pa.binary()), ("counts", pa.binary())])
             data, offsets = common.utf8(batch.column(2))
             flags = np.asarray(batch.column(1))
-            for i, j in common.chunks(offsets):
+            for i, j in common.chunks(offsets, CHUNK_BYTES):
                 if state["bytes"] and state["bytes"] + offsets[j] - offsets[i] > BLOCK_BYTES:
                     yield from finish()
                 stream, size = _stream(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i])
@@ -161,7 +163,7 @@ def pack(docs: DataFrame, id_col: str, text_col: str, held_out: Column, slots: i
                 state["bytes"] += int(offsets[j] - offsets[i])
                 for what, keys, each in ((_GRAM, grams, size), (_WORD, words, tokens)):
                     state[what].append(_tally(keys, ~np.repeat(flags[i:j], each)))
-                    if len(state[what]) > 4:
+                    if len(state[what]) > 8:
                         state[what] = [_counted(state[what])]
         if state["ids"]:
             yield from finish()
@@ -350,7 +352,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         begin = np.concatenate([[0], np.cumsum(size + DEPTH)])
         stream = np.frombuffer(pa.decompress(left.column("blob")[0].as_buffer(), int(begin[-1]), codec="zstd"), np.uint8)
         out = []
-        for i, j in common.chunks(begin):
+        for i, j in common.chunks(begin, CHUNK_BYTES):
             g, w, tokens = _events(stream[begin[i]:begin[j]], size[i:j])
             p = tables[0][1][np.searchsorted(tables[0][0], g)]
             c = tables[1][1][np.searchsorted(tables[1][0], w)]

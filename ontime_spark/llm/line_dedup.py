@@ -33,7 +33,10 @@ FIELD = "<*>"
 
 def _masked(line: Column) -> Column:
     """The line's tokens joined by one space, tokens with a digit replaced by a field."""
-    spaced = F.when(line.rlike(r"[\x09-\x0D]|  "), F.regexp_replace(line, r"[\x20\x09-\x0D]+", " ")).otherwise(line)
+    odd = line.contains("  ")
+    for c in "\t\x0b\x0c\r":
+        odd = odd | line.contains(c)
+    spaced = F.when(odd, F.regexp_replace(line, r"[\x20\x09-\x0D]+", " ")).otherwise(line)
     trimmed = F.trim(spaced)
     return F.when(trimmed.rlike("[0-9]"), F.regexp_replace(trimmed, r"[^ 0-9]*[0-9][^ ]*", FIELD)).otherwise(trimmed)
 

@@ -1,20 +1,25 @@
 """Licence recognition by sentence rules (operator 9), in DataFrame operations only.
 
-Texts are cut into sentences, sentences are normalised (lower case, runs of anything but letters
-and digits one space), and each is looked up in a table from normalised licence sentences to
-identifiers. The sequence of a document's identifiers is matched against ordered rules; the first
+Texts are normalised (lower case, runs of anything but letters and digits one space) with a mark
+where a line or a clause ends and another where a sentence ends. Wordings of a table are looked for
+from one mark to another, so that a notice may be wrapped over lines or stand on one: inside a
+wording, lines and clauses may end anywhere, sentences only where the wording has such an end. Of
+wordings that begin at one place the longest counts. Each stands for an identifier. The sequence of a document's identifiers is matched against ordered rules; the first
 rule whose identifiers follow one another in the sequence names the licence. Sentences that no
 rule uses are still reported.
 """
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ontime_spark.llm import common
 
-# Identifiers and normalised wording of public licence notices.
+# Identifiers and wording of public licence notices, normalised but for ". " where a
+# sentence end stands inside.
 SENTENCES = [
     ("apache2-short", "licensed under the apache license version 2 0"),
     ("apache2-grant", "licensed under the apache license version 2 0 the license"),
@@ -37,7 +42,7 @@ SENTENCES = [
     ("cc-by4-short", "licensed under cc by 4 0"),
     ("cc-by-sa4-short", "licensed under cc by sa 4 0"),
     ("cc0-short", "released into the public domain under cc0 1 0"),
-    ("mpl2", "this source code form is subject to the terms of the mozilla public license v 2 0"),
+    ("mpl2", "this source code form is subject to the terms of the mozilla public license v. 2 0"),
     ("rights", "all rights reserved"),
 ]
 # Ordered rules, the licence and the identifiers that must follow one another.
@@ -60,38 +65,54 @@ RULES = [
     ("MPL-2.0", ("mpl2",)),
     ("proprietary", ("rights",)),
 ]
-#: A sentence ends at a line end, or at . ! ? ; or : before white space.
-SENTENCE_END = r"\n|(?<=[.!?;:])[\x20\x09-\x0D]+"
+#: A sentence ends at . ! or ? before white space, a clause at ; or : before it.
+SENTENCE_END = r"[.!?](?=[\x20\x09-\x0D])"
+CLAUSE_END = r"[;:](?=[\x20\x09-\x0D])|\n"
+
+
+def marked(text: Column) -> Column:
+    """Lower case, with E for sentence ends and L for the ends of lines and clauses (and of the
+    text); runs of characters other than ASCII letters and digits are one space or mark."""
+    out = F.regexp_replace(F.regexp_replace(F.lower(text), SENTENCE_END, "E"), CLAUSE_END, "L")
+    out = F.concat(F.lit("L"), F.regexp_replace(out, "[^a-z0-9EL]+", " "), F.lit("L"))
+    return F.regexp_replace(F.regexp_replace(out, " ?L[ L]*", "L"), "[ L]?E[ EL]*", "E")
+
+
+def plain(wording: str) -> str:
+    """A wording of the table without marks."""
+    return re.sub("[^a-z0-9]+", " ", wording.lower()).strip()
 
 
-def normalised(sentence: Column) -> Column:
-    """Lower case; runs of characters other than ASCII letters and digits are one space."""
-    return F.trim(F.regexp_replace(F.lower(sentence), "[^a-z0-9]+", " "))
+def _pattern(wording: str) -> str:
+    """Matches the wording in a marked text."""
+    sentences = re.split(SENTENCE_END, wording)
+    return "[ LE]".join(plain(s).replace(" ", "[ L]") for s in sentences if plain(s))
 
 
 def identified(docs: DataFrame, text_col: str = "text", sentences=SENTENCES, rules=RULES) -> tuple[DataFrame, str]:
     """``docs`` plus a struct (its name is returned too): sentences (identifiers in text order),
     licence (of the first rule that matches, else null) and rule (its number from 1, 0 if none).
 
-    Null and empty texts have no sentences. A sentence counts as often as it occurs. The tables
+    Null and empty texts have no sentences. A wording counts as often as it occurs. The tables
     are part of the expression; their size is fixed."""
     name = common.fresh(docs.columns, "_licence")
-    table = F.create_map(*[F.lit(x) for ident, text in sentences for x in (text, ident)])
+    table = F.create_map(*[F.lit(x) for ident, text in sentences for x in (plain(text), ident)])
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    # A sentence of the table begins with one of a few words: others are not normalised.
-    firsts = sorted({t.split(" ")[0] for _, t in sentences})
-    likely = rf"(?i)^[^a-z0-9]*(?:{'|'.join(firsts)})[^a-z0-9]"
-    parts = F.filter(F.split(text, SENTENCE_END), lambda s: s.rlike(likely))
-    found = F.filter(F.transform(parts, lambda s: F.element_at(table, normalised(s))), lambda x: x.isNotNull())
-    any_word = text.rlike(rf"(?i)(?:{'|'.join(firsts)})")
-    marked = docs.withColumn(name, F.when(any_word, found).otherwise(F.array().cast("array<string>")))
+    # A wording cannot be there without its longest word: other texts are not normalised.
+    rare = sorted({max(plain(t).split(" "), key=len) for _, t in sentences})
+    any_word = F.lower(text).rlike("|".join(rare))
+    longest_first = sorted((t for _, t in sentences), key=lambda t: -len(plain(t)))
+    wording = f"[LE](?:{'|'.join(map(_pattern, longest_first))})(?=[LE])"
+    found = F.transform(F.regexp_extract_all(marked(text), F.lit(wording), F.lit(0)),
+                        lambda s: F.element_at(table, F.trim(F.translate(s, "LE", "  "))))
+    rows = docs.withColumn(name, F.when(any_word, found).otherwise(F.array().cast("array<string>")))
     sequence = F.concat(F.lit("|"), F.array_join(name, "|"), F.lit("|"))
     which, number = None, None
     for i, (licence, idents) in enumerate(rules, 1):
         hit = sequence.contains("|" + "|".join(idents) + "|")
         which = F.when(hit, licence) if which is None else which.when(hit, licence)
         number = F.when(hit, i) if number is None else number.when(hit, i)
-    return marked.withColumn(name, F.struct(F.col(name).alias("sentences"), which.alias("licence"),
+    return rows.withColumn(name, F.struct(F.col(name).alias("sentences"), which.alias("licence"),
                                             number.otherwise(0).alias("rule"))), name
 
 
@@ -104,8 +125,9 @@ def op9_license_scan(spark, sf_dir: str) -> DataFrame:
 
 
 def _sql() -> str:
+    """Notices that stand within one line and clause; the tests have the wrapped ones."""
     q = lambda s: "'" + s.replace("'", "''") + "'"
-    table = ", ".join(f"({q(t)}, {q(i)})" for i, t in SENTENCES)
+    table = ", ".join(f"({q(plain(t))}, {q(i)})" for i, t in SENTENCES)
     arm = lambda i, ids: f"WHEN contains(seq, {q('|' + '|'.join(ids) + '|')}) THEN "
     licence = " ".join(arm(i, ids) + q(name) for i, (name, ids) in enumerate(RULES, 1))
     number = " ".join(arm(i, ids) + str(i) for i, (name, ids) in enumerate(RULES, 1))

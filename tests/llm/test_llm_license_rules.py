@@ -1,4 +1,6 @@
 """Sentence rules: sequences, order of the rules, odd rows."""
+import textwrap
+
 from llm_cases import clash, documents, frame
 
 from ontime_spark.llm import license_rules as R
@@ -39,3 +41,66 @@ def test_rules_use_known_identifiers():
     known = {i for i, _ in R.SENTENCES}
     assert all(set(ids) <= known for _, ids in R.RULES)
     assert len(known) == len(R.SENTENCES) == len({t for _, t in R.SENTENCES})
+
+
+APACHE = """Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+See the License for the specific language governing permissions and
+limitations under the License."""
+GPL = """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+GNU General Public License for more details.
+
+You should have received a copy of the GNU General Public License
+along with this program.  If not, see <https://www.gnu.org/licenses/>."""
+MPL = """This Source Code Form is subject to the terms of the Mozilla Public
+License, v. 2.0. If a copy of the MPL was not distributed with this
+file, You can obtain one at https://mozilla.org/MPL/2.0/."""
+WARRANTY = """THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE"""
+
+
+def test_standard_headers_wrapped_and_on_one_line(spark):
+    wrapped_mit = "\n\n".join(textwrap.fill(p, 72) for p in MIT.split("\n\n")) + "\n\n" + WARRANTY
+    headers = {"Apache-2.0": (APACHE, ["apache2-grant", "apache2-comply", "apache2-copy", "apache2-warranty"]),
+               "GPL-3.0-or-later": (GPL, ["gpl-free", "gpl-hope", "gpl-copy"]), "MPL-2.0": (MPL, ["mpl2"]),
+               "MIT": (wrapped_mit, ["mit-grant", "mit-notice", "mit-warranty"])}
+    forms = [lambda t: t, lambda t: " ".join(t.split()), lambda t: t.replace("\n", "\r\n"),
+             lambda t: "/*\n" + "\n".join(f" * {x}".rstrip() for x in t.split("\n")) + "\n */\nint main;",
+             lambda t: "Intro of it.\n" + "\n".join(textwrap.wrap(" ".join(t.split()), 31, break_long_words=False, break_on_hyphens=False)) + "\nMore."]
+    rows = [(i, form(text)) for i, (text, form) in enumerate((t, f) for t, _ in headers.values() for f in forms)]
+    want = [(licence, ids) for licence, (_, ids) in headers.items() for _ in forms]
+    # On one line no mark stands between the address and the sentence after it.
+    want[1] = ("Apache-2.0", ["apache2-grant", "apache2-comply"])
+    out, r = R.identified(frame(spark, rows))
+    got = {x.doc_id: (x[r].licence, list(x[r].sentences)) for x in out.collect()}
+    assert [got[i] for i in range(len(rows))] == want
+
+
+def test_every_wording_can_be_reached(spark):
+    rows = [(i, f"Before it.\n{t}\n\nafter it") for i, (_, t) in enumerate(R.SENTENCES)]
+    out, r = R.identified(frame(spark, rows))
+    assert {x.doc_id: list(x[r].sentences) for x in out.collect()} == {i: [k] for i, (k, _) in enumerate(R.SENTENCES)}
+
+
+def test_sentence_ends_and_runs(spark):
+    rows = [(1, "All rights. Reserved."), (2, "all rights\nreserved"), (3, "\n" * 100000 + "All rights reserved"),
+            (4, "; " * 50000 + "all rights reserved"), (5, "日" * 100000 + " reserved\nAll\n\nrights: reserved!"),
+            (6, "Licensed under the Apache License, Version 2.0\n(the \"License\"); more")]
+    out, r = R.identified(frame(spark, rows))
+    got = {x.doc_id: list(x[r].sentences) for x in out.collect()}
+    assert got == {1: [], 2: ["rights"], 3: ["rights"], 4: ["rights"], 5: ["rights"], 6: ["apache2-grant"]}

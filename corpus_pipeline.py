@@ -28,8 +28,9 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without recurring lines."""
-    return line_dedup.cleaned_documents(docs)
+    """Documents without recurring lines; long ones, too, count from ``MIN_DOCS`` documents only: of
+    near copies the next stage needs the whole text."""
+    return line_dedup.cleaned_documents(docs, long_docs=line_dedup.MIN_DOCS)
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

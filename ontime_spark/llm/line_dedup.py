@@ -5,8 +5,10 @@ which every token with a digit is a variable field. Lines at one leaf are genera
 templates: the commonest token at each position is the candidate, and lines that agree with it
 in at least ``SIMILAR`` percent of their positions share the template; the lines left over are
 tried again until a leaf yields no further recurring template. A line that joins no shared
-template is its own. Templates that occur in ``MIN_DOCS`` or more documents are dropped from all
-documents but the one with the smallest id, so the passage itself is not lost.
+template is its own. Templates that occur in ``MIN_DOCS`` or more documents, for long lines
+in ``LONG_DOCS`` or more, are dropped from all documents but the one with the smallest id, so the
+passage itself is not lost. The candidate of long lines is the line in most documents: two lines
+have no majority at a position. Words are tokens, or pairs of characters in text without spaces.
 
 Only counts and hashes move for most lines: texts are looked at again just for leaves that
 several documents reach by different lines.
@@ -22,8 +24,13 @@ from ontime_spark.session import materialize
 
 #: Documents in which a template must occur to be recurring.
 MIN_DOCS = 5
-#: Shorter lines are left alone: a few common words meet by chance.
+#: The same for long lines, those of more than ``LONG_WORDS`` words.
+LONG_DOCS = 2
+LONG_WORDS = 50
+#: Shorter lines (in words) are left alone: a few common words meet by chance.
 MIN_TOKENS = 4
+#: Text with more characters than this for each token has no spaces between words.
+UNSPACED = 20
 #: Leading tokens below the token count.
 LEADING = 3
 #: Percent of equal positions for a line to share a template.
@@ -42,8 +49,8 @@ def _masked(line: Column) -> Column:
 
 
 def _lines(docs: DataFrame, id_col: str, text_col: str, with_text: bool) -> DataFrame:
-    """doc, version (hash of the text), nth, n (tokens), leaf, line (hash) of each line that is
-    long enough; and the masked line."""
+    """doc, version (hash of the text), nth, n (tokens), long, leaf, line (hash) of each line that
+    has enough words; and the masked line."""
     text = F.col(text_col).cast("string")
     rows = docs.select(F.col(id_col).alias("doc"), F.xxhash64(text).alias("version"),
                        F.posexplode(F.split(text, "\n")).alias("nth", "raw"))
@@ -51,39 +58,52 @@ def _lines(docs: DataFrame, id_col: str, text_col: str, with_text: bool) -> Data
     # expression and filter that uses it.
     rows = (rows.select("doc", "version", "nth", F.explode(F.array(_masked(F.col("raw")))).alias("masked"))
             .withColumn("n", F.octet_length("masked") - F.octet_length(F.replace("masked", F.lit(" "), F.lit(""))) + 1)
-            .where((F.col("n") >= MIN_TOKENS) & (F.octet_length("masked") > 0)))
-    leaf = F.xxhash64("n", F.substring_index("masked", " ", LEADING)).alias("leaf")
+            .where(F.octet_length("masked") > 0))
+    # Only octets can be counted for nothing: characters are, where there are enough octets.
+    chars = F.when(F.octet_length("masked") > UNSPACED * F.col("n"), F.char_length("masked")).otherwise(0)
+    words = F.when(chars > UNSPACED * F.col("n"), F.greatest("n", (chars / 2).cast("int"))).otherwise(F.col("n"))
+    rows = rows.withColumn("words", words).where(F.col("words") >= MIN_TOKENS)
+    rows = rows.withColumn("long", F.col("words") > LONG_WORDS)
+    leaf = F.xxhash64("n", "long", F.substring_index("masked", " ", LEADING)).alias("leaf")
     line = F.xxhash64("masked").alias("line")
-    return rows.select("doc", "version", "nth", "n", leaf, line, *(["masked"] if with_text else []))
+    return rows.select("doc", "version", "nth", "n", "long", leaf, line, *(["masked"] if with_text else []))
+
+
+def _tried(open_lines: DataFrame) -> DataFrame:
+    """``open_lines`` with fits: the line agrees with its leaf's candidate."""
+    short, long = open_lines.where("NOT long"), open_lines.where("long")
+    per = (short.select("leaf", "w", F.posexplode("tokens").alias("at", "token"))
+           .groupBy("leaf", "at", "token").agg(F.sum("w").alias("w")))
+    common_token = per.groupBy("leaf", "at").agg(F.max(F.struct("w", "token"))["token"].alias("token"))
+    pattern = (common_token.groupBy("leaf").agg(F.array_sort(F.collect_list(F.struct("at", "token")))["token"].alias("p"))
+               .union(long.groupBy("leaf").agg(F.max(F.struct("w", "line", "tokens"))["tokens"].alias("p"))))
+    equal = F.aggregate(F.zip_with("tokens", "p", lambda a, b: (a == b).cast("int")), F.lit(0), lambda s, x: s + x)
+    return open_lines.join(pattern, "leaf").withColumn("fits", equal * 100 >= F.size("tokens") * SIMILAR).drop("p")
 
 
 def templates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-              min_docs: int = MIN_DOCS) -> tuple[DataFrame, DataFrame]:
+              min_docs: int = MIN_DOCS, long_docs: int = LONG_DOCS) -> tuple[DataFrame, DataFrame]:
     """(lines, recurring): ``lines`` as doc, version, nth, n, line; ``recurring`` as line,
     template, n_docs, first_doc for the lines whose template is recurring."""
+    need = F.when(F.col("long"), long_docs).otherwise(min_docs)
     lines = materialize(_lines(docs, id_col, text_col, False), "lines")
-    seen = materialize(lines.select("leaf", "line", "doc").distinct(), "line-docs")
-    crowded = (seen.groupBy("leaf").agg(F.count("line").alias("c"), F.min("line").alias("lo"), F.max("line").alias("hi"))
-               .where((F.col("c") >= min_docs) & (F.col("lo") != F.col("hi"))).select("leaf"))
-    weight = seen.join(crowded, "leaf", "left_semi").groupBy("leaf", "line").agg(F.count(F.lit(1)).alias("w"))
+    seen = materialize(lines.select("leaf", "long", "line", "doc").distinct(), "line-docs")
+    crowded = (seen.groupBy("leaf", "long").agg(F.count("line").alias("c"), F.min("line").alias("lo"), F.max("line").alias("hi"))
+               .where((F.col("c") >= need) & (F.col("lo") != F.col("hi"))).select("leaf"))
+    seen_open = materialize(seen.join(crowded, "leaf", "left_semi"), "open-docs")
+    weight = seen_open.groupBy("leaf", "long", "line").agg(F.count(F.lit(1)).alias("w"))
     texts = (_lines(docs, id_col, text_col, True).select("leaf", "line", "masked")
              .join(crowded, "leaf", "left_semi").groupBy("line").agg(F.first("masked").alias("masked")))
     open_lines = materialize(weight.join(texts, "line")
-                             .select("leaf", "line", "w", F.split("masked", " ").alias("tokens")), "open-lines")
+                             .select("leaf", "long", "line", "w", F.split("masked", " ").alias("tokens")), "open-lines")
     shared: DataFrame | None = None
     turn = 0
     while True:
-        per = (open_lines.select("leaf", "w", F.posexplode("tokens").alias("at", "token"))
-               .groupBy("leaf", "at", "token").agg(F.sum("w").alias("w")))
-        common_token = per.groupBy("leaf", "at").agg(F.max(F.struct("w", "token"))["token"].alias("token"))
-        pattern = common_token.groupBy("leaf").agg(F.array_sort(F.collect_list(F.struct("at", "token"))).alias("p"))
-        equal = F.aggregate(F.zip_with("tokens", F.col("p")["token"], lambda a, b: (a == b).cast("int")),
-                            F.lit(0), lambda s, x: s + x)
-        tried = materialize(open_lines.join(pattern, "leaf").withColumn(
-            "fits", equal * 100 >= F.size("tokens") * SIMILAR).drop("p"), "tried")
-        fitting = tried.where("fits").select("leaf", "line")
-        found = (seen.join(fitting.select("line"), "line").select("leaf", "doc").distinct()
-                 .groupBy("leaf").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") >= min_docs).select("leaf"))
+        tried = materialize(_tried(open_lines), "tried")
+        fitting = tried.where("fits").select("leaf", "long", "line")
+        found = (seen_open.select("line", "doc").join(fitting, "line").select("leaf", "long", "doc").distinct()
+                 .groupBy("leaf", "long").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") >= need)
+                 .select("leaf"))
         found = materialize(found, "found")
         if found.isEmpty():
             break
@@ -91,19 +111,19 @@ def templates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         shared = materialize(new if shared is None else shared.union(new), "shared")
         open_lines = materialize(tried.where(~F.col("fits")).join(found, "leaf", "left_semi").drop("fits"), "open-lines")
         turn += 1
-    named = seen.select("line", "doc")
+    named = seen.select("line", "long", "doc")
     named = (named.withColumn("template", F.col("line")) if shared is None else
              named.join(shared, "line", "left").withColumn("template", F.coalesce("template", "line")))
-    recurring = (named.select("template", "doc").distinct().groupBy("template")
+    recurring = (named.select("template", "long", "doc").distinct().groupBy("template", "long")
                  .agg(F.count(F.lit(1)).alias("n_docs"), F.min("doc").alias("first_doc"))
-                 .where(F.col("n_docs") >= min_docs))
+                 .where(F.col("n_docs") >= need).drop("long"))
     pairs = named.select("line", "template").distinct()
-    return lines.drop("leaf"), materialize(pairs.join(recurring, "template"), "recurring")
+    return lines.drop("leaf", "long"), materialize(pairs.join(recurring, "template"), "recurring")
 
 
-def _dropped(docs: DataFrame, id_col: str, text_col: str, min_docs: int) -> DataFrame:
+def _dropped(docs: DataFrame, id_col: str, text_col: str, min_docs: int, long_docs: int) -> DataFrame:
     """doc, version, dropped (line numbers), lost (tokens) of the documents that lose lines."""
-    lines, recurring = templates(docs, id_col, text_col, min_docs)
+    lines, recurring = templates(docs, id_col, text_col, min_docs, long_docs)
     return (lines.join(recurring.select("line", "first_doc"), "line")
             .where(~F.col("doc").eqNullSafe(F.col("first_doc")))
             .select("doc", "version", "nth", "n").distinct()
@@ -111,14 +131,14 @@ def _dropped(docs: DataFrame, id_col: str, text_col: str, min_docs: int) -> Data
 
 
 def drop_recurring(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                   min_docs: int = MIN_DOCS) -> DataFrame:
+                   min_docs: int = MIN_DOCS, long_docs: int = LONG_DOCS) -> DataFrame:
     """``docs`` with the remaining text and three more columns: n_lines, n_dropped and
     mostly_recurring (more than half of the tokens were dropped).
 
     Null and empty texts have no lines to drop and stay as they are. Rows of one id count as one
     document; rows without an id count as one document, too. A line repeated inside one document
     only is kept. New columns replace columns of the same name."""
-    marks = _dropped(docs, id_col, text_col, min_docs)
+    marks = _dropped(docs, id_col, text_col, min_docs, long_docs)
     # Names that no column of the rows has, for what is joined to them.
     own = {c: common.fresh(docs.columns, f"_{c}") for c in ("hash", "doc", "version", "dropped", "lost")}
     marks = marks.select(*[F.col(c).alias(own[c]) for c in ("doc", "version", "dropped", "lost")])

@@ -104,3 +104,19 @@ def test_cleaned_documents_keep_columns(spark):
     out = L.cleaned_documents(docs)
     assert out.dtypes == docs.dtypes
     assert all(r.n_chars == len(r.text) for r in out.collect())
+
+
+def test_long_passages_count_from_two_documents(spark):
+    rng = random.Random(3)
+    words = ["".join(rng.choice("abcdefghij") for _ in range(6)) for _ in range(400)]
+    passage = " ".join(words[:60])
+    half = " ".join(w if i < 3 or i % 5 < 3 else "other" + w for i, w in enumerate(words[100:160]))
+    chinese, chinese_short = "".join(chr(0x4E00 + i) for i in range(120)), "".join(chr(0x5E00 + i) for i in range(30))
+    data = [(1, "one of its own\n" + passage), (2, passage + "\nanother line that stays"), (3, " ".join(words[200:250])),
+            (4, " ".join(words[200:250])), (5, " ".join(words[100:160])), (6, half), (7, "before\n" + chinese), (8, chinese),
+            (9, chinese_short + "\nfirst"), (10, chinese_short + "\nsecond"),
+            *[(20 + i, chinese_short[::-1] + f"\nrest{i}") for i in range(5)]]
+    out = {r.doc_id: r for r in L.drop_recurring(frame(spark, data)).collect()}
+    assert {d for d, r in out.items() if r.n_dropped} == {2, 8, 21, 22, 23, 24}
+    assert out[2].text == "another line that stays" and out[8].text == "" and out[21].text == "rest1"
+    assert all(r.n_dropped == 0 for r in L.drop_recurring(frame(spark, data[:8]), long_docs=L.MIN_DOCS).collect())

@@ -6,8 +6,8 @@ Stages and what they decide:
 
 1. ``language_id``: documents without a letter, or whose best language has a mean probability
    below ``language_id.MIN_SCORE``, go.
-2. ``line_dedup``: recurring lines go from all documents but the first; documents of which more
-   than half of the words go are dropped. ``text`` and ``n_chars`` hold what remains.
+2. ``line_dedup``: recurring lines go from all documents but the first; documents of which
+   nothing remains are dropped. ``text`` and ``n_chars`` hold what remains.
 3. ``near_dedup``: of each group of near copies the document with the smallest id stays.
 4. ``decontaminate``: documents with a passage of a benchmark item go.
 5. ``byte_bpe``: token ids of each document, their digest and the digest of the decoded bytes.

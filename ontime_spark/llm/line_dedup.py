@@ -159,9 +159,11 @@ def drop_recurring(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 
 def cleaned_documents(docs: DataFrame, text_col: str = "text", chars_col: str = "n_chars", **options) -> DataFrame:
-    """The documents with their remaining text, without those that are mostly recurring lines;
-    columns as they were (``chars_col``, if there, counts the remaining text)."""
-    out = drop_recurring(docs, text_col=text_col, **options).where(~F.col("mostly_recurring"))
+    """The documents with their remaining text, without those of which nothing but white space
+    remains; columns as they were (``chars_col``, if there, counts the remaining text). The document
+    that keeps a recurring line is not empty, so that no line is lost altogether."""
+    out = drop_recurring(docs, text_col=text_col, **options)
+    out = out.where((F.col("n_dropped") == 0) | F.col(text_col).rlike(r"[^\x20\x09-\x0D]"))
     kept = [F.length(text_col).cast(docs.schema[c].dataType).alias(c) if c == chars_col else F.col(f"`{c}`")
             for c in docs.columns]
     return out.select(*kept)

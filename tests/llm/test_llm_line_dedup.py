@@ -120,3 +120,13 @@ def test_long_passages_count_from_two_documents(spark):
     assert {d for d, r in out.items() if r.n_dropped} == {2, 8, 21, 22, 23, 24}
     assert out[2].text == "another line that stays" and out[8].text == "" and out[21].text == "rest1"
     assert all(r.n_dropped == 0 for r in L.drop_recurring(frame(spark, data[:8]), long_docs=L.MIN_DOCS).collect())
+
+
+def test_no_passage_is_lost_from_all_documents(spark):
+    a = "this long block stands in both of the first documents and in some others as well"
+    b = "a shorter passage that recurs"
+    data = [(0, a), (1, f"{a}\n{b}\nonly here"), *[(i, f"{b}\nown{'abcdefghij'[i]} text") for i in range(2, 10)],
+            *[(i, a) for i in range(20, 24)], (30, None), (31, "")]
+    out = {r.doc_id: r.text for r in L.cleaned_documents(frame(spark, data)).collect()}
+    assert out[0] == a and out[1] == f"{b}\nonly here" and out[2] == "ownc text"
+    assert set(out) == {*range(10), 30, 31}

@@ -4,7 +4,8 @@ A line's place in the tree has a fixed depth: its number of tokens, then its lea
 which every token with a digit is a variable field. Lines at one leaf are generalised to
 templates: the commonest token at each position is the candidate, and lines that agree with it
 in at least ``SIMILAR`` percent of their positions share the template; the lines left over are
-tried again until a leaf yields no further recurring template. A line that joins no shared
+tried again. A leaf whose candidate does not recur is split at a divided position (if there is none,
+the candidate's lines are set aside), until a leaf is too small for a recurring template. A line that joins no shared
 template is its own. Templates that occur in ``MIN_DOCS`` or more documents, for long lines
 in ``LONG_DOCS`` or more, are dropped from all documents but the one with the smallest id, so the
 passage itself is not lost. The candidate of long lines is the line in most documents: two lines
@@ -70,15 +71,38 @@ def _lines(docs: DataFrame, id_col: str, text_col: str, with_text: bool) -> Data
 
 
 def _tried(open_lines: DataFrame) -> DataFrame:
-    """``open_lines`` with fits: the line agrees with its leaf's candidate."""
-    short, long = open_lines.where("NOT long"), open_lines.where("long")
-    per = (short.select("leaf", "w", F.posexplode("tokens").alias("at", "token"))
-           .groupBy("leaf", "at", "token").agg(F.sum("w").alias("w")))
-    common_token = per.groupBy("leaf", "at").agg(F.max(F.struct("w", "token"))["token"].alias("token"))
-    pattern = (common_token.groupBy("leaf").agg(F.array_sort(F.collect_list(F.struct("at", "token")))["token"].alias("p"))
-               .union(long.groupBy("leaf").agg(F.max(F.struct("w", "line", "tokens"))["tokens"].alias("p"))))
+    """``open_lines`` with fits (the line agrees with its leaf's candidate) and part (the line's
+    token where its leaf is split if the candidate does not recur; null if no position divides).
+
+    A leaf is split where its commonest token has at most ``SIMILAR`` percent of the weight, of
+    such positions at the one with the fewest tokens."""
+    per = (open_lines.select("leaf", "long", "w", F.posexplode("tokens").alias("at", "token"))
+           .groupBy("leaf", "long", "at", "token").agg(F.sum("w").alias("w")))
+    at = per.groupBy("leaf", "long", "at").agg(F.max(F.struct("w", "token")).alias("top"),
+                                               F.count(F.lit(1)).alias("kinds"), F.sum("w").alias("all"))
+    divided = F.when(F.col("top.w") * 100 <= F.col("all") * SIMILAR, F.struct("kinds", "top.w", "at"))
+    leaves = at.groupBy("leaf").agg(
+        F.array_sort(F.collect_list(F.when(~F.col("long"), F.struct("at", "top.token"))))["token"].alias("p"),
+        F.min(divided)["at"].alias("cut"))
+    heaviest = (open_lines.where("long").groupBy("leaf")
+                .agg(F.max(F.struct("w", "line", "tokens"))["tokens"].alias("whole")))
+    leaves = leaves.join(heaviest, "leaf", "left").withColumn("p", F.coalesce("whole", "p"))
     equal = F.aggregate(F.zip_with("tokens", "p", lambda a, b: (a == b).cast("int")), F.lit(0), lambda s, x: s + x)
-    return open_lines.join(pattern, "leaf").withColumn("fits", equal * 100 >= F.size("tokens") * SIMILAR).drop("p")
+    return (open_lines.join(leaves, "leaf").withColumn("fits", equal * 100 >= F.size("tokens") * SIMILAR)
+            .withColumn("part", F.get("tokens", F.col("cut"))).drop("p", "whole", "cut"))
+
+
+def _left_over(tried: DataFrame, need: Column, turn: int) -> DataFrame:
+    """The lines to try again: what did not fit, where the candidate recurs or no position divides
+    the leaf (its candidate is set aside); else all, in one leaf for each token of the split.
+    Leaves that cannot hold another shared template are left out."""
+    split = F.col("found").isNull() & F.col("part").isNotNull()
+    rest = (tried.where(split | ~F.col("fits"))
+            .withColumn("leaf", F.when(split, F.xxhash64("leaf", F.lit(turn), "part")).otherwise(F.col("leaf")))
+            .drop("fits", "part", "found"))
+    worth = (rest.groupBy("leaf", "long").agg(F.sum("w").alias("c"), F.count(F.lit(1)).alias("n_lines"))
+             .where((F.col("c") >= need) & (F.col("n_lines") > 1)).select("leaf"))
+    return rest.join(worth, "leaf", "left_semi")
 
 
 def templates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -98,18 +122,16 @@ def templates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                              .select("leaf", "long", "line", "w", F.split("masked", " ").alias("tokens")), "open-lines")
     shared: DataFrame | None = None
     turn = 0
-    while True:
+    while not open_lines.isEmpty():
         tried = materialize(_tried(open_lines), "tried")
         fitting = tried.where("fits").select("leaf", "long", "line")
         found = (seen_open.select("line", "doc").join(fitting, "line").select("leaf", "long", "doc").distinct()
                  .groupBy("leaf", "long").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") >= need)
-                 .select("leaf"))
-        found = materialize(found, "found")
-        if found.isEmpty():
-            break
-        new = fitting.join(found, "leaf").select("line", F.xxhash64("leaf", F.lit(turn)).alias("template"))
+                 .select("leaf", F.lit(True).alias("found")))
+        tried = materialize(tried.join(found, "leaf", "left"), "found")
+        new = tried.where("fits AND found").select("line", F.xxhash64("leaf", F.lit(turn)).alias("template"))
         shared = materialize(new if shared is None else shared.union(new), "shared")
-        open_lines = materialize(tried.where(~F.col("fits")).join(found, "leaf", "left_semi").drop("fits"), "open-lines")
+        open_lines = materialize(_left_over(tried, need, turn), "open-lines")
         turn += 1
     named = seen.select("line", "long", "doc")
     named = (named.withColumn("template", F.col("line")) if shared is None else

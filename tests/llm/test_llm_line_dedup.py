@@ -130,3 +130,14 @@ def test_no_passage_is_lost_from_all_documents(spark):
     out = {r.doc_id: r.text for r in L.cleaned_documents(frame(spark, data)).collect()}
     assert out[0] == a and out[1] == f"{b}\nonly here" and out[2] == "ownc text"
     assert set(out) == {*range(10), 30, 31}
+
+
+def test_leaf_with_several_templates(spark):
+    tail = {"left": "alpha yankee beta xray gamma whiskey {} now", "right": "zulu bravo victor charlie tango delta {} then"}
+    data = [(10 * k + i, "we go on " + tail[side].format(name)) for k, side in enumerate(tail)
+            for i, name in enumerate(["anna", "bert", "carl", "dora", "emil", "fred"])]
+    data += [(100 + i, "we go on " + " ".join(c * k for k in range(1, 9))) for i, c in enumerate("pqrstuvwxyz")]
+    # The mixture of both, which is tried first, fits no line: the leaf was given up there.
+    assert not any(brute(data).values())
+    out = {r.doc_id: r.n_dropped for r in L.drop_recurring(frame(spark, data)).collect()}
+    assert {d for d, n in out.items() if n} == {1, 2, 3, 4, 5, 11, 12, 13, 14, 15}

@@ -4,7 +4,7 @@ what they return."""
 from __future__ import annotations
 
 from ontime_spark.llm import (bpe, ctw, decontaminate, html_extract, language_id, license_rules,
-                              line_dedup, near_dedup, quality_rules, warc)
+                              line_dedup, merkle, near_dedup, quality_rules, warc)
 
 QUERIES = {
     "op1_ctw_score": ctw.op1_ctw_score,
@@ -17,6 +17,8 @@ QUERIES = {
     "op8_byte_bpe": bpe.op8_byte_bpe,
     "op9_license_scan": license_rules.op9_license_scan,
     "op10_decontamination": decontaminate.op10_decontamination,
+    "op12_merkle_manifest": merkle.op12_merkle_manifest,
 }
 
-SQL: dict[str, str] = {**near_dedup.SQL, **warc.SQL, **license_rules.SQL, **decontaminate.SQL}
+SQL: dict[str, str] = {**near_dedup.SQL, **warc.SQL, **license_rules.SQL, **decontaminate.SQL,
+                       **merkle.SQL}

@@ -4,7 +4,8 @@ what they return."""
 from __future__ import annotations
 
 from ontime_spark.llm import (bpe, ctw, decontaminate, html_extract, language_id, license_rules,
-                              line_dedup, merkle, near_dedup, quality_rules, warc)
+                              line_dedup, merkle, near_dedup, periodic_runs,
+                              quality_rules, warc)
 
 QUERIES = {
     "op1_ctw_score": ctw.op1_ctw_score,
@@ -18,6 +19,7 @@ QUERIES = {
     "op9_license_scan": license_rules.op9_license_scan,
     "op10_decontamination": decontaminate.op10_decontamination,
     "op12_merkle_manifest": merkle.op12_merkle_manifest,
+    "op13_periodic_runs": periodic_runs.op13_periodic_runs,
 }
 
 SQL: dict[str, str] = {**near_dedup.SQL, **warc.SQL, **license_rules.SQL, **decontaminate.SQL,

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from ontime_spark.llm import (bpe, ctw, decontaminate, html_extract, language_id, license_rules,
                               line_dedup, merkle, near_dedup, periodic_runs,
-                              quality_rules, warc)
+                              quality_rules, suffix_dedup, warc)
 
 QUERIES = {
     "op1_ctw_score": ctw.op1_ctw_score,
@@ -18,6 +18,7 @@ QUERIES = {
     "op8_byte_bpe": bpe.op8_byte_bpe,
     "op9_license_scan": license_rules.op9_license_scan,
     "op10_decontamination": decontaminate.op10_decontamination,
+    "op11_suffix_dedup": suffix_dedup.op11_suffix_dedup,
     "op12_merkle_manifest": merkle.op12_merkle_manifest,
     "op13_periodic_runs": periodic_runs.op13_periodic_runs,
 }

@@ -18,7 +18,7 @@ SF = "/root/testdata/sf0.001"
 
 def test_one_query_for_each_operator():
     numbers = Counter(int(m[1]) for n in E.queries() if (m := re.match(r"op(\d+)_", n)))
-    assert numbers == Counter(range(1, 11)) and "pipeline" in E.queries()
+    assert numbers == Counter(range(1, 14)) and "pipeline" in E.queries()
 
 
 @pytest.mark.parametrize("name", sorted(registry.SQL))

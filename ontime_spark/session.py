@@ -87,10 +87,10 @@ def mark() -> int:
     return len(_written)
 
 
-def release(spark: SparkSession, since: int = 0) -> int:
-    """Remove the intermediate tables written after ``since`` (a ``mark()``), when every result
-    that reads them has been written or collected. Returns how many were removed."""
-    paths, _written[since:] = _written[since:], []
+def release(spark: SparkSession, since: int = 0, until: int | None = None) -> int:
+    """Remove the intermediate tables written after ``since`` (a ``mark()``) and before ``until``,
+    when every result that reads them has been written or collected. Returns how many were removed."""
+    paths, _written[since:until] = _written[since:until], []
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     for p in paths:

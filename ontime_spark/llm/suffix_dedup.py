@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ontime_spark.llm import common
-from ontime_spark.session import materialize
+from ontime_spark.session import mark, materialize, release
 
 LENGTH = 100
 #: Bytes of an anchor.
@@ -50,7 +50,7 @@ PERIOD, COVER = 21, (0, 1, 4, 14, 16)
 CHAR = PERIOD // 3
 NAMED = 3 * PERIOD
 #: Bytes of text in an array step, in a block of stretches, and bytes of stretches for each bucket.
-PIECE, BLOCK, BUCKET = 1 << 20, 4 << 20, 2 << 20
+PIECE, BLOCK, BUCKET = 1 << 20, 2 << 20, 1 << 20
 #: Places of a name from which on its strings are spread over all buckets.
 HOT = 50_000
 
@@ -237,30 +237,39 @@ def _bucket(columns: list[np.ndarray], buckets: int) -> np.ndarray:
     return (f % np.uint64(buckets)).astype(np.int64)
 
 
-def _sent(block: int, columns: list[np.ndarray], places: np.ndarray, buckets: int) -> list[tuple]:
-    """The distinct triples of a block for each bucket, sorted, with their counts; and a row for the
-    block itself with its places and the number of each one's triple among all that were sent."""
-    if not len(places):
+class _Distinct:
+    """The distinct triples of a block by bucket and order, their counts, and the number of each
+    place's triple among them."""
+
+    def __init__(self, columns: list[np.ndarray], buckets: int):
+        order, new, key = _grouped(columns)
+        begin = np.flatnonzero(new)
+        count = np.diff(np.concatenate([begin, [len(order)]]))
+        distinct = [c[order][begin] for c in columns]
+        bucket = _bucket(distinct, buckets)
+        by = np.argsort(bucket, kind="stable")
+        number = np.empty(len(by), np.uint32)
+        number[by] = np.arange(len(by), dtype=np.uint32)
+        self.of = np.empty(len(order), np.uint32)
+        self.of[order] = number[key]
+        self.keys, self.count, self.bucket = np.stack(distinct, 1)[by], count[by].astype(np.uint32), bucket[by]
+
+    def rows(self, block: int) -> list[tuple]:
+        return [_row(block, int(self.bucket[i]), self.keys[i:j], self.count[i:j]) for i, j in _cuts(self.bucket)]
+
+
+def _cuts(values: np.ndarray) -> list[tuple[int, int]]:
+    """(first, last + 1) of the rows of equal values."""
+    if not len(values):
         return []
-    order, new, key = _grouped(columns)
-    begin = np.flatnonzero(new)
-    count = np.diff(np.concatenate([begin, [len(order)]]))
-    distinct = [c[order][begin] for c in columns]
-    bucket = _bucket(distinct, buckets)
-    by = np.argsort(bucket, kind="stable")
-    number = np.empty(len(by), np.uint32)
-    number[by] = np.arange(len(by), dtype=np.uint32)
-    of = np.empty(len(order), np.uint32)
-    of[order] = number[key]
-    keys, count, bucket = np.stack(distinct, 1)[by], count[by].astype(np.uint32), bucket[by]
-    cuts = np.concatenate([[0], np.flatnonzero(bucket[1:] != bucket[:-1]) + 1, [len(bucket)]])
-    rows = [_row(block, int(bucket[i]), keys[i:j], count[i:j]) for i, j in zip(cuts[:-1].tolist(), cuts[1:].tolist())]
-    return [*rows, _row(block, -2, places.astype(np.uint32), of)]
-
-
-def _names(sent: DataFrame, buckets: int) -> DataFrame:
+    at = np.flatnonzero(values[1:] != values[:-1]) + 1
+    return list(zip([0, *at.tolist()], [*at.tolist(), len(values)]))
+
+
+def _names(sent: DataFrame, buckets: int, turn: int) -> DataFrame:
     """The ranks of the triples of each row of ``sent``: (bucket, place in its order), 0 for a triple
-    that occurs once, with the highest bit set for one of more than ``HOT`` places."""
+    that occurs once, with the highest bit set for one of more than ``HOT`` places. ``b`` is the
+    round."""
     def run(table: pa.Table) -> pa.Table:
         bucket = table.column("bucket")[0].as_py()
         keys = [np.frombuffer(x, np.uint64).reshape(-1, 3) for x in table.column("a").to_pylist()]
@@ -275,66 +284,64 @@ def _names(sent: DataFrame, buckets: int) -> DataFrame:
         out[order] = name[key]
         parts = np.split(out, np.cumsum([len(k) for k in keys])[:-1])
         return pa.Table.from_arrays([table.column("block").cast(pa.int64()), table.column("bucket").cast(pa.int64()),
-                                     pa.array([p.tobytes() for p in parts], pa.binary()), pa.array([b""] * len(parts), pa.binary())],
+                                     pa.array([p.tobytes() for p in parts], pa.binary()), pa.array([bytes([turn])] * len(parts), pa.binary())],
                                     ["block", "bucket", "a", "b"])
 
-    return sent.where("bucket >= 0").repartition(buckets, "bucket").groupBy("bucket").applyInArrow(run, _ROW)
+    return sent.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(run, _ROW)
+
 
+def _characters(block: _Block) -> tuple[np.ndarray, list[np.ndarray]]:
+    """First round: the sampled places and their triples of 7-byte characters."""
+    at = block.sampled(PERIOD)
+    columns = []
+    for c in range(3):
+        char = np.zeros(len(at), np.uint64)
+        for i in range(CHAR):
+            char = char << np.uint64(8) | block.body[at + (c * CHAR + i)]
+        columns.append(char)
+    return at, columns
 
-def _answered(table: pa.Table) -> tuple[int, _Block, np.ndarray, np.ndarray]:
-    """(number, block, places, names) from a block's rows, its places and the answers to them."""
+
+def _named(block: _Block, at: np.ndarray, name: np.ndarray, length: int) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Second round: the places with a string before them, and their triples of names; those
+    with a discarded name are left out."""
+    every = np.zeros(len(block.body) + NAMED, np.uint64)
+    every[at] = name
+    o = block.owner(at)
+    at = at[(name > 0) & (at - block.base[o] + length - PERIOD + 1 <= block.size[o])]
+    columns = [every[at + i * PERIOD] for i in range(3)]
+    full = (columns[1] > 0) & (columns[2] > 0)
+    return at[full], [c[full] for c in columns]
+
+
+def _answered(table: pa.Table) -> tuple[int, _Block, list[np.ndarray]]:
+    """(number, block, names of each round) from a block's row and the answers to it."""
     rows = sorted(zip(table.column("bucket").to_pylist(), table.column("a").to_pylist(), table.column("b").to_pylist()), key=lambda r: r[0])
-    own = {r[0]: r for r in rows[:2]}
-    block = _Block(*own[-1][1:])
-    number = table.column("block")[0].as_py()
-    if -2 not in own:
-        return number, block, np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    names = np.frombuffer(b"".join(r[1] for r in rows[2:]), np.uint64)
-    places, of = np.frombuffer(own[-2][1], np.uint32).astype(np.int64), np.frombuffer(own[-2][2], np.uint32)
-    return number, block, places, names[of]
+    names = [np.frombuffer(b"".join(a for bucket, a, b in rows if bucket >= 0 and b[0] == turn), np.uint64) for turn in (1, 2)]
+    return table.column("block")[0].as_py(), _Block(*rows[0][1:]), names
 
 
 def _triples(blocks: DataFrame, buckets: int) -> DataFrame:
-    """First round: the triples of 7-byte characters."""
     def run(batches):
         for batch in batches:
             for number, a, b in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), batch.column(3).to_pylist()):
-                block = _Block(a, b)
-                at = block.sampled(PERIOD)
-                columns = []
-                for c in range(3):
-                    char = np.zeros(len(at), np.uint64)
-                    for i in range(CHAR):
-                        char = char << np.uint64(8) | block.body[at + (c * CHAR + i)]
-                    columns.append(char)
-                rows = _sent(number, columns, at, buckets)
+                rows = _Distinct(_characters(_Block(a, b))[1], buckets).rows(number)
                 if rows:
                     yield _batch(rows)
 
     return blocks.mapInArrow(run, _ROW)
 
 
-def _regrouped(*tables: DataFrame) -> DataFrame:
-    out = tables[0]
-    for t in tables[1:]:
-        out = out.unionByName(t)
-    return out
-
-
-def _triples_of_names(blocks: DataFrame, sent: DataFrame, names: DataFrame, buckets: int, length: int) -> DataFrame:
-    """Second round: triples of names, where none of them was discarded."""
+def _triples_of_names(blocks: DataFrame, names: DataFrame, buckets: int, length: int) -> DataFrame:
+    """The triples of the second round. A block makes its triples again, in the same order, rather
+    than keep them: its text is a fraction of them."""
     def run(table: pa.Table) -> pa.Table:
-        number, block, at, name = _answered(table)
-        every = np.zeros(len(block.body) + NAMED, np.uint64)
-        every[at] = name
-        o = block.owner(at)
-        at = at[(name > 0) & (at - block.base[o] + length - PERIOD + 1 <= block.size[o])]
-        columns = [every[at + i * PERIOD] for i in range(3)]
-        full = (columns[1] > 0) & (columns[2] > 0)
-        rows = _sent(number, [c[full] for c in columns], at[full], buckets)
-        return pa.Table.from_batches([_batch(rows)])
+        number, block, names = _answered(table)
+        at, columns = _characters(block)
+        columns = _named(block, at, names[0][_Distinct(columns, buckets).of], length)[1]
+        return pa.Table.from_batches([_batch(_Distinct(columns, buckets).rows(number))])
 
-    return _regrouped(blocks, sent.where("bucket = -2"), names).groupBy("block").applyInArrow(run, _ROW)
+    return blocks.unionByName(names).groupBy("block").applyInArrow(run, _ROW)
 
 
 # --- merge ---------------------------------------------------------------------------------------
@@ -420,13 +427,16 @@ def _ranges(records: np.ndarray, shifts: np.ndarray) -> tuple[np.ndarray, np.nda
 _HIT = np.dtype([("id", "<i8"), ("version", "<i4"), ("at", "<i8")])
 
 
-def _suffixes(blocks: DataFrame, sent: DataFrame, names: DataFrame, buckets: int, length: int) -> DataFrame:
+def _suffixes(blocks: DataFrame, names: DataFrame, buckets: int, length: int) -> DataFrame:
     """The sampled suffixes for each bucket of names, after each block has settled its own classes
     (what it found is passed along with them)."""
     record = _record(length)
 
     def run(table: pa.Table) -> pa.Table:
-        number, block, at, name = _answered(table)
+        number, block, names = _answered(table)
+        at, columns = _characters(block)
+        at, columns = _named(block, at, names[0][_Distinct(columns, buckets).of], length)
+        name = names[1][_Distinct(columns, buckets).of]
         at, name = at[name > 0], name[name > 0]
         o = block.owner(at)
         local, size = at - block.base[o], block.size[o]
@@ -471,13 +481,12 @@ def _suffixes(blocks: DataFrame, sent: DataFrame, names: DataFrame, buckets: int
         records, goal = np.concatenate(going), np.concatenate(goals)
         order = np.argsort(goal, kind="stable")
         records, goal = records[order], goal[order]
-        cuts = np.concatenate([[0], np.flatnonzero(goal[1:] != goal[:-1]) + 1, [len(goal)]]) if len(goal) else np.zeros(1, np.int64)
-        rows = [_row(number, int(goal[i]), records[i:j], b"") for i, j in zip(cuts[:-1].tolist(), cuts[1:].tolist())]
+        rows = [_row(number, int(goal[i]), records[i:j], b"") for i, j in _cuts(goal)]
         if len(found):
             rows.append(_row(number, number % buckets, b"", found))
         return pa.Table.from_batches([_batch(rows)])
 
-    return _regrouped(blocks, sent.where("bucket = -2"), names).groupBy("block").applyInArrow(run, _ROW)
+    return blocks.unionByName(names).groupBy("block").applyInArrow(run, _ROW)
 
 
 def _merged(suffixes: DataFrame, buckets: int, length: int) -> DataFrame:
@@ -521,11 +530,9 @@ def repeated_strings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     blocks = materialize(_blocks(rows.join(open_units, ["id", "version"]).select("id", "version", "text", "ats"), length), "stretches")
     size = blocks.agg(F.sum(F.octet_length("b"))).first()[0] or 0
     buckets = 1 + size // BUCKET
-    sent = materialize(_triples(blocks, buckets), "triples")
-    names = materialize(_names(sent, buckets), "names")
-    sent = materialize(_triples_of_names(blocks, sent, names, buckets, length), "name-triples")
-    names = materialize(_names(sent, buckets), "names-of-names")
-    merged = _merged(_suffixes(blocks, sent, names, buckets, length), buckets, length)
+    names = materialize(_names(_triples(blocks, buckets), buckets, 1), "names")
+    both = names.unionByName(materialize(_names(_triples_of_names(blocks, names, buckets, length), buckets, 2), "names-of-names"))
+    merged = _merged(_suffixes(blocks, both, buckets, length), buckets, length)
     return repeated.unionByName(merged)
 
 
@@ -536,7 +543,11 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """(``docs`` with a struct column, its name): n_bytes, n_removed, the removed spans and the bytes that
     are kept (which need not be whole characters)."""
     text = F.col(text_col).cast("string")
-    ats = (repeated_strings(docs, id_col, text_col, length).groupBy("id", "version").agg(F.collect_list("at").alias("ats")))
+    since = mark()
+    found = repeated_strings(docs, id_col, text_col, length)
+    steps = mark()
+    ats = materialize(found, "repeats").groupBy("id", "version").agg(F.collect_list("at").alias("ats"))
+    release(docs.sparkSession, since, steps)  # nothing reads the tables of the steps any more
     own = {c: common.fresh(docs.columns, f"_{c}") for c in ("id", "version", "ats", "key", "hash")}
     ats = ats.select(*[F.col(c).alias(own[c]) for c in ("id", "version", "ats")])
     key, version = _key(id_col, text)

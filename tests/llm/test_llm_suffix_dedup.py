@@ -121,14 +121,10 @@ def test_small_pieces_blocks_and_hot_names(spark, monkeypatch):
     table = pa.table({"id": [d for d, _ in rows], "version": pa.array([0] * len(rows), pa.int32()), "text": texts, "ats": pa.array(lists, pa.list_(pa.int64()))})
     blocks = [(i, *r[1:]) for i, r in enumerate(captured.map(S._blocks, table, 100))]
     assert len(blocks) > 5
-    sent = captured.map(S._triples, captured.table(blocks), 3)
-    names = captured.groups(S._names, [r for r in sent if r[1] >= 0], "bucket", 3)
-    state = [r for r in sent if r[1] == -2]
-    sent = captured.groups(lambda t: S._triples_of_names(t, t, t, 3, 100), blocks + state + names, "block")
-    names = captured.groups(S._names, [r for r in sent if r[1] >= 0], "bucket", 3)
-    assert any(n >> 63 for r in names for n in np.frombuffer(r[2], np.uint64).tolist())
-    state = [r for r in sent if r[1] == -2]
-    suffixes = captured.groups(lambda t: S._suffixes(t, t, t, 3, 100), blocks + state + names, "block")
+    names = captured.groups(lambda t: S._names(t, 3, 1), captured.map(S._triples, captured.table(blocks), 3), "bucket")
+    again = captured.groups(lambda t: S._names(t, 3, 2), captured.groups(lambda t: S._triples_of_names(t, t, 3, 100), blocks + names, "block"), "bucket")
+    assert any(n >> 63 for r in again for n in np.frombuffer(r[2], np.uint64).tolist())
+    suffixes = captured.groups(lambda t: S._suffixes(t, t, 3, 100), blocks + names + again, "block")
     hits = captured.groups(lambda t: S._merged(t, 3, 100), suffixes, "bucket")
     got = {(d, (at >> 8) + i) for d, _, at in hits for i in range((at & 255) + 1)}
     first, want = {}, set()

@@ -118,7 +118,8 @@ def units_of(part: np.ndarray, offsets: np.ndarray, length: int):
 
 def _units(docs: DataFrame, length: int, anchors_only: bool) -> DataFrame:
     """h (anchor), k (whole), id, version, at (first string * 256 + strings - 1) of the units of ``docs``
-    (id, version, text); or h alone, each once for an array step with ``n``, its count."""
+    (id, version, text), and whether the anchor was seen twice in the array step; or h alone, each
+    once for an array step with ``n``, its count."""
     def anchors(batches):
         for batch in batches:
             for _, _, part, off in _pieces(batch.column(2), length):
@@ -132,12 +133,13 @@ def _units(docs: DataFrame, length: int, anchors_only: bool) -> DataFrame:
                 d, first, many, h, k = units_of(part, off, length)
                 at = (first + begin[d]) * 256 + many - 1
                 d = docs_[d]
-                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(k.view(np.int64)), pa.array(ids[d]),
-                                                  pa.array(versions[d]), pa.array(at)], ["h", "k", "id", "version", "at"])
+                _, which, n = np.unique(h, return_inverse=True, return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(k.view(np.int64)), pa.array(ids[d]), pa.array(versions[d]),
+                                                  pa.array(at), pa.array(n[which] > 1)], ["h", "k", "id", "version", "at", "seen"])
 
     if anchors_only:
         return docs.mapInArrow(anchors, "h long, n long")
-    return docs.mapInArrow(units, "h long, k long, id long, version int, at long")
+    return docs.mapInArrow(units, "h long, k long, id long, version int, at long, seen boolean")
 
 
 # --- blocks of stretches -------------------------------------------------------------------------
@@ -520,8 +522,11 @@ def repeated_strings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
         raise ValueError(f"length must be from {NAMED + PERIOD} to 255")
     text = F.col(text_col).cast("string")
     rows = docs.select(*_key(id_col, text), text.alias("text")).where(F.octet_length("text") >= length)
-    twice = _units(rows, length, True).groupBy("h").agg(F.sum("n").alias("n")).where("n > 1").select("h")
-    units = materialize(_units(rows, length, False).join(twice, "h", "left_semi"), "units")
+    twice = _units(rows, length, True).groupBy("h").agg(F.sum("n").alias("n")).where("n > 1").select(F.col("h").alias("twice"))
+    # A frequent anchor is seen twice in its step and needs no partner: its rows are spread.
+    units = _units(rows, length, False).withColumn("to", F.when(F.col("seen"), F.xxhash64("id", "at")).otherwise(F.col("h")))
+    units = units.join(twice, (F.col("to") == F.col("twice")) & ~F.col("seen"), "left").where("seen OR twice IS NOT NULL")
+    units = materialize(units.select("h", "k", "id", "version", "at"), "units")
     firsts = materialize(units.groupBy("h", "k").agg(F.min(F.struct("id", "version", "at")).alias("first"), F.count(F.lit(1)).alias("n")), "first-units")
     own = F.struct("id", "version", "at")
     repeated = units.join(firsts.where("n > 1").select("h", "k", "first"), ["h", "k"]).where(own != F.col("first")).select("id", "version", "at")

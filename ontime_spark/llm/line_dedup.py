@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ontime_spark.llm import common
-from ontime_spark.session import materialize
+from ontime_spark.session import mark, materialize, release
 
 #: Documents in which a template must occur to be recurring.
 MIN_DOCS = 5
@@ -46,10 +46,10 @@ def _masked(line: Column) -> Column:
         odd = odd | line.contains(c)
     spaced = F.when(odd, F.regexp_replace(line, r"[\x20\x09-\x0D]+", " ")).otherwise(line)
     trimmed = F.trim(spaced)
-    return F.when(trimmed.rlike("[0-9]"), F.regexp_replace(trimmed, r"[^ 0-9]*[0-9][^ ]*", FIELD)).otherwise(trimmed)
+    return F.when(trimmed.rlike("[0-9]"), F.regexp_replace(trimmed, r"(?<![^ ])[^ 0-9]*+[0-9][^ ]*", FIELD)).otherwise(trimmed)
 
 
-def _lines(docs: DataFrame, id_col: str, text_col: str, with_text: bool) -> DataFrame:
+def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """doc, version (hash of the text), nth, n (tokens), long, leaf, line (hash) of each line that
     has enough words; and the masked line."""
     text = F.col(text_col).cast("string")
@@ -67,7 +67,7 @@ def _lines(docs: DataFrame, id_col: str, text_col: str, with_text: bool) -> Data
     rows = rows.withColumn("long", F.col("words") > LONG_WORDS)
     leaf = F.xxhash64("n", "long", F.substring_index("masked", " ", LEADING)).alias("leaf")
     line = F.xxhash64("masked").alias("line")
-    return rows.select("doc", "version", "nth", "n", "long", leaf, line, *(["masked"] if with_text else []))
+    return rows.select("doc", "version", "nth", "n", "long", leaf, line, "masked")
 
 
 def _tried(open_lines: DataFrame) -> DataFrame:
@@ -110,16 +110,21 @@ def templates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """(lines, recurring): ``lines`` as doc, version, nth, n, line; ``recurring`` as line,
     template, n_docs, first_doc for the lines whose template is recurring."""
     need = F.when(F.col("long"), long_docs).otherwise(min_docs)
-    lines = materialize(_lines(docs, id_col, text_col, False), "lines")
+    since = mark()
+    masked = materialize(_lines(docs, id_col, text_col), "masked-lines")
+    until = mark()
+    lines = materialize(masked.drop("masked"), "lines")
     seen = materialize(lines.select("leaf", "long", "line", "doc").distinct(), "line-docs")
     crowded = (seen.groupBy("leaf", "long").agg(F.count("line").alias("c"), F.min("line").alias("lo"), F.max("line").alias("hi"))
                .where((F.col("c") >= need) & (F.col("lo") != F.col("hi"))).select("leaf"))
+    crowded = materialize(crowded, "crowded")  # of known size: texts move only if it is large
     seen_open = materialize(seen.join(crowded, "leaf", "left_semi"), "open-docs")
     weight = seen_open.groupBy("leaf", "long", "line").agg(F.count(F.lit(1)).alias("w"))
-    texts = (_lines(docs, id_col, text_col, True).select("leaf", "line", "masked")
+    texts = (masked.select("leaf", "line", "masked")
              .join(crowded, "leaf", "left_semi").groupBy("line").agg(F.first("masked").alias("masked")))
     open_lines = materialize(weight.join(texts, "line")
                              .select("leaf", "long", "line", "w", F.split("masked", " ").alias("tokens")), "open-lines")
+    release(docs.sparkSession, since, until)  # the texts of other lines are not looked at again
     shared: DataFrame | None = None
     turn = 0
     while not open_lines.isEmpty():
@@ -130,7 +135,8 @@ def templates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  .select("leaf", F.lit(True).alias("found")))
         tried = materialize(tried.join(found, "leaf", "left"), "found")
         new = tried.where("fits AND found").select("line", F.xxhash64("leaf", F.lit(turn)).alias("template"))
-        shared = materialize(new if shared is None else shared.union(new), "shared")
+        new = materialize(new, "shared")
+        shared = new if shared is None else shared.union(new)
         open_lines = materialize(_left_over(tried, need, turn), "open-lines")
         turn += 1
     named = seen.select("line", "long", "doc")

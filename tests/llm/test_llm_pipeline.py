@@ -7,7 +7,7 @@ from test_llm_decontaminate import brute as brute_hits
 from test_llm_line_dedup import brute as brute_lines
 from test_llm_near_dedup import brute as brute_groups
 
-from ontime_spark.llm import bpe, language_id
+from ontime_spark.llm import bpe, language_id, line_dedup
 from ontime_spark.session import materialize
 
 SF = "/root/testdata/sf0.001"
@@ -31,13 +31,11 @@ def test_stages(spark):
                                    if x[r].lang != "und" and x[r].score >= language_id.MIN_SCORE)
             assert len(after) > 0.95 * len(before)
         elif name == "line_dedup":
-            gone = brute_lines(before)
+            gone = brute_lines(before, long_docs=line_dedup.MIN_DOCS)
             want = []
             for d, text in before:
-                drop, lines = gone[d, text], text.split("\n")
-                left = "\n".join(x for i, x in enumerate(lines) if i not in drop)
-                lost = sum(len(lines[i].split()) for i in drop)
-                if 2 * lost <= len(text.split()):
+                left = "\n".join(x for i, x in enumerate(text.split("\n")) if i not in gone[d, text])
+                if not gone[d, text] or left.strip(" \t\n\v\f\r"):
                     want.append((d, left))
             assert after == sorted(want)
             assert all(r.n_chars == len(r.text) for r in rows)

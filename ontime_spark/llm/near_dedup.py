@@ -12,7 +12,9 @@ the most similar of a few hubs of its buckets and the links found are contracted
 still belong to different components are then listed. While that would be very many, hub rounds
 are repeated with other hubs. No bucket is capped. Copies that were edited too much for a link
 are kept out of the list by exact bounds: a shingle that only one candidate has is in no
-intersection, and what two texts share with one hub limits what they share.
+intersection; and all members of a bucket are compared with one hub, the label of its largest
+component, and their shingles counted by cells (in the hub or not, and by hash): two texts share
+at most the smaller count of each cell. The bound is a popcount of a few longs inside the bucket join.
 """
 
 from __future__ import annotations
@@ -40,9 +42,12 @@ BITS = 2
 MARGIN = 0.15
 #: Hubs of a bucket in a hub round.
 HUBS = 4
-#: Another hub round follows while the buckets hold more pairs of different components than this
-#: for each of their members, but never more rounds than ``HUB_ROUNDS``; then all are listed.
-PAIRS_EACH, HUB_ROUNDS = 1000, 6
+#: Another hub round follows while the last one joined this share of the components in buckets
+#: that hold several, but never more rounds than ``HUB_ROUNDS``; then the other pairs are listed.
+JOINED, HUB_ROUNDS = 0.05, 6
+#: Cells of the shingles in a hub, and as many of the others; counts up to ``CELL_LEVELS`` are bits, the
+#: rest of a count is kept in a sum.
+CELLS, CELL_LEVELS = 256, 4
 
 _rng = np.random.default_rng(20240918)
 _MULT = _rng.integers(1, 2**63, 1024, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -182,6 +187,46 @@ def _compared(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             .select("a", "b", "i", (i * 100 >= (F.col("na") + F.col("nb") - i) * percent).alias("linked")))
 
 
+def _profiles(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """For each (node, main): ``cells``, the shingles of node by cell as a unary code, those in main's
+    set first, and the counts that the code leaves out, ``over_in`` and ``over_out``."""
+    left = sets.select("node", F.col("shingles").alias("own"))
+    right = sets.select(F.col("node").alias("main"), F.col("shingles").alias("hub"))
+
+    def run(batches):
+        for batch in batches:
+            bits, over = [], ([], [])
+            for own, hub in zip(batch.column(2), batch.column(3)):
+                own, hub = own.values.to_numpy(), hub.values.to_numpy()
+                inside = np.isin(own, hub)
+                code = np.zeros((2, CELL_LEVELS, CELLS), np.uint8)
+                for k, part in enumerate((own[inside], own[~inside])):
+                    count = np.bincount(common.mix64(part.view(np.uint64)).astype(np.int64) & (CELLS - 1), minlength=CELLS)
+                    code[k] = count > np.arange(CELL_LEVELS)[:, None]
+                    over[k].append(int(np.maximum(count - CELL_LEVELS, 0).sum()))
+                bits.append(np.packbits(code).view(np.int64))
+            flat = np.concatenate(bits) if bits else np.zeros(0, np.int64)
+            cells = pa.ListArray.from_arrays(pa.array(np.arange(len(bits) + 1, dtype=np.int32) * _LONGS), pa.array(flat))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), cells, *[pa.array(o, pa.int64()) for o in over]],
+                                             ["node", "main", "cells", "over_in", "over_out"])
+
+    return (pairs.join(left, "node").join(right, "main").select("node", "main", "own", "hub")
+            .mapInArrow(run, "node long, main long, cells array<long>, over_in long, over_out long"))
+
+
+#: Longs of a profile's code.
+_LONGS = 2 * CELLS * CELL_LEVELS // 64
+
+
+def _most_by_cells() -> Column:
+    """The most shingles that two profiles, the second's columns named with ``_1``, can share."""
+    both = [F.bit_count(F.col("cells")[i].bitwiseAND(F.col("cells_1")[i])) for i in range(_LONGS)]
+    most = F.least("over_in", "over_in_1") + F.least("over_out", "over_out_1")
+    for b in both:
+        most = most + b
+    return most
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     k: int = SHINGLE_WORDS, percent: int = PERCENT, bands: int = BANDS,
                     rows: int = ROWS) -> DataFrame:
@@ -217,7 +262,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     labels: DataFrame | None = None
     similar = estimate(F.col("sig"), F.col("sig_1"), bands * rows)
     most = F.least("shared", "shared_1")
-    alike = (most * 100 >= (F.col("n") + F.col("n_1") - most) * percent) & (similar >= percent / 100 - MARGIN)
+
+    def enough(shared: Column) -> Column:
+        """100 * shared >= percent * union, with the shared shingles named once."""
+        return shared * (100 + percent) >= (F.col("n") + F.col("n_1")) * percent
+
+    alike = enough(most) & (similar >= percent / 100 - MARGIN)
     other = [F.col(c).alias(f"{c}_1") for c in ("node", "n", "shared", "sig")]
 
     def compared(pairs: DataFrame, before: DataFrame | None) -> DataFrame:
@@ -248,27 +298,19 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         labels = labelled()
         named = materialize(buckets.join(labels, "node"), "named")
         parts = named.groupBy("key", "label").agg(F.count("node").alias("c"))
-        mixed = (parts.groupBy("key").agg(F.sum("c").alias("members"), F.sum(F.col("c") * F.col("c")).alias("squares"),
-                                          F.count("label").alias("parts"), F.max(F.struct("c", "label"))["label"].alias("main"))
-                 .where("parts > 1"))
+        mixed = parts.groupBy("key").agg(F.count("label").alias("parts"), F.max(F.struct("c", "label"))["label"].alias("main")).where("parts > 1")
         mixed = materialize(mixed, "mixed")
-        total = mixed.agg(F.sum((F.col("members") * F.col("members") - F.col("squares")) / 2).alias("cross"),
-                          F.sum("members").alias("members")).first()
         members = named.join(mixed.select("key", "main"), "key")
-        if not total["cross"] or total["cross"] <= PAIRS_EACH * total["members"]:
+        apart_now = members.agg(F.countDistinct("label")).first()[0]
+        if not apart_now or (turn and apart_now > before_now * (1 - JOINED)):
             break
-    if total["cross"]:
+        before_now = apart_now
+    if apart_now:
         # Members outside a bucket's largest component against all members of other components.
-        # What two members share with a hub that both were compared with bounds what they share:
-        # shingles of the hub that both have, and others, of which lone ones don't count.
-        hubs = best.withColumns({"a": F.greatest("node", "node_1"), "b": F.least("node", "node_1")}).join(
-            tested, ["a", "b"]).select("node", F.col("node_1").alias("hub"), F.col("i").alias("with_hub"))
-        known = materialize(known.join(hubs, "node", "left"), "known-hubs")
-        active = materialize(members.join(known, "node"), "active")
-        other = [F.col(c).alias(f"{c}_1") for c in ("node", "n", "shared", "sig", "hub", "with_hub")]
-        beside = F.least(F.col("shared") - F.col("with_hub"), F.col("shared_1") - F.col("with_hub_1"))
-        most = F.when(F.col("hub") == F.col("hub_1"), F.least(most, F.least("with_hub", "with_hub_1") + beside)).otherwise(most)
-        alike = (most * 100 >= (F.col("n") + F.col("n_1") - most) * percent) & (similar >= percent / 100 - MARGIN)
+        profiles = materialize(_profiles(members.select("node", "main").distinct(), sets), "profiles")
+        active = materialize(members.join(known, "node").join(profiles, ["node", "main"]), "active")
+        other = [F.col(c).alias(f"{c}_1") for c in ("node", "n", "shared", "sig", "cells", "over_in", "over_out")]
+        alike = alike & enough(_most_by_cells())
         left = active.where("label <> main").select("key", F.col("label").alias("label_1"), F.col("main").alias("main_1"), *other)
         apart = (F.col("label") != F.col("label_1")) & ((F.col("label") == F.col("main_1")) | (F.col("node") < F.col("node_1")))
         tested = compared(active.join(left, "key").where(apart & alike).select("node", "node_1"), tested)

@@ -60,6 +60,31 @@ def test_large_group_of_near_copies_goes_through_hubs(spark):
     assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in out), key=str) == brute(rows)
 
 
+def test_over_edited_copies_are_not_listed_in_pairs(spark, monkeypatch):
+    """700 copies of one text with 1 to 14 words replaced from a small vocabulary: most are linked
+    with nothing, and all share the buckets of the text."""
+    rng = random.Random(11)
+    base = [f"w{rng.randrange(5000)}" for _ in range(200)]
+    rows = []
+    for i in range(700):
+        w = list(base)
+        for _ in range(rng.randint(1, 14)):
+            w[rng.randrange(len(w))] = f"e{rng.randrange(40)}"
+        rows.append((i, " ".join(w)))
+    listed, write = [], N.materialize
+
+    def counted(df, name="table"):
+        out = write(df, name)
+        if name in ("pairs", "new-pairs"):
+            listed.append(out.count())
+        return out
+
+    monkeypatch.setattr(N, "materialize", counted)
+    out = N.near_duplicates(frame(spark, rows)).collect()
+    assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in out), key=str) == brute(rows)
+    assert max(listed) < 8 * len(rows), listed
+
+
 def test_empty_table(spark):
     assert N.near_duplicates(frame(spark, [])).count() == 0
 

@@ -16,6 +16,9 @@ from pyspark.sql.types import StructType
 #: Bytes of text that one array step handles at most (a single longer document is one step).
 CHUNK_BYTES = 2 << 20
 
+#: Bytes of text for which a task holds results at a time.
+PART_BYTES = 8 << 20
+
 #: White space of the contracts: [\x20\x09-\x0D].
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -84,6 +87,13 @@ def chunks(offsets: np.ndarray, limit: int = CHUNK_BYTES) -> Iterator[tuple[int,
         i = j
 
 
+def parts(batch: pa.RecordBatch, at: int) -> Iterator[pa.RecordBatch]:
+    """``batch`` in slices whose texts (column ``at``) together have at most ``PART_BYTES``."""
+    if batch.num_rows:
+        for i, j in chunks(utf8(batch.column(at))[1], PART_BYTES):
+            yield batch.slice(i, j - i)
+
+
 def words(data: np.ndarray, offsets: np.ndarray, is_space: np.ndarray = SPACE):
     """(starts, ends, document) of every word: maximal runs of bytes that ``is_space`` does not
     hold for, cut at document bounds."""
@@ -161,8 +171,9 @@ def fresh(columns: list[str], name: str) -> str:
 def with_result(docs: DataFrame, text_col: str, fields: str, fn,
                 name: str = "_result") -> tuple[DataFrame, str]:
     """(``docs`` plus a struct column of ``fields``, its name), computed by ``fn(texts)`` from
-    the text column of each Arrow batch; ``fn`` returns one array per field. All other columns
-    pass through as they are. The result column gets a name that no column has."""
+    the text column, a part of an Arrow batch of ``PART_BYTES`` at a time; ``fn`` returns one array
+    per field. All other columns pass through as they are. The result column gets a name that no
+    column has."""
     name = fresh(docs.columns, name)
     at = docs.columns.index(text_col)
     schema = StructType(list(docs.schema.fields)).add(name, StructType.fromDDL(fields))
@@ -170,7 +181,9 @@ def with_result(docs: DataFrame, text_col: str, fields: str, fn,
 
     def run(batches):
         for batch in batches:
-            struct = pa.StructArray.from_arrays(fn(batch.column(at)), names)
-            yield pa.RecordBatch.from_arrays([*batch.columns, struct], [*batch.schema.names, name])
+            for part in parts(batch, at):
+                struct = pa.StructArray.from_arrays(fn(part.column(at)), names)
+                yield pa.RecordBatch.from_arrays([*part.columns, struct], [*part.schema.names, name])
+            pa.default_memory_pool().release_unused()
 
     return docs.mapInArrow(run, schema), name

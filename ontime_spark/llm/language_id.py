@@ -17,6 +17,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -175,12 +176,8 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     return train([r["t"] for r in sample], [r["l"] for r in sample])
 
 
-def identify(docs: DataFrame, network: Network | None, text_col: str = "text") -> tuple[DataFrame, str]:
-    """``docs`` plus a struct (its name is returned too): lang and score (mean probability of
-    that language over the text's windows).
-
-    Null texts and texts without a letter are ``und`` with score 0, as is every text when there
-    is no network. Short texts are one window filled with zeros."""
+def _predictor(network: Network | None):
+    """The function from texts to arrays of languages and scores."""
     def run(texts):
         data, offsets = common.utf8(texts)
         n = len(offsets) - 1
@@ -202,7 +199,18 @@ def identify(docs: DataFrame, network: Network | None, text_col: str = "text") -
                         scores[d] = min(1.0, total[d - i, best[d - i]] / weight[d - i])
         return [pa.array(names, pa.string()), pa.array(scores)]
 
-    return common.with_result(docs, text_col, "lang: string, score: double", run)
+    return run
+
+
+def identify(docs: DataFrame, network: Network | None, text_col: str = "text") -> tuple[DataFrame, str]:
+    """``docs`` plus a struct (its name is returned too): lang and score (mean probability of
+    that language over the text's windows).
+
+    Null texts and texts without a letter are ``und`` with score 0, as is every text when there
+    is no network. Short texts are one window filled with zeros. Rows are independent: repeated
+    rows give equal results, and of languages with equal probability the first by name counts.
+    Other columns pass through, whatever their names."""
+    return common.with_result(docs, text_col, "lang: string, score: double", _predictor(network))
 
 
 def _has_letter(text: bytes) -> bool:
@@ -214,8 +222,15 @@ def _has_letter(text: bytes) -> bool:
 def accepted(docs: DataFrame, network: Network | None, text_col: str = "text",
              min_score: float = MIN_SCORE) -> DataFrame:
     """The documents that have a language of at least ``min_score``, columns unchanged."""
-    marked, r = identify(docs, network, text_col)
-    return marked.where((F.col(r)["lang"] != UNKNOWN) & (F.col(r)["score"] >= min_score)).drop(r)
+    predict = _predictor(network)
+
+    def verdict(texts: pa.Array) -> pa.Array:
+        names, scores = predict(texts)
+        pa.default_memory_pool().release_unused()
+        return pa.compute.and_(pa.compute.not_equal(names, UNKNOWN), pa.compute.greater_equal(scores, min_score))
+
+    # Only the text goes to Python and only the verdict comes back.
+    return docs.where(F.arrow_udf(verdict, "boolean")(F.col(text_col).cast("string")))
 
 
 def op5_language_id(spark, sf_dir: str) -> DataFrame:

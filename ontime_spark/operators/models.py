@@ -1,10 +1,10 @@
 """Classifiers (M1-M3), prediction (M10), persistence (S9) and feature importances.
 
 The three model types keep their published names: 'lr' (logistic regression), 'rf' (random
-forest) and 'xgboost' (gradient-boosted trees; Spark's GBTClassifier, which has no L1/L2
-terms — only the depth, rate, rounds, row/column sampling and child-size settings carry over).
+forest) and 'xgboost' (second-order gradient boosting with all published settings,
+``operators.boosting``). 'gbt' is Spark's own GBTClassifier, which has no L1/L2 terms.
 Class balance is a weight column: N / (2 n_c) for 'lr' and 'rf', and n_neg / n_pos on the
-positives for 'xgboost'.
+positives for 'gbt'; 'xgboost' weighs them in its gradients.
 """
 
 from __future__ import annotations
@@ -21,10 +21,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ontime_spark import schemas as S
+from ontime_spark.operators import boosting
 from ontime_spark.operators.encoders import class_weights
 
 MODEL_TYPES = ("lr", "rf", "xgboost")
 
+Model = PipelineModel | boosting.BoostedTreesModel
+
 # Published hyper-parameters.
 LR_MAX_ITER = 1000
 RF_TREES, RF_DEPTH = 300, 15
@@ -34,7 +37,7 @@ GBT_DEPTH, GBT_RATE, GBT_ROUNDS, GBT_SUBSAMPLE, GBT_COLSAMPLE, GBT_MIN_CHILD = 6
 def add_weights(df: DataFrame, model_type: str, label: str = "label") -> DataFrame:
     """Weight column for class balance (A7), joined from the two-row weight table."""
     w = class_weights(df, label)
-    if model_type == "xgboost":
+    if model_type == "gbt":
         w = w.select(label, F.when(F.col(label) == 1, F.col("scale_pos_weight"))
                      .otherwise(F.lit(1.0)).alias("weight"))
     else:
@@ -45,7 +48,8 @@ def add_weights(df: DataFrame, model_type: str, label: str = "label") -> DataFra
 def build_estimator(model_type: str, n_weight: float | None = None, seed: int = S.RANDOM_STATE,
                     rf_trees: int = RF_TREES, gbt_rounds: int = GBT_ROUNDS,
                     features: str = "features", label: str = "label"):
-    """M1-M3 with the published settings (``rf_trees``/``gbt_rounds`` lowered only in tests)."""
+    """M1, M2 and Spark's GBT with the published settings (``rf_trees`` and ``gbt_rounds`` are lowered in
+    tests and in registered queries)."""
     if model_type == "lr":
         # C = 1 on a weighted sum of losses  <=>  regParam = 1 / sum(weights) on Spark's mean.
         return LogisticRegression(featuresCol=features, labelCol=label, weightCol="weight",
@@ -54,7 +58,7 @@ def build_estimator(model_type: str, n_weight: float | None = None, seed: int =
     if model_type == "rf":
         return RandomForestClassifier(featuresCol=features, labelCol=label, weightCol="weight",
                                       numTrees=rf_trees, maxDepth=RF_DEPTH, seed=seed)
-    if model_type == "xgboost":
+    if model_type == "gbt":
         return GBTClassifier(featuresCol=features, labelCol=label, weightCol="weight",
                              maxDepth=GBT_DEPTH, stepSize=GBT_RATE, maxIter=gbt_rounds,
                              subsamplingRate=GBT_SUBSAMPLE,
@@ -65,10 +69,14 @@ def build_estimator(model_type: str, n_weight: float | None = None, seed: int =
 
 def train_model(train: DataFrame, model_type: str = "xgboost",
                 feature_cols: Sequence[str] | None = None, label: str = S.TARGET_COL,
-                **kwargs) -> PipelineModel:
+                **kwargs) -> Model:
     """Fit assembler + classifier on a numeric matrix (columns ``feature_cols`` and ``label``).
-    Returns a ``PipelineModel`` (save/load with Spark ML persistence)."""
+    Returns a ``PipelineModel`` (save/load with Spark ML persistence), or for 'xgboost' a
+    ``BoostedTreesModel`` (``gbt_rounds`` or ``settings`` change the published settings)."""
     cols = list(feature_cols or [c for c in S.NUMERIC_FEATURES if c in train.columns])
+    if model_type == "xgboost":
+        settings = kwargs.pop("settings", boosting.Settings(rounds=kwargs.pop("gbt_rounds", GBT_ROUNDS)))
+        return boosting.fit(train, cols, label, settings)
     data = train.withColumn("label", F.col(label).cast("double"))
     data = add_weights(data, model_type)
     n_weight = data.agg(F.sum("weight")).first()[0] if model_type == "lr" else None
@@ -78,9 +86,12 @@ def train_model(train: DataFrame, model_type: str = "xgboost",
     return pipe.fit(data)
 
 
-def predict(model: PipelineModel, df: DataFrame, threshold: float = 0.5) -> DataFrame:
+def predict(model: Model, df: DataFrame, threshold: float = 0.5) -> DataFrame:
     """Adds ``probability_delayed`` (P(class 1)) and ``predicted`` (probability >
     threshold, as the classifier's own prediction)."""
+    if isinstance(model, boosting.BoostedTreesModel):
+        out = df.withColumn("probability_delayed", model.probability())
+        return out.withColumn("predicted", (F.col("probability_delayed") > threshold).cast("int"))
     out = model.transform(df)
     p = vector_to_array("probability")[1]
     return (out.withColumn("probability_delayed", p)
@@ -92,28 +103,38 @@ def classifier(model: PipelineModel):
     return model.stages[-1]
 
 
-def feature_names(model: PipelineModel) -> list[str]:
+def feature_names(model: Model) -> list[str]:
+    if isinstance(model, boosting.BoostedTreesModel):
+        return list(model.features)
     return list(model.stages[0].getInputCols())
 
 
-def feature_importances(spark: SparkSession, model: PipelineModel, top_n: int = 20) -> DataFrame:
+def feature_importances(spark: SparkSession, model: Model, top_n: int = 20) -> DataFrame:
     """Top-n importances of a tree model (a 36-entry vector held by the model)."""
-    clf = classifier(model)
-    if not hasattr(clf, "featureImportances"):
-        raise TypeError("feature importances need a tree model")
-    imp = clf.featureImportances.toArray().tolist()
-    rows = list(zip(feature_names(model), [float(v) for v in imp]))
+    if isinstance(model, boosting.BoostedTreesModel):
+        rows = model.importances()
+    else:
+        clf = classifier(model)
+        if not hasattr(clf, "featureImportances"):
+            raise TypeError("feature importances need a tree model")
+        imp = clf.featureImportances.toArray().tolist()
+        rows = list(zip(feature_names(model), [float(v) for v in imp]))
     return spark.createDataFrame(rows, "feature string, importance double") \
         .orderBy(F.desc("importance"), "feature").limit(top_n)
 
 
-def save_model(model: PipelineModel, path: str) -> str:
+def save_model(model: Model, path: str) -> str:
     """S9."""
+    if isinstance(model, boosting.BoostedTreesModel):
+        return model.save(SparkSession.getActiveSession(), path)
     model.write().overwrite().save(path)
     return path
 
 
-def load_model(path: str) -> PipelineModel:
+def load_model(path: str) -> Model:
+    spark = SparkSession.getActiveSession()
+    if path_exists(spark, f"{path}/nodes"):
+        return boosting.BoostedTreesModel.load(spark, path)
     return PipelineModel.load(path)
 
 
@@ -124,7 +145,7 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return hp.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hp)
 
 
-def load_all_models(spark: SparkSession, models_dir: str) -> dict[str, PipelineModel]:
+def load_all_models(spark: SparkSession, models_dir: str) -> dict[str, Model]:
     """Every saved model of the three types that exists, keyed by type."""
     out = {}
     for t in MODEL_TYPES:

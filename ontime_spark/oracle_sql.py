@@ -7,6 +7,7 @@ shared CTEs below.
 from __future__ import annotations
 
 import re
+from math import factorial
 
 FLIGHTS_CTE = """flights AS (
 SELECT l.l_orderkey, l.l_linenumber, CAST(l.l_shipdate AS DATE) AS fl_date,
@@ -686,3 +687,65 @@ SELECT l_orderkey, l_linenumber, fl_date, carrier, ROUND(arr_delay, 6) AS arr_de
 # ------------------------------------------------------------------ tree attribution
 SQL["m12_tree_attribution"] = with_ctes(f"""
 SELECT l_orderkey, l_linenumber, true AS adds_up FROM pre WHERE {TEST_WHERE}""", FLIGHTS_CTE, PRE_CTE)
+
+
+# ------------------------------------------------------------------ second-order boosting (M3), one round
+BOOSTED = ("hour_of_day", "day_of_week", "month", "distance", "origin_temp", "origin_has_snow")
+
+
+def _boost_level(k: int) -> str:
+    """CTEs of a level: the cells of its nodes, their best splits, and the rows with their next node.
+    Nodes are places in a full tree (children 2i+1, 2i+2); null where a row's node has no split."""
+    score = "CASE WHEN abs({g}) > 0.1 THEN pow(abs({g}) - 0.1, 2) / ({h} + 1.0) ELSE 0 END"
+    left, right, both = (score.format(g=g, h=h) for g, h in (("gl", "hl"), ("(gt - gl)", "(ht - hl)"), ("gt", "ht")))
+    return f"""cell{k} AS (SELECT node, f, v, sum(g) AS g, sum(h) AS h FROM (
+    SELECT node, unnest(range({len(BOOSTED)})) AS f, unnest([{', '.join(BOOSTED)}]) AS v, g, h FROM row{k} WHERE node IS NOT NULL) GROUP BY ALL),
+run{k} AS (SELECT node, f, v, sum(g) OVER w AS gl, sum(h) OVER w AS hl, sum(g) OVER (PARTITION BY node, f) AS gt, sum(h) OVER (PARTITION BY node, f) AS ht
+    FROM cell{k} WINDOW w AS (PARTITION BY node, f ORDER BY v)),
+best{k} AS (SELECT * FROM (SELECT *, round({left} + {right} - {both}, 6) AS gain FROM run{k}) WHERE hl >= 3 AND ht - hl >= 3 AND gain > 0
+    QUALIFY row_number() OVER (PARTITION BY node ORDER BY gain DESC, f, v) = 1),
+row{k + 1} AS (SELECT r.* REPLACE (CASE WHEN b.node IS NOT NULL THEN 2 * r.node + CASE WHEN [{', '.join(BOOSTED)}][b.f + 1] <= b.v THEN 1 ELSE 2 END END AS node)
+    FROM row{k} r LEFT JOIN best{k} b ON r.node = b.node)"""
+
+
+BOOST_CTES = (FLIGHTS_CTE, f"""x AS (SELECT l_orderkey, l_linenumber, CASE WHEN arr_delay >= 15 THEN 1 ELSE 0 END AS y, {HOUR_SQL}::DOUBLE AS hour_of_day,
+    (isodow(fl_date) - 1)::DOUBLE AS day_of_week, month(fl_date)::DOUBLE AS month, distance::DOUBLE AS distance, origin_temp::DOUBLE AS origin_temp,
+    origin_has_snow::DOUBLE AS origin_has_snow FROM flights WHERE cancelled = 0),
+row0 AS (SELECT x.*, 0 AS node, CASE WHEN y = 1 THEN -0.5 * s ELSE 0.5 END AS g, CASE WHEN y = 1 THEN 0.25 * s ELSE 0.25 END AS h
+    FROM x, (SELECT (count(*) - sum(y)) / sum(y)::DOUBLE AS s FROM x))""", _boost_level(0), _boost_level(1),
+    """node AS (SELECT node AS place, sum(g) AS g, sum(h) AS h FROM (SELECT node, g, h FROM row0 UNION ALL SELECT node, g, h FROM row1 UNION ALL SELECT node, g, h FROM row2)
+    WHERE node IS NOT NULL GROUP BY node),
+tree AS (SELECT place, b.f, b.v AS threshold, b.gain, -0.1 * sign(g) * greatest(abs(g) - 0.1, 0) / (h + 1.0) AS value, h AS cover
+    FROM node LEFT JOIN (SELECT * FROM best0 UNION ALL SELECT * FROM best1) b ON b.node = place)""")
+
+SQL["m3_boosted_splits"] = with_ctes(f"""
+SELECT place, [{', '.join(repr(c) for c in BOOSTED)}][f + 1] AS feature, round(threshold, 4) AS threshold, round(gain, 4) AS gain, round(value, 4) AS value,
+  round(cover, 4) AS cover FROM tree""", *BOOST_CTES)
+
+
+def _given(place: int) -> str:
+    """Output of the subtree at ``place`` (two levels) when the features in the set ``m`` (bits) are known:
+    the others' splits are averaged by Hessian."""
+    at, left, right = place + 1, 2 * place + 2, 2 * place + 3
+    if place > 2:
+        return f"value[{at}]"
+    a, b = _given(2 * place + 1), _given(2 * place + 2)
+    return (f"CASE WHEN f[{at}] IS NULL THEN value[{at}] WHEN (m >> f[{at}]) & 1 = 1 THEN CASE WHEN x[f[{at}] + 1] <= threshold[{at}] THEN {a} ELSE {b} END "
+            f"ELSE (cover[{left}] * ({a}) + cover[{right}] * ({b})) / cover[{at}] END")
+
+
+def _shapley(i: int) -> str:
+    """Mean gain of knowing feature ``i`` over all orders of the features, from the outputs ``o`` of all sets."""
+    n = len(BOOSTED)
+    terms = [f"{factorial(m.bit_count()) * factorial(n - 1 - m.bit_count()) / factorial(n)!r} * (o[{(m | 1 << i) + 1}] - o[{m + 1}])"
+             for m in range(1 << n) if not m >> i & 1]
+    return "round(" + " + ".join(terms) + f", 6) AS {BOOSTED[i]}"
+
+
+SQL["m12_boosted_contributions"] = with_ctes(f"""
+SELECT l_orderkey, l_linenumber, {', '.join(_shapley(i) for i in range(len(BOOSTED)))}, round(o[1], 6) AS base_value, round(o[{1 << len(BOOSTED)}], 6) AS raw_margin
+FROM outputs""", *BOOST_CTES, f"""lists AS (SELECT list(f ORDER BY place) AS f, list(threshold ORDER BY place) AS threshold, list(value ORDER BY place) AS value,
+    list(cover ORDER BY place) AS cover FROM (SELECT * FROM range(7) r(place) LEFT JOIN tree USING (place))),
+sets AS (SELECT *, unnest(range({1 << len(BOOSTED)})) AS m FROM (
+    SELECT row_number() OVER () AS r, l_orderkey, l_linenumber, [{', '.join(BOOSTED)}] AS x FROM x WHERE month > 10)),
+outputs AS (SELECT r, l_orderkey, l_linenumber, list(out ORDER BY m) AS o FROM (SELECT sets.*, {_given(0)} AS out FROM sets, lists) GROUP BY ALL)""")

@@ -576,6 +576,53 @@ def q_m1(spark, sf_dir):
     return rounded(evaluate_model(M.train_model(train, "lr"), test, name="lr"))
 
 
+#: Features of the boosted round that SQL repeats: few distinct values, so a bin is a value.
+BOOSTED = ("hour_of_day", "day_of_week", "month", "distance", "origin_temp", "origin_has_snow")
+
+
+def _boosted_input(spark, sf_dir) -> DataFrame:
+    f = clean.add_delay_label(clean.filter_cancelled(driver.flights(spark, sf_dir)))
+    f = f.select(*KEYS, S.TARGET_COL, TF.hour_of_day("crs_dep_time").alias("hour_of_day"), TF.day_of_week("fl_date").alias("day_of_week"),
+                 F.month("fl_date").alias("month"), "distance", "origin_temp", "origin_has_snow", "origin_wind_speed")
+    return f.withColumns({c: F.col(c).cast("double") for c in (*BOOSTED, "origin_wind_speed")})
+
+
+@register("m3_boosted_splits")
+def q_m3(spark, sf_dir):
+    """One round of the boosted trees (two levels, all rows and columns): the nodes with split, gain,
+    leaf value and Hessian."""
+    from ontime_spark.operators import boosting
+    df = materialize(_boosted_input(spark, sf_dir), "boosted-input")
+    model = boosting.fit(df, BOOSTED, S.TARGET_COL, boosting.Settings(rounds=1, depth=2, subsample=1.0, colsample=1.0))
+    inner = F.col("left") >= 0
+    names = F.array(*[F.lit(c) for c in BOOSTED])
+    return rounded(model.nodes(spark).select("place", F.when(inner, F.get(names, "feature")).alias("feature"), F.when(inner, F.col("threshold")).alias("threshold"),
+                                             F.when(inner, F.col("gain")).alias("gain"), "value", "cover"), 4)
+
+
+@register("m3_boosted_train_score")
+def q_m3_score(spark, sf_dir):
+    """The boosted trees with the published settings but 6 rounds, fitted on the training months, saved and
+    loaded; every test flight scored (M10)."""
+    from ontime_spark.operators import boosting
+    from ontime_spark.operators import models as M
+    df = _boosted_input(spark, sf_dir)
+    train = materialize(df.where(F.col("month") <= 10), "boosted-train")
+    model = boosting.saved_copy(spark, M.train_model(train, "xgboost", feature_cols=[*BOOSTED, "origin_wind_speed"], gbt_rounds=6))
+    return rounded(_keys(M.predict(model, df.where(F.col("month") > 10)), S.TARGET_COL, "probability_delayed", "predicted"))
+
+
+@register("m12_boosted_contributions")
+def q_m12_boosted(spark, sf_dir):
+    """The Shapley values of every test flight for the boosted round of ``m3_boosted_splits``."""
+    from ontime_spark.operators import boosting
+    from ontime_spark.operators.treeshap import tree_contributions
+    df = materialize(_boosted_input(spark, sf_dir), "boosted-input")
+    model = boosting.fit(df, BOOSTED, S.TARGET_COL, boosting.Settings(rounds=1, depth=2, subsample=1.0, colsample=1.0))
+    out = tree_contributions(model, df.where(F.col("month") > 10), "xgboost")
+    return rounded(_keys(out, *[F.col("contribs")[i]["value"].alias(c) for i, c in enumerate(BOOSTED)], "base_value", "raw_margin"))
+
+
 @register("m12_tree_attribution")
 def q_m12(spark, sf_dir):
     """M12 on the driver flights: a forest fitted on the training months, every test flight

@@ -28,10 +28,11 @@ def wind_category(wind: str | Column) -> Column:
 
 
 def severe_weather(thunder: str | Column, snow: str | Column, wind: str | Column) -> Column:
-    """Thunderstorm or snow or wind > 35 kt; a missing flag counts as set."""
+    """Thunderstorm or snow or wind > 35 kt; a missing flag counts as set, a missing wind (NaN
+    too) does not."""
     return ((F.coalesce(_c(thunder).cast("double"), F.lit(1.0)) != 0)
             | (F.coalesce(_c(snow).cast("double"), F.lit(1.0)) != 0)
-            | F.coalesce(_c(wind) > S.WIND_SEVERE_KT, F.lit(False))).cast("int")
+            | F.coalesce(F.nanvl(_c(wind).cast("double"), F.lit(None).cast("double")) > S.WIND_SEVERE_KT, F.lit(False))).cast("int")
 
 
 # C11 conversion factors (exact definitions: 1 kt = 1852 m/h, 1 mi = 1609.344 m, 1 ft = 0.3048 m).

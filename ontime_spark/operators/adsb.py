@@ -41,6 +41,23 @@ def aircraft_near_airports(states: DataFrame, airports: DataFrame, bbox_deg: flo
             .select(key, F.coalesce("n_aircraft", F.lit(0)).alias("n_aircraft")))
 
 
+def aircraft_per_snapshot(states: DataFrame, airports: DataFrame, bbox_deg: float = 0.5, key: str = "icao",
+                          every_seconds: int = 1) -> DataFrame:
+    """J8 for every snapshot (``time`` rounded down to ``every_seconds``): key, time, n_aircraft of each airport
+    at each snapshot that the states hold, zeros included.
+
+    Counts come from the grid join; the zeros are added as rows of the calendar, one for each
+    snapshot and airport (the size of the result), and summed with them, so no state meets an
+    airport outside its cells."""
+    at = (F.floor(F.col("time") / every_seconds) * every_seconds).cast("long")
+    states = states.withColumn("time", at)
+    counts = aircraft_near_airports(states, airports, bbox_deg, key, by_time=True)
+    keys = airports.select(key).distinct().agg(F.collect_list(key)).first()[0]  # the airports of the world: some 10^4
+    grid = states.select("time").distinct().select(F.explode(F.array(*[F.lit(k) for k in keys])).alias(key), "time")
+    zeros = grid.withColumn("n_aircraft", F.lit(0).cast("long"))
+    return counts.unionByName(zeros).groupBy(key, "time").agg(F.sum("n_aircraft").alias("n_aircraft"))
+
+
 def flights_per_route_hour(adsb: DataFrame) -> DataFrame:
     """Observed flights per (departure, arrival, hour of first sighting)."""
     return (adsb.groupBy(F.col("estDepartureAirport").alias("dep"),

@@ -33,10 +33,23 @@ def parsed_number(c: str, target: T.DataType) -> F.Column:
     return d if isinstance(target, T.DoubleType) else d.try_cast(target)
 
 
+def present(c: str | F.Column) -> F.Column:
+    """A number, with NaN as the missing value it stands for in files."""
+    c = F.col(c) if isinstance(c, str) else c
+    return F.nanvl(c.cast("double"), F.lit(None).cast("double"))
+
+
+def nan_to_null(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """Floating columns (``columns``, all by default) with null for NaN."""
+    floats = {f.name: f.dataType for f in df.schema.fields if isinstance(f.dataType, (T.FloatType, T.DoubleType))}
+    changes = {c: F.nanvl(F.col(c), F.lit(None).cast(t)) for c, t in floats.items() if columns is None or c in columns}
+    return df.withColumns(changes) if changes else df
+
+
 def cast_types(df: DataFrame) -> DataFrame:
     """Every canonical column to its type: carrier/origin/dest to string, fl_date to date,
     numbers and flags to their canonical type. Unparsable values become null (``try_cast``:
-    ANSI mode would otherwise fail). Columns of other names keep their type."""
+    ANSI mode would otherwise fail), NaN too. Columns of other names keep their type."""
     present = {f.name: f.dataType for f in df.schema.fields}
     changes = {}
     for c in S.STRING_COLUMNS:
@@ -51,7 +64,7 @@ def cast_types(df: DataFrame) -> DataFrame:
             text = isinstance(present[f.name], T.StringType)
             if text or f.name in S.NUMERIC_CANDIDATES:
                 changes[f.name] = parsed_number(f.name, f.dataType) if text else F.col(f.name).try_cast(f.dataType)
-    return df.withColumns(changes) if changes else df
+    return nan_to_null(df.withColumns(changes) if changes else df)
 
 
 def _kept() -> F.Column:
@@ -78,16 +91,17 @@ def cancelled_counts(df: DataFrame) -> DataFrame:
 
 
 def add_delay_label(df: DataFrame, threshold: float = S.DELAY_THRESHOLD_MINUTES) -> DataFrame:
-    """``is_delayed`` = arr_delay >= threshold; a missing delay is labelled 0."""
+    """``is_delayed`` = arr_delay >= threshold; a missing delay (null or NaN) is labelled 0."""
     if "arr_delay" not in df.columns:
         raise KeyError("no arr_delay column to label delays from")
     return df.withColumn(
-        S.TARGET_COL, F.coalesce(F.col("arr_delay") >= threshold, F.lit(False)).cast("int"))
+        S.TARGET_COL, F.coalesce(present("arr_delay") >= threshold, F.lit(False)).cast("int"))
 
 
 def missing_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """Null count per column as one row (one pass, map-side combined)."""
+    """Missing values (null or NaN) per column as one row (one pass, map-side combined)."""
     cols = list(columns) if columns is not None else df.columns
+    df = nan_to_null(df, cols)
     return df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in cols])
 
 
@@ -130,7 +144,7 @@ class MissingValueFiller:
         for c, m in self.medians.items():
             if c in types and m is not None:
                 # A column with missing values is floating point (as a pandas column with NaN).
-                fills[c] = F.coalesce(F.col(c).cast("double"), F.lit(float(m)))
+                fills[c] = F.coalesce(present(c), F.lit(float(m)))
         for c in self.string_cols:
             if c in types:
                 fills[c] = F.coalesce(F.col(c), F.lit(self.unknown))

@@ -66,8 +66,8 @@ def running_totals(hist: DataFrame, keys: Sequence[str], order_col: str,
 
 def long_values(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """(name, value) rows for the non-null values of the given numeric columns."""
-    pairs = F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).cast("double").alias("value"))
-                      for c in columns])
+    number = lambda c: F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double"))
+    pairs = F.array(*[F.struct(F.lit(c).alias("name"), number(c).alias("value")) for c in columns])
     return (df.select(F.inline(pairs)).where(F.col("value").isNotNull()))
 
 
@@ -77,7 +77,7 @@ BRACKET, SKETCH_ACCURACY = 0.001, 10_000
 
 
 def exact_medians(df: DataFrame, columns: Sequence[str], buckets: int | None = None) -> DataFrame:
-    """Exact median per column (mean of the two middle values for an even count, nulls
+    """Exact median per column (mean of the two middle values for an even count, nulls and NaN
     ignored): rows (name, median, n). Columns with no values are absent.
 
     One pass counts the values and brackets each median with a quantile sketch; a second counts
@@ -87,7 +87,7 @@ def exact_medians(df: DataFrame, columns: Sequence[str], buckets: int | None = N
     A sketch that missed (its error is not bounded for every input) is noticed by the ranks and
     its column is counted in full."""
     spark = df.sparkSession
-    value = {c: F.col(c).cast("double") for c in columns}
+    value = {c: F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")) for c in columns}
     ends = [0.5 - BRACKET, 0.5 + BRACKET]
     stats = df.agg(*[F.struct(F.count(v).alias("n"), F.percentile_approx(v, ends, SKETCH_ACCURACY).alias("q")).alias(f"_{i}")
                      for i, v in enumerate(value.values())]).first()

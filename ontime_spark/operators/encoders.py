@@ -119,16 +119,23 @@ class TargetEncoder:
         self.max_broadcast_rows = max_broadcast_rows
         self.checkpoint = checkpoint
 
+    def cells(self, df: DataFrame, *by: F.Column) -> DataFrame:
+        """Rows, label sum and labelled rows per (``by``, route, carrier): what the encoder is
+        made of, and what two sets of flights can be added in."""
+        o, d = _airport_cols(df)
+        ccol = resolve_carrier_col(df)
+        y = F.col(self.target).cast("double")
+        return (df.groupBy(*by, R.route_key(o, d).alias("route"), F.col(ccol).cast("string").alias("carrier_key"))
+                  .agg(F.count(F.lit(1)).alias("n"), F.sum(y).alias("s"), F.count(y).alias("ny")))
+
     def fit(self, df: DataFrame) -> TargetEncoderModel:
         """One pass over the rows: label count and sum per (route, carrier), a table bounded by
         routes x carriers. Route stats, carrier stats and the global mean are re-aggregated
         from it."""
-        o, d = _airport_cols(df)
-        ccol = resolve_carrier_col(df)
-        y = F.col(self.target).cast("double")
-        cells = (df.groupBy(R.route_key(o, d).alias("route"),
-                            F.col(ccol).cast("string").alias("carrier_key"))
-                   .agg(F.count(F.lit(1)).alias("n"), F.sum(y).alias("s"), F.count(y).alias("ny")))
+        return self.fit_cells(self.cells(df))
+
+    def fit_cells(self, cells: DataFrame) -> TargetEncoderModel:
+        """The encoder from ``cells`` (several rows of a route and carrier add up)."""
         if self.checkpoint:
             cells = materialize(cells, "encoder-cells")
         tot = cells.agg(F.sum("s").alias("s"), F.sum("ny").alias("ny")).first()

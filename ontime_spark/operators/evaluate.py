@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ontime_spark.operators.cumulative import running_totals
+from ontime_spark.session import materialize
 
 METRICS = ("accuracy", "precision", "recall", "f1", "roc_auc", "pr_auc")
 SWEEP_METRICS = ("f1", "precision", "recall")
@@ -88,6 +89,29 @@ def roc_points(scored: DataFrame, label: str = "label", score: str = "score") ->
                     (F.col("cum_fp") / F.lit(n) if n else F.lit(0.0)).alias("fpr"))
 
 
+def roc_corners(scored: DataFrame, label: str = "label", score: str = "score", buckets: int = 8) -> DataFrame:
+    """W2 as it is drawn: the start (0, 0) with a null score, and the points at which the curve's step
+    changes; a point between two equal steps lies on the line of its neighbours. The number of
+    points follows the curve's corners, not the rows.
+
+    The step of a point is its score's (tp, fp). The next lower score is looked up inside a range
+    bucket, and for the last one of a bucket in the next bucket's first row."""
+    curve = cumulative_curve(scored, label, score)
+    ranged = materialize(curve.repartitionByRange(buckets, F.desc("score")).withColumn("_bucket", F.spark_partition_id()), "curve")
+    tot = ranged.agg(F.max("cum_tp").alias("p"), F.max("cum_fp").alias("n")).first()
+    step = F.struct("tp", "fp")
+    firsts = ranged.groupBy("_bucket").agg(F.max_by(step, "score").alias("first"))
+    after = firsts.select("_bucket", F.lead("first").over(Window.orderBy("_bucket")).alias("_after"))  # a row for each bucket
+    down = Window.partitionBy("_bucket").orderBy(F.desc("score"))
+    seen = ranged.withColumn("_next", F.lead(step).over(down)).join(F.broadcast(after), "_bucket")
+    following = F.coalesce("_next", "_after")
+    kept = seen.where(following.isNull() | (following != step) | ((F.col("cum_tp") == F.col("tp")) & (F.col("cum_fp") == F.col("fp"))))
+    share = lambda c, total: (F.col(c) / F.lit(float(total)) if total else F.lit(0.0)).alias({"cum_tp": "tpr", "cum_fp": "fpr"}[c])
+    points = kept.select("score", share("cum_tp", tot["p"]), share("cum_fp", tot["n"]))
+    start = scored.sparkSession.createDataFrame([(None, 0.0, 0.0)], "score double, tpr double, fpr double")
+    return points.unionByName(start)
+
+
 def pr_points(scored: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
     """Precision and recall per distinct score threshold, plus the base rate."""
     c = cumulative_curve(scored, label, score)

@@ -117,8 +117,8 @@ SQL["p1_cast_types"] = with_ctes("""
 SELECT l_orderkey, l_linenumber,
   CASE WHEN l_orderkey % 101 = 0 THEN NULL ELSE fl_date END AS fl_date, carrier, origin, dest,
   arr_delay, CASE WHEN l_orderkey % 103 = 0 THEN NULL ELSE CAST(distance AS DOUBLE) END AS distance,
-  crs_dep_time, origin_wind_speed, origin_visibility, CAST(origin_ceiling AS DOUBLE) AS origin_ceiling,
-  origin_temp, origin_precip, dest_wind_speed, dest_visibility,
+  crs_dep_time, origin_wind_speed, CASE WHEN l_orderkey % 71 <> 0 THEN origin_visibility END AS origin_visibility,
+  CAST(origin_ceiling AS DOUBLE) AS origin_ceiling, origin_temp, origin_precip, dest_wind_speed, dest_visibility,
   CAST(dest_ceiling AS DOUBLE) AS dest_ceiling, dest_temp, dest_precip
 FROM flights""", FLIGHTS_CTE)
 
@@ -128,7 +128,7 @@ SQL["p2_filter_cancelled"] = with_ctes(
 
 SQL["p3_delay_label"] = with_ctes("""
 SELECT l_orderkey, l_linenumber, arr_delay, CASE WHEN arr_delay >= 15 THEN 1 ELSE 0 END AS is_delayed
-FROM flights WHERE cancelled = 0""", FLIGHTS_CTE)
+FROM (SELECT * REPLACE (CASE WHEN l_orderkey % 71 <> 0 THEN arr_delay END AS arr_delay) FROM flights) f WHERE cancelled = 0""", FLIGHTS_CTE)
 
 SQL["p4_fill_missing"] = with_ctes("""
 SELECT l_orderkey, l_linenumber, carrier, ROUND(COALESCE(arr_delay, m_arr), 6) AS arr_delay,
@@ -154,7 +154,8 @@ _A6_COLS = ("arr_delay", "distance", "crs_dep_time", "origin_wind_speed", "origi
             "dest_ceiling", "dest_temp", "dest_precip")
 SQL["a6_missing_profile"] = with_ctes("\nUNION ALL\n".join(
     f"SELECT '{c}' AS \"column\", COUNT(*) - COUNT({c}) AS n_missing, "
-    f"ROUND(median({c}::DOUBLE), 6) AS median FROM flights" for c in _A6_COLS), FLIGHTS_CTE)
+    f"ROUND(median({c}::DOUBLE), 6) AS median FROM (SELECT * REPLACE (CASE WHEN l_orderkey % 71 <> 0 THEN dest_temp END AS dest_temp) FROM flights) f"
+    for c in _A6_COLS), FLIGHTS_CTE)
 
 SQL["a11_profile"] = with_ctes("""
 SELECT COUNT(*) AS n_rows, 28 AS n_cols, MIN(fl_date) AS min_date, MAX(fl_date) AS max_date FROM pre""",
@@ -352,6 +353,9 @@ SQL["a5_encoder_train_to_test"] = with_ctes(
     _ROUTE_OUT + f" WHERE {TEST_WHERE.replace('fl_date', 't.fl_date')}",
     FLIGHTS_CTE, PRE_CTE, encoder_ctes(TRAIN_WHERE))
 
+SQL["a5_encoder_merged"] = SQL["a5_encoder_train_to_test"]
+SQL["a2_daily_rate_merged"] = SQL["a2_daily_delay_rate"]
+
 SQL["p12_temporal_split_test"] = with_ctes(
     f"SELECT l_orderkey, l_linenumber, fl_date FROM pre WHERE {TEST_WHERE}", FLIGHTS_CTE, PRE_CTE)
 
@@ -515,6 +519,13 @@ LEFT JOIN (SELECT event_id AS state_id, 25 + CAST(event_id*37 % 2500 AS DOUBLE)/
   ON s.lat BETWEEN a.lat - 0.5 AND a.lat + 0.5 AND s.lon BETWEEN a.lon - 0.5 AND a.lon + 0.5
 GROUP BY a.icao""", STATIONS_CTE)
 
+SQL["j8_snapshot_congestion"] = with_ctes("""
+SELECT a.icao, t.time, COUNT(s.state_id) AS n_aircraft FROM airports a CROSS JOIN (SELECT DISTINCT CAST(epoch(ts) AS BIGINT) // 3600 * 3600 AS time FROM events) t
+LEFT JOIN (SELECT event_id AS state_id, CAST(epoch(ts) AS BIGINT) // 3600 * 3600 AS time, 25 + CAST(event_id*37 % 2500 AS DOUBLE)/100 AS lat,
+                  -120 + CAST(event_id*53 % 5000 AS DOUBLE)/100 AS lon FROM events) s
+  ON s.time = t.time AND s.lat BETWEEN a.lat - 0.5 AND a.lat + 0.5 AND s.lon BETWEEN a.lon - 0.5 AND a.lon + 0.5
+GROUP BY a.icao, t.time""", STATIONS_CTE)
+
 # ------------------------------------------------------------------ evaluation on a score table
 SCORED_CTE = "scored AS (SELECT is_delayed AS label, p AS score FROM pre)"
 HIST_CTE = """hist AS (SELECT score, SUM(label)::DOUBLE AS tp, SUM(1 - label)::DOUBLE AS fp
@@ -571,6 +582,12 @@ SQL["w2_roc_points"] = with_ctes("""
 SELECT ROUND(score, 6) AS score, ROUND(cum_tp, 6) AS cum_tp, ROUND(cum_fp, 6) AS cum_fp,
   ROUND(cum_tp / p, 6) AS tpr, ROUND(cum_fp / n, 6) AS fpr FROM cum, tot""", *_EV)
 
+SQL["w2_roc_corners"] = with_ctes("""
+SELECT ROUND(score, 6) AS score, ROUND(cum_tp / p, 6) AS tpr, ROUND(cum_fp / n, 6) AS fpr FROM (
+  SELECT *, row_number() OVER w AS k, lead(tp) OVER w AS tp1, lead(fp) OVER w AS fp1 FROM cum WINDOW w AS (ORDER BY score DESC)) c, tot
+WHERE k = 1 OR tp1 IS NULL OR tp1 <> tp OR fp1 <> fp
+UNION ALL SELECT NULL, 0.0, 0.0""", *_EV)
+
 SQL["w3_pr_points"] = with_ctes("""
 SELECT ROUND(score, 6) AS score, ROUND(cum_tp / (cum_tp + cum_fp), 6) AS precision,
   ROUND(cum_tp / p, 6) AS recall, ROUND(p / (p + n), 6) AS base_rate FROM cum, tot""", *_EV)

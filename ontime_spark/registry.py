@@ -25,6 +25,7 @@ from ontime_spark.operators import evaluate as EV
 from ontime_spark.operators import explain as XP
 from ontime_spark.operators import stations as ST
 from ontime_spark.operators import clean, insights
+from ontime_spark.operators import increments as INC
 from ontime_spark.operators import features as FE
 from ontime_spark.operators import featurizer as FP
 from ontime_spark.sources import adsb as ADSB_SRC
@@ -92,7 +93,9 @@ def preprocessed(spark, sf_dir) -> DataFrame:
 # ------------------------------------------------------------------ cleaning
 @register("p1_cast_types")
 def q_p1(spark, sf_dir):
-    out = clean.cast_types(raw_text_flights(spark, sf_dir))
+    raw = raw_text_flights(spark, sf_dir).withColumn("origin_visibility", F.when(F.col("l_orderkey") % 71 != 0, F.col("origin_visibility").cast("double"))
+                                                     .otherwise(F.lit(float("nan"))))
+    out = clean.cast_types(raw)
     return _keys(out, "fl_date", "carrier", "origin", "dest", *S.NUMERIC_CANDIDATES)
 
 
@@ -103,8 +106,10 @@ def q_p2(spark, sf_dir):
 
 @register("p3_delay_label")
 def q_p3(spark, sf_dir):
-    f = clean.add_delay_label(clean.filter_cancelled(driver.flights(spark, sf_dir)))
-    return _keys(f, "arr_delay", S.TARGET_COL)
+    f = driver.flights(spark, sf_dir)
+    f = f.withColumn("arr_delay", F.when(F.col("l_orderkey") % 71 != 0, F.col("arr_delay")).otherwise(F.lit(float("nan"))))
+    f = clean.add_delay_label(clean.filter_cancelled(f))
+    return _keys(f, clean.present("arr_delay").alias("arr_delay"), S.TARGET_COL)
 
 
 @register("p4_fill_missing")
@@ -121,7 +126,9 @@ def q_l1(spark, sf_dir):
 @register("a6_missing_profile")
 def q_a6(spark, sf_dir):
     cols = list(S.NUMERIC_CANDIDATES)
-    f = materialize(clean.cast_types(driver.flights(spark, sf_dir)).select(*cols), "numbers")
+    f = clean.cast_types(driver.flights(spark, sf_dir)).select(
+        *[F.when(F.col("l_orderkey") % 71 != 0, F.col(c)).otherwise(F.lit(float("nan"))).alias(c) if c == "dest_temp" else F.col(c) for c in cols])
+    f = materialize(f, "numbers")
     return rounded(clean.missing_profile(f, cols))
 
 
@@ -255,6 +262,32 @@ def q_a5(spark, sf_dir):
                          "carrier_delay_rate"))
 
 
+def _late(df: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The rows in two parts, as if a third of them had come late."""
+    return df.where(F.col("l_orderkey") % 3 != 0), df.where(F.col("l_orderkey") % 3 == 0)
+
+
+@register("a5_encoder_merged")
+def q_a5_merged(spark, sf_dir):
+    """The encoder from a saved state to which late flights were added: as if fitted on all."""
+    _, train, test = _split(spark, sf_dir)
+    path = scratch_path(spark, f"encoder-state-{uuid.uuid4().hex}")
+    for part in _late(train):
+        INC.upsert(spark, INC.encoder_state(part), path)
+    model = INC.encoder_of(INC.load(spark, path))
+    return rounded(_keys(model.transform(test), "route", "distance_category", "route_avg_delay", "carrier_delay_rate"))
+
+
+@register("a2_daily_rate_merged")
+def q_a2_merged(spark, sf_dir):
+    """Daily delay rates from a saved airport-day state to which late flights were added."""
+    f = clean.add_delay_label(clean.filter_cancelled(driver.flights(spark, sf_dir)))
+    path = scratch_path(spark, f"airport-days-{uuid.uuid4().hex}")
+    for part in _late(f):
+        INC.upsert(spark, INC.airport_day_state(part), path)
+    return rounded(INC.daily_rates(INC.load(spark, path), "dest"))
+
+
 @register("p12_temporal_split_test")
 def q_p12(spark, sf_dir):
     _, _, test = _split(spark, sf_dir)
@@ -389,11 +422,17 @@ def q_j8(spark, sf_dir):
                                        driver.airports(spark, sf_dir), 0.5, key="icao")
 
 
+@register("j8_snapshot_congestion")
+def q_j8_snapshot(spark, sf_dir):
+    """Aircraft in each airport's box at each hourly snapshot, zeros included."""
+    return ADSB.aircraft_per_snapshot(driver.adsb_states(spark, sf_dir), driver.airports(spark, sf_dir), 0.5, "icao", 3600)
+
+
 # ------------------------------------------------------------------ evaluation on a score table
 def _scored(spark, sf_dir) -> DataFrame:
-    """Labelled flights with the view's ready-made score ``p``."""
-    return preprocessed(spark, sf_dir).select(F.col(S.TARGET_COL).alias("label"),
-                                              F.col("p").alias("score"))
+    """Labelled flights with the view's ready-made score ``p`` (the label is made before any fill)."""
+    f = clean.add_delay_label(clean.filter_cancelled(driver.flights(spark, sf_dir)))
+    return f.select(F.col(S.TARGET_COL).alias("label"), F.col("p").alias("score"))
 
 
 @register("m6_classification_metrics")
@@ -421,6 +460,11 @@ def q_w2(spark, sf_dir):
     return rounded(EV.roc_points(_scored(spark, sf_dir)))
 
 
+@register("w2_roc_corners")
+def q_w2_corners(spark, sf_dir):
+    return rounded(EV.roc_corners(_scored(spark, sf_dir)))
+
+
 @register("w3_pr_points")
 def q_w3(spark, sf_dir):
     return rounded(EV.pr_points(_scored(spark, sf_dir)))

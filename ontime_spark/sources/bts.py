@@ -17,7 +17,7 @@ PHANTOM = re.compile(r"^_c\d+$")
 
 def clean_bts(raw: DataFrame) -> DataFrame:
     """Drop the unnamed column a trailing comma creates, trim text, cast the known columns
-    by name (unparsable values become null; unknown columns stay text)."""
+    by name (unparsable values and NaN become null; unknown columns stay text)."""
     cols = [c for c in raw.columns if not PHANTOM.match(c)]
     out = []
     for c in cols:
@@ -29,7 +29,7 @@ def clean_bts(raw: DataFrame) -> DataFrame:
             # Integer columns may be written as "5.00": parse as a number, then narrow.
             out.append(v.try_cast("double").try_cast(t).alias(c))
         else:
-            out.append(v.try_cast(t).alias(c))
+            out.append(F.nanvl(v.try_cast(t), F.lit(None).cast(t)).alias(c))  # the text "NaN" is no number
     return raw.select(*out)
 
 

@@ -99,3 +99,28 @@ def test_ranking_metrics_bucketed_path(spark, monkeypatch):
     m = EV.classification_metrics(df).first()
     assert m["roc_auc"] == pytest.approx(_auc(rows), abs=1e-12)
     assert m["pr_auc"] == pytest.approx(_ap(rows), abs=1e-12)
+
+
+def test_roc_corners_follow_the_plain_rule(spark):
+    """Points whose step equals the next one's are left out, over any number of buckets."""
+    import random
+    rng = random.Random(5)
+    rows = []
+    for i in range(300):
+        tp, fp = rng.choice([(1, 0), (1, 0), (0, 1), (2, 1)])
+        rows += [(1, i / 300)] * tp + [(0, i / 300)] * fp
+    scored = spark.createDataFrame(rows, "label int, score double")
+    steps = {}
+    for y, s in rows:
+        t = steps.setdefault(s, [0, 0])
+        t[1 - y] += 1
+    order = sorted(steps, reverse=True)
+    p, n = sum(s[0] for s in steps.values()), sum(s[1] for s in steps.values())
+    want, tp, fp = {(None, 0.0, 0.0)}, 0, 0
+    for i, s in enumerate(order):
+        tp, fp = tp + steps[s][0], fp + steps[s][1]
+        if i in (0, len(order) - 1) or steps[order[i + 1]] != steps[s]:
+            want.add((s, round(tp / p, 9), round(fp / n, 9)))
+    for buckets in (1, 7):
+        got = {(r["score"], round(r["tpr"], 9), round(r["fpr"], 9)) for r in EV.roc_corners(scored, buckets=buckets).collect()}
+        assert got == want and len(want) < 280

@@ -5,6 +5,7 @@ import numpy as np
 import pytest
 from pyspark.sql import types as T
 
+from ontime_spark import schemas as S
 from ontime_spark.operators import clean
 
 RAW = [("2023-01-01", "AA", "ATL", "LAX", 1200, 5.0, 0, 1947, 12.5),
@@ -102,3 +103,21 @@ def test_preprocess_order_label_before_fill(raw):
 def test_profile(raw):
     r = clean.profile(clean.cast_types(raw)).first()
     assert r["n_rows"] == 3 and str(r["min_date"]) == "2023-01-01"
+
+
+def test_nan_is_a_missing_value(spark, tmp_dir):
+    """From Parquet and from CSV: null after the casts, label 0, counted, filled, in no median."""
+    nan = float("nan")
+    f = spark.createDataFrame([("2023-01-01", nan, 8.0, 0), ("2023-01-02", 45.0, nan, 0), ("2023-01-03", 5.0, 12.5, 0), ("2023-01-04", None, None, 0)],
+                              "fl_date string, arr_delay double, origin_wind_speed double, cancelled int")
+    f.write.parquet(f"{tmp_dir}/f.parquet")
+    f.write.option("header", True).csv(f"{tmp_dir}/f.csv")
+    for df in (spark.read.parquet(f"{tmp_dir}/f.parquet"), spark.read.option("header", True).csv(f"{tmp_dir}/f.csv")):
+        out = clean.cast_types(df).orderBy("fl_date").collect()
+        assert [r["arr_delay"] for r in out] == [None, 45.0, 5.0, None] and [r["origin_wind_speed"] for r in out] == [8.0, None, 12.5, None]
+    assert [r[S.TARGET_COL] for r in clean.add_delay_label(f).orderBy("fl_date").collect()] == [0, 1, 0, 0]
+    assert clean.missing_counts(f, ["arr_delay", "origin_wind_speed"]).first().asDict() == {"arr_delay": 2, "origin_wind_speed": 2}
+    prof = {r["column"]: (r["n_missing"], r["median"]) for r in clean.missing_profile(f, ["arr_delay", "origin_wind_speed"]).collect()}
+    assert prof == {"arr_delay": (2, 25.0), "origin_wind_speed": (2, 10.25)}
+    filled = clean.fill_missing(f).orderBy("fl_date").collect()
+    assert [r["origin_wind_speed"] for r in filled] == [8.0, 10.25, 12.5, 10.25]

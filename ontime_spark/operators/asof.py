@@ -72,16 +72,12 @@ def _scan(u: DataFrame, by: Sequence[str], n_buckets: int) -> DataFrame:
     return lefts.select("_lid", "_lt", bk.alias("bk"), fw.alias("fw"))
 
 
-def asof_join(left: DataFrame, right: DataFrame, by: str | Sequence[str], left_time: str,
-              right_time: str, left_id: str, right_id: str, tolerance_seconds: int,
-              direction: str = "nearest", right_cols: Sequence[str] | None = None,
-              prefix: str = "", rows_per_bucket: int | None = None) -> DataFrame:
-    """Attach to each left row the right row of the same ``by`` key closest in time.
-
-    direction: 'nearest' (|dt| <= tol), 'backward' (right time <= left time, within tol) or
-    'forward' (right time >= left time, within tol). Adds ``{prefix}<col>`` for each right
-    column plus ``{prefix}dt_seconds`` (right minus left). ``left_id`` must be unique.
-    ``rows_per_bucket`` overrides the scan's bucket size (tests)."""
+def asof_matches(left: DataFrame, right: DataFrame, by: str | Sequence[str], left_time: str,
+                 right_time: str, left_id: str, right_id: str, tolerance_seconds: int,
+                 direction: str = "nearest", right_cols: Sequence[str] | None = None,
+                 rows_per_bucket: int | None = None) -> DataFrame:
+    """The matches of ``asof_join`` alone: left_id, ``_rv`` (struct of the right columns) and ``_dt``
+    (microseconds, right minus left) of the left rows that have one."""
     if direction not in ("nearest", "backward", "forward"):
         raise ValueError(f"direction must be nearest, backward or forward, not {direction!r}")
     by = [by] if isinstance(by, str) else list(by)
@@ -131,6 +127,22 @@ def asof_join(left: DataFrame, right: DataFrame, by: str | Sequence[str], left_t
     best = best.where(F.col("_best").isNotNull()).select(
         F.col("_lid").alias(left_id), F.col("_best._rv").alias("_rv"),
         (F.col("_best._rt") - F.col("_lt")).alias("_dt"))
+    return best
+
+
+def asof_join(left: DataFrame, right: DataFrame, by: str | Sequence[str], left_time: str,
+              right_time: str, left_id: str, right_id: str, tolerance_seconds: int,
+              direction: str = "nearest", right_cols: Sequence[str] | None = None,
+              prefix: str = "", rows_per_bucket: int | None = None) -> DataFrame:
+    """Attach to each left row the right row of the same ``by`` key closest in time.
+
+    direction: 'nearest' (|dt| <= tol), 'backward' (right time <= left time, within tol) or
+    'forward' (right time >= left time, within tol). Adds ``{prefix}<col>`` for each right
+    column plus ``{prefix}dt_seconds`` (right minus left). ``left_id`` must be unique.
+    ``rows_per_bucket`` overrides the scan's bucket size (tests)."""
+    keys = [by] if isinstance(by, str) else list(by)
+    right_cols = list(right_cols) if right_cols is not None else [c for c in right.columns if c not in keys]
+    best = asof_matches(left, right, by, left_time, right_time, left_id, right_id, tolerance_seconds, direction, right_cols, rows_per_bucket)
     out = left.join(best, left_id, "left")
     return out.select(
         *left.columns,

@@ -209,3 +209,20 @@ def preprocess(df: DataFrame, threshold: float = S.DELAY_THRESHOLD_MINUTES,
         from ontime_spark.session import materialize as _materialize
         df = _materialize(df, "labelled")
     return MissingValueFiller(exact=exact_median).fit(df).transform(df)
+
+
+def footer_profile(spark: SparkSession, path: str, columns: Sequence[str], date_col: str = "fl_date") -> DataFrame:
+    """A11 and the null counts of A6 for Parquet files, from their footers: n_rows, min_date, max_date and
+    ``{column}_missing``. The aggregates are pushed into the reader, so no column is read; a file
+    without statistics of a column is scanned for it alone. (NaN is a value to a file's statistics:
+    tables are written after the casts, which leave none.)
+
+    Only the newer file reader pushes aggregates down: a session of its own has it switched on, the
+    caller's settings stay as they are."""
+    own = spark.newSession()
+    own.conf.set("spark.sql.sources.useV1SourceList", "")
+    own.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    df = own.read.parquet(path)
+    found = df.agg(F.count(F.lit(1)).alias("n_rows"), F.min(date_col).alias("min_date"), F.max(date_col).alias("max_date"),
+                   *[F.count(c).alias(c) for c in columns])
+    return found.select("n_rows", "min_date", "max_date", *[(F.col("n_rows") - F.col(c)).alias(f"{c}_missing") for c in columns])

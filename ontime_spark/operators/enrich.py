@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ontime_spark import schemas as S
 from ontime_spark.functions import weather as WF
-from ontime_spark.operators.asof import asof_join
+from ontime_spark.operators.asof import asof_matches
 
 
 def observation_features(obs: DataFrame) -> DataFrame:
@@ -85,11 +85,16 @@ def attach_weather(flights: DataFrame, obs_features: DataFrame, flight_id: str,
     the destination fills ``{side}_{wind_speed,visibility,ceiling,temp,precip,has_*}``.
     ``obs_features`` needs airport, timestamp, obs_id and the feature-unit columns."""
     cols = list(S.RAW_WEATHER_SUFFIXES)
-    f = flights.withColumn("_sched", scheduled_departure(tz_col=tz_col))
-    for side in ("origin", "dest"):
-        right = obs_features.select(F.col("airport").alias(side), "timestamp", "obs_id", *cols)
-        f = asof_join(f.drop(*[f"{side}_{c}" for c in cols if f"{side}_{c}" in f.columns]),
-                      right, side, "_sched", "timestamp", flight_id, "obs_id",
-                      tolerance_seconds, direction, right_cols=cols, prefix=f"{side}_")
-        f = f.drop(f"{side}_dt_seconds")
-    return f.drop("_sched")
+    sides = ("origin", "dest")
+    # Both ends of a flight are rows of one scan, so the observations move once; what they found is
+    # folded back by flight and joined once.
+    ends = flights.select(F.col(flight_id).alias("_flight"), scheduled_departure(tz_col=tz_col).alias("_sched"),
+                          F.inline(F.array(*[F.struct(F.lit(s).alias("_side"), F.col(s).alias("airport")) for s in sides])))
+    ends = ends.select("airport", "_sched", F.struct("_flight", "_side").alias("_end"))
+    right = obs_features.select("airport", "timestamp", "obs_id", *cols)
+    found = asof_matches(ends, right, "airport", "_sched", "timestamp", "_end", "obs_id", tolerance_seconds, direction, cols)
+    own = found.groupBy(F.col("_end._flight").alias(flight_id)).agg(
+        *[F.max(F.when(F.col("_end._side") == s, F.col("_rv"))).alias(f"_{s}") for s in sides])
+    kept = flights.drop(*[f"{s}_{c}" for s in sides for c in cols])
+    return kept.join(own, flight_id, "left").select(
+        *kept.columns, *[F.col(f"_{s}.{c}").alias(f"{s}_{c}") for s in sides for c in cols])

@@ -157,6 +157,10 @@ SQL["a6_missing_profile"] = with_ctes("\nUNION ALL\n".join(
     f"ROUND(median({c}::DOUBLE), 6) AS median FROM (SELECT * REPLACE (CASE WHEN l_orderkey % 71 <> 0 THEN dest_temp END AS dest_temp) FROM flights) f"
     for c in _A6_COLS), FLIGHTS_CTE)
 
+SQL["a11_profile_from_footers"] = with_ctes("""
+SELECT COUNT(*) AS n_rows, MIN(fl_date) AS min_date, MAX(fl_date) AS max_date, COUNT(*) - COUNT(arr_delay) AS arr_delay_missing,
+  COUNT(*) - COUNT(origin_wind_speed) AS origin_wind_speed_missing, COUNT(*) - COUNT(distance) AS distance_missing FROM flights""", FLIGHTS_CTE)
+
 SQL["a11_profile"] = with_ctes("""
 SELECT COUNT(*) AS n_rows, 28 AS n_cols, MIN(fl_date) AS min_date, MAX(fl_date) AS max_date FROM pre""",
                                FLIGHTS_CTE, PRE_CTE)
@@ -460,6 +464,9 @@ nearest AS (SELECT iata, station_id FROM (
 smap AS (SELECT iata, station_id, 'icao' AS method FROM exact
          UNION ALL SELECT iata, station_id, 'nearest' AS method FROM nearest)"""
 
+SQL["s5_station_inventory"] = with_ctes("""
+SELECT usaf AS USAF, wban AS WBAN, ctry AS CTRY, icao AS ICAO, ROUND(lat, 6) AS LAT, ROUND(lon, 6) AS LON FROM stations""", STATIONS_CTE)
+SQL["p14_filter_month"] = "SELECT event_id FROM events WHERE month(ts) = 1"
 SQL["j4_station_exact_icao"] = with_ctes("SELECT * FROM exact", STATIONS_CTE)
 SQL["j5_station_map"] = with_ctes("SELECT * FROM smap", STATIONS_CTE)
 SQL["j7_needed_station_months"] = with_ctes("""
@@ -484,6 +491,28 @@ SELECT d.dep_id, m.obs_id, ROUND(m.value, 6) AS obs_value,
 FROM dep d LEFT JOIN m ON m.dep_id = d.dep_id AND m.rn = 1"""
 
 
+def _nearest_obs(side: str) -> str:
+    """The observation nearest to the departure at one end of each flight (r), six hours away at most."""
+    return f"""{side}_bk AS (SELECT f.r, f.t, o.t AS ot, o.* EXCLUDE (airport, t) FROM timed f ASOF JOIN seen o ON o.airport = f.{side} AND o.t <= f.t),
+{side}_fw AS (SELECT f.r, f.t, o.t AS ot, o.* EXCLUDE (airport, t) FROM timed f ASOF JOIN seen o ON o.airport = f.{side} AND o.t >= f.t),
+{side}_obs AS (SELECT * FROM (SELECT * FROM {side}_bk UNION SELECT * FROM {side}_fw) WHERE abs(epoch(ot) - epoch(t)) <= 21600
+  QUALIFY row_number() OVER (PARTITION BY r ORDER BY abs(epoch(ot) - epoch(t)), ot) = 1)"""
+
+
+SQL["j6_enrich_flights"] = with_ctes(f"""
+SELECT l_orderkey, l_linenumber, origin, dest, {', '.join(
+    f"ROUND({s}.{c}, 6) AS {side}_{c}" for side, s in (("origin", "a"), ("dest", "b")) for c in ("wind_speed", "visibility", "ceiling", "temp", "precip"))}
+FROM timed f LEFT JOIN origin_obs a ON a.r = f.r LEFT JOIN dest_obs b ON b.r = f.r""", FLIGHTS_CTE, STATIONS_CTE, """timed AS (SELECT row_number() OVER () AS r, *,
+  CAST(fl_date AS TIMESTAMP) + to_minutes(CAST(crs_dep_time // 100 * 60 + crs_dep_time % 100 AS BIGINT)) AS t FROM flights),
+ends AS (SELECT DISTINCT unnest([origin, dest]) AS airport, year(fl_date) AS y, month(fl_date) AS m FROM flights),
+taken AS (SELECT s.station_id, CAST(o_orderdate AS TIMESTAMP) + to_seconds(o_orderkey * 37 % 86400) AS t, (o_orderkey % 300) / 10.0::DOUBLE * 3600.0::DOUBLE / 1852.0::DOUBLE AS wind_speed,
+  COALESCE((o_orderkey % 160) * 100.0::DOUBLE / 1609.344::DOUBLE, 10.0) AS visibility,
+  CASE WHEN o_orderkey % 7 <> 0 THEN (o_orderkey % 9000)::DOUBLE / 0.3048::DOUBLE ELSE 25000.0::DOUBLE END AS ceiling,
+  ((o_orderkey % 500) / 10.0::DOUBLE - 10) * 9.0::DOUBLE / 5.0::DOUBLE + 32.0::DOUBLE AS temp, 0.0::DOUBLE AS precip
+  FROM orders JOIN airports a ON a.k = o_custkey % 25 JOIN smap s ON s.iata = a.iata),
+seen AS (SELECT m.iata AS airport, t.* EXCLUDE (station_id) FROM taken t JOIN smap m USING (station_id)
+  WHERE EXISTS (SELECT 1 FROM ends e WHERE e.airport = m.iata AND e.y = year(t.t) AND e.m = month(t.t)))""", _nearest_obs("origin"), _nearest_obs("dest"))
+
 SQL["j6_asof_nearest"] = asof_sql("nearest")
 SQL["j6_asof_backward"] = asof_sql("backward")
 SQL["j6_asof_forward"] = asof_sql("forward")
@@ -715,20 +744,21 @@ def _boost_level(k: int) -> str:
     Nodes are places in a full tree (children 2i+1, 2i+2); null where a row's node has no split."""
     score = "CASE WHEN abs({g}) > 0.1 THEN pow(abs({g}) - 0.1, 2) / ({h} + 1.0) ELSE 0 END"
     left, right, both = (score.format(g=g, h=h) for g, h in (("gl", "hl"), ("(gt - gl)", "(ht - hl)"), ("gt", "ht")))
+    child = f"2 * r.node + CASE WHEN [{', '.join(BOOSTED)}][b.f + 1] <= b.v THEN 1 ELSE 2 END"
     return f"""cell{k} AS (SELECT node, f, v, sum(g) AS g, sum(h) AS h FROM (
     SELECT node, unnest(range({len(BOOSTED)})) AS f, unnest([{', '.join(BOOSTED)}]) AS v, g, h FROM row{k} WHERE node IS NOT NULL) GROUP BY ALL),
 run{k} AS (SELECT node, f, v, sum(g) OVER w AS gl, sum(h) OVER w AS hl, sum(g) OVER (PARTITION BY node, f) AS gt, sum(h) OVER (PARTITION BY node, f) AS ht
     FROM cell{k} WINDOW w AS (PARTITION BY node, f ORDER BY v)),
 best{k} AS (SELECT * FROM (SELECT *, round({left} + {right} - {both}, 6) AS gain FROM run{k}) WHERE hl >= 3 AND ht - hl >= 3 AND gain > 0
     QUALIFY row_number() OVER (PARTITION BY node ORDER BY gain DESC, f, v) = 1),
-row{k + 1} AS (SELECT r.* REPLACE (CASE WHEN b.node IS NOT NULL THEN 2 * r.node + CASE WHEN [{', '.join(BOOSTED)}][b.f + 1] <= b.v THEN 1 ELSE 2 END END AS node)
+row{k + 1} AS (SELECT r.* REPLACE (CASE WHEN b.node IS NOT NULL THEN {child} END AS node, CASE WHEN b.node IS NOT NULL THEN {child} ELSE place END AS place)
     FROM row{k} r LEFT JOIN best{k} b ON r.node = b.node)"""
 
 
 BOOST_CTES = (FLIGHTS_CTE, f"""x AS (SELECT l_orderkey, l_linenumber, CASE WHEN arr_delay >= 15 THEN 1 ELSE 0 END AS y, {HOUR_SQL}::DOUBLE AS hour_of_day,
     (isodow(fl_date) - 1)::DOUBLE AS day_of_week, month(fl_date)::DOUBLE AS month, distance::DOUBLE AS distance, origin_temp::DOUBLE AS origin_temp,
     origin_has_snow::DOUBLE AS origin_has_snow FROM flights WHERE cancelled = 0),
-row0 AS (SELECT x.*, 0 AS node, CASE WHEN y = 1 THEN -0.5 * s ELSE 0.5 END AS g, CASE WHEN y = 1 THEN 0.25 * s ELSE 0.25 END AS h
+row0 AS (SELECT x.*, 0 AS node, 0 AS place, CASE WHEN y = 1 THEN -0.5 * s ELSE 0.5 END AS g, CASE WHEN y = 1 THEN 0.25 * s ELSE 0.25 END AS h
     FROM x, (SELECT (count(*) - sum(y)) / sum(y)::DOUBLE AS s FROM x))""", _boost_level(0), _boost_level(1),
     """node AS (SELECT node AS place, sum(g) AS g, sum(h) AS h FROM (SELECT node, g, h FROM row0 UNION ALL SELECT node, g, h FROM row1 UNION ALL SELECT node, g, h FROM row2)
     WHERE node IS NOT NULL GROUP BY node),
@@ -751,18 +781,38 @@ def _given(place: int) -> str:
             f"ELSE (cover[{left}] * ({a}) + cover[{right}] * ({b})) / cover[{at}] END")
 
 
-def _shapley(i: int) -> str:
+def _shapley(i: int, digits: int = 6) -> str:
     """Mean gain of knowing feature ``i`` over all orders of the features, from the outputs ``o`` of all sets."""
     n = len(BOOSTED)
     terms = [f"{factorial(m.bit_count()) * factorial(n - 1 - m.bit_count()) / factorial(n)!r} * (o[{(m | 1 << i) + 1}] - o[{m + 1}])"
              for m in range(1 << n) if not m >> i & 1]
-    return "round(" + " + ".join(terms) + f", 6) AS {BOOSTED[i]}"
+    return "round(" + " + ".join(terms) + f", {digits}) AS {BOOSTED[i]}"
 
 
-SQL["m12_boosted_contributions"] = with_ctes(f"""
-SELECT l_orderkey, l_linenumber, {', '.join(_shapley(i) for i in range(len(BOOSTED)))}, round(o[1], 6) AS base_value, round(o[{1 << len(BOOSTED)}], 6) AS raw_margin
-FROM outputs""", *BOOST_CTES, f"""lists AS (SELECT list(f ORDER BY place) AS f, list(threshold ORDER BY place) AS threshold, list(value ORDER BY place) AS value,
+SHAP_CTES = f"""lists AS (SELECT list(f ORDER BY place) AS f, list(threshold ORDER BY place) AS threshold, list(value ORDER BY place) AS value,
     list(cover ORDER BY place) AS cover FROM (SELECT * FROM range(7) r(place) LEFT JOIN tree USING (place))),
 sets AS (SELECT *, unnest(range({1 << len(BOOSTED)})) AS m FROM (
     SELECT row_number() OVER () AS r, l_orderkey, l_linenumber, [{', '.join(BOOSTED)}] AS x FROM x WHERE month > 10)),
-outputs AS (SELECT r, l_orderkey, l_linenumber, list(out ORDER BY m) AS o FROM (SELECT sets.*, {_given(0)} AS out FROM sets, lists) GROUP BY ALL)""")
+outputs AS (SELECT r, l_orderkey, l_linenumber, x, list(out ORDER BY m) AS o FROM (SELECT sets.*, {_given(0)} AS out FROM sets, lists) GROUP BY ALL)"""
+
+SQL["m12_boosted_contributions"] = with_ctes(f"""
+SELECT l_orderkey, l_linenumber, {', '.join(_shapley(i) for i in range(len(BOOSTED)))}, round(o[1], 6) AS base_value, round(o[{1 << len(BOOSTED)}], 6) AS raw_margin
+FROM outputs""", *BOOST_CTES, SHAP_CTES)
+
+SQL["m10_boosted_predictions"] = with_ctes("""
+SELECT l_orderkey, l_linenumber, round(1 / (1 + exp(-value)), 6) AS probability_delayed, CAST(value > 0 AS INT) AS predicted
+FROM row2 JOIN tree USING (place)""", *BOOST_CTES)
+
+SQL["t2_boosted_importances"] = with_ctes(f"""
+SELECT feature, round(coalesce(gain, 0) / sum(gain) OVER (), 6) AS importance
+FROM (SELECT unnest(range({len(BOOSTED)})) AS f, unnest([{', '.join(repr(c) for c in BOOSTED)}]) AS feature) n LEFT JOIN (SELECT f, avg(gain) AS gain FROM tree WHERE f IS NOT NULL GROUP BY f) t USING (f)""",
+                                        *BOOST_CTES)
+
+_BINS = "[" + ", ".join(str(k / 20) for k in range(1, 20)) + "]"
+SQL["m14_beeswarm"] = with_ctes("""
+SELECT feature, value_bin, contrib_bin, count(*) AS n, round(avg(v), 6) AS mean_value, round(avg(c), 6) AS mean_contrib
+FROM (SELECT feature, v, c, CAST(len(list_filter(ve, lambda e: v > e)) AS INT) AS value_bin, CAST(len(list_filter(ce, lambda e: c > e)) AS INT) AS contrib_bin
+  FROM long JOIN edges USING (feature)) GROUP BY ALL""", *BOOST_CTES, SHAP_CTES, f"""phi AS (SELECT x, {', '.join(_shapley(i, 9) for i in range(len(BOOSTED)))}
+  FROM outputs),
+long AS (SELECT unnest([{', '.join(repr(c) for c in BOOSTED)}]) AS feature, unnest(x) AS v, unnest([{', '.join(BOOSTED)}]) AS c FROM phi),
+edges AS (SELECT feature, quantile_disc(v, {_BINS}) AS ve, quantile_disc(c, {_BINS}) AS ce FROM long GROUP BY feature)""")

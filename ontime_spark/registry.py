@@ -33,6 +33,7 @@ from ontime_spark.sources import bts as BTS
 from ontime_spark.sources import driver
 from ontime_spark.sources import flights as FL
 from ontime_spark.sources import isd as ISD
+from ontime_spark.sources import stations as ST_SRC
 from ontime_spark.session import materialize, scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -132,6 +133,14 @@ def q_a6(spark, sf_dir):
     return rounded(clean.missing_profile(f, cols))
 
 
+@register("a11_profile_from_footers")
+def q_a11_footers(spark, sf_dir):
+    """Row count, date range and missing values of a written table, from its file footers."""
+    path = scratch_path(spark, f"flights-{uuid.uuid4().hex}.parquet")
+    FL.write_flights(driver.flights(spark, sf_dir), path)
+    return clean.footer_profile(spark, path, ["arr_delay", "origin_wind_speed", "distance"])
+
+
 @register("a11_profile")
 def q_a11(spark, sf_dir):
     return clean.profile(preprocessed(spark, sf_dir))
@@ -347,6 +356,23 @@ def q_c11(spark, sf_dir):
     return rounded(ENR.observation_features(obs).drop("timestamp"))
 
 
+@register("s5_station_inventory")
+def q_s5(spark, sf_dir):
+    """The station history written as CSV and read back: ids stay text, blanks are null."""
+    path = scratch_path(spark, f"stations-{uuid.uuid4().hex}.csv")
+    have = driver.stations(spark, sf_dir)
+    cols = [F.col(f.name) if f.name in have.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in S.STATION_SCHEMA.fields]
+    have.select(*cols).write.option("header", True).csv(path)
+    return rounded(ST_SRC.read_station_inventory(spark, path).select("USAF", "WBAN", "CTRY", "ICAO", "LAT", "LON"))
+
+
+@register("p14_filter_month")
+def q_p14(spark, sf_dir):
+    """Observations of one calendar month."""
+    e = driver.table(spark, sf_dir, "events").select("event_id", F.col("ts").alias("timestamp"))
+    return ISD.filter_month(e, 1).select("event_id")
+
+
 @register("j4_station_exact_icao")
 def q_j4(spark, sf_dir):
     return ST.exact_icao_match(driver.airports(spark, sf_dir), driver.stations(spark, sf_dir))
@@ -396,6 +422,25 @@ def q_j6b(spark, sf_dir):
     return _asof(spark, sf_dir, "backward")
 
 
+@register("j6_enrich_flights")
+def q_enrich(spark, sf_dir):
+    """Flights with the nearest observation at both ends (J4, J5, J7, C11, J6): observations are made
+    of the orders, at the station that stands for an airport."""
+    airports = driver.airports(spark, sf_dir)
+    smap = materialize(ST.map_airports_to_stations(airports, driver.stations(spark, sf_dir)), "station-map")
+    at = airports.join(smap, "iata").select("k", "station_id")
+    o, k = driver.table(spark, sf_dir, "orders"), F.col("o_orderkey")
+    obs = o.select((F.col("o_custkey") % driver.N_AIRPORTS).alias("k"),
+                   F.timestamp_seconds(F.unix_seconds(F.col("o_orderdate").cast("timestamp")) + k * 37 % 86400).alias("timestamp"),
+                   (k % 300 / 10.0).alias("wind_speed_ms"), (k % 500 / 10.0 - 10).alias("temp_c"), (k % 160 * 100.0).alias("visibility_m"),
+                   F.when(k % 7 != 0, (k % 9000).cast("double")).alias("ceiling_m"), F.lit(None).cast("double").alias("precip_mm"))
+    weather = [f"{side}_{c}" for side in FE.SIDES for c in S.RAW_WEATHER_SUFFIXES]
+    f = driver.flights(spark, sf_dir).select(*KEYS, "fl_date", "crs_dep_time", "origin", "dest")
+    f = materialize(f.withColumn("flight_id", F.monotonically_increasing_id()), "flight-ends")
+    out = ENR.enrich_flights(f, obs.join(at, "k").drop("k"), smap, "flight_id", tolerance_seconds=6 * 3600)
+    return rounded(_keys(out, "origin", "dest", *[c for c in weather if "_has_" not in c]))
+
+
 # ------------------------------------------------------------------ ADS-B
 def _adsb(spark, sf_dir):
     return ADSB_SRC.parse_json_records(driver.adsb_json(spark, sf_dir))
@@ -644,6 +689,51 @@ def q_m3(spark, sf_dir):
                                              F.when(inner, F.col("gain")).alias("gain"), "value", "cover"), 4)
 
 
+def _boosted_round(spark, sf_dir):
+    """(labelled flights, the boosted trees of ``m3_boosted_splits``)."""
+    from ontime_spark.operators import boosting
+    df = materialize(_boosted_input(spark, sf_dir), "boosted-input")
+    return df, boosting.fit(df, BOOSTED, S.TARGET_COL, boosting.Settings(rounds=1, depth=2, subsample=1.0, colsample=1.0))
+
+
+@register("m10_boosted_predictions")
+def q_m10(spark, sf_dir):
+    """Every flight scored with the boosted round."""
+    from ontime_spark.operators import models as M
+    df, model = _boosted_round(spark, sf_dir)
+    return rounded(_keys(M.predict(model, df), "probability_delayed", "predicted"))
+
+
+@register("t2_boosted_importances")
+def q_t2(spark, sf_dir):
+    """The features of the boosted round by their mean gain."""
+    from ontime_spark.operators import models as M
+    return rounded(M.feature_importances(spark, _boosted_round(spark, sf_dir)[1]))
+
+
+@register("m14_beeswarm")
+def q_m14_beeswarm(spark, sf_dir):
+    """The summary plot's data for the boosted round's contributions."""
+    from ontime_spark.operators.treeshap import tree_contributions
+    df, model = _boosted_round(spark, sf_dir)
+    return rounded(XP.beeswarm(tree_contributions(model, df.where(F.col("month") > 10), "xgboost"), list(BOOSTED)))
+
+
+@register("l8_l9_train_compare_score")
+def q_l8(spark, sf_dir):
+    """The training job (L8; M1-M3, M7, T3) with small ensembles, then the scoring job (L9) with the
+    model that compares best: probability, risk band and explanation of every test flight."""
+    from ontime_spark.plans import score, train
+    flights = driver.flights(spark, sf_dir)
+    folder = scratch_path(spark, f"models-{uuid.uuid4().hex}")
+    results, comparison = train.train_job(flights, folder, hubs=driver.DRIVER_HUBS, rf_trees=4, gbt_rounds=4)
+    best = comparison.first()["model"]
+    upcoming = _split(spark, sf_dir)[2].select(*KEYS, "fl_date", "carrier", "origin", "dest", "crs_dep_time", "distance")
+    featurizer = FP.FlightFeaturizerModel.load(spark, f"{folder}/featurizer")
+    out = score.score_job(upcoming, featurizer, None, results[best]["model"], best, keep=KEYS)
+    return rounded(_keys(out, "probability_delayed", "risk_band", "explanation"))
+
+
 @register("m3_boosted_train_score")
 def q_m3_score(spark, sf_dir):
     """The boosted trees with the published settings but 6 rounds, fitted on the training months, saved and

@@ -3,17 +3,27 @@
 A page is cut into blocks at block-level tags. The first pass decides each block from where it
 stands (a menu, header, footer, sidebar, notice, advert, form or comment section is never main
 text; with an ``article`` or ``main`` on the page nothing outside it is), from its link density,
-its length and the share of stop words. Short blocks and blocks of middling stop-word density
-stay ambiguous; the second pass gives them the label of the nearest decided neighbour (a
-heading: of what follows; one in the same element counts as nearer than one outside).
-"""
+its length and the share of stop words (where the page is in one of their languages; else length
+and links alone decide). Short blocks and blocks of middling stop-word density stay ambiguous; the
+second pass gives them the label of the nearest decided neighbour (a heading: of what follows;
+one in the same element counts as nearer than one outside). On a page without a good block the
+ambiguous ones are the main text.
+
+An element's class or id counts by whole names: ``comment-list`` is a comment section,
+``comments-open`` says something about an article. A form that holds most of the page's text is
+the page. Inside an article only lists of links are left out, not paragraphs with many.
+
+Null and empty pages have no text. Rows are independent, so repeated rows give equal results; ties
+between neighbours are decided by the block's length. Very long and very deep pages cost time in
+proportion to their size. An empty table stays empty; other columns pass through, whatever their
+names."""
 
 from __future__ import annotations
 
 import html
 import re
 from bisect import bisect_left
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -47,15 +57,21 @@ _LEAF = frozenset("p h1 h2 h3 h4 h5 h6 li dt dd pre".split())
 _HEADING = frozenset("h1 h2 h3 h4 h5 h6".split())
 _RAW = ("script", "style", "title", "textarea", "noscript", "template", "svg", "iframe", "select", "object", "button")
 _VOID = frozenset("br hr img input meta link wbr area base col embed source track param".split())
-_CHROME_TAGS = frozenset("nav footer aside form dialog menu".split())
+_CHROME_TAGS = frozenset("nav footer aside dialog menu".split())
 _CHROME_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar".split())
 _CHROME_NAMES = frozenset("""ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion banner
 cookie cookies consent gdpr notice notices notification popup modal overlay newsletter subscribe subscription signup
 sidebar side rail menu menus nav navbar navigation breadcrumb breadcrumbs masthead topbar footer comment comments
 disqus reply replies respond share sharing social related recommended recommendations widget widgets toolbar pagination
 pager login search form forms copyright legal disclaimer outbrain taboola""".split())
-#: First words of names that tell what an element has beside it, not what it is.
-_NOT_ITSELF = frozenset("with has no without not".split())
+#: Words that say nothing of what an element holds, beside one that does.
+_PLAIN_NAMES = frozenset("""area article aside bar block blocks body bottom box button buttons center col column container content
+custom element entry fixed global group header holder icon icons inner item items left line link links list lists main module outer page
+panel post primary reader row secondary section sections site slot small sticky text title top unit user wrap wrapper right region""".split())
+#: Elements that a landmark keeps even if most of their text is linked.
+_PROSE = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre dd dt td th figcaption".split())
+#: Share of stop words in a page's longer blocks from which its language is one of theirs.
+STOP_KNOWN = 0.1
 _HEADER_NAMES = frozenset("header headers".split())
 
 _PIECE = re.compile(
@@ -77,6 +93,8 @@ class Block:
     landmark: bool
     heading: bool
     parent: int = 0
+    tag: str = ""
+    form: int = 0
 
     def stop_share(self) -> float:
         words = self.text.lower().split()
@@ -97,13 +115,10 @@ def _is_chrome(tag: str, attrs: str, inside_landmark: bool) -> bool:
         if name == "role" and value.lower() in _CHROME_ROLES:
             return True
         if name in ("class", "id") and tag not in ("html", "body", "main"):
-            names = set()
             for token in value.split():
-                words = [x.lower() for x in _NAME.findall(_CAMEL.sub(" ", token))]
-                if words and words[0] not in _NOT_ITSELF:
-                    names.update(words)
-            if names & _CHROME_NAMES or names & _HEADER_NAMES and not inside_landmark:
-                return True
+                words = {x.lower() for x in _NAME.findall(_CAMEL.sub(" ", token)) if len(x) > 1}
+                if words <= _CHROME_NAMES | _PLAIN_NAMES and (words & _CHROME_NAMES or words & _HEADER_NAMES and not inside_landmark):
+                    return True
     return False
 
 
@@ -112,24 +127,57 @@ def _is_landmark(tag: str, attrs: str) -> bool:
         re.search(r"role\s*=\s*[\"']?(?:main|article)\b|itemprop\s*=\s*[\"']?articleBody", attrs, re.I))
 
 
+class _Open:
+    """The open elements, each with what holds inside it, and how many of each tag there are."""
+
+    def __init__(self):
+        self.stack: list[tuple[str, bool, bool, int, int]] = [("", False, False, 0, 0)]  # tag, chrome, landmark, number, form
+        self.count: dict[str, int] = {}
+        self.opened = 0
+
+    def push(self, tag: str, chrome: bool, landmark: bool) -> None:
+        _, in_chrome, in_landmark, _, form = self.stack[-1]
+        self.opened += 1
+        if tag == "form" and not form:
+            form = self.opened
+        self.stack.append((tag, chrome or in_chrome, landmark or in_landmark, self.opened, form))
+        self.count[tag] = self.count.get(tag, 0) + 1
+
+    def pop(self) -> str:
+        tag = self.stack.pop()[0]
+        self.count[tag] -= 1
+        return tag
+
+    def close(self, tag: str) -> bool:
+        """Close the innermost ``tag`` and what is open in it; false if there is none."""
+        if not self.count.get(tag):
+            return False
+        while self.pop() != tag:
+            pass
+        return True
+
+    def top(self) -> tuple[str, bool, bool, int, int]:
+        return self.stack[-1]
+
+
 def blocks(page: str) -> list[Block]:
     """The blocks of a page in order; empty ones are left out."""
     out: list[Block] = []
-    stack: list[tuple[str, bool, bool, int]] = []  # tag, chrome, landmark, number
-    opened = 0
+    open_ = _Open()
     parts: list[str] = []
     linked = 0
     in_link = 0
     heading = False
 
     def flush() -> None:
-        nonlocal linked, heading
+        nonlocal linked
         if parts:
             text = " ".join("".join(parts).split())
             if text:
-                own = stack[:-1] if stack and stack[-1][0] in _LEAF else stack
-                out.append(Block(text, linked, any(s[1] for s in stack), any(s[2] for s in stack), heading,
-                                 own[-1][3] if own else 0))
+                tag, chrome, landmark, number, form = open_.top()
+                if tag in _LEAF:
+                    number = open_.stack[-2][3]
+                out.append(Block(text, linked, chrome, landmark, heading, number, tag, form))
             parts.clear()
         linked = 0
 
@@ -156,56 +204,67 @@ def blocks(page: str) -> list[Block]:
         elif tag not in _BLOCK:
             # Inline containers can hide text, too: a marked span is a block of its own.
             if m["close"]:
-                if any(s[0] == tag for s in stack):
+                if open_.count.get(tag):
                     flush()
-                    while stack and stack.pop()[0] != tag:
-                        pass
-            elif tag not in _VOID and m["attrs"] and not m["attrs"].endswith("/") and _is_chrome(
-                    tag, m["attrs"], any(s[2] for s in stack)):
+                    open_.close(tag)
+            elif tag not in _VOID and m["attrs"] and not m["attrs"].endswith("/") and _is_chrome(tag, m["attrs"], open_.top()[2]):
                 flush()
-                opened += 1
-                stack.append((tag, True, False, opened))
+                open_.push(tag, True, False)
         elif m["close"]:
             flush()
             heading = False
             in_link = 0
-            if any(s[0] == tag for s in stack):
-                while stack.pop()[0] != tag:
-                    pass
+            open_.close(tag)
         else:
             flush()
             in_link = 0
             heading = tag in _HEADING
             if tag in ("p", "hr"):
-                if stack and stack[-1][0] == "p":
-                    stack.pop()
+                if open_.top()[0] == "p":
+                    open_.pop()
                 if tag == "hr":
                     continue
-            elif tag == "li":
-                if stack and stack[-1][0] == "li":
-                    stack.pop()
-            opened += 1
-            stack.append((tag, _is_chrome(tag, m["attrs"], any(s[2] for s in stack)), _is_landmark(tag, m["attrs"]), opened))
+            elif tag == "li" and open_.top()[0] == "li":
+                open_.pop()
+            open_.push(tag, _is_chrome(tag, m["attrs"], open_.top()[2]), _is_landmark(tag, m["attrs"]))
     add(page[at:])
     flush()
     return out
 
 
+def _without_forms(found: list[Block]) -> list[Block]:
+    """Forms made chrome, but for one that holds more than half of the text that is left."""
+    sizes: dict[int, int] = {}
+    for b in found:
+        if not b.chrome:
+            sizes[b.form] = sizes.get(b.form, 0) + len(b.text)
+    total = sum(sizes.values())
+    return [replace(b, chrome=True) if b.form and not b.chrome and 2 * sizes[b.form] <= total else b for b in found]
+
+
 def classify(found: list[Block]) -> list[bool]:
     """Whether each block is main text."""
+    found = _without_forms(found)
     landmarks = any(b.landmark and not b.chrome for b in found)
+    longer = [b.stop_share() for b in found if not landmarks and not b.chrome and len(b.text) >= SHORT]
+    known = bool(longer) and max(longer) >= STOP_KNOWN
     label: list[bool | None] = []
     for b in found:
         size = len("".join(b.text.split()))
-        if b.chrome or landmarks and not b.landmark or b.linked > LINKS * size:
+        links = b.linked > LINKS * size and not (landmarks and b.tag in _PROSE)
+        if b.chrome or landmarks and not b.landmark or links:
             label.append(False)
         elif landmarks:
             label.append(None if b.heading or len(b.text) < SHORT else True)
         elif len(b.text) < SHORT:
             label.append(False if "©" in b.text else None)
+        elif not known:
+            label.append(True if len(b.text) >= LONG or size == len(b.text) else None)
         else:
             stop = b.stop_share()
             label.append(True if stop >= STOP_HIGH and len(b.text) >= LONG else None if stop >= STOP_LOW else False)
+    if True not in label:
+        return [x is None for x in label]
     # Inside an article only its own blocks are neighbours; menus and adverts around it are not.
     near = [b.landmark and not b.chrome or not landmarks for b in found]
     decided = [i for i, x in enumerate(label) if x is not None and near[i]]
@@ -220,7 +279,7 @@ def classify(found: list[Block]) -> list[bool]:
         sides = [bool(label[j]) for j in (before, after) if j is not None]
         substantial = landmarks or len(found[i].text) >= SHORT
         if not sides:
-            good.append(substantial or found[i].heading)
+            good.append(True)
         elif found[i].heading and after is not None:
             good.append(sides[-1] or landmarks and any(sides))
         elif len(sides) == 1:

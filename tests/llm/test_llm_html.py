@@ -1,6 +1,7 @@
 """Block rules on pages with and without landmarks."""
 import html
 import re
+import time
 
 import pytest
 from llm_cases import clash, frame
@@ -37,7 +38,17 @@ def test_chrome_is_left_out_wherever_it_stands(chrome, wrap):
     ("<article><p title='a>b'>x</p></article>", "x"), ("<article><p title='a>x</p></article>", "x"),
     ("<article><header><h1>T</h1></header><p>x</p><footer>f</footer></article>", "T x"),
     (f"<div class='page with-sidebar no-ads'><h1>T</h1><p>{LONG}</p></div>", f"T {LONG}"),
-    ("<body><p>no landmark, no stop word match</p></body>", ""), ("just text", "")])
+    ("<body><p>no landmark, no stop word match</p></body>", "no landmark, no stop word match"), ("just text", "just text"),
+    (f"<nav>Home</nav><div><p>{'Это русский текст без ориентиров страницы. ' * 8}</p></div><div><a href=/>Меню</a></div>",
+     ("Это русский текст без ориентиров страницы. " * 8).strip()),
+    (f"<div><h1>标题</h1><p>{'这是没有地标的中文正文段落' * 9}</p></div><footer>版权</footer>", "标题 " + "这是没有地标的中文正文段落" * 9),
+    (f"<form action=/post><h1>T</h1><p>{LONG}</p><p>{LONG}</p></form>", f"T {LONG} {LONG}"),
+    (f"<article><p>{LONG}</p><form><label>Your name</label></form></article>", LONG),
+    (f"<article class='post comments-open'><p>{LONG}</p></article>", LONG), (f"<article class=promo-story><p>{LONG}</p></article>", LONG),
+    (f"<article><div class='side-by-side'><p>{LONG}</p></div></article>", LONG),
+    ("<article><p>x</p><p><a href=/a>A paragraph that is nearly one long link to another page of the site</a> it is.</p></article>",
+     "x A paragraph that is nearly one long link to another page of the site it is."),
+    (f"<article><p>{LONG}</p><ul><li><a href=/1>First other page</a></li><li><a href=/2>Second</a></li></ul></article>", LONG)])
 def test_edges(page, text):
     assert H.main_text(page) == text
 
@@ -49,6 +60,14 @@ def test_ambiguous_blocks_take_the_nearest_label():
     assert label == [False, False, True, True, True, False, False]
 
 
+def test_deep_and_long_pages_take_linear_time():
+    start = time.perf_counter()
+    assert H.main_text("<article>" + "<div>" * 200_000 + "deep") == "deep"
+    assert H.main_text("<div class='x'>" * 60_000 + "</span>" * 20_000 + "deep" + "</div>" * 60_000) == "deep"
+    assert H.main_text("<article>" + "<p>word <b>two</b>" * 100_000) == " ".join(["word two"] * 100_000)
+    assert time.perf_counter() - start < 8
+
+
 def test_pages_table(spark):
     """The test pages have one article each: its blocks, cut and decoded by plain patterns."""
     rows = spark.read.parquet("/root/testdata/sf0.01/pages.parquet").collect()

@@ -104,3 +104,50 @@ def test_sentence_ends_and_runs(spark):
     out, r = R.identified(frame(spark, rows))
     got = {x.doc_id: list(x[r].sentences) for x in out.collect()}
     assert got == {1: [], 2: ["rights"], 3: ["rights"], 4: ["rights"], 5: ["rights"], 6: ["apache2-grant"]}
+
+
+BSD = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+"""
+THIRD = """
+3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+"""
+ISC = """Permission to use, copy, modify, and/or distribute this software for any
+purpose with or without fee is hereby granted, provided that the above
+copyright notice and this permission notice appear in all copies."""
+
+
+def test_further_licences_titles_and_grants(spark):
+    cases = [(BSD, "BSD-2-Clause"), (BSD + THIRD, "BSD-3-Clause"), ("BSD 3-Clause License\n\n" + BSD + THIRD, "BSD-3-Clause"), (ISC, "ISC"),
+             (GPL.replace("version 3", "version 2"), "GPL-2.0-or-later"), (GPL.replace("GNU General", "GNU Affero General"), "AGPL-3.0-or-later"),
+             (GPL.replace("This program is free", "This library is free").replace("GNU General", "GNU Lesser General").replace("version 3", "version 2.1"), "LGPL-2.1-or-later"),
+             ("# SPDX-License-Identifier: Apache-2.0\nimport os", "Apache-2.0"), ("// SPDX-License-Identifier: GPL-2.0-or-later", "GPL-2.0-or-later"),
+             ("MIT License\n\nCopyright (c) 2020 A", "MIT"), ("We like it. This project is licensed under the MIT License. See it.", "MIT"),
+             ("This software is distributed under the Apache License, Version 2.0.", "Apache-2.0"), ("Licensed under the Apache License 2.0", "Apache-2.0"),
+             ("This is free and unencumbered software released into the public domain.", "Unlicense"),
+             ("This project is all rights reserved.", None), ("The MIT License is short to read.", None), ("We had a MIT license in mind", None)]
+    out, r = R.identified(frame(spark, [(i, t) for i, (t, _) in enumerate(cases)]))
+    got = {x.doc_id: x[r].licence for x in out.collect()}
+    assert got == {i: want for i, (_, want) in enumerate(cases)}
+
+
+def test_statement_has_the_current_splitting(spark, tmp_dir):
+    """The DuckDB statement on wrapped, commented and one-line notices."""
+    import duckdb
+    texts = [APACHE, GPL, MPL, BSD + THIRD, ISC, " ".join(APACHE.split()), "\n".join(f" * {x}" for x in GPL.split("\n")), MIT,
+             "This project is licensed under the MIT License. All rights reserved.", "All rights. Reserved", "; " * 50 + "all rights\nreserved!", None, ""]
+    df = frame(spark, list(enumerate(texts)))
+    df.write.parquet(f"{tmp_dir}/documents.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_dir}/documents.parquet/*.parquet')")
+    want = sorted(con.execute(R.SQL["op9_license_scan"]).fetchall())
+    assert sorted(tuple(r) for r in R.op9_license_scan(spark, tmp_dir).collect()) == want and sum(w[1] > 0 for w in want) == 10

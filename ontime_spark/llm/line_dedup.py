@@ -92,13 +92,13 @@ def _tried(open_lines: DataFrame) -> DataFrame:
             .withColumn("part", F.get("tokens", F.col("cut"))).drop("p", "whole", "cut"))
 
 
-def _left_over(tried: DataFrame, need: Column, turn: int) -> DataFrame:
+def _left_over(tried: DataFrame, need: Column) -> DataFrame:
     """The lines to try again: what did not fit, where the candidate recurs or no position divides
     the leaf (its candidate is set aside); else all, in one leaf for each token of the split.
     Leaves that cannot hold another shared template are left out."""
     split = F.col("found").isNull() & F.col("part").isNotNull()
     rest = (tried.where(split | ~F.col("fits"))
-            .withColumn("leaf", F.when(split, F.xxhash64("leaf", F.lit(turn), "part")).otherwise(F.col("leaf")))
+            .withColumn("leaf", F.when(split, F.xxhash64("leaf", "part")).otherwise(F.col("leaf")))
             .drop("fits", "part", "found"))
     worth = (rest.groupBy("leaf", "long").agg(F.sum("w").alias("c"), F.count(F.lit(1)).alias("n_lines"))
              .where((F.col("c") >= need) & (F.col("n_lines") > 1)).select("leaf"))
@@ -126,19 +126,19 @@ def templates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                              .select("leaf", "long", "line", "w", F.split("masked", " ").alias("tokens")), "open-lines")
     release(docs.sparkSession, since, until)  # the texts of other lines are not looked at again
     shared: DataFrame | None = None
-    turn = 0
+    # No turn is numbered in the plans: each turn runs the code that the first one compiled.
     while not open_lines.isEmpty():
         tried = materialize(_tried(open_lines), "tried")
         fitting = tried.where("fits").select("leaf", "long", "line")
-        found = (seen_open.select("line", "doc").join(fitting, "line").select("leaf", "long", "doc").distinct()
-                 .groupBy("leaf", "long").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") >= need)
-                 .select("leaf", F.lit(True).alias("found")))
+        # A template is named after its smallest line.
+        found = (seen_open.select("line", "doc").join(fitting, "line").groupBy("leaf", "long", "doc").agg(F.min("line").alias("line"))
+                 .groupBy("leaf", "long").agg(F.count(F.lit(1)).alias("c"), F.min("line").alias("found")).where(F.col("c") >= need)
+                 .select("leaf", "found"))
         tried = materialize(tried.join(found, "leaf", "left"), "found")
-        new = tried.where("fits AND found").select("line", F.xxhash64("leaf", F.lit(turn)).alias("template"))
+        new = tried.where("fits AND found IS NOT NULL").select("line", F.xxhash64("leaf", "found").alias("template"))
         new = materialize(new, "shared")
         shared = new if shared is None else shared.union(new)
-        open_lines = materialize(_left_over(tried, need, turn), "open-lines")
-        turn += 1
+        open_lines = materialize(_left_over(tried, need), "open-lines")
     named = seen.select("line", "long", "doc")
     named = (named.withColumn("template", F.col("line")) if shared is None else
              named.join(shared, "line", "left").withColumn("template", F.coalesce("template", "line")))

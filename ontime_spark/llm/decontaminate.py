@@ -6,12 +6,19 @@ over blocks of two words tells how far the search may move without missing an oc
 most positions of a text are never looked at; a block that ends some pattern has its patterns in
 a suffix bucket, divided by their first words, and direct comparison confirms an occurrence.
 
-The benchmark is the stated query set. It is read in blocks of bounded size, and every text is
-searched for each block in turn, so the tables in a task's memory never exceed one block's.
+The benchmark is the stated query set. It is read in blocks of bounded size and every text is
+searched for each of them. One block, the usual case, is one pass. With more, each block is
+broadcast for a pass of its own, whose hits are written and joined by text at the end: neither the
+driver nor a task ever holds more than one block, however large the benchmark is.
+
+Null texts have no words and equal texts equal results; very long texts are searched whole.
+Items without words have no window; rows of one item id count as one item. Empty tables and
+clashing names change nothing.
 """
 
 from __future__ import annotations
 
+import itertools
 import re
 from collections.abc import Iterable
 
@@ -21,6 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ontime_spark.llm import common
+from ontime_spark.session import materialize
 
 WINDOW = 10
 #: Words: maximal runs of ASCII letters, digits and non-ASCII characters.
@@ -113,51 +121,82 @@ def occurrences(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
 
     Null texts have no words; items without words have no window; rows of one item id count as
     one item; a null item id is the empty text. Without benchmark rows nothing is hit."""
-    sc = docs.sparkSession.sparkContext
-    blocks = [sc.broadcast(b) for b in _query_blocks(benchmark, item_col, item_text_col, block_bytes)]
+    blocks = _query_blocks(benchmark, item_col, item_text_col, block_bytes)
+    first, second = next(blocks, None), next(blocks, None)
+    if second is None:
+        return _searched(docs, text_col, first, window)[:2]
+    text = F.col(text_col).cast("string")
+    same = [F.xxhash64(text), F.octet_length(text)]
+    found = None
+    for block in itertools.chain((first, second), blocks):
+        marked, r, sent = _searched(docs.select(text_col), text_col, block, window)
+        hits = (marked.where(F.col(r)["n_hit"] > 0).groupBy(same[0].alias("h"), same[1].alias("n"))
+                .agg(F.first(F.col(r)["items"]).alias("items"), F.first(F.col(r)["spans"]).alias("spans")))
+        hits = materialize(hits, "block-hits")
+        sent.destroy()
+        found = hits if found is None else found.union(hits)
+    # At most one row of each block meets here, whatever the number of copies of a text.
+    found = found.groupBy("h", "n").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
+                                        F.array_sort(F.flatten(F.collect_list("spans"))).alias("spans"))
+    own = {c: common.fresh(docs.columns, f"_{c}") for c in found.columns}
+    found = found.select(*[F.col(c).alias(n) for c, n in own.items()])
+    counted, r, _ = _searched(docs, text_col, None, window)
+    joined = counted.join(found, (same[0] == F.col(own["h"])) & (same[1] == F.col(own["n"])), "left")
+    spans = _merged(F.coalesce(own["spans"], F.col(r)["spans"]))
+    n_hit = F.aggregate(spans, F.lit(0).cast("long"), lambda t, x: t + x["last"] - x["first"] + 1)
+    result = F.struct(F.col(r)["n_words"].alias("n_words"), n_hit.alias("n_hit"), F.coalesce(own["items"], F.col(r)["items"]).alias("items"), spans.alias("spans"))
+    return joined.select(*[F.col(f"`{c}`") for c in docs.columns], result.alias(r)), r
+
+
+def _merged(spans):
+    """Sorted ranges with those that touch made one."""
+    def add(done, x):
+        last = F.get(done, F.size(done) - 1)
+        joined = F.struct(last["first"].alias("first"), F.greatest(last["last"], x["last"]).alias("last"))
+        return F.when((F.size(done) > 0) & (x["first"] <= last["last"] + 1), F.concat(F.slice(done, 1, F.size(done) - 1), F.array(joined))).otherwise(
+            F.concat(done, F.array(x)))
+
+    return F.aggregate(spans, F.filter(spans, lambda x: F.lit(False)), add)
+
+
+def _searched(docs: DataFrame, text_col: str, block, window: int):
+    """(``docs`` with the struct for one block of items, its name, the broadcast block)."""
+    sent = docs.sparkSession.sparkContext.broadcast(block) if block else None
     pattern = re.compile(WORD)
     span = pa.struct([("first", pa.int64()), ("last", pa.int64())])
-
-    ready: list = []  # the tables of the block searched last, kept between batches of a task
-
-    def table(b) -> QueryBlock:
-        if not ready or ready[0] is not b:
-            ready[:] = [b, QueryBlock(b.value, window)]
-        return ready[1]
+    ready: list[QueryBlock] = []  # made once in a task
 
     def run(texts):
+        if sent is not None and not ready:
+            ready.append(QueryBlock(sent.value, window))
         data, offsets = common.utf8(texts)
         lists = []
-        found: list[tuple[set, list]] = [(set(), []) for _ in range(len(offsets) - 1)]
         n_words = np.zeros(len(offsets) - 1, np.int64)
-        for b in blocks or [None]:
-            for i, j in common.chunks(offsets):
-                low = common.LOWER[data[offsets[i]:offsets[j]]].tobytes()
-                own = (offsets[i:j + 1] - offsets[i]).tolist()
-                for d in range(i, j):
-                    words = pattern.findall(low, own[d - i], own[d - i + 1])
-                    n_words[d] = len(words)
-                    if b is None:
-                        continue
-                    block = table(b)
-                    items, spans = found[d]
-                    for first, p in block.find(words):
-                        items.update(block.items[p])
+        n_hit = np.zeros(len(offsets) - 1, np.int64)
+        for i, j in common.chunks(offsets):
+            low = common.LOWER[data[offsets[i]:offsets[j]]].tobytes()
+            own = (offsets[i:j + 1] - offsets[i]).tolist()
+            for d in range(i, j):
+                words = pattern.findall(low, own[d - i], own[d - i + 1])
+                n_words[d] = len(words)
+                items: set[str] = set()
+                merged: list[list[int]] = []
+                if ready:
+                    spans = []
+                    for first, p in ready[0].find(words):
+                        items.update(ready[0].items[p])
                         spans.append((first, first + len(p) - 1))
-        n_hit = np.zeros(len(found), np.int64)
-        for d, (items, spans) in enumerate(found):
-            merged: list[list[int]] = []
-            for first, last in sorted(spans):
-                if merged and first <= merged[-1][1] + 1:
-                    merged[-1][1] = max(merged[-1][1], last)
-                else:
-                    merged.append([first, last])
-            n_hit[d] = sum(b - a + 1 for a, b in merged)
-            lists.append((sorted(items), [{"first": a, "last": b} for a, b in merged]))
+                    for first, last in sorted(spans):
+                        if merged and first <= merged[-1][1] + 1:
+                            merged[-1][1] = max(merged[-1][1], last)
+                        else:
+                            merged.append([first, last])
+                    n_hit[d] = sum(b - a + 1 for a, b in merged)
+                lists.append((sorted(items), [{"first": a, "last": b} for a, b in merged]))
         return [pa.array(n_words), pa.array(n_hit), pa.array([x for x, _ in lists], pa.list_(pa.string())),
                 pa.array([x for _, x in lists], pa.list_(span))]
 
-    return common.with_result(docs, text_col, _FIELDS, run)
+    return *common.with_result(docs, text_col, _FIELDS, run), sent
 
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", **options) -> DataFrame:

@@ -88,9 +88,16 @@ def chunks(offsets: np.ndarray, limit: int = CHUNK_BYTES) -> Iterator[tuple[int,
 
 
 def parts(batch: pa.RecordBatch, at: int) -> Iterator[pa.RecordBatch]:
-    """``batch`` in slices whose texts (column ``at``) together have at most ``PART_BYTES``."""
+    """``batch`` in slices whose texts, or lists of numbers (column ``at``), together have at most
+    ``PART_BYTES``."""
     if batch.num_rows:
-        for i, j in chunks(utf8(batch.column(at))[1], PART_BYTES):
+        column = batch.column(at)
+        if pa.types.is_list(column.type):
+            sizes = column.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64) * 8
+            offsets = np.concatenate([[0], np.cumsum(sizes)])
+        else:
+            offsets = utf8(column)[1]
+        for i, j in chunks(offsets, PART_BYTES):
             yield batch.slice(i, j - i)
 
 

@@ -30,11 +30,11 @@ VOCABULARY = "byte_bpe_50k.tiktoken"
 #: The published pre-token pattern of these vocabularies (fixed value).
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: Pre-tokens whose ids a worker remembers; the rest are merged again when they come up.
-MEMORY = 700_000
+MEMORY = 150_000
 #: Bytes of the longest pre-token that shares a queue with others; a longer one has its own.
 QUEUE_BYTES = 64
 #: Bytes of text whose unknown pre-tokens share a queue.
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 2 << 20
 
 
 def load_ranks(path: str) -> dict[bytes, int]:

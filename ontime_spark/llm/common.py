@@ -6,6 +6,7 @@ Python object per word."""
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -77,12 +78,22 @@ def utf8(column) -> tuple[np.ndarray, np.ndarray]:
     return raw[offsets[0]:offsets[-1]], offsets - offsets[0]
 
 
-def chunks(offsets: np.ndarray, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, int]]:
-    """Ranges of documents whose texts together have at most ``limit`` bytes (or are one)."""
+def give_back() -> None:
+    """Memory that Arrow and the C library hold for later use goes back to the system: a worker
+    outlives the stage that needed it."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # only some C libraries have it
+    if trim is not None:
+        trim(0)
+
+
+def chunks(offsets: np.ndarray, limit: int = CHUNK_BYTES, rows: int | None = None) -> Iterator[tuple[int, int]]:
+    """Ranges of at most ``rows`` documents whose texts together have at most ``limit`` bytes (or
+    are one)."""
     i, n = 0, len(offsets) - 1
     while i < n:
         j = int(np.searchsorted(offsets, offsets[i] + limit, "right")) - 1
-        j = min(max(j, i + 1), n)
+        j = min(max(j, i + 1), n, n if rows is None else i + rows)
         yield i, j
         i = j
 
@@ -191,6 +202,6 @@ def with_result(docs: DataFrame, text_col: str, fields: str, fn,
             for part in parts(batch, at):
                 struct = pa.StructArray.from_arrays(fn(part.column(at)), names)
                 yield pa.RecordBatch.from_arrays([*part.columns, struct], [*part.schema.names, name])
-            pa.default_memory_pool().release_unused()
+            give_back()
 
     return docs.mapInArrow(run, schema), name

@@ -226,7 +226,7 @@ def accepted(docs: DataFrame, network: Network | None, text_col: str = "text",
 
     def verdict(texts: pa.Array) -> pa.Array:
         names, scores = predict(texts)
-        pa.default_memory_pool().release_unused()
+        common.give_back()
         return pa.compute.and_(pa.compute.not_equal(names, UNKNOWN), pa.compute.greater_equal(scores, min_score))
 
     # Only the text goes to Python and only the verdict comes back.

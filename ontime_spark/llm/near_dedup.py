@@ -48,6 +48,8 @@ JOINED, HUB_ROUNDS = 0.05, 6
 #: Cells of the shingles in a hub, and as many of the others; counts up to ``CELL_LEVELS`` are bits, the
 #: rest of a count is kept in a sum.
 CELLS, CELL_LEVELS = 256, 4
+#: Documents of one array step: a document's minima take 3 KB, however short its text.
+CHUNK_DOCS = 1024
 
 _rng = np.random.default_rng(20240918)
 _MULT = _rng.integers(1, 2**63, 1024, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -58,7 +60,7 @@ _SUM2 = np.uint64(0xD6E8FEB86659FD93)
 def _sets(texts, k: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first, last, shingles, offsets) for chunks of a text column."""
     data, offsets = common.utf8(texts)
-    for i, j in common.chunks(offsets):
+    for i, j in common.chunks(offsets, rows=CHUNK_DOCS):
         part = common.LOWER[data[offsets[i]:offsets[j]]]
         own = offsets[i:j + 1] - offsets[i]
         starts, ends, doc = common.words(part, own)
@@ -111,7 +113,7 @@ def signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     pa.array(check), _lists(packed.view(np.int64), empty),
                     _lists(band.view(np.int64), empty)],
                     ["id", "n_shingles", "node", "check", "sig", "bands"])
-            pa.default_memory_pool().release_unused()
+            common.give_back()
 
     return docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(
         run, f"id {id_type}, n_shingles long, node long, `check` long, sig array<long>, bands array<long>")
@@ -150,6 +152,7 @@ def shingle_sets(docs: DataFrame, id_col: str, text_col: str, k: int) -> DataFra
                 sets = pa.ListArray.from_arrays(pa.array(off.astype(np.int32)), pa.array(h.view(np.int64)))
                 yield pa.RecordBatch.from_arrays([pa.array(node), pa.array(off[1:] - off[:-1]), sets],
                                                  ["node", "n", "shingles"])
+            common.give_back()
 
     return docs.select(F.col(text_col).cast("string").alias("text")).mapInArrow(
         run, "node long, n long, shingles array<long>")

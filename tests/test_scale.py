@@ -56,3 +56,8 @@ def test_rounding_without_decimals(spark):
     assert "CASE WHEN" in _plan(registry.rounded(df))
 
 
+def test_fill_reads_the_input_once(spark):
+    assert "lineitem" not in _plan(registry.QUERIES["p4_fill_missing"](spark, SF_SMALL))
+    df = spark.createDataFrame([(1.0, None), (None, "a"), (3.0, "b")], "x double, s string")
+    filled = clean.fill_missing(df, materialize=True)
+    assert sorted(map(tuple, filled.collect())) == sorted(map(tuple, clean.fill_missing(df).collect())) == [(1.0, "UNKNOWN"), (2.0, "a"), (3.0, "b")]

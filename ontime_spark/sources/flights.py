@@ -7,6 +7,8 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ontime_spark.session import wide_session
+
 
 def load_flights(spark: SparkSession, path: str, fmt: str | None = None) -> DataFrame:
     """``.csv`` (header; the canonical columns typed, blanks null) or ``.parquet``/``.pq``; any
@@ -15,7 +17,7 @@ def load_flights(spark: SparkSession, path: str, fmt: str | None = None) -> Data
         os.path.splitext(path.rstrip("/"))[1].lower())
     if kind == "csv":
         from ontime_spark.operators.clean import cast_types
-        return cast_types(spark.read.option("header", True).csv(path))
+        return cast_types(wide_session(spark).read.option("header", True).csv(path))
     if kind == "parquet":
         return spark.read.parquet(path)
     raise ValueError(f"cannot tell how to read {path}: the suffix is neither csv nor parquet")

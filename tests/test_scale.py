@@ -61,3 +61,14 @@ def test_fill_reads_the_input_once(spark):
     df = spark.createDataFrame([(1.0, None), (None, "a"), (3.0, "b")], "x double, s string")
     filled = clean.fill_missing(df, materialize=True)
     assert sorted(map(tuple, filled.collect())) == sorted(map(tuple, clean.fill_missing(df).collect())) == [(1.0, "UNKNOWN"), (2.0, "a"), (3.0, "b")]
+
+
+def test_global_importance_by_place(spark):
+    df = spark.createDataFrame([(1.0, -2.0), (-3.0, 0.5), (None, 4.0)], "a double, b double")
+    df = XP.linear_contributions(df, ["a", "b"], [2.0, 1.0], 0.0)
+    by_place, by_row = XP.global_importance(df, features=["a", "b"]), XP.global_importance(df)
+    assert [tuple(r) for r in by_place.collect()] == [tuple(r) for r in by_row.collect()]
+    assert XP.global_importance(df.limit(0), features=["a", "b"]).count() == 0
+    # The rows themselves are aggregated, not a row per feature of each.
+    plan = _plan(by_place)
+    assert plan.index("Generate") < plan.index("HashAggregate")

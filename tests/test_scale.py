@@ -72,3 +72,36 @@ def test_global_importance_by_place(spark):
     # The rows themselves are aggregated, not a row per feature of each.
     plan = _plan(by_place)
     assert plan.index("Generate") < plan.index("HashAggregate")
+
+
+def test_binned_table_holds_blocks(spark):
+    rng = np.random.default_rng(3)
+    rows = [(float(rng.integers(2)), None if rng.random() < 0.1 else float(rng.integers(9)), float(rng.normal())) for _ in range(500)]
+    df = spark.createDataFrame(rows, "y double, a double, b double").coalesce(2)
+    cuts = boosting.bin_cuts(df, ["a", "b"], 255)
+    blocks = boosting._binned(df, ["a", "b"], "y", cuts, 0.25).collect()
+    assert len(blocks) < 10 and sum(len(b["y"]) for b in blocks) == 8 * len(rows)
+    bins = np.concatenate([np.frombuffer(b["bins"], np.uint8).reshape(-1, 2) for b in blocks])
+    want = [[0 if r[1] is None else 1 + sum(r[1] > c for c in cuts[0]), 1 + sum(r[2] > c for c in cuts[1])] for r in rows]
+    assert bins.tolist() == want
+
+
+def test_rows_end_where_a_plain_walk_ends():
+    tree = boosting.Tree()
+    tree.add(0.0, 0.0, 0)
+    for node, feature, at, missing in ((0, 1, 3, True), (1, 0, 2, False), (2, 0, 200, True)):
+        tree.feature[node], tree.bin[node], tree.missing_left[node] = feature, at, missing
+        tree.left[node] = tree.add(0.0, 0.0, 2 * tree.place[node] + 1)
+        tree.right[node] = tree.add(0.0, 0.0, 2 * tree.place[node] + 2)
+    bins = np.array([(a, b) for a in (0, 1, 2, 3, 200, 255) for b in (0, 1, 3, 4, 255)], np.uint8)
+
+    def walk(row):
+        node = 0
+        while tree.left[node] >= 0:
+            b = row[tree.feature[node]]
+            left = tree.missing_left[node] if b == 0 else b <= tree.bin[node]
+            node = tree.left[node] if left else tree.right[node]
+        return node
+
+    found = boosting._by_bins(tree.arrays(), bins, 6)
+    assert found.tolist() == [walk(r) for r in bins.tolist()]

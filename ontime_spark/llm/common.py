@@ -7,7 +7,8 @@ Python object per word."""
 from __future__ import annotations
 
 import ctypes
-from collections.abc import Iterator
+import inspect
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -87,6 +88,19 @@ def give_back() -> None:
         trim(0)
 
 
+def giving_back(fn: Callable) -> Callable:
+    """``fn`` of a group's table, or of a cogroup's two, which gives memory back after each group."""
+    def then(*tables):
+        try:
+            return fn(*tables)
+        finally:
+            give_back()
+
+    if len(inspect.signature(fn).parameters) == 1:
+        return lambda table: then(table)
+    return lambda left, right: then(left, right)
+
+
 def chunks(offsets: np.ndarray, limit: int = CHUNK_BYTES, rows: int | None = None) -> Iterator[tuple[int, int]]:
     """Ranges of at most ``rows`` documents whose texts together have at most ``limit`` bytes (or
     are one)."""

@@ -165,8 +165,10 @@ def pack(docs: DataFrame, id_col: str, text_col: str, held_out: Column, slots: i
                     state[what].append(_tally(keys, ~np.repeat(flags[i:j], each)))
                     if len(state[what]) > 8:
                         state[what] = [_counted(state[what])]
+            common.give_back()
         if state["ids"]:
             yield from finish()
+            common.give_back()
 
     rows = docs.select(F.col(id_col).alias("id"), held_out.alias("held_out"), F.col(text_col).cast("string").alias("text"))
     return rows.mapInArrow(run, f"block long, kind int, slot int, ids array<{kind}>, held_out array<boolean>, "
@@ -327,14 +329,14 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     packed = materialize(pack(docs, id_col, text_col, held_out(id_col) if held is None else held, slots), "ctw-blocks")
     arrays = packed.select("block", "kind", "slot", "keys", "counts")
     words = materialize(arrays.where(F.col("kind") == _WORD).groupBy("slot").applyInArrow(
-        _word_totals, "block long, kind int, keys binary, values binary, tokens long, words long"), "ctw-words")
+        common.giving_back(_word_totals), "block long, kind int, keys binary, values binary, tokens long, words long"), "ctw-words")
     total = words.agg(F.sum("tokens").alias("n"), F.sum("words").alias("v")).first()
     n_train, vocabulary = int(total["n"] or 0), int(total["v"] or 0)
     grams = arrays.where(F.col("kind") == _GRAM)
     tops = materialize(grams.groupBy("slot").applyInArrow(
-        _subtree_tops, "slot int, code long, ctx long, node int, n0 double, n1 double, weighted double"), "ctw-tops")
+        common.giving_back(_subtree_tops), "slot int, code long, ctx long, node int, n0 double, n1 double, weighted double"), "ctw-tops")
     strings = grams.groupBy("slot").cogroup(_above(tops).groupBy("slot_above")).applyInArrow(
-        _string_values, "block long, kind int, keys binary, values binary")
+        common.giving_back(_string_values), "block long, kind int, keys binary, values binary")
     values = strings.union(words.select("block", "kind", "keys", "values")).select(
         F.col("block").alias("of"), "kind", "keys", "values")
     blocks = packed.where(F.col("kind") == _DOCS).select("block", "ids", "held_out", "sizes", "blob")
@@ -367,7 +369,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             "base_score": base, "score": model, "bits_per_byte": -model * math.log2(10) / size})
 
     return (blocks.groupBy("block").cogroup(values.groupBy("of")).applyInArrow(
-        run, f"id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, "
+        common.giving_back(run), f"id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, "
              "base_score double, score double, bits_per_byte double").withColumnRenamed("id", id_col))
 
 

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ontime_spark.llm import common
-from ontime_spark.session import mark, materialize, release
+from ontime_spark.session import discard, materialize
 
 #: Documents in which a template must occur to be recurring.
 MIN_DOCS = 5
@@ -110,9 +110,7 @@ def templates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """(lines, recurring): ``lines`` as doc, version, nth, n, line; ``recurring`` as line,
     template, n_docs, first_doc for the lines whose template is recurring."""
     need = F.when(F.col("long"), long_docs).otherwise(min_docs)
-    since = mark()
     masked = materialize(_lines(docs, id_col, text_col), "masked-lines")
-    until = mark()
     lines = materialize(masked.drop("masked"), "lines")
     seen = materialize(lines.select("leaf", "long", "line", "doc").distinct(), "line-docs")
     crowded = (seen.groupBy("leaf", "long").agg(F.count("line").alias("c"), F.min("line").alias("lo"), F.max("line").alias("hi"))
@@ -124,8 +122,9 @@ def templates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
              .join(crowded, "leaf", "left_semi").groupBy("line").agg(F.first("masked").alias("masked")))
     open_lines = materialize(weight.join(texts, "line")
                              .select("leaf", "long", "line", "w", F.split("masked", " ").alias("tokens")), "open-lines")
-    release(docs.sparkSession, since, until)  # the texts of other lines are not looked at again
+    discard(masked, crowded)  # the texts of other lines are not looked at again
     shared: DataFrame | None = None
+    found_in: list[DataFrame] = []
     # No turn is numbered in the plans: each turn runs the code that the first one compiled.
     while not open_lines.isEmpty():
         tried = materialize(_tried(open_lines), "tried")
@@ -134,11 +133,12 @@ def templates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         found = (seen_open.select("line", "doc").join(fitting, "line").groupBy("leaf", "long", "doc").agg(F.min("line").alias("line"))
                  .groupBy("leaf", "long").agg(F.count(F.lit(1)).alias("c"), F.min("line").alias("found")).where(F.col("c") >= need)
                  .select("leaf", "found"))
-        tried = materialize(tried.join(found, "leaf", "left"), "found")
+        fits, tried = tried, materialize(tried.join(found, "leaf", "left"), "found")
         new = tried.where("fits AND found IS NOT NULL").select("line", F.xxhash64("leaf", "found").alias("template"))
-        new = materialize(new, "shared")
-        shared = new if shared is None else shared.union(new)
-        open_lines = materialize(_left_over(tried, need), "open-lines")
+        found_in.append(materialize(new, "shared"))
+        shared = found_in[-1] if shared is None else shared.union(found_in[-1])
+        before, open_lines = open_lines, materialize(_left_over(tried, need), "open-lines")
+        discard(before, fits, tried)
     named = seen.select("line", "long", "doc")
     named = (named.withColumn("template", F.col("line")) if shared is None else
              named.join(shared, "line", "left").withColumn("template", F.coalesce("template", "line")))
@@ -146,7 +146,9 @@ def templates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  .agg(F.count(F.lit(1)).alias("n_docs"), F.min("doc").alias("first_doc"))
                  .where(F.col("n_docs") >= need).drop("long"))
     pairs = named.select("line", "template").distinct()
-    return lines.drop("leaf", "long"), materialize(pairs.join(recurring, "template"), "recurring")
+    recurring = materialize(pairs.join(recurring, "template"), "recurring")
+    discard(seen, seen_open, open_lines, *found_in)
+    return lines.drop("leaf", "long"), recurring
 
 
 def _dropped(docs: DataFrame, id_col: str, text_col: str, min_docs: int, long_docs: int) -> DataFrame:

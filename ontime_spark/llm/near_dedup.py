@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ontime_spark.llm import common
-from ontime_spark.session import materialize
+from ontime_spark.session import discard, materialize
 
 SHINGLE_WORDS = 5
 #: Two documents are linked when 100 * intersection >= PERCENT * union.
@@ -172,7 +172,8 @@ def components(edges: DataFrame) -> DataFrame:
 
     e = edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
     while True:
-        e = materialize(star(star(e, False), True), "stars")
+        before, e = e, materialize(star(star(e, False), True), "stars")
+        discard(before)
         # Done when every node has one smaller neighbour, which has none itself.
         ends = F.array(F.struct(F.col("u").alias("x"), F.lit(1).alias("up")), F.struct(F.col("v").alias("x"), F.lit(0).alias("up")))
         loose = (e.select(F.inline(ends)).groupBy("x").agg(F.sum("up").alias("n"), F.min("up").alias("low"))
@@ -250,6 +251,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     buckets = materialize(exploded.join(crowded, "key").select("key", "node"), "buckets")
     candidates = materialize(buckets.select("node").distinct()
                              .join(classes.select("node", "first_id", "n", "sig"), "node"), "candidates")
+    # What the result reads of the rows and classes, without the signatures.
+    whole = (sig, classes)
+    sig = materialize(sig.select("id", "n_shingles", "node", "check"), "rows")
+    classes = materialize(classes.select("node", "check", "first_id"), "class-ids")
+    discard(*whole)
     wanted = candidates.select(F.col("first_id").alias("_first"))
     texts = (docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
              .join(wanted.distinct(), F.col("_id").eqNullSafe(F.col("_first")), "left_semi"))
@@ -263,6 +269,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             .groupBy("node").agg(F.count(F.lit(1)).alias("lone")))
     known = materialize(candidates.select("node", "n", "sig").join(lone, "node", "left")
                         .withColumn("shared", F.col("n") - F.coalesce("lone", F.lit(0))).drop("lone"), "known")
+    discard(candidates)
     labels: DataFrame | None = None
     similar = estimate(F.col("sig"), F.col("sig_1"), bands * rows)
     most = F.least("shared", "shared_1")
@@ -277,15 +284,18 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     def compared(pairs: DataFrame, before: DataFrame | None) -> DataFrame:
         """All comparisons so far, with the new ones of ``pairs`` made on the full sets."""
         new = materialize(pairs.select(F.greatest("node", "node_1").alias("a"), F.least("node", "node_1").alias("b")).distinct(), "pairs")
-        new = new if before is None else materialize(new.join(before, ["a", "b"], "left_anti"), "new-pairs")
-        new = materialize(_compared(new, sets, percent), "compared")
-        return new if before is None else before.union(new)
+        all_new = None if before is None else materialize(new.join(before, ["a", "b"], "left_anti"), "new-pairs")
+        made.append(materialize(_compared(new if all_new is None else all_new, sets, percent), "compared"))
+        discard(new, all_new)
+        return made[-1] if before is None else before.union(made[-1])
 
     def labelled() -> DataFrame:
         links = tested.where("linked").select(F.col("a").alias("u"), F.col("b").alias("v"))
         return materialize(known.select("node").join(components(links), "node", "left")
                            .select("node", F.coalesce("label", "node").alias("label")), "labels")
 
+    made: list[DataFrame] = []
+    over: tuple[DataFrame, ...] = ()
     tested, members = None, buckets
     for turn in range(HUB_ROUNDS):
         # The first hub is the member with the fewest shingles of its own: the text that others
@@ -299,11 +309,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         pairs = named.join(hubs, "key").where((F.col("node") != F.col("node_1")) & alike)
         best = materialize(pairs.groupBy("node").agg(F.max_by("node_1", similar).alias("node_1")), "best-hubs")
         tested = compared(best, tested)
+        discard(best, labels, *over)
         labels = labelled()
         named = materialize(buckets.join(labels, "node"), "named")
         parts = named.groupBy("key", "label").agg(F.count("node").alias("c"))
         mixed = parts.groupBy("key").agg(F.count("label").alias("parts"), F.max(F.struct("c", "label"))["label"].alias("main")).where("parts > 1")
         mixed = materialize(mixed, "mixed")
+        over = (named, mixed)
         members = named.join(mixed.select("key", "main"), "key")
         apart_now = members.agg(F.countDistinct("label")).first()[0]
         if not apart_now or (turn and apart_now > before_now * (1 - JOINED)):
@@ -318,7 +330,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         left = active.where("label <> main").select("key", F.col("label").alias("label_1"), F.col("main").alias("main_1"), *other)
         apart = (F.col("label") != F.col("label_1")) & ((F.col("label") == F.col("main_1")) | (F.col("node") < F.col("node_1")))
         tested = compared(active.join(left, "key").where(apart & alike).select("node", "node_1"), tested)
+        discard(profiles, active, labels)
         labels = labelled()
+    discard(buckets, sets, known, *over, *made)
 
     named = classes.select("node", "check", "first_id").join(labels, "node", "left").withColumn(
         "label", F.coalesce("label", "node"))

@@ -105,3 +105,17 @@ def test_rows_end_where_a_plain_walk_ends():
 
     found = boosting._by_bins(tree.arrays(), bins, 6)
     assert found.tolist() == [walk(r) for r in bins.tolist()]
+
+
+def test_tables_are_read_in_small_parts(spark):
+    from ontime_spark import session
+    whole = spark.range(10).coalesce(1)
+    assert len(session.materialize(whole, "whole").inputFiles()) == 1
+    parts = session.materialize(whole, "parts", 3)
+    assert len(parts.inputFiles()) == 4
+    assert sorted(r["id"] for r in parts.collect()) == list(range(10))
+    key = "spark.sql.files.maxPartitionBytes"
+    other = spark.newSession()
+    assert session.wide_session(other).conf.get(key) == str(session.SPLIT_BYTES)
+    other.conf.set(key, "5m")
+    assert session.wide_session(other).conf.get(key) == "5m"

@@ -119,3 +119,26 @@ def test_tables_are_read_in_small_parts(spark):
     assert session.wide_session(other).conf.get(key) == str(session.SPLIT_BYTES)
     other.conf.set(key, "5m")
     assert session.wide_session(other).conf.get(key) == "5m"
+
+
+def _some_flights(spark):
+    rows = [(f"2023-{1 + i % 12:02d}-{1 + i % 27:02d}", f"C{i % 3}", f"A{i % 4}", f"A{(i + 1) % 4}", 600 + i % 9 * 100,
+             300 + i % 5, None if i % 11 == 0 else float(i * 7 % 40), int(i % 13 == 0)) for i in range(240)]
+    return spark.createDataFrame(rows, "fl_date string, carrier string, origin string, dest string, crs_dep_time int, "
+                                       "distance int, arr_delay double, cancelled int")
+
+
+def test_shared_steps_of_the_matrices_run_once(spark, monkeypatch):
+    """The given preprocessed flights are used as they are, and both matrices look back on one table of rates."""
+    from ontime_spark.operators import features as FE
+    from ontime_spark.plans import train
+    flights = _some_flights(spark)
+    expected = [sorted(map(tuple, m.collect())) for m in train.prepare_matrices(flights)[:2]]
+    pre = clean.preprocess(flights)
+    made, rates = [], FE.airport_daily_rates
+    monkeypatch.setattr(train.clean, "preprocess", None)
+    monkeypatch.setattr(FE, "airport_daily_rates", lambda df, *a: made.append(len(df.columns) == len(pre.columns)) or rates(df, *a))
+    matrices = train.prepare_matrices(pre, preprocessed=True)[:2]
+    assert made.count(True) == 1
+    assert [sorted(map(tuple, m.collect())) for m in matrices] == expected
+    assert len(expected[0]) and len(expected[1])

@@ -160,26 +160,30 @@ def shingle_sets(docs: DataFrame, id_col: str, text_col: str, k: int) -> DataFra
 
 def components(edges: DataFrame) -> DataFrame:
     """(node, label): the smallest node each node of ``edges`` (u, v) is connected to, by
-    alternating large-star and small-star contraction; groups are only ever reduced to minima."""
-    def star(e: DataFrame, small: bool) -> DataFrame:
-        both = e.union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        near = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        side = F.col("v") < F.col("u") if small else F.col("v") > F.col("u")
-        out = both.where(side).join(near, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        if small:
-            out = out.union(near.select("u", F.col("m").alias("v")))
-        return out.where("u <> v").distinct()
-
-    e = edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
+    alternating large-star and small-star contraction; groups are only ever reduced to minima.
+
+    An edge is kept once, from its larger node u to the smaller v, and each step is written before
+    the next one reads it: a plan over several steps would hold the edges' plan many times."""
+    def written(e: DataFrame) -> DataFrame:
+        return materialize(e.where("u <> v").distinct(), "stars")
+
+    def lowest(e: DataFrame) -> DataFrame:
+        return materialize(e.groupBy("u").agg(F.min("v").alias("m"), F.count("v").alias("n")), "lowest")
+
+    e = written(edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")))
     while True:
-        before, e = e, materialize(star(star(e, False), True), "stars")
-        discard(before)
+        low = lowest(e)
         # Done when every node has one smaller neighbour, which has none itself.
-        ends = F.array(F.struct(F.col("u").alias("x"), F.lit(1).alias("up")), F.struct(F.col("v").alias("x"), F.lit(0).alias("up")))
-        loose = (e.select(F.inline(ends)).groupBy("x").agg(F.sum("up").alias("n"), F.min("up").alias("low"))
-                 .where("n > 1 or n = 1 and low = 0"))
-        if loose.isEmpty():
-            return e.select(F.col("u").alias("node"), F.col("v").alias("label"))
+        if low.where("n > 1").isEmpty() and e.join(low.select(F.col("u").alias("v")), "v", "left_semi").isEmpty():
+            discard(e)
+            return low.select(F.col("u").alias("node"), F.col("m").alias("label"))
+        # Large star: a node's larger neighbours go to its smallest one, or stay.
+        large = written(e.join(low.select(F.col("u").alias("v"), "m"), "v", "left").select("u", F.coalesce("m", "v").alias("v")))
+        # Small star: a node and its smaller neighbours go to the smallest of them.
+        least = lowest(large)
+        small = large.join(least.select("u", "m"), "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        before, e = (e, low, large, least), written(small.union(least.select("u", F.col("m").alias("v"))))
+        discard(*before)
 
 
 def _compared(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:

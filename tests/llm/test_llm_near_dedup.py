@@ -110,6 +110,30 @@ def test_components_of_a_path_and_a_star(spark):
     assert out == {i: 0 for i in range(1, 41)} | {100 + i: 100 for i in range(1, 30)}
 
 
+def test_component_steps_have_small_plans(spark, monkeypatch):
+    """Plans stay in the driver's memory: each step reads a few tables, not the edges many times, and
+    groups that meet over several rounds get their smallest node."""
+    rng = random.Random(5)
+    edges = [(rng.randrange(400), rng.randrange(400)) for _ in range(300)]
+    group = {x: {x} for e in edges for x in e}
+    for a, b in edges:
+        if group[a] is not group[b]:
+            group[a] |= group[b]
+            for x in group[b]:
+                group[x] = group[a]
+    read, write = [], N.materialize
+
+    def counted(df, name="table"):
+        read.append(df._jdf.queryExecution().optimizedPlan().collectLeaves().size())
+        return write(df, name)
+
+    monkeypatch.setattr(N, "materialize", counted)
+    df = write(spark.createDataFrame([*edges, (None, 1), (2, None)], "u long, v long"))
+    out = {r.node: r.label for r in N.components(df).collect()}
+    assert out == {x: min(g) for x, g in group.items() if x != min(g)}
+    assert len(read) > 4 and max(read) <= 3, read
+
+
 @pytest.mark.parametrize("same", [0, 32, 96, 128])
 def test_estimate_corrects_chance_agreement(spark, same):
     """Minima of which a known share is equal: unequal ones still agree in 1 of 4 low values."""

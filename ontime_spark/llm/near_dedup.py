@@ -175,8 +175,8 @@ def components(edges: DataFrame) -> DataFrame:
         low = lowest(e)
         # Done when every node has one smaller neighbour, which has none itself.
         if low.where("n > 1").isEmpty() and e.join(low.select(F.col("u").alias("v")), "v", "left_semi").isEmpty():
-            discard(e)
-            return low.select(F.col("u").alias("node"), F.col("m").alias("label"))
+            discard(low)
+            return e.select(F.col("u").alias("node"), F.col("v").alias("label"))
         # Large star: a node's larger neighbours go to its smallest one, or stay.
         large = written(e.join(low.select(F.col("u").alias("v"), "m"), "v", "left").select("u", F.coalesce("m", "v").alias("v")))
         # Small star: a node and its smaller neighbours go to the smallest of them.

@@ -126,3 +126,29 @@ def test_save_load_importances_and_edges(spark, tmp_dir):
     one = df.withColumn("is_delayed", F.lit(1))
     assert np.isfinite(B.fit(one, COLS, "is_delayed", B.Settings(rounds=2)).margins(x)).all()
     assert B.fit(df.limit(0), COLS, "is_delayed").trees == []
+
+
+def _some_rows(spark, parts):
+    rng = np.random.default_rng(12)
+    rows = [(float(a), None if i % 7 == 0 else float(b), int(a + b > 9)) for i, (a, b) in enumerate(rng.integers(0, 10, (600, 2)))]
+    return spark.createDataFrame(rows, "a double, b double, is_delayed int").repartition(parts)
+
+
+def test_sums_added_by_column_give_the_same_trees(spark, monkeypatch):
+    df, settings = _some_rows(spark, 3), B.Settings(rounds=3, depth=3, subsample=1.0)
+    direct = B.fit(df, ["a", "b"], "is_delayed", settings).trees
+    monkeypatch.setattr(B, "DIRECT_TASKS", 0)
+    for one, other in zip(direct, B.fit(df, ["a", "b"], "is_delayed", settings).trees, strict=True):
+        for name in one:
+            if name != "next":
+                assert np.allclose(one[name], other[name])
+
+
+def test_a_level_is_one_job(spark):
+    df, jobs = _some_rows(spark, 2).cache(), {}
+    for rounds in (1, 4):
+        spark.sparkContext.setJobGroup(f"fit-{rounds}", "")
+        B.fit(df, ["a", "b"], "is_delayed", B.Settings(rounds=rounds, depth=2, subsample=1.0))
+        jobs[rounds] = len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"fit-{rounds}"))
+    spark.sparkContext.setJobGroup(None, None)
+    assert 0 < jobs[4] - jobs[1] <= 3 * 2
